@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarlens import fixed_values as fv, schemas
 from bazaarlens.functions import classify, money, text as tx
-from bazaarlens.operators.selectors import E, Page
+from bazaarlens.operators.extract import OUTLINE_COLUMNS, by_site
+from bazaarlens.operators.selectors import E, all_of, below, first as first_node, let, packed, spaced
 
 
 @dataclass(frozen=True)
@@ -54,20 +55,13 @@ CARD_RULES: dict[str, CardRule] = {
 }
 
 
-def card_pieces(page: Page, rule: CardRule, first: int | None) -> Column:
+def card_pieces(rule: CardRule, first: int | None) -> Column:
     """Text, link and title text of the first cards of a page, without the outline."""
-    cards = page.all(*rule.cards)
-    if first is not None:
-        cards = F.slice(cards, 1, first)
-
-    def piece(card: Column) -> Column:
-        inner = page.below(card)
-        link = page.first(rule.link, scope=inner)
-        title = link if rule.title_from_link else page.first(*rule.title, scope=inner)
-        return F.struct(
-            page.spaced(card).alias("text"), link["attrs"]["href"].alias("href"), page.packed(title).alias("title"))
-
-    return F.transform(cards, piece)
+    cards = all_of(*rule.cards) if first is None else f"slice({all_of(*rule.cards)}, 1, {first})"
+    link = first_node(rule.link, scope=below("c"))
+    title = link if rule.title_from_link else first_node(*rule.title, scope=below("c"))
+    return F.expr(f"transform({cards}, c -> struct({spaced('c')} AS text, {link}.attrs['href'] AS href, "
+                  f"{let(title, 't', packed('t'))} AS title))")
 
 
 def _amount(text: Column, patterns: tuple[str, ...] | str | None, monthly: bool = False) -> tuple[Column, Column]:
@@ -111,24 +105,17 @@ def extract_cards(outlines: DataFrame, source: str = "source", scraped_at: Colum
 
     A BizQuest card without a link is skipped; elsewhere the link may be missing.
     """
-    page = Page()
-    pieces = None
-    for name, rule in CARD_RULES.items():
-        found = card_pieces(page, rule, rule.first if first == -1 else first)
-        pieces = (F.when(F.col(source) == name, found) if pieces is None
-                  else pieces.when(F.col(source) == name, found))
-    keep = [c for c in outlines.columns if c not in ("nodes", "strings", "string_nodes", "scraped_at")]
+    at = F.col(source)
+    pieces = by_site(at, {n: card_pieces(r, r.first if first == -1 else first) for n, r in CARD_RULES.items()})
+    keep = [c for c in outlines.columns if c not in (*OUTLINE_COLUMNS, "scraped_at")]
     stamp = F.current_timestamp() if scraped_at is None else scraped_at
     cards = (
-        outlines.filter(F.col(source).isin(*CARD_RULES))
+        outlines.filter(at.isin(*CARD_RULES))
         .select(*keep, stamp.cast("timestamp").alias("scraped_at"), F.posexplode(pieces).alias("card_pos", "_card"))
-        .filter((F.col(source) != "BizQuest") | F.col("_card.href").isNotNull())
+        .select(*keep, "scraped_at", "card_pos", *[F.col(f"_card.{c}").alias(f"_{c}") for c in ("text", "href", "title")])
+        .filter((at != "BizQuest") | F.col("_href").isNotNull())
     )
-    row = None
-    for name, rule in CARD_RULES.items():
-        fields = read_card(name, rule, F.col("_card.text"), F.col("_card.href"), F.col("_card.title"))
-        rec = F.struct(*[c.alias(n) for n, c in fields.items()])
-        row = F.when(F.col(source) == name, rec) if row is None else row.when(F.col(source) == name, rec)
+    read = {n: read_card(n, r, F.col("_text"), F.col("_href"), F.col("_title")) for n, r in CARD_RULES.items()}
     names = [f.name for f in schemas.CARDS.fields if f.name not in (source, "source", "scraped_at")]
-    return cards.select(*keep, "scraped_at", "card_pos", row.alias("_row")).select(
-        *keep, "scraped_at", "card_pos", *[f"_row.{n}" for n in names])
+    return cards.select(*keep, "scraped_at", "card_pos", *[
+        by_site(at, {n: fields[c] for n, fields in read.items()}).alias(c) for c in names])

@@ -1,71 +1,115 @@
-"""Listing pages to records, by one rule set per site.
+"""Listing pages to records, by one extractor per site.
 
-A rule set maps field names to Columns over an outline. All sites share one scan and one
-projection: each row evaluates only the rule set of its own site, and nothing shuffles.
+An extractor is data plus two small functions: which elements to pick, how label/value rows
+are laid out, how the fields read from those texts, and what derives from the fields. All
+sites share one scan and a few projections; in each, a row evaluates only its own site's
+branch, and nothing shuffles. Element selection ends in plain text columns, so everything
+after it is ordinary string and number work.
 """
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from bazaarlens import fixed_values as fv, schemas
 from bazaarlens.functions import classify, money, text as tx
-from bazaarlens.operators.selectors import E, Page, let, page_text, spaced_text
+from bazaarlens.operators.selectors import (
+    E, all_of, below, first, first_of, packed, page_text, spaced_text, stripped, text)
 from bazaarlens.sources.html import flatten_pages
 
 Rules = dict[str, Column]
-RuleSet = Callable[[Page, Column, Column], Rules]  # page, its text, its url
+Kinds = tuple[tuple[str, tuple[str, ...]], ...]
 
-_SPACED_TEXT_SITES = ("BizQuest",)
+OUTLINE_COLUMNS = ("nodes", "strings", "string_nodes")
+
+
+def by_site(site: Column, choices: dict[str, Column]) -> Column:
+    """The branch of the row's site; NULL for sites without one."""
+    out = None
+    for name, value in choices.items():
+        out = F.when(site == name, value) if out is None else out.when(site == name, value)
+    return out
+
+
+# --- elements ---------------------------------------------------------------------
+@dataclass(frozen=True)
+class Pick:
+    """First element of an ordered selector list, and what to take from it."""
+
+    selector: str
+    take: str = "stripped"  # stripped, text, packed, raw, or an attribute name
+
+    def value(self, node: str) -> str:
+        if self.take == "raw":
+            return f"{node}.raw"
+        reader = {"stripped": stripped, "text": text, "packed": packed}.get(self.take)
+        return reader(node) if reader else f"{node}.attrs['{self.take}']"
+
+
+def pick(*options: E, take: str = "stripped", together: bool = False) -> Pick:
+    """``together`` takes the first of all options in document order instead of by option."""
+    return Pick(first(*options) if together else first_of(*options), take)
+
+
+JSONLD = E("script", attrs={"type": "application/ld+json"})
+NEXTDATA = E("script", attrs={"id": "__NEXT_DATA__"})
 
 
 # --- label/value layouts (C3) -----------------------------------------------------
-def financial_paragraphs(page: Page) -> Column:
-    """``p`` with a ``span.title`` inside ``div.financials``: label, and what is left of the paragraph."""
-    def pair(p: Column) -> Column:
-        title = page.first(E("span", cls="title"), scope=page.below(p))
-        return let(title, lambda t: F.when(t.isNotNull(), F.struct(
-            F.lower(page.stripped(t)).alias("label"),
-            tx.strip(F.replace(page.text(p), page.text(t), F.lit(""))).alias("value"))))
-    box = page.first(E("div", cls="financials"))
-    return F.array_compact(F.transform(let(box, lambda b: F.filter(page.below(b), E("p").matches)), pair))
-
-
-def heading_items(page: Page) -> Column:
-    """``li`` holding an ``h6`` and a ``p`` inside ``div.inform_revenue.single_business``."""
-    def pair(li: Column) -> Column:
-        inner = page.below(li)
-        label, value = page.first(E("h6"), scope=inner), page.first(E("p"), scope=inner)
-        return F.when(label.isNotNull() & value.isNotNull(), F.struct(
-            F.lower(page.text(label)).alias("label"), page.text(value).alias("value")))
-    box = page.first(E("div", cls="inform_revenue single_business"))
-    return F.array_compact(F.transform(let(box, lambda b: F.filter(page.below(b), E("li").matches)), pair))
-
-
-def two_cell_rows(page: Page) -> Column:
-    """``tr`` with exactly two cells inside ``table.listing-data-table``."""
-    def pair(tr: Column) -> Column:
-        cells = F.filter(page.below(tr), E(("th", "td")).matches)
-        return let(cells, lambda c: F.when(F.size(c) == 2, F.struct(
-            F.lower(page.stripped(c[0])).alias("label"), page.stripped(c[1]).alias("value"))))
-    box = page.first(E("table", cls="listing-data-table"))
-    return F.array_compact(F.transform(let(box, lambda b: F.filter(page.below(b), E("tr").matches)), pair))
-
-
-def left_right_lines(page: Page) -> Column:
-    """``div.line`` holding ``div.left`` and ``div.right`` inside ``div.sb-table``."""
-    def pair(line: Column) -> Column:
-        inner = page.below(line)
-        label = page.first(E("div", cls="left"), scope=inner)
-        value = page.first(E("div", cls="right"), scope=inner)
-        return F.when(label.isNotNull() & value.isNotNull(), F.struct(
-            F.lower(page.stripped(label)).alias("label"), page.stripped(value).alias("value")))
-    box = page.first(E("div", cls="sb-table"))
-    return F.array_compact(F.transform(let(box, lambda b: F.filter(page.below(b), E("div", cls="line").matches)), pair))
-
-
-def label_kind(label: Column, *kinds: tuple[str, tuple[str, ...]]) -> Column:
+@dataclass(frozen=True)
+class Layout:
+    """Rows of a box; ``label`` and ``value`` are nodes of a row ``r``, either may be missing."""
+
+    box: E
+    row: E
+    label: str
+    value: str
+    strip_label: bool = True
+    strip_value: bool = True
+    value_without_label: bool = False
+    only_if: str = "true"
+
+    def nodes(self) -> str:
+        """Label and value node of every row, over the box column ``_box``."""
+        pair = f"if({self.only_if}, struct({self.label} AS label, {self.value} AS value), NULL)"
+        return f"transform(filter({below('_box')}, n -> {self.row.test('n')}), r -> {pair})"
+
+    def texts(self, pairs: str) -> str:
+        label = stripped("p.label") if self.strip_label else text("p.label")
+        value = text("p.value")
+        if self.value_without_label:
+            value = f"replace({value}, {text('p.label')}, '')"
+        if self.strip_value:
+            value = rf"regexp_replace({value}, r'(?U)^\s+|\s+$', '')"
+        return (f"transform(filter({pairs}, p -> p.label IS NOT NULL AND p.value IS NOT NULL), "
+                f"p -> struct(lower({label}) AS label, {value} AS value))")
+
+
+PARAGRAPHS = Layout(  # p with span.title inside div.financials: what is left of the paragraph is the value
+    E("div", cls="financials"), E("p"), first(E("span", cls="title"), scope=below("r")), "r", value_without_label=True)
+HEADINGS = Layout(  # li with h6 and p
+    E("div", cls="inform_revenue single_business"), E("li"), first(E("h6"), scope=below("r")),
+    first(E("p"), scope=below("r")), strip_label=False, strip_value=False)
+_CELLS = all_of(E(("th", "td")), scope=below("r"))
+CELLS = Layout(  # tr with exactly two cells
+    E("table", cls="listing-data-table"), E("tr"), f"get({_CELLS}, 0)", f"get({_CELLS}, 1)",
+    only_if=f"size({_CELLS}) = 2")
+LINES = Layout(  # div.line with div.left and div.right
+    E("div", cls="sb-table"), E("div", cls="line"), first(E("div", cls="left"), scope=below("r")),
+    first(E("div", cls="right"), scope=below("r")))
+
+
+def label_rows(outlines: DataFrame, layouts: dict[str, Layout], site: Column) -> DataFrame:
+    """Add ``_rows`` (label, value) by the layout of each row's site: box, then nodes, then texts."""
+    boxed = outlines.withColumn("_box", by_site(site, {n: F.expr(first(x.box)) for n, x in layouts.items()}))
+    paired = boxed.withColumn("_pairs", by_site(site, {n: F.expr(x.nodes()) for n, x in layouts.items()}))
+    return paired.withColumn(
+        "_rows", by_site(site, {n: F.expr(x.texts("_pairs")) for n, x in layouts.items()})).drop("_box", "_pairs")
+
+
+def label_kind(label: Column, kinds: Kinds) -> Column:
     """First kind whose words all occur in the label."""
     out = None
     for kind, words in kinds:
@@ -76,31 +120,16 @@ def label_kind(label: Column, *kinds: tuple[str, tuple[str, ...]]) -> Column:
     return out
 
 
-def with_kind(rows: Column, *kinds: tuple[str, tuple[str, ...]]) -> Column:
-    return F.transform(rows, lambda r: F.struct(
-        label_kind(r["label"], *kinds).alias("kind"), r["value"].alias("value")))
-
-
 def disclosed(value: Column) -> Column:
     """C4"""
     return ~F.lower(value).contains("not disclosed")
 
 
-def last_value(rows: Column, kind: str, guard: bool = False) -> Column:
-    """Later rows of a kind replace earlier ones; ``guard`` skips undisclosed values."""
-    def wanted(r: Column) -> Column:
-        hit = F.coalesce(r["kind"] == kind, F.lit(False))
-        return hit & disclosed(r["value"]) if guard else hit
-    return F.try_element_at(F.filter(rows, wanted), F.lit(-1))["value"]
-
-
-def first_amount(rows: Column, kind: str) -> Column:
-    """First row of a kind with a non-zero amount, else whatever the last one gave."""
-    amounts = F.transform(
-        F.filter(rows, lambda r: F.coalesce(r["kind"] == kind, F.lit(False))),
-        lambda r: money.parse_price_base(r["value"]))
-    return let(amounts, lambda a: F.coalesce(
-        F.get(F.filter(a, lambda x: F.coalesce(x != 0, F.lit(False))), F.lit(0)), F.try_element_at(a, F.lit(-1))))
+def first_amount(values: Column) -> Column:
+    """First non-zero amount of several texts, else whatever the last one gave."""
+    amounts = F.transform(values, money.parse_price_base)
+    found = F.filter(amounts, lambda x: F.coalesce(x != 0, F.lit(False)))
+    return F.coalesce(F.get(found, F.lit(0)), money.parse_price_base(F.try_element_at(values, F.lit(-1))))
 
 
 def or_else(value: Column, *others: Column) -> Column:
@@ -116,14 +145,6 @@ def numeric_aliases(df: DataFrame) -> DataFrame:
 
 
 # --- embedded JSON (C6, C7) --------------------------------------------------------
-def jsonld_source(page: Page) -> Column:
-    return page.first(E("script", attrs={"type": "application/ld+json"}))["raw"]
-
-
-def nextdata_source(page: Page) -> Column:
-    return page.first(E("script", attrs={"id": "__NEXT_DATA__"}))["raw"]
-
-
 def jsonld_fields(body: Column) -> Rules:
     """C6. Malformed JSON gives NULL fields."""
     address = "$.offers.availableAtOrFrom.address"
@@ -138,93 +159,92 @@ def jsonld_fields(body: Column) -> Rules:
 
 
 def nextdata_fields(body: Column) -> Rules:
-    """C7. ``has_listing`` is false when the page carries no listing object."""
+    """C7. ``_keep`` is false when the page carries no listing object."""
     at = "$.props.pageProps.listing"
-    price = money.parse_price_base(F.get_json_object(body, f"{at}.askingPrice"))
-    cash_flow = money.parse_price_base(F.get_json_object(body, f"{at}.financialSummary.profit"))
     listing = F.get_json_object(body, at)
     return {
-        "has_listing": F.coalesce(listing.startswith("{") & (listing != "{}"), F.lit(False)),
+        "_keep": F.coalesce(listing.startswith("{") & (listing != "{}"), F.lit(False)),
         "title": F.get_json_object(body, f"{at}.headline"),
         "description": F.get_json_object(body, f"{at}.about"),
-        "price": price,
+        "price": money.parse_price_base(F.get_json_object(body, f"{at}.askingPrice")),
         "revenue": money.parse_price_base(F.get_json_object(body, f"{at}.financialSummary.revenue")),
-        "cash_flow": cash_flow,
+        "cash_flow": money.parse_price_base(F.get_json_object(body, f"{at}.financialSummary.profit")),
         "established_year": F.get_json_object(body, f"{at}.foundedIn").try_cast("int"),
         "industry": F.get_json_object(body, f"{at}.category"),
-        "multiple": money.multiple(price, cash_flow),
     }
 
 
-# --- one rule set per site --------------------------------------------------------
-def bizbuysell(page: Page, text: Column, url: Column) -> Rules:
-    ld = jsonld_fields(jsonld_source(page))
-    rows = with_kind(
-        financial_paragraphs(page),
-        ("price", ("asking price",)), ("cash_flow", ("cash flow",)), ("cash_flow", ("sde",)),
-        ("revenue", ("gross", "revenue")), ("ebitda", ("ebitda",)))
-    base = money.parse_price_base
-    box_text = let(page.first(E("div", cls="financials")), page.text)
+# --- one extractor per site -------------------------------------------------------
+@dataclass(frozen=True)
+class Found:
+    """The plain columns a site's fields are read from."""
+
+    text: Column                        # page text
+    url: Column
+    picks: dict[str, Column]            # picked texts by slot
+    labels: dict[str, Column]           # value of the last row of a label kind
+    asking: Column                      # all values of the ``price`` kind, in order
+
+
+@dataclass(frozen=True)
+class Site:
+    fields: Callable[[Found], Rules]
+    picks: dict[str, Pick] = field(default_factory=dict)
+    layout: Layout | None = None
+    kinds: Kinds = ()
+    guarded: bool = False               # undisclosed label values are skipped (C4)
+    extra_kinds: Kinds = ()             # a second, independent classification of the same rows
+    derived: Callable[[Rules], Rules] | None = None
+    spaced_text: bool = False           # page text joined by spaces
+
+
+_base = money.parse_price_base
+
+
+def _bizbuysell(at: Found) -> Rules:
+    ld = jsonld_fields(at.picks["json"])
     return {
-        "title": F.coalesce(tx.not_blank(ld["title"]), page.text_of(E("h1", cls="font-h1-new"), E("h1")),
-                            F.lit(fv.TITLE_NOT_FOUND)),
-        "description": F.coalesce(
-            tx.not_blank(ld["description"]),
-            page.text_of(E("div", cls="business-description"), E("div", cls="description")),
-            F.lit(fv.DESCRIPTION_NOT_FOUND)),
-        "price": or_else(
-            or_else(ld["price"], first_amount(rows, "price")),
-            base(let(page.first_of(E("span", cls="price asking"), E("div", cls="asking-price")), page.text))),
-        "revenue": or_else(base(last_value(rows, "revenue", guard=True)), base(tx.search(text, fv.BBS_REVENUE))),
-        "cash_flow": or_else(base(last_value(rows, "cash_flow", guard=True)),
-                             base(tx.search(text, fv.BBS_CASH_FLOW))),
-        "ebitda": base(last_value(rows, "ebitda", guard=True)),
+        "title": F.coalesce(tx.not_blank(ld["title"]), at.picks["title"], F.lit(fv.TITLE_NOT_FOUND)),
+        "description": F.coalesce(tx.not_blank(ld["description"]), at.picks["description"],
+                                  F.lit(fv.DESCRIPTION_NOT_FOUND)),
+        "price": or_else(ld["price"], tx.present(first_amount(at.asking)), _base(at.picks["price"]),
+                         first_amount(at.asking)),
+        "revenue": or_else(_base(at.labels["revenue"]), _base(tx.search(at.text, fv.BBS_REVENUE))),
+        "cash_flow": or_else(_base(at.labels["cash_flow"]), _base(tx.search(at.text, fv.BBS_CASH_FLOW))),
+        "ebitda": _base(at.labels["ebitda"]),
         "location": ld["location"],
-        "industry": let(page.first(E("div", cls="category"), E("span", cls="category"),
-                                   E("div", cls="business-type")), page.stripped),
-        "established_year": F.coalesce(tx.search(box_text, fv.BBS_YEAR),
-                                       tx.search(text, fv.BBS_YEAR)).try_cast("int"),
+        "industry": at.picks["industry"],
+        "established_year": F.coalesce(tx.search(at.picks["box"], fv.BBS_YEAR),
+                                       tx.search(at.text, fv.BBS_YEAR)).try_cast("int"),
     }
 
 
-def bizquest(page: Page, text: Column, url: Column) -> Rules:
-    amount = money.parse_price_suffix
+def _bizquest(at: Found) -> Rules:
+    text, node = at.text, at.picks["price"]
 
-    def when_found(raw: Column, value: Column) -> Column:
-        return F.when(raw.isNotNull(), value)
+    def found(raw: Column, number: Column) -> Column:
+        return F.when(raw.isNotNull(), money.parse_price_suffix(number))
 
-    price_node = page.first_of(E("span", cls="price"), E("div", cls="price"))
-    node_text = let(price_node, page.stripped)
-    price_raw = F.coalesce(node_text, tx.first_regex_whole(text, fv.BQ_PRICE))
-    price = when_found(price_raw, amount(F.coalesce(node_text, tx.first_regex(text, fv.BQ_PRICE))))
+    price_raw = F.coalesce(node, tx.first_regex_whole(text, fv.BQ_PRICE))
     cash_raw = tx.first_regex_whole(text, fv.BQ_CASH_FLOW)
-    cash = when_found(cash_raw, amount(tx.first_regex(text, fv.BQ_CASH_FLOW)))
     revenue_raw = tx.first_regex_whole(text, fv.BQ_REVENUE)
-    stated = when_found(revenue_raw, amount(tx.first_regex(text, fv.BQ_REVENUE)))
-    margin = tx.search(text, fv.BQ_MARGIN).try_cast("double")
-    revenue = F.coalesce(stated, money.revenue_from_margin(cash, margin))
-    place = tx.location(text, fv.BQ_LOCATION)
-    kind = classify.category(text)
     inventory = tx.search(text, fv.BQ_INVENTORY)
     return {
-        "title": F.coalesce(page.text_of(E("h1"), E("h2", cls="business-title")), tx.title_from_slug(url)),
-        "price": price, "asking_price": price, "asking_price_raw": price_raw, "asking_price_numeric": price,
-        "cash_flow": cash, "cash_flow_raw": cash_raw, "cash_flow_numeric": cash,
-        "profit": cash, "profit_raw": cash_raw, "profit_numeric": cash,
-        "revenue": revenue,
-        "revenue_raw": F.coalesce(revenue_raw, F.when(cash.isNotNull(), money.revenue_from_margin_label(margin))),
-        "revenue_numeric": revenue,
-        "location": place, "location_raw": place, "city": tx.city_of(place), "state": tx.state_of(place),
-        "industry": F.coalesce(kind, F.lit(fv.DEFAULT_CATEGORY)),
-        "category": F.coalesce(kind, F.lit(fv.DEFAULT_CATEGORY)),
-        "business_type": F.coalesce(kind, F.lit(fv.DEFAULT_BUSINESS_TYPE)),
+        "title": F.coalesce(at.picks["title"], tx.title_from_slug(at.url)),
+        "asking_price_raw": price_raw,
+        "asking_price": found(price_raw, F.coalesce(node, tx.first_regex(text, fv.BQ_PRICE))),
+        "cash_flow": found(cash_raw, tx.first_regex(text, fv.BQ_CASH_FLOW)),
+        "cash_flow_raw": cash_raw,
+        "revenue": found(revenue_raw, tx.first_regex(text, fv.BQ_REVENUE)),
+        "revenue_raw": revenue_raw,
+        "_margin": tx.search(text, fv.BQ_MARGIN).try_cast("double"),
+        "location": tx.location(text, fv.BQ_LOCATION),
+        "category": classify.category(text),
         "established_year": money.year_in_range(text, fv.BQ_YEAR),
-        "description": F.coalesce(
-            tx.strip(page.attr_of("content", E("meta", attrs={"name": "description"}))),
-            tx.truncate(page.text_of(E("div", cls="description"), E("section", cls="business-description")), 500),
-            tx.collapse_ws(text, 500)),
+        "description": F.coalesce(tx.strip(at.picks["meta"]), tx.truncate(at.picks["description"], 500),
+                                  tx.collapse_ws(text, 500)),
         "employees": tx.search(text, fv.BQ_EMPLOYEES).try_cast("int"),
-        "inventory_value": when_found(inventory, amount(inventory)),
+        "inventory_value": found(inventory, inventory),
         "real_estate_included": classify.real_estate_included(text),
         "reason_for_selling": tx.truncate(tx.strip(tx.search(text, fv.BQ_REASON)), 200),
         "financing_available": classify.flag_or_null(text, fv.BQ_FINANCING),
@@ -232,167 +252,250 @@ def bizquest(page: Page, text: Column, url: Column) -> Rules:
     }
 
 
-def quietlight(page: Page, text: Column, url: Column) -> Rules:
-    box = E("div", cls="inform_price single_business_price")
-    rows = with_kind(heading_items(page), ("revenue", ("revenue",)), ("cash_flow", ("income",)),
-                     ("multiple", ("multiple",)))
-    price = money.labelled_price(let(page.first(box >> E("h4")), page.text), "asking price:", "+ inventory")
-    cash_flow = money.parse_price_base(last_value(rows, "cash_flow"))
+def _bizquest_derived(got: Rules) -> Rules:
+    """What follows from the fields found: estimate, aliases, split place, defaults."""
+    revenue = F.coalesce(got["revenue"], money.revenue_from_margin(got["cash_flow"], got["_margin"]))
+    estimate = F.when(got["cash_flow"].isNotNull(), money.revenue_from_margin_label(got["_margin"]))
     return {
-        "title": F.coalesce(page.text_of(E("h3")), F.lit(fv.TITLE_NOT_FOUND)),
-        "price": price,
-        "revenue": money.parse_price_base(last_value(rows, "revenue")),
-        "cash_flow": cash_flow,
-        "multiple": F.coalesce(money.multiple(price, cash_flow),
-                               money.number_or_null(last_value(rows, "multiple"))),
-        "description": F.coalesce(page.text_of(box >> E("p")), F.lit(fv.DESCRIPTION_NOT_FOUND)),
-        "industry": F.coalesce(page.text_of(E("div", cls="listing-card__category-name")),
-                               F.lit(fv.INDUSTRY_NOT_FOUND)),
-        "seller_financing": classify.seller_financing(text),
+        "price": got["asking_price"], "asking_price_numeric": got["asking_price"],
+        "cash_flow_numeric": got["cash_flow"], "profit": got["cash_flow"], "profit_numeric": got["cash_flow"],
+        "profit_raw": got["cash_flow_raw"], "revenue": revenue, "revenue_numeric": revenue,
+        "revenue_raw": F.coalesce(got["revenue_raw"], estimate),
+        "location_raw": got["location"], "city": tx.city_of(got["location"]), "state": tx.state_of(got["location"]),
+        "industry": F.coalesce(got["category"], F.lit(fv.DEFAULT_CATEGORY)),
+        "business_type": F.coalesce(got["category"], F.lit(fv.DEFAULT_BUSINESS_TYPE)),
+        "category": F.coalesce(got["category"], F.lit(fv.DEFAULT_CATEGORY)),
     }
 
 
-def websiteproperties(page: Page, text: Column, url: Column) -> Rules:
-    cells = two_cell_rows(page)
-    rows = with_kind(cells, ("revenue", ("gross revenue",)), ("cash_flow", ("cash flow",)))
-    details = with_kind(cells, ("year", ("year established",)), ("employees", ("employees",)),
-                        ("industry", ("industry",)), ("location", ("location",)))
-    price = money.labelled_price(let(page.first(E("h5", cls="mt-4")), page.text), "asking price:")
-    cash_flow = money.parse_price_base(last_value(rows, "cash_flow"))
+def _quietlight(at: Found) -> Rules:
     return {
-        "title": F.coalesce(page.text_of(E("h2", cls="blog-single-title")), F.lit(fv.TITLE_NOT_FOUND)),
-        "price": price,
-        "revenue": money.parse_price_base(last_value(rows, "revenue")),
-        "cash_flow": cash_flow,
-        "multiple": money.multiple(price, cash_flow),
-        "description": F.coalesce(page.text_of(E("div", cls="listing-single-content") >> E("p")),
-                                  F.lit(fv.DESCRIPTION_NOT_FOUND)),
-        "established_year": money.first_int(last_value(details, "year"), r"\d{4}"),
-        "employees": money.first_int(last_value(details, "employees")),
-        "industry": last_value(details, "industry"),
-        "location": last_value(details, "location"),
+        "title": F.coalesce(at.picks["title"], F.lit(fv.TITLE_NOT_FOUND)),
+        "price": money.labelled_price(at.picks["price"], "asking price:", "+ inventory"),
+        "revenue": _base(at.labels["revenue"]),
+        "cash_flow": _base(at.labels["cash_flow"]),
+        "multiple": money.number_or_null(at.labels["multiple"]),
+        "description": F.coalesce(at.picks["description"], F.lit(fv.DESCRIPTION_NOT_FOUND)),
+        "industry": F.coalesce(at.picks["industry"], F.lit(fv.INDUSTRY_NOT_FOUND)),
+        "seller_financing": classify.seller_financing(at.text),
     }
 
 
-def flippa(page: Page, text: Column, url: Column) -> Rules:
-    base = money.parse_price_base
-    node_text = let(page.first(E("div", class_part="price")), page.text)
+def _websiteproperties(at: Found) -> Rules:
     return {
-        "title": F.coalesce(page.text_of(E("h1")), page.attr_of("content", E("meta", attrs={"property": "og:title"})),
-                            F.lit(fv.TITLE_NOT_FOUND)),
+        "title": F.coalesce(at.picks["title"], F.lit(fv.TITLE_NOT_FOUND)),
+        "price": money.labelled_price(at.picks["price"], "asking price:"),
+        "revenue": _base(at.labels["revenue"]),
+        "cash_flow": _base(at.labels["cash_flow"]),
+        "description": F.coalesce(at.picks["description"], F.lit(fv.DESCRIPTION_NOT_FOUND)),
+        "established_year": money.first_int(at.labels["year"], r"\d{4}"),
+        "employees": money.first_int(at.labels["employees"]),
+        "industry": at.labels["industry"],
+        "location": at.labels["location"],
+    }
+
+
+def _flippa(at: Found) -> Rules:
+    node = at.picks["price"]
+    return {
+        "title": F.coalesce(at.picks["title"], at.picks["meta"], F.lit(fv.TITLE_NOT_FOUND)),
         # the page text counts only when there is no price element at all
-        "price": F.when(node_text.isNotNull(), base(tx.search(node_text, fv.FL_PRICE_NODE, ignore_case=False)))
-        .otherwise(base(tx.search(text, fv.FL_PRICE))),
-        "description": page.attr_of("content", E("meta", attrs={"name": "description"}),
-                                    E("meta", attrs={"property": "og:description"})),
-        "revenue": base(tx.search(text, fv.FL_REVENUE)),
-        "cash_flow": base(tx.search(text, fv.FL_CASH_FLOW)),
-        "industry": tx.strip(tx.search(text, fv.FL_INDUSTRY)),
+        "price": _base(F.when(node.isNotNull(), tx.search(node, fv.FL_PRICE_NODE, ignore_case=False))
+                       .otherwise(tx.search(at.text, fv.FL_PRICE))),
+        "description": at.picks["description"],
+        "revenue": _base(tx.search(at.text, fv.FL_REVENUE)),
+        "cash_flow": _base(tx.search(at.text, fv.FL_CASH_FLOW)),
+        "industry": tx.strip(tx.search(at.text, fv.FL_INDUSTRY)),
     }
 
 
-def empireflippers(page: Page, text: Column, url: Column) -> Rules:
-    base = money.parse_price_base
-    node_text = let(page.first(E("div", cls="info-price")), page.packed)
-    chain = let(page.first_of(E("div", cls="listing-description"), E("div", cls="business-description"),
-                              E("div", cls="description"), E("meta", attrs={"name": "description"})),
-                lambda n: F.when(n["tag"] == "meta", F.coalesce(n["attrs"]["content"], F.lit("")))
-                .otherwise(page.stripped(n)))
+def _empireflippers(at: Found) -> Rules:
+    text, node = at.text, at.picks["price"]
+    # the first of several boxes that exists, the meta description last
+    chosen = F.coalesce(at.picks["description"], at.picks["meta"])
     return {
-        "title": F.coalesce(page.text_of(E("h1")), F.lit(fv.TITLE_NOT_FOUND)),
-        "price": F.when(node_text.isNotNull(), base(tx.search(node_text, fv.EF_PRICE_NODE)))
-        .otherwise(base(tx.search(text, fv.EF_PRICE))),
-        "revenue": money.annualise(tx.present(base(tx.search(text, fv.EF_REVENUE)))),
-        "cash_flow": money.annualise(tx.present(base(tx.search(text, fv.EF_PROFIT)))),
+        "title": F.coalesce(at.picks["title"], F.lit(fv.TITLE_NOT_FOUND)),
+        "price": _base(F.when(node.isNotNull(), tx.search(node, fv.EF_PRICE_NODE))
+                       .otherwise(tx.search(text, fv.EF_PRICE))),
+        "revenue": money.annualise(tx.present(_base(tx.search(text, fv.EF_REVENUE)))),
+        "cash_flow": money.annualise(tx.present(_base(tx.search(text, fv.EF_PROFIT)))),
         "multiple": money.number_or_null(tx.search(text, fv.EF_MULTIPLE)),
         "industry": tx.strip(tx.search(text, fv.EF_INDUSTRY)),
         "established_year": tx.search(text, fv.EF_YEAR).try_cast("int"),
-        "description": F.coalesce(tx.not_blank(chain), tx.strip(tx.search(text, fv.EF_DESCRIPTION)),
+        "description": F.coalesce(tx.not_blank(chosen), tx.strip(tx.search(text, fv.EF_DESCRIPTION)),
                                   F.lit(fv.SEE_LISTING)),
     }
 
 
-def acquire(page: Page, text: Column, url: Column) -> Rules:
-    fields = nextdata_fields(nextdata_source(page))
-    has_listing = fields.pop("has_listing")
-    return fields | {"_keep": has_listing}
-
-
-def feinternational(page: Page, text: Column, url: Column) -> Rules:
-    base = money.parse_price_base
-    metrics = let(page.first_of(E("div", cls="key-metrics"), E("section", cls="metrics"),
-                                E("div", cls="listing-stats")), page.text)
-    title = page.text_of(E("h1", cls="listing-title"), E("h1"), E("h2", cls="title"))
+def _feinternational(at: Found) -> Rules:
+    text, metrics = at.text, at.picks["metrics"]
     return {
-        "title": title,
-        "price": or_else(base(tx.search(metrics, fv.FE_PRICE_METRIC)), base(tx.first_regex(text, fv.FE_PRICE))),
-        "revenue": or_else(base(tx.search(metrics, fv.FE_REVENUE_METRIC)), base(tx.first_regex(text, fv.FE_REVENUE))),
-        "cash_flow": base(tx.search(metrics, fv.FE_PROFIT_METRIC)),
+        "title": at.picks["title"],
+        "price": or_else(_base(tx.search(metrics, fv.FE_PRICE_METRIC)), _base(tx.first_regex(text, fv.FE_PRICE))),
+        "revenue": or_else(_base(tx.search(metrics, fv.FE_REVENUE_METRIC)), _base(tx.first_regex(text, fv.FE_REVENUE))),
+        "cash_flow": _base(tx.search(metrics, fv.FE_PROFIT_METRIC)),
         "multiple": money.number_or_null(tx.search(metrics, fv.FE_MULTIPLE_METRIC)),
-        "industry": F.coalesce(page.text_of(E("div", cls="business-type"), E("span", cls="category")),
-                               classify.industry_from_url(url)),
-        "location": page.text_of(E("span", cls="location"), E("div", cls="business-location")),
+        "industry": F.coalesce(at.picks["industry"], classify.industry_from_url(at.url)),
+        "location": at.picks["location"],
         "established_year": tx.search(text, fv.FE_YEAR).try_cast("int"),
-        "description": tx.truncate(page.text_of(E("div", cls="listing-description"), E("section", cls="description"),
-                                                E("div", cls="overview")), 1000),
-        "_keep": F.length(title) > 0,
+        "description": tx.truncate(at.picks["description"], 1000),
     }
 
 
-def websiteclosers(page: Page, text: Column, url: Column) -> Rules:
-    rows = with_kind(left_right_lines(page), ("price", ("asking price",)), ("cash_flow", ("cash flow",)),
-                     ("revenue", ("gross income",)), ("year", ("year established",)))
-    title = page.text_of(E("h1"))
+def _websiteclosers(at: Found) -> Rules:
     return {
-        "title": title,
-        "description": tx.truncate(page.text_of(E("div", cls="wysiwyg cfx")), 2000),
-        "price": money.parse_price_base(last_value(rows, "price")),
-        "cash_flow": money.parse_price_base(last_value(rows, "cash_flow")),
-        "revenue": money.parse_price_base(last_value(rows, "revenue")),
-        "established_year": money.first_int(last_value(rows, "year"), r"\d{4}"),
-        "_keep": F.length(title) > 0,
+        "title": at.picks["title"],
+        "description": tx.truncate(at.picks["description"], 2000),
+        "price": _base(at.labels["price"]),
+        "cash_flow": _base(at.labels["cash_flow"]),
+        "revenue": _base(at.labels["revenue"]),
+        "established_year": money.first_int(at.labels["year"], r"\d{4}"),
     }
 
 
-RULE_SETS: dict[str, RuleSet] = {
-    "QuietLight": quietlight,
-    "BizBuySell": bizbuysell,
-    "BizQuest": bizquest,
-    "WebsiteProperties": websiteproperties,
-    "Flippa": flippa,
-    "EmpireFlippers": empireflippers,
-    "Acquire": acquire,
-    "FEInternational": feinternational,
-    "WebsiteClosers": websiteclosers,
+def with_multiple(got: Rules) -> Rules:
+    """A computed multiple goes before one the page states."""
+    return {"multiple": F.coalesce(money.multiple(got["price"], got["cash_flow"]), got["multiple"])}
+
+
+def titled(got: Rules) -> Rules:
+    """No title, no record."""
+    return {"_keep": F.coalesce(F.length(got["title"]) > 0, F.lit(False))}
+
+
+_QL_BOX = E("div", cls="inform_price single_business_price")
+
+EXTRACTORS: dict[str, Site] = {
+    "QuietLight": Site(
+        _quietlight,
+        {"title": pick(E("h3")), "price": pick(_QL_BOX >> E("h4"), take="text"), "description": pick(_QL_BOX >> E("p")),
+         "industry": pick(E("div", cls="listing-card__category-name"))},
+        HEADINGS, (("revenue", ("revenue",)), ("cash_flow", ("income",)), ("multiple", ("multiple",))),
+        derived=with_multiple),
+    "BizBuySell": Site(
+        _bizbuysell,
+        {"json": pick(JSONLD, take="raw"), "title": pick(E("h1", cls="font-h1-new"), E("h1")),
+         "description": pick(E("div", cls="business-description"), E("div", cls="description")),
+         "price": pick(E("span", cls="price asking"), E("div", cls="asking-price"), take="text"),
+         "industry": pick(E("div", cls="category"), E("span", cls="category"), E("div", cls="business-type"), together=True),
+         "box": pick(PARAGRAPHS.box, take="text")},
+        PARAGRAPHS, (("price", ("asking price",)), ("cash_flow", ("cash flow",)), ("cash_flow", ("sde",)),
+                     ("revenue", ("gross", "revenue")), ("ebitda", ("ebitda",))), guarded=True),
+    "BizQuest": Site(
+        _bizquest,
+        {"title": pick(E("h1"), E("h2", cls="business-title")), "price": pick(E("span", cls="price"), E("div", cls="price")),
+         "meta": pick(E("meta", attrs={"name": "description"}), take="content"),
+         "description": pick(E("div", cls="description"), E("section", cls="business-description"))},
+        derived=_bizquest_derived, spaced_text=True),
+    "WebsiteProperties": Site(
+        _websiteproperties,
+        {"title": pick(E("h2", cls="blog-single-title")), "price": pick(E("h5", cls="mt-4"), take="text"),
+         "description": pick(E("div", cls="listing-single-content") >> E("p"))},
+        CELLS, (("revenue", ("gross revenue",)), ("cash_flow", ("cash flow",))),
+        extra_kinds=(("year", ("year established",)), ("employees", ("employees",)), ("industry", ("industry",)),
+                     ("location", ("location",))),
+        derived=with_multiple),
+    "Flippa": Site(
+        _flippa,
+        {"title": pick(E("h1")), "meta": pick(E("meta", attrs={"property": "og:title"}), take="content"),
+         "price": pick(E("div", class_part="price"), take="text"),
+         "description": pick(E("meta", attrs={"name": "description"}), E("meta", attrs={"property": "og:description"}),
+                             take="content")}),
+    "EmpireFlippers": Site(
+        _empireflippers,
+        {"title": pick(E("h1")), "price": pick(E("div", cls="info-price"), take="packed"),
+         "description": pick(E("div", cls="listing-description"), E("div", cls="business-description"),
+                             E("div", cls="description")),
+         "meta": pick(E("meta", attrs={"name": "description"}), take="content")}),
+    "Acquire": Site(
+        lambda at: nextdata_fields(at.picks["json"]), {"json": pick(NEXTDATA, take="raw")}, derived=with_multiple),
+    "FEInternational": Site(
+        _feinternational,
+        {"title": pick(E("h1", cls="listing-title"), E("h1"), E("h2", cls="title")),
+         "metrics": pick(E("div", cls="key-metrics"), E("section", cls="metrics"), E("div", cls="listing-stats"), take="text"),
+         "industry": pick(E("div", cls="business-type"), E("span", cls="category")),
+         "location": pick(E("span", cls="location"), E("div", cls="business-location")),
+         "description": pick(E("div", cls="listing-description"), E("section", cls="description"), E("div", cls="overview"))},
+        derived=titled),
+    "WebsiteClosers": Site(
+        _websiteclosers, {"title": pick(E("h1")), "description": pick(E("div", cls="wysiwyg cfx"))},
+        LINES, (("price", ("asking price",)), ("cash_flow", ("cash flow",)), ("revenue", ("gross income",)),
+                ("year", ("year established",))),
+        derived=titled),
 }
-
-
-def _record(rules: Rules) -> Column:
-    """A site's fields as the common wide struct; what a site never fills is NULL."""
-    keep = rules.get("_keep", F.lit(True))
-    fields = [rules.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.EXTRACTED.fields]
-    return F.struct(F.coalesce(keep, F.lit(False)).alias("_keep"), *fields)
-
-
-def extract_outlines(outlines: DataFrame, rule_sets: dict[str, RuleSet] | None = None,
+_FIELDS = [("_keep", T.BooleanType()), ("_margin", T.DoubleType())] + [
+    (f.name, f.dataType) for f in schemas.EXTRACTED.fields]
+
+
+def _gather(df: DataFrame, extractors: dict[str, Site], at: Column) -> DataFrame:
+    """Outlines to plain columns: ``_text``, ``_pick_*``, ``_label_*`` and ``_asking``."""
+    spaced = [n for n, x in extractors.items() if x.spaced_text]
+    slots = sorted({s for x in extractors.values() for s in x.picks})
+    plain = page_text(F.col("strings"))
+    text_column = F.when(at.isin(*spaced), spaced_text(F.col("strings"))).otherwise(plain) if spaced else plain
+    # the element first, then its text: two projections, so no element is searched for twice
+    df = df.withColumns({"_text": text_column} | {
+        f"_node_{s}": by_site(at, {n: F.expr(x.picks[s].selector) for n, x in extractors.items() if s in x.picks})
+        for s in slots})
+    df = df.withColumns({
+        f"_pick_{s}": by_site(at, {n: F.expr(x.picks[s].value(f"_node_{s}")) for n, x in extractors.items() if s in x.picks})
+        for s in slots}).drop(*[f"_node_{s}" for s in slots])
+    layouts = {n: x.layout for n, x in extractors.items() if x.layout}
+    if not layouts:
+        return df.drop(*OUTLINE_COLUMNS)
+    df = label_rows(df, layouts, at).drop(*OUTLINE_COLUMNS)
+
+    def tagged(x: Site):
+        def tag(r: Column) -> Column:
+            kind = label_kind(r["label"], x.kinds)
+            if x.guarded:  # undisclosed amounts are skipped, an undisclosed price is just unreadable
+                kind = F.when((kind == "price") | disclosed(r["value"]), kind)
+            extra = label_kind(r["label"], x.extra_kinds) if x.extra_kinds else F.lit(None).cast("string")
+            return F.struct(kind.alias("kind"), extra.alias("extra"), r["value"].alias("value"))
+        return tag
+
+    df = df.withColumn("_rows", by_site(at, {n: F.transform("_rows", tagged(extractors[n])) for n in layouts}))
+    kinds = sorted({k for x in extractors.values() for k, _ in x.kinds})
+    extras = sorted({k for x in extractors.values() for k, _ in x.extra_kinds})
+    last = "try_element_at(filter(_rows, r -> r.{c} = '{k}'), -1).value"
+    return df.withColumns(
+        {f"_label_{k}": F.expr(last.format(c="kind", k=k)) for k in kinds}
+        | {f"_extra_{k}": F.expr(last.format(c="extra", k=k)) for k in extras}
+        | {"_asking": F.expr("transform(filter(_rows, r -> r.kind = 'price'), r -> r.value)")}).drop("_rows")
+
+
+def _found(x: Site, columns: list[str], url: Column) -> Found:
+    null = F.lit(None).cast("string")
+    labels = {k: F.col(f"_label_{k}") for k, _ in x.kinds} | {k: F.col(f"_extra_{k}") for k, _ in x.extra_kinds}
+    asking = F.col("_asking") if "_asking" in columns else F.array(null)
+    return Found(F.col("_text"), url, {s: F.col(f"_pick_{s}") for s in x.picks}, labels, asking)
+
+
+def extract_outlines(outlines: DataFrame, extractors: dict[str, Site] | None = None,
                      site: str = "source_site", url: str = "listing_url") -> DataFrame:
-    """Records of outlined listing pages of any mix of sites. Rows of unknown sites drop out (H2: pass more rule sets)."""
-    rule_sets = RULE_SETS if rule_sets is None else rule_sets
-    keep = [c for c in outlines.columns if c not in ("nodes", "strings", "string_nodes")]
-    staged = outlines.filter(F.col(site).isin(*rule_sets)).withColumn(
-        "_text", F.when(F.col(site).isin(*_SPACED_TEXT_SITES), spaced_text(F.col("strings")))
-        .otherwise(page_text(F.col("strings"))))
-    page, record = Page(), None
-    for name, rule_set in rule_sets.items():
-        rec = _record(rule_set(page, F.col("_text"), F.col(url)))
-        record = F.when(F.col(site) == name, rec) if record is None else record.when(F.col(site) == name, rec)
+    """Records of outlined listing pages of any mix of sites. Rows of unknown sites drop out
+    (H2: pass a dict with more extractors)."""
+    extractors = EXTRACTORS if extractors is None else extractors
+    at = F.col(site)
+    keep = [c for c in outlines.columns if c not in OUTLINE_COLUMNS]
+    gathered = _gather(outlines.filter(at.isin(*extractors)), extractors, at)
+    fields: dict[str, dict[str, Column]] = {}
+    derived: dict[str, dict[str, Column]] = {}
+    got = {n: F.col(f"_got_{n}") for n, _ in _FIELDS}
+    for name, x in extractors.items():
+        for f, value in x.fields(_found(x, gathered.columns, F.col(url))).items():
+            fields.setdefault(f, {})[name] = value
+        for f, value in (x.derived(got) if x.derived else {}).items():
+            derived.setdefault(f, {})[name] = value
+    null = F.lit(None)
+    read = gathered.select(*keep, *[
+        (by_site(at, fields[n]) if n in fields else null).cast(t).alias(f"_got_{n}") for n, t in _FIELDS])
+    out = {n: by_site(at, derived[n]).otherwise(got[n]) if n in derived else got[n] for n, _ in _FIELDS}
     return (
-        staged.select(*keep, record.alias("_rec"))
-        .filter(F.col("_rec._keep"))  # C12
-        .select(*keep, *[f"_rec.{f.name}" for f in schemas.EXTRACTED.fields])
-    )
+        read.select(*keep, *[out[n].alias(n) for n, _ in _FIELDS if n != "_margin"])
+        .filter(F.coalesce(F.col("_keep"), F.lit(True))).drop("_keep"))
 
 
-def extract_listings(pages: DataFrame, rule_sets: dict[str, RuleSet] | None = None) -> DataFrame:
+def extract_listings(pages: DataFrame, extractors: dict[str, Site] | None = None) -> DataFrame:
     """Pages (``source_site``, ``listing_url``, ``html``, ...) to records: one parse per page."""
-    return extract_outlines(flatten_pages(pages), rule_sets)
+    return extract_outlines(flatten_pages(pages), extractors)

@@ -5,15 +5,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarlens import fixed_values as fv
 from bazaarlens.functions import text as tx
-from bazaarlens.operators.extract import jsonld_source, nextdata_source
-from bazaarlens.operators.selectors import E, Page
+from bazaarlens.operators.extract import JSONLD, NEXTDATA, OUTLINE_COLUMNS, by_site
+from bazaarlens.operators.selectors import E, all_of, first
 from bazaarlens.operators.skew import first_per_group, join_group_facts
 
 _LINKS = {
     "BizBuySell": E("div", cls="search-result-card") >> E("a"),
     "BizQuest": E("a", attr_parts={"href": "/business-for-sale/"}, attr_ends={"href": "/"}),
     "QuietLight": E("div", cls="listing-card") >> E("a", cls="listing-card__link"),
-    "WebsiteProperties": E("article", cls="listing-card") >> (E("h3", cls="mb-2") >> E("a")),
+    "WebsiteProperties": E("article", cls="listing-card") >> E("h3", cls="mb-2") >> E("a"),
     "Flippa": E("a", has_attr="href"),
     "EmpireFlippers": E("div", cls="listing-item") >> E("a"),
     "FEInternational": E("a", cls="card_businesses_item"),
@@ -27,101 +27,93 @@ _NEXT = {
 _BASE = {row[0]: row[1] for row in fv.SITES}
 
 
-def _site_case(site: Column, choices: dict[str, Column]) -> Column:
-    out = None
-    for name, value in choices.items():
-        out = F.when(site == name, value) if out is None else out.when(site == name, value)
-    return out
+_NO_LINKS = "CAST(array() AS array<string>)"
 
 
-def all_links(page: Page) -> Column:
-    """Every ``a[href]``, in document order."""
-    return F.transform(page.all(E("a", has_attr="href")), lambda n: n["attrs"]["href"])
+def hrefs(selector: E) -> Column:
+    """``href`` of every match that has one, in document order."""
+    return F.expr(f"filter(transform({all_of(selector)}, n -> n.attrs['href']), h -> h IS NOT NULL)")
 
 
-def site_link(site: str, href: Column) -> Column:
-    """One candidate as an absolute listing URL, or NULL when the site's filter rejects it."""
-    base = F.lit(_BASE[site])
-    href = tx.not_blank(href)
-    url = tx.absolutise(href, base)
-    if site in ("WebsiteClosers", "FEInternational"):
-        return tx.absolutise_unless_http(href, base)
-    if site == "WebsiteProperties":
-        return href
-    if site == "BizQuest":
-        return F.when(href != "/business-for-sale/", url)
-    if site == "QuietLight":
-        return F.when(href.contains("/listings/"), url)
-    if site == "EmpireFlippers":
-        return F.when(url.contains("/listing/"), url)
-    if site == "Flippa":
-        return F.when(href.rlike("(?d)" + fv.FL_LISTING_HREF) & url.contains(_BASE[site]), url)
-    return url
-
-
-def jsonld_links(page: Page) -> Column:
-    """``about[].item.url`` of the first JSON-LD block; empty when absent or malformed."""
-    found = F.from_json(F.get_json_object(jsonld_source(page), "$.about"), "array<struct<item:struct<url:string>>>")
-    urls = F.array_compact(F.transform(found, lambda e: e["item"]["url"]))
-    return F.coalesce(urls, F.array().cast("array<string>"))
+def all_links() -> Column:
+    """Every ``a[href]``, in document order."""
+    return hrefs(E("a", has_attr="href"))
 
 
-def nextdata_links(page: Page) -> Column:
-    """B6"""
-    listings = F.from_json(F.get_json_object(nextdata_source(page), "$.props.pageProps.listings"),
-                           "array<struct<slug:string>>")
-    slugs = F.filter(F.transform(listings, lambda e: e["slug"]), lambda s: F.coalesce(s != "", F.lit(False)))
-    urls = F.transform(slugs, lambda s: F.concat(F.lit(_BASE["Acquire"] + "/app/listing/"), s))
-    return F.coalesce(urls, F.array().cast("array<string>"))
+def jsonld_links() -> Column:
+    """``about[].item.url`` of the first JSON-LD block; empty when absent or malformed."""
+    about = f"from_json(get_json_object({first(JSONLD)}.raw, '$.about'), 'array<struct<item:struct<url:string>>>')"
+    return F.expr(f"coalesce(filter({about}.item.url, u -> u IS NOT NULL), {_NO_LINKS})")
 
 
-def css_links(page: Page, site: Column) -> Column:
-    """Links by the selector of the row's site."""
-    choices = {}
-    for name, selector in _LINKS.items():
-        hrefs = F.transform(page.all(selector), lambda n: n["attrs"]["href"])
-        choices[name] = F.array_compact(F.transform(hrefs, lambda h, name=name: site_link(name, h)))
-    return F.coalesce(_site_case(site, choices), F.array().cast("array<string>"))
+def nextdata_slugs() -> Column:
+    """``props.pageProps.listings[].slug``"""
+    listings = f"from_json(get_json_object({first(NEXTDATA)}.raw, '$.props.pageProps.listings'), 'array<struct<slug:string>>')"
+    return F.expr(f"coalesce(filter({listings}.slug, s -> s IS NOT NULL), {_NO_LINKS})")
 
 
 def discover_links(outlines: DataFrame, site: str = "source_site") -> DataFrame:
-    """Links per results page, with what the stop rules need: match count and next marker.
+    """Candidates per results page, with what the stop rules need: match count and next marker.
 
-    ``links`` are the page's own candidates; ``fallback_links`` count only on a page whose
-    ``links`` bring nothing new (see ``explode_links``).
+    ``candidates`` are a page's own; ``spare`` ones count only on a page whose own bring nothing
+    new (see ``explode_links``). Both are as found; ``listing_url`` makes URLs of them.
     """
-    page, at = Page(), F.col(site)
-    css = css_links(page, at)
-    none = F.array().cast("array<string>")
-    matched = _site_case(at, {n: F.size(page.all(s)) for n, s in _LINKS.items()})
-    has_next = _site_case(at, {n: F.size(page.all(s)) > 0 for n, s in _NEXT.items()})
-    keep = [c for c in outlines.columns if c not in ("nodes", "strings", "string_nodes")]
+    at, none = F.col(site), F.expr(_NO_LINKS)
+    by_selector = {n: hrefs(s) for n, s in _LINKS.items()}
+    own = by_selector | {"BizBuySell": jsonld_links(), "Acquire": nextdata_slugs()}
+    keep = [c for c in outlines.columns if c not in OUTLINE_COLUMNS]
     return outlines.select(
-        *keep,
-        F.when(at == "BizBuySell", jsonld_links(page)).when(at == "Acquire", nextdata_links(page))
-        .otherwise(css).alias("links"),
-        F.when(at == "BizBuySell", css).otherwise(none).alias("fallback_links"),
-        F.coalesce(matched, F.lit(0)).alias("n_matched"),
-        F.coalesce(has_next, F.lit(False)).alias("has_next"),
-    )
+        *keep, F.coalesce(by_site(at, own), none).alias("candidates"),
+        F.when(at.isin(*_FALLBACK_SITES), by_site(at, {n: by_selector[n] for n in _FALLBACK_SITES}))
+        .otherwise(none).alias("spare"),
+        F.coalesce(by_site(at, {n: F.expr(f"size({all_of(s)})") for n, s in _LINKS.items()}), F.lit(0)).alias("n_matched"),
+        F.coalesce(by_site(at, {n: F.expr(f"size({all_of(s)}) > 0") for n, s in _NEXT.items()}), F.lit(False))
+        .alias("has_next"))
+
+
+def listing_url(site: Column, href: Column, spare: Column) -> Column:
+    """A candidate as an absolute listing URL, or NULL when the site's filter rejects it."""
+    href = tx.not_blank(href)
+
+    def absolute(name: str) -> Column:
+        return tx.absolutise(href, F.lit(_BASE[name]))
+
+    return by_site(site, {
+        "BizBuySell": F.when(spare, absolute("BizBuySell")).otherwise(href),
+        "BizQuest": F.when(href != "/business-for-sale/", absolute("BizQuest")),
+        "QuietLight": F.when(href.contains("/listings/"), absolute("QuietLight")),
+        "WebsiteProperties": href,
+        "Flippa": F.when(href.rlike("(?d)" + fv.FL_LISTING_HREF) & absolute("Flippa").contains(_BASE["Flippa"]),
+                         absolute("Flippa")),
+        "EmpireFlippers": F.when(absolute("EmpireFlippers").contains("/listing/"), absolute("EmpireFlippers")),
+        "Acquire": F.concat(F.lit(_BASE["Acquire"] + "/app/listing/"), href),
+        "FEInternational": tx.absolutise_unless_http(href, F.lit(_BASE["FEInternational"])),
+        "WebsiteClosers": tx.absolutise_unless_http(href, F.lit(_BASE["WebsiteClosers"])),
+    })
 
 
 _PAGE_KEY = ["source_site", "search_url", "page"]
 _FALLBACK_SITES = ("BizBuySell",)
 
 
+def links_of(pages: DataFrame, column: str) -> DataFrame:
+    """One row per link of a page: ``url`` and its position."""
+    return (
+        pages.select(*_PAGE_KEY, F.posexplode(column).alias("pos", "href"))
+        .select(*_PAGE_KEY, "pos", listing_url(F.col("source_site"), F.col("href"), F.lit(column == "spare")).alias("url"))
+        .filter(F.col("url").isNotNull()))
+
+
 def explode_links(pages: DataFrame) -> DataFrame:
-    """One row per link (``url``, ``pos``). A page's fallback links are used when none of its
-    own links occurs first on that page within its search URL (B5).
+    """One row per link. A page's spare links are used when none of its own occurs first on
+    that page within its search URL (B5).
 
     Reads its input more than once: pass a cut or stored result of ``discover_links``.
     """
-    own = pages.select(*_PAGE_KEY, F.posexplode("links").alias("pos", "url"))
-    spare = pages.filter(F.col("source_site").isin(*_FALLBACK_SITES) & (F.size("fallback_links") > 0))
+    own = links_of(pages, "candidates")
+    spare = links_of(pages.filter(F.col("source_site").isin(*_FALLBACK_SITES)), "spare")
     new_own = new_per_page(own.filter(F.col("source_site").isin(*_FALLBACK_SITES)))
-    return own.unionByName(
-        spare.join(new_own, _PAGE_KEY, "left_anti")
-        .select(*_PAGE_KEY, F.posexplode("fallback_links").alias("pos", "url")))
+    return own.unionByName(spare.join(new_own.select(*_PAGE_KEY), _PAGE_KEY, "left_anti"))
 
 
 def first_occurrences(links: DataFrame) -> DataFrame:

@@ -7,13 +7,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarlens import fixed_values as fv
 from bazaarlens.functions import text as tx
-from bazaarlens.operators.selectors import E, Page, let
+from bazaarlens.operators.extract import OUTLINE_COLUMNS
+from bazaarlens.operators.selectors import E, all_of, below, let, packed, spaced, stripped, stripped_sql, text_of
 
 CONTAINERS = E(("div", "article", "section"))
 
 
 def _kept(df: DataFrame, *drop: str) -> list[str]:
-    return [c for c in df.columns if c not in ("nodes", "strings", "string_nodes", *drop)]
+    return [c for c in df.columns if c not in (*OUTLINE_COLUMNS, *drop)]
 
 
 def selector_coverage(outlines: DataFrame, selectors: Mapping[str, E], sample_chars: int = 100) -> DataFrame:
@@ -21,14 +22,12 @@ def selector_coverage(outlines: DataFrame, selectors: Mapping[str, E], sample_ch
 
     The counts of a page become one short row per matching selector before the shuffle.
     """
-    page = Page()
+    def one(name: str, selector: E) -> str:
+        sample = let("get(found, 0)", "x", f"substring({stripped('x')}, 1, {sample_chars})")
+        return let(all_of(selector), "found", f"if(size(found) > 0, struct('{name}' AS selector, size(found) AS n, "
+                   f"{sample} AS sample), NULL)")
 
-    def one(name: str, selector: E) -> Column:
-        return let(page.all(selector), lambda found: F.when(F.size(found) > 0, F.struct(
-            F.lit(name).alias("selector"), F.size(found).alias("n"),
-            F.substring(page.stripped(F.get(found, F.lit(0))), 1, sample_chars).alias("sample"))))
-
-    hits = F.array_compact(F.array(*[one(n, s) for n, s in selectors.items()]))
+    hits = F.expr(f"array_compact(array({', '.join(one(n, s) for n, s in selectors.items())}))")
     return (
         outlines.select(F.explode(hits).alias("h")).groupBy(F.col("h.selector").alias("selector"))
         .agg(F.count("*").alias("pages"), F.sum("h.n").alias("matches"), F.min("h.sample").alias("sample")))
@@ -74,15 +73,9 @@ def keyword_in_context(texts: DataFrame, keyword: str, rest: str = "", chars: in
 
 def definition_pairs(outlines: DataFrame, words: Sequence[str] = ()) -> DataFrame:
     """Each ``dt`` with its next sibling ``dd``; ``words`` keeps labels holding one of them."""
-    page = Page()
-
-    def pair(dt: Column) -> Column:
-        dd = F.get(F.filter(page.nodes, lambda n: (n["tag"] == "dd") & (n["parent"] == dt["parent"])
-                            & (n["idx"] > dt["idx"])), F.lit(0))
-        return let(dd, lambda d: F.when(d.isNotNull(), F.struct(
-            page.stripped(dt).alias("label"), page.stripped(d).alias("value"))))
-
-    pairs = F.array_compact(F.transform(page.all(E("dt")), pair))
+    dd = "get(filter(nodes, n -> n.tag = 'dd' AND n.parent = dt.parent AND n.idx > dt.idx), 0)"
+    pair = let(dd, "d", f"if(d IS NOT NULL, struct({stripped('dt')} AS label, {stripped('d')} AS value), NULL)")
+    pairs = F.expr(f"array_compact(transform({all_of(E('dt'))}, dt -> {pair}))")
     out = outlines.select(*_kept(outlines), F.posexplode(pairs).alias("pos", "p")).select(
         *_kept(outlines), "pos", "p.*")
     return out.filter(tx.contains_any(F.lower("label"), words)) if words else out
@@ -90,17 +83,12 @@ def definition_pairs(outlines: DataFrame, words: Sequence[str] = ()) -> DataFram
 
 def table_rows(outlines: DataFrame, first: int | None = None) -> DataFrame:
     """Cells of every table row; ``first`` limits the rows shown per table."""
-    page = Page()
-
-    def rows_of(table: Column) -> Column:
-        rows = F.filter(page.below(table), E("tr").matches)
-        if first is not None:
-            rows = F.slice(rows, 1, first)
-        return F.transform(rows, lambda tr: F.transform(
-            F.filter(page.below(tr), E(("td", "th")).matches), page.stripped))
-
+    rows = all_of(E("tr"), scope=below("t"))
+    rows = rows if first is None else f"slice({rows}, 1, {first})"
+    cells = f"transform({all_of(E(('td', 'th')), scope=below('r'))}, c -> {stripped('c')})"
+    tables = F.expr(f"transform({all_of(E('table'))}, t -> transform({rows}, r -> {cells}))")
     return (
-        outlines.select(*_kept(outlines), F.posexplode(F.transform(page.all(E("table")), rows_of)).alias("table_no", "rows"))
+        outlines.select(*_kept(outlines), F.posexplode(tables).alias("table_no", "rows"))
         .select(*_kept(outlines), "table_no", F.posexplode("rows").alias("row_no", "cells"))
         .filter(F.size("cells") > 0))
 
@@ -115,9 +103,7 @@ def expected_vs_actual(actual: DataFrame, expected: DataFrame, key: str, fields:
 def link_pattern_scan(outlines: DataFrame, parts: Sequence[str], skip: Sequence[str] = (),
                       min_text: int | None = None) -> DataFrame:
     """I8: distinct links holding any of the path parts and none of ``skip``."""
-    page = Page()
-    links = F.transform(page.all(E("a", has_attr="href")),
-                        lambda n: F.struct(n["attrs"]["href"].alias("href"), page.packed(n).alias("label")))
+    links = F.expr(f"transform({all_of(E('a', has_attr='href'))}, n -> struct(n.attrs['href'] AS href, {packed('n')} AS label))")
     out = outlines.select(*_kept(outlines), F.explode(links).alias("l")).select(*_kept(outlines), "l.*")
     out = out.filter(tx.contains_any(F.col("href"), parts))
     if skip:
@@ -137,33 +123,27 @@ def embedded_json_keys(bodies: DataFrame, body: str = "body") -> DataFrame:
 
 def dead_page_filter(outlines: DataFrame) -> DataFrame:
     """Drop pages whose title says they are gone."""
-    title = F.lower(F.coalesce(Page().text_of(E("title")), F.lit("")))
+    title = F.lower(F.coalesce(text_of(E("title")), F.lit("")))
     return outlines.filter(~title.rlike(fv.DEAD_TITLE))
 
 
-def locate_value(outlines: DataFrame, value: Column) -> DataFrame:
-    """Every text piece holding a value, with the element around it and that one's parent class."""
-    page = Page()
-    places = F.transform(F.arrays_zip(page.strings.alias("s"), F.col("string_nodes").alias("n")), lambda z: F.when(
-        z["s"].contains(value), F.struct(
-            F.get(page.nodes, F.when(z["n"] >= 0, z["n"])).alias("at"), tx.strip(z["s"]).alias("text"))))
+def locate_value(outlines: DataFrame, value: str) -> DataFrame:
+    """Every text piece holding the value of a column, with the element around it and that one's parent class."""
+    places = F.expr(
+        f"""array_compact(transform(arrays_zip(strings, string_nodes), z -> if(contains(z.strings, {value}),
+        struct(get(nodes, if(z.string_nodes >= 0, z.string_nodes, NULL)) AS at, {stripped_sql('z.strings')} AS text), NULL)))""")
     return (
-        outlines.select("*", F.posexplode(F.array_compact(places)).alias("pos", "p"))
+        outlines.select("*", F.posexplode(places).alias("pos", "p"))
         .select(*_kept(outlines), "pos", F.col("p.at.tag").alias("tag"), F.col("p.text").alias("text"),
                 F.when(F.col("p.at.parent") >= 0, F.get("nodes", F.col("p.at.parent"))["cls"]).alias("parent_class")))
 
 
 def container_text(outlines: DataFrame, link: E, patterns: Mapping[str, str]) -> DataFrame:
     """Text of the nearest ``div``/``article``/``section`` above each link, and what the patterns find in it."""
-    page = Page()
-
-    def around(a: Column) -> Column:
-        box = F.try_element_at(F.filter(page.nodes, lambda n: CONTAINERS.matches(n) & (n["idx"] < a["idx"])
-                                        & (n["last"] >= a["idx"])), F.lit(-1))
-        return let(box, lambda b: F.struct(a["attrs"]["href"].alias("href"), b["tag"].alias("container"),
-                                           page.spaced(b).alias("text")))
-
-    found = outlines.select(*_kept(outlines), F.posexplode(F.transform(page.all(link), around)).alias("pos", "c"))
+    box = f"try_element_at(filter(nodes, n -> {CONTAINERS.test('n')} AND n.idx < a.idx AND n.last >= a.idx), -1)"
+    around = let(box, "b", f"struct(a.attrs['href'] AS href, b.tag AS container, {spaced('b')} AS text)")
+    found = outlines.select(*_kept(outlines), F.posexplode(
+        F.expr(f"transform({all_of(link)}, a -> {around})")).alias("pos", "c"))
     return found.select(
         *_kept(outlines), "pos", "c.*",
         *[tx.search_whole(F.col("c.text"), p).alias(n) for n, p in patterns.items()])
@@ -171,21 +151,18 @@ def container_text(outlines: DataFrame, link: E, patterns: Mapping[str, str]) ->
 
 def script_inventory(outlines: DataFrame) -> DataFrame:
     """Every script by id, else source, else the start of its code."""
-    page = Page()
-    names = F.transform(page.all(E("script")), lambda n: F.struct(
-        F.when(tx.not_blank(n["attrs"]["id"]).isNotNull(), "id").when(
-            tx.not_blank(n["attrs"]["src"]).isNotNull(), "src").otherwise("inline").alias("kind"),
-        F.coalesce(tx.not_blank(n["attrs"]["id"]), tx.not_blank(n["attrs"]["src"]),
-                   F.substring(F.coalesce(n["raw"], F.lit("No content")), 1, 100)).alias("name")))
+    names = F.expr(f"""transform({all_of(E('script'))}, n -> CASE
+        WHEN n.attrs['id'] <> '' THEN struct('id' AS kind, n.attrs['id'] AS name)
+        WHEN n.attrs['src'] <> '' THEN struct('src' AS kind, n.attrs['src'] AS name)
+        ELSE struct('inline' AS kind, substring(coalesce(n.raw, 'No content'), 1, 100) AS name) END)""")
     return outlines.select(*_kept(outlines), F.posexplode(names).alias("pos", "s")).select(
         *_kept(outlines), "pos", "s.*")
 
 
 def meta_tags(outlines: DataFrame, words: Sequence[str] = fv.META_WORDS) -> DataFrame:
     """``meta[property]`` whose property mentions one of the words."""
-    page = Page()
-    tags = F.filter(page.all(E("meta", has_attr="property")),
-                    lambda n: tx.contains_any(F.lower(n["attrs"]["property"]), words))
-    return outlines.select(*_kept(outlines), F.explode(F.transform(tags, lambda n: F.struct(
-        n["attrs"]["property"].alias("property"), F.coalesce(n["attrs"]["content"], F.lit("")).alias("content"))))
-        .alias("m")).select(*_kept(outlines), "m.*")
+    tags = F.expr(f"""transform({all_of(E('meta', has_attr='property'))},
+        n -> struct(n.attrs['property'] AS property, coalesce(n.attrs['content'], '') AS content))""")
+    return (
+        outlines.select(*_kept(outlines), F.explode(tags).alias("m")).select(*_kept(outlines), "m.*")
+        .filter(tx.contains_any(F.lower("property"), words)))

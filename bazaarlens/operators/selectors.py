@@ -1,11 +1,11 @@
-"""Element selection over an outline, as array expressions.
+"""Element selection over an outline, written as Spark SQL array expressions.
 
 ``E("div", cls="card") >> E("a", cls="title")`` reads "an ``a.title`` inside a ``div.card``".
-Results come in document order.
+The functions return SQL text over the columns ``nodes`` and ``strings``; a ``node`` argument
+is the name of a node column or lambda variable. Results come in document order.
 """
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, functions as F
@@ -13,19 +13,14 @@ from pyspark.sql import Column, functions as F
 from bazaarlens.functions.text import strip
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and hand it to ``body``."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 @dataclass(frozen=True)
 class E:
     """One element test. Several ``tag``s mean any of them; ``cls`` lists class names that must all be there."""
 
     tag: str | tuple[str, ...] | None = None
     cls: str = ""
-    class_part: str = ""                                     # substring of the class attribute
-    attrs: dict[str, str] = field(default_factory=dict, hash=False)      # exact values
+    class_part: str = ""                                                  # substring of the class attribute
+    attrs: dict[str, str] = field(default_factory=dict, hash=False)       # exact values
     attr_parts: dict[str, str] = field(default_factory=dict, hash=False)  # substrings
     attr_ends: dict[str, str] = field(default_factory=dict, hash=False)   # suffixes
     has_attr: str = ""
@@ -34,96 +29,93 @@ class E:
     def __rshift__(self, other: E) -> E:
         return replace(other, inside=self)
 
-    def matches(self, node: Column) -> Column:
+    def test(self, node: str) -> str:
         tests = []
         if self.tag is not None:
             tags = (self.tag,) if isinstance(self.tag, str) else self.tag
-            tests.append(node["tag"].isin(*tags) if len(tags) > 1 else node["tag"] == tags[0])
-        for name in self.cls.split():
-            tests.append(F.concat(F.lit(" "), node["cls"], F.lit(" ")).contains(f" {name} "))
+            tests.append(f"{node}.tag IN ({', '.join(f"'{t}'" for t in tags)})")
+        tests += [f"contains(concat(' ', {node}.cls, ' '), ' {name} ')" for name in self.cls.split()]
         if self.class_part:
-            tests.append(node["cls"].contains(self.class_part))
-        for key, value in self.attrs.items():
-            tests.append(F.coalesce(node["attrs"][key] == value, F.lit(False)))
-        for key, value in self.attr_parts.items():
-            tests.append(F.coalesce(node["attrs"][key].contains(value), F.lit(False)))
-        for key, value in self.attr_ends.items():
-            tests.append(F.coalesce(node["attrs"][key].endswith(value), F.lit(False)))
+            tests.append(f"contains({node}.cls, '{self.class_part}')")
+        tests += [f"{node}.attrs['{k}'] <=> '{v}'" for k, v in self.attrs.items()]
+        tests += [f"coalesce(contains({node}.attrs['{k}'], '{v}'), false)" for k, v in self.attr_parts.items()]
+        tests += [f"coalesce(endswith({node}.attrs['{k}'], '{v}'), false)" for k, v in self.attr_ends.items()]
         if self.has_attr:
-            tests.append(F.map_contains_key(node["attrs"], self.has_attr))
-        out = tests[0] if tests else F.lit(True)
-        for t in tests[1:]:
-            out = out & t
-        return out
+            tests.append(f"map_contains_key({node}.attrs, '{self.has_attr}')")
+        return " AND ".join(tests) or "true"
 
 
-def any_match(node: Column, *options: E) -> Column:
-    out = options[0].matches(node)
-    for o in options[1:]:
-        out = out | o.matches(node)
-    return out
+def _any(node: str, options: tuple[E, ...]) -> str:
+    return " OR ".join(f"({o.test(node)})" for o in options)
 
 
-@dataclass(frozen=True)
-class Page:
-    """The outline columns of a row."""
-
-    nodes: Column = field(default_factory=lambda: F.col("nodes"))
-    strings: Column = field(default_factory=lambda: F.col("strings"))
-
-    def below(self, node: Column) -> Column:
-        """All descendants of a node."""
-        return F.slice(self.nodes, node["idx"] + 2, node["last"] - node["idx"])
-
-    def all(self, *options: E, scope: Column | None = None) -> Column:
-        """Every element matching one of the options. Several options must share their ``inside``."""
-        pool = self.nodes if scope is None else scope
-        outer = options[0].inside
-        if outer is None:
-            return F.filter(pool, lambda n: any_match(n, *options))
-        # descendants of nested ancestors are covered by the outermost one
-        outermost = F.aggregate(
-            self.all(outer, scope=scope),
-            F.filter(self.nodes, lambda n: F.lit(False)),
-            lambda kept, n: F.when(
-                (F.size(kept) > 0) & (F.try_element_at(kept, F.lit(-1))["last"] >= n["idx"]), kept,
-            ).otherwise(F.concat(kept, F.array(n))),
-        )
-        return F.flatten(F.transform(
-            outermost, lambda a: F.filter(self.below(a), lambda n: any_match(n, *options))))
-
-    def first(self, *options: E, scope: Column | None = None) -> Column:
-        return F.get(self.all(*options, scope=scope), F.lit(0))
-
-    def first_of(self, *options: E, scope: Column | None = None) -> Column:
-        """First element of the first option that matches anything."""
-        return F.coalesce(*[self.first(o, scope=scope) for o in options])
-
-    def pieces(self, node: Column) -> Column:
-        return F.slice(self.strings, node["s0"] + 1, node["s1"] - node["s0"])
-
-    def text(self, node: Column) -> Column:
-        """Text of a node as it stands; NULL when there is no node."""
-        return F.array_join(self.pieces(node), "")
-
-    def stripped(self, node: Column) -> Column:
-        return strip(self.text(node))
-
-    def spaced(self, node: Column) -> Column:
-        """Stripped non-empty pieces joined by a space."""
-        return spaced_text(self.pieces(node))
-
-    def packed(self, node: Column) -> Column:
-        """Stripped pieces joined by nothing."""
-        return F.array_join(F.transform(self.pieces(node), strip), "")
-
-    def text_of(self, *options: E) -> Column:
-        """Stripped text of the first element of an ordered selector list."""
-        return let(self.first_of(*options), self.stripped)
-
-    def attr_of(self, attr: str, *options: E) -> Column:
-        """Attribute of the first element found."""
-        return self.first_of(*options)["attrs"][attr]
+def below(node: str) -> str:
+    """All descendants of a node."""
+    return f"slice(nodes, {node}.idx + 2, {node}.last - {node}.idx)"
+
+
+def all_of(*options: E, scope: str = "nodes") -> str:
+    """Every element matching one of the options. Several options must share their ``inside``."""
+    outer = options[0].inside
+    if outer is None:
+        return f"filter({scope}, n -> {_any('n', options)})"
+    # the descendants of nested ancestors are those of the outermost one
+    outermost = (
+        f"aggregate({all_of(outer, scope=scope)}, filter(nodes, n -> false), (kept, n) -> "
+        "if(size(kept) > 0 AND try_element_at(kept, -1).last >= n.idx, kept, concat(kept, array(n))))")
+    return f"flatten(transform({outermost}, a -> filter({below('a')}, n -> {_any('n', options)})))"
+
+
+def first(*options: E, scope: str = "nodes") -> str:
+    return f"get({all_of(*options, scope=scope)}, 0)"
+
+
+def first_of(*options: E, scope: str = "nodes") -> str:
+    """First element of the first option that matches anything."""
+    return f"coalesce({', '.join(first(o, scope=scope) for o in options)})" if len(options) > 1 else first(
+        *options, scope=scope)
+
+
+def let(value: str, name: str, body: str) -> str:
+    """Evaluate ``value`` once under a name."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def stripped_sql(text: str) -> str:
+    return rf"regexp_replace({text}, r'(?U)^\s+|\s+$', '')"
+
+
+def _pieces(node: str) -> str:
+    return f"slice(strings, {node}.s0 + 1, {node}.s1 - {node}.s0)"
+
+
+def text(node: str) -> str:
+    """Text of a node as it stands; NULL when there is no node."""
+    return f"array_join({_pieces(node)}, '')"
+
+
+def stripped(node: str) -> str:
+    return stripped_sql(text(node))
+
+
+def spaced(node: str) -> str:
+    """Stripped non-empty pieces joined by a space."""
+    return f"array_join(filter(transform({_pieces(node)}, s -> {stripped_sql('s')}), s -> s <> ''), ' ')"
+
+
+def packed(node: str) -> str:
+    """Stripped pieces joined by nothing."""
+    return f"array_join(transform({_pieces(node)}, s -> {stripped_sql('s')}), '')"
+
+
+def text_of(*options: E) -> Column:
+    """Stripped text of the first element of an ordered selector list."""
+    return F.expr(let(first_of(*options), "x", stripped("x")))
+
+
+def attr_of(attr: str, *options: E) -> Column:
+    """Attribute of the first element found."""
+    return F.expr(f"{first_of(*options)}.attrs['{attr}']")
 
 
 def page_text(strings: Column) -> Column:

@@ -358,8 +358,8 @@ def c6(spark, sf_dir):
 FROM customer WHERE c_custkey % 19 <> 0 AND c_custkey % 17 <> 0 AND c_custkey % 13 <> 0""")
 def c7(spark, sf_dir):
     f = extract.nextdata_fields(C("body"))
-    return i.bind(spark, sf_dir, i.NEXTDATA).select(
-        "c_custkey", *[c.alias(n) for n, c in f.items()]).filter("has_listing").drop("has_listing")
+    found = i.bind(spark, sf_dir, i.NEXTDATA).select("c_custkey", *[c.alias(n) for n, c in f.items()])
+    return found.filter("_keep").drop("_keep").withColumn("multiple", money.multiple(C("price"), C("cash_flow")))
 
 
 @query("c8_location", f"""{LISTINGS}, a AS (SELECT seq, concat(coalesce(description, ''), CASE seq % 3 WHEN 0

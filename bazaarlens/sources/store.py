@@ -59,9 +59,12 @@ def rejected(rows: DataFrame) -> DataFrame:
 
 
 def append_listings(rows: DataFrame, table: str) -> None:
-    """Append, partitioned by site. Rows without a required column are left to ``rejected``."""
+    """Append, partitioned by site. Rows without a required column are left to ``rejected``.
+
+    Rebalancing by site gives few files per site, and splits a site too large for one task.
+    """
     ordered = accepted(rows).select([F.col(f.name).cast(f.dataType) for f in schemas.LISTINGS.fields])
-    ordered.write.insertInto(table)
+    ordered.hint("rebalance", "source_site").write.insertInto(table)
 
 
 def write_json(rows: DataFrame, path: str) -> None:

@@ -6,34 +6,34 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from bazaarlens.operators.extract import RuleSet, extract_listings
+from bazaarlens.operators.extract import Site, extract_listings
 from bazaarlens.sources import store
 from bazaarlens.sources.captures import CAPTURE_SCHEMA, prefer_rendered
 
 
-def new_listings(captures: DataFrame, stored: DataFrame, rule_sets: dict[str, RuleSet] | None = None) -> DataFrame:
+def new_listings(captures: DataFrame, stored: DataFrame, extractors: dict[str, Site] | None = None) -> DataFrame:
     """Captures to listings rows whose URL is not stored yet.
 
     The anti-join comes before the parse, so known pages are neither parsed nor extracted.
     """
     best = prefer_rendered(captures, "source_site", "url").withColumnRenamed("url", "listing_url")
     fresh = store.new_urls(best, stored)
-    records = extract_listings(fresh.select("source_site", "listing_url", "fetched_at", "html"), rule_sets)
+    records = extract_listings(fresh.select("source_site", "listing_url", "fetched_at", "html"), extractors)
     return store.to_listings(store.canonical(records), F.col("fetched_at"))
 
 
-def ingest_batch(table: str, rule_sets: dict[str, RuleSet] | None = None) -> Callable[[DataFrame, int], None]:
+def ingest_batch(table: str, extractors: dict[str, Site] | None = None) -> Callable[[DataFrame, int], None]:
     """A batch function. Repeating a batch appends nothing: what it wrote before is stored by then."""
     def run(batch: DataFrame, batch_id: int) -> None:
         stored = batch.sparkSession.table(table)
-        store.append_listings(new_listings(batch, stored, rule_sets), table)
+        store.append_listings(new_listings(batch, stored, extractors), table)
     return run
 
 
 def incremental_ingest(spark: SparkSession, capture_dir: str, table: str, checkpoint: str,
-                       files_per_batch: int = 1000, rule_sets: dict[str, RuleSet] | None = None) -> StreamingQuery:
+                       files_per_batch: int = 1000, extractors: dict[str, Site] | None = None) -> StreamingQuery:
     """Work off all capture files not seen before, then stop."""
     return (
         spark.readStream.schema(CAPTURE_SCHEMA).option("maxFilesPerTrigger", files_per_batch).parquet(capture_dir)
-        .writeStream.foreachBatch(ingest_batch(table, rule_sets))
+        .writeStream.foreachBatch(ingest_batch(table, extractors))
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
