@@ -16,27 +16,24 @@ _SCALE = {"k": 1e3, "thousand": 1e3, "m": 1e6, "mil": 1e6, "million": 1e6, "mm":
 
 def number_or_null(c: Column) -> Column:
     """Plain decimal notation only; ``1.0d``, ``nan``, ``.`` and the like give NULL."""
-    s = strip(c)
-    return F.when(s.rlike(rf"^{_NUMBER}$"), s.try_cast("double"))
+    return F.regexp_extract(c, rf"^(?U:\s*)({_NUMBER})(?U:\s*)$", 1).try_cast("double")
 
 
 def _bare(c: Column) -> Column:
-    return strip(F.regexp_replace(c, r"[$,]", ""))
+    return F.regexp_replace(c, r"[$,]", "")
 
 
 def parse_price_base(c: Column) -> Column:
     """An ``m`` anywhere means millions, else a ``k`` anywhere thousands; NULL on failure."""
     s = _bare(F.lower(c))
-    return (
-        F.when(s.contains("m"), number_or_null(F.replace(s, F.lit("m"), F.lit(""))) * 1e6)
-        .when(s.contains("k"), number_or_null(F.replace(s, F.lit("k"), F.lit(""))) * 1e3)
-        .otherwise(number_or_null(s))
-    )
+    millions, thousands = s.contains("m"), s.contains("k")
+    digits = F.when(millions, F.replace(s, F.lit("m"))).when(thousands, F.replace(s, F.lit("k"))).otherwise(s)
+    return number_or_null(digits) * F.when(millions, 1e6).when(thousands, 1e3).otherwise(1.0)
 
 
 def parse_price_suffix(c: Column) -> Column:
     """Number plus an optional scale word at the end; 0.0 on failure."""
-    s = _bare(c)
+    s = strip(_bare(c))
     scale_word = F.lower(F.regexp_extract(s, _SUFFIXED, 2))
     scale = F.lit(1.0)
     for factor in (1e3, 1e6, 1e9):
@@ -80,10 +77,15 @@ def strip_price_label(c: Column, *labels: str) -> Column:
     return strip(out)
 
 
-def labelled_price(c: Column, *labels: str) -> Column:
-    """Amount behind a label; ``accepting offers`` is 0, not missing."""
+def labelled_price_text(c: Column, *labels: str) -> Column:
+    """The text of an amount behind a label; ``accepting offers`` is 0, not missing."""
     s = strip_price_label(c, *labels)
-    return F.when(s.contains("accepting offers"), F.lit(0.0)).otherwise(parse_price_base(s))
+    return F.when(s.contains("accepting offers"), "0").otherwise(s)
+
+
+def labelled_price(c: Column, *labels: str) -> Column:
+    """D6"""
+    return parse_price_base(labelled_price_text(c, *labels))
 
 
 def year_in_range(text: Column, patterns: Sequence[str], low: int = fv.YEAR_WINDOW[0],
@@ -93,6 +95,11 @@ def year_in_range(text: Column, patterns: Sequence[str], low: int = fv.YEAR_WIND
     return F.coalesce(*[F.when(y.between(low, high), y) for y in years])
 
 
+def first_digits(c: Column, pattern: str = r"\d+") -> Column:
+    """First run of digits (or first four) in a value."""
+    return F.regexp_substr(c, F.lit(pattern))
+
+
 def first_int(c: Column, pattern: str = r"\d+") -> Column:
-    """First run of digits (or first four) in a value."""
-    return F.regexp_substr(c, F.lit(pattern)).try_cast("int")
+    """D8"""
+    return first_digits(c, pattern).try_cast("int")

@@ -1,10 +1,10 @@
 """Listing pages to records, by one extractor per site.
 
 An extractor is data plus two small functions: which elements to pick, how label/value rows
-are laid out, how the fields read from those texts, and what derives from the fields. All
-sites share one scan and a few projections; in each, a row evaluates only its own site's
-branch, and nothing shuffles. Element selection ends in plain text columns, so everything
-after it is ordinary string and number work.
+are laid out, the text each field is read from, and what derives from the fields. All sites
+share one scan and a few projections; in each, a row evaluates only its own site's branch,
+and nothing shuffles. Element selection ends in plain text columns, site rules choose among
+those, and numbers are read from the chosen texts once for all sites.
 """
 from __future__ import annotations
 
@@ -125,16 +125,16 @@ def disclosed(value: Column) -> Column:
     return ~F.lower(value).contains("not disclosed")
 
 
-def first_amount(values: Column) -> Column:
-    """First non-zero amount of several texts, else whatever the last one gave."""
-    amounts = F.transform(values, money.parse_price_base)
-    found = F.filter(amounts, lambda x: F.coalesce(x != 0, F.lit(False)))
-    return F.coalesce(F.get(found, F.lit(0)), money.parse_price_base(F.try_element_at(values, F.lit(-1))))
+def deciding_text(values: Column) -> Column:
+    """First of several texts with a non-zero amount, else the last one."""
+    usable = F.filter(values, lambda v: F.coalesce(money.parse_price_base(v) != 0, F.lit(False)))
+    return F.coalesce(F.get(usable, F.lit(0)), F.try_element_at(values, F.lit(-1)))
 
 
 def or_else(value: Column, *others: Column) -> Column:
-    """The value when it is present and not zero, else the first alternative, else what there was."""
-    return F.coalesce(tx.present(value), *others, value)
+    """The first value that is present and not zero, else the last one there is."""
+    every = (value, *others)
+    return F.coalesce(*[tx.present(v) for v in every], *reversed(every)) if others else value
 
 
 def numeric_aliases(df: DataFrame) -> DataFrame:
@@ -144,15 +144,15 @@ def numeric_aliases(df: DataFrame) -> DataFrame:
     return out.withColumns({f"{c}_numeric": F.col(c) for c in amounts})
 
 
-# --- embedded JSON (C6, C7) --------------------------------------------------------
+# --- embedded JSON (C6, C7): fields as text ----------------------------------------
 def jsonld_fields(body: Column) -> Rules:
-    """C6. Malformed JSON gives NULL fields."""
+    """C6. Malformed JSON gives NULL fields; an offer without a price costs 0."""
     address = "$.offers.availableAtOrFrom.address"
     return {
         "title": F.get_json_object(body, "$.name"),
         "description": F.get_json_object(body, "$.description"),
-        "price": F.when(F.get_json_object(body, "$.offers").isNotNull(), money.number_or_null(
-            F.coalesce(F.get_json_object(body, "$.offers.price"), F.lit("0")))),
+        "price": F.when(F.get_json_object(body, "$.offers").isNotNull(),
+                        F.coalesce(F.get_json_object(body, "$.offers.price"), F.lit("0"))),
         "location": tx.join_city_state(F.get_json_object(body, f"{address}.addressLocality"),
                                        F.get_json_object(body, f"{address}.addressRegion")),
     }
@@ -162,22 +162,16 @@ def nextdata_fields(body: Column) -> Rules:
     """C7. ``_keep`` is false when the page carries no listing object."""
     at = "$.props.pageProps.listing"
     listing = F.get_json_object(body, at)
-    return {
-        "_keep": F.coalesce(listing.startswith("{") & (listing != "{}"), F.lit(False)),
-        "title": F.get_json_object(body, f"{at}.headline"),
-        "description": F.get_json_object(body, f"{at}.about"),
-        "price": money.parse_price_base(F.get_json_object(body, f"{at}.askingPrice")),
-        "revenue": money.parse_price_base(F.get_json_object(body, f"{at}.financialSummary.revenue")),
-        "cash_flow": money.parse_price_base(F.get_json_object(body, f"{at}.financialSummary.profit")),
-        "established_year": F.get_json_object(body, f"{at}.foundedIn").try_cast("int"),
-        "industry": F.get_json_object(body, f"{at}.category"),
-    }
+    paths = {"title": "headline", "description": "about", "price": "askingPrice", "revenue": "financialSummary.revenue",
+             "cash_flow": "financialSummary.profit", "established_year": "foundedIn", "industry": "category"}
+    return {"_keep": F.coalesce(listing.startswith("{") & (listing != "{}"), F.lit(False))} | {
+        name: F.get_json_object(body, f"{at}.{path}") for name, path in paths.items()}
 
 
 # --- one extractor per site -------------------------------------------------------
 @dataclass(frozen=True)
 class Found:
-    """The plain columns a site's fields are read from."""
+    """The plain text columns a site's fields are chosen from."""
 
     text: Column                        # page text
     url: Column
@@ -188,7 +182,10 @@ class Found:
 
 @dataclass(frozen=True)
 class Site:
-    fields: Callable[[Found], Rules]
+    """``fields`` gives a text per field, or several: a later one counts when the amounts of the
+    earlier ones are missing or zero."""
+
+    fields: Callable[[Found], dict[str, Column | tuple[Column, ...]]]
     picks: dict[str, Pick] = field(default_factory=dict)
     layout: Layout | None = None
     kinds: Kinds = ()
@@ -196,55 +193,43 @@ class Site:
     extra_kinds: Kinds = ()             # a second, independent classification of the same rows
     derived: Callable[[Rules], Rules] | None = None
     spaced_text: bool = False           # page text joined by spaces
+    suffix_amounts: bool = False        # amounts by the suffix parser
 
 
-_base = money.parse_price_base
-
-
-def _bizbuysell(at: Found) -> Rules:
+def _bizbuysell(at: Found) -> dict[str, Column | tuple[Column, ...]]:
     ld = jsonld_fields(at.picks["json"])
     return {
         "title": F.coalesce(tx.not_blank(ld["title"]), at.picks["title"], F.lit(fv.TITLE_NOT_FOUND)),
         "description": F.coalesce(tx.not_blank(ld["description"]), at.picks["description"],
                                   F.lit(fv.DESCRIPTION_NOT_FOUND)),
-        "price": or_else(ld["price"], tx.present(first_amount(at.asking)), _base(at.picks["price"]),
-                         first_amount(at.asking)),
-        "revenue": or_else(_base(at.labels["revenue"]), _base(tx.search(at.text, fv.BBS_REVENUE))),
-        "cash_flow": or_else(_base(at.labels["cash_flow"]), _base(tx.search(at.text, fv.BBS_CASH_FLOW))),
-        "ebitda": _base(at.labels["ebitda"]),
+        "price": (ld["price"], deciding_text(at.asking), at.picks["price"]),
+        "revenue": (at.labels["revenue"], tx.search(at.text, fv.BBS_REVENUE)),
+        "cash_flow": (at.labels["cash_flow"], tx.search(at.text, fv.BBS_CASH_FLOW)),
+        "ebitda": at.labels["ebitda"],
         "location": ld["location"],
         "industry": at.picks["industry"],
-        "established_year": F.coalesce(tx.search(at.picks["box"], fv.BBS_YEAR),
-                                       tx.search(at.text, fv.BBS_YEAR)).try_cast("int"),
+        "established_year": F.coalesce(tx.search(at.picks["box"], fv.BBS_YEAR), tx.search(at.text, fv.BBS_YEAR)),
     }
 
 
-def _bizquest(at: Found) -> Rules:
+def _bizquest(at: Found) -> dict[str, Column]:
     text, node = at.text, at.picks["price"]
-
-    def found(raw: Column, number: Column) -> Column:
-        return F.when(raw.isNotNull(), money.parse_price_suffix(number))
-
-    price_raw = F.coalesce(node, tx.first_regex_whole(text, fv.BQ_PRICE))
-    cash_raw = tx.first_regex_whole(text, fv.BQ_CASH_FLOW)
-    revenue_raw = tx.first_regex_whole(text, fv.BQ_REVENUE)
-    inventory = tx.search(text, fv.BQ_INVENTORY)
     return {
         "title": F.coalesce(at.picks["title"], tx.title_from_slug(at.url)),
-        "asking_price_raw": price_raw,
-        "asking_price": found(price_raw, F.coalesce(node, tx.first_regex(text, fv.BQ_PRICE))),
-        "cash_flow": found(cash_raw, tx.first_regex(text, fv.BQ_CASH_FLOW)),
-        "cash_flow_raw": cash_raw,
-        "revenue": found(revenue_raw, tx.first_regex(text, fv.BQ_REVENUE)),
-        "revenue_raw": revenue_raw,
-        "_margin": tx.search(text, fv.BQ_MARGIN).try_cast("double"),
+        "asking_price_raw": F.coalesce(node, tx.first_regex_whole(text, fv.BQ_PRICE)),
+        "price": F.coalesce(node, tx.first_regex(text, fv.BQ_PRICE)),
+        "cash_flow": tx.first_regex(text, fv.BQ_CASH_FLOW),
+        "cash_flow_raw": tx.first_regex_whole(text, fv.BQ_CASH_FLOW),
+        "revenue": tx.first_regex(text, fv.BQ_REVENUE),
+        "revenue_raw": tx.first_regex_whole(text, fv.BQ_REVENUE),
+        "_margin": tx.search(text, fv.BQ_MARGIN),
         "location": tx.location(text, fv.BQ_LOCATION),
         "category": classify.category(text),
         "established_year": money.year_in_range(text, fv.BQ_YEAR),
         "description": F.coalesce(tx.strip(at.picks["meta"]), tx.truncate(at.picks["description"], 500),
                                   tx.collapse_ws(text, 500)),
-        "employees": tx.search(text, fv.BQ_EMPLOYEES).try_cast("int"),
-        "inventory_value": found(inventory, inventory),
+        "employees": tx.search(text, fv.BQ_EMPLOYEES),
+        "inventory_value": tx.search(text, fv.BQ_INVENTORY),
         "real_estate_included": classify.real_estate_included(text),
         "reason_for_selling": tx.truncate(tx.strip(tx.search(text, fv.BQ_REASON)), 200),
         "financing_available": classify.flag_or_null(text, fv.BQ_FINANCING),
@@ -257,7 +242,7 @@ def _bizquest_derived(got: Rules) -> Rules:
     revenue = F.coalesce(got["revenue"], money.revenue_from_margin(got["cash_flow"], got["_margin"]))
     estimate = F.when(got["cash_flow"].isNotNull(), money.revenue_from_margin_label(got["_margin"]))
     return {
-        "price": got["asking_price"], "asking_price_numeric": got["asking_price"],
+        "asking_price": got["price"], "asking_price_numeric": got["price"],
         "cash_flow_numeric": got["cash_flow"], "profit": got["cash_flow"], "profit_numeric": got["cash_flow"],
         "profit_raw": got["cash_flow_raw"], "revenue": revenue, "revenue_numeric": revenue,
         "revenue_raw": F.coalesce(got["revenue_raw"], estimate),
@@ -268,88 +253,92 @@ def _bizquest_derived(got: Rules) -> Rules:
     }
 
 
-def _quietlight(at: Found) -> Rules:
+def _quietlight(at: Found) -> dict[str, Column]:
     return {
         "title": F.coalesce(at.picks["title"], F.lit(fv.TITLE_NOT_FOUND)),
-        "price": money.labelled_price(at.picks["price"], "asking price:", "+ inventory"),
-        "revenue": _base(at.labels["revenue"]),
-        "cash_flow": _base(at.labels["cash_flow"]),
-        "multiple": money.number_or_null(at.labels["multiple"]),
+        "price": money.labelled_price_text(at.picks["price"], "asking price:", "+ inventory"),
+        "revenue": at.labels["revenue"],
+        "cash_flow": at.labels["cash_flow"],
+        "multiple": at.labels["multiple"],
         "description": F.coalesce(at.picks["description"], F.lit(fv.DESCRIPTION_NOT_FOUND)),
         "industry": F.coalesce(at.picks["industry"], F.lit(fv.INDUSTRY_NOT_FOUND)),
         "seller_financing": classify.seller_financing(at.text),
     }
 
 
-def _websiteproperties(at: Found) -> Rules:
+def _websiteproperties(at: Found) -> dict[str, Column]:
     return {
         "title": F.coalesce(at.picks["title"], F.lit(fv.TITLE_NOT_FOUND)),
-        "price": money.labelled_price(at.picks["price"], "asking price:"),
-        "revenue": _base(at.labels["revenue"]),
-        "cash_flow": _base(at.labels["cash_flow"]),
+        "price": money.labelled_price_text(at.picks["price"], "asking price:"),
+        "revenue": at.labels["revenue"],
+        "cash_flow": at.labels["cash_flow"],
         "description": F.coalesce(at.picks["description"], F.lit(fv.DESCRIPTION_NOT_FOUND)),
-        "established_year": money.first_int(at.labels["year"], r"\d{4}"),
-        "employees": money.first_int(at.labels["employees"]),
+        "established_year": money.first_digits(at.labels["year"], r"\d{4}"),
+        "employees": money.first_digits(at.labels["employees"]),
         "industry": at.labels["industry"],
         "location": at.labels["location"],
     }
 
 
-def _flippa(at: Found) -> Rules:
+def _flippa(at: Found) -> dict[str, Column]:
     node = at.picks["price"]
     return {
         "title": F.coalesce(at.picks["title"], at.picks["meta"], F.lit(fv.TITLE_NOT_FOUND)),
         # the page text counts only when there is no price element at all
-        "price": _base(F.when(node.isNotNull(), tx.search(node, fv.FL_PRICE_NODE, ignore_case=False))
-                       .otherwise(tx.search(at.text, fv.FL_PRICE))),
+        "price": F.when(node.isNotNull(), tx.search(node, fv.FL_PRICE_NODE, ignore_case=False))
+        .otherwise(tx.search(at.text, fv.FL_PRICE)),
         "description": at.picks["description"],
-        "revenue": _base(tx.search(at.text, fv.FL_REVENUE)),
-        "cash_flow": _base(tx.search(at.text, fv.FL_CASH_FLOW)),
+        "revenue": tx.search(at.text, fv.FL_REVENUE),
+        "cash_flow": tx.search(at.text, fv.FL_CASH_FLOW),
         "industry": tx.strip(tx.search(at.text, fv.FL_INDUSTRY)),
     }
 
 
-def _empireflippers(at: Found) -> Rules:
+def _empireflippers(at: Found) -> dict[str, Column]:
     text, node = at.text, at.picks["price"]
     # the first of several boxes that exists, the meta description last
     chosen = F.coalesce(at.picks["description"], at.picks["meta"])
     return {
         "title": F.coalesce(at.picks["title"], F.lit(fv.TITLE_NOT_FOUND)),
-        "price": _base(F.when(node.isNotNull(), tx.search(node, fv.EF_PRICE_NODE))
-                       .otherwise(tx.search(text, fv.EF_PRICE))),
-        "revenue": money.annualise(tx.present(_base(tx.search(text, fv.EF_REVENUE)))),
-        "cash_flow": money.annualise(tx.present(_base(tx.search(text, fv.EF_PROFIT)))),
-        "multiple": money.number_or_null(tx.search(text, fv.EF_MULTIPLE)),
+        "price": F.when(node.isNotNull(), tx.search(node, fv.EF_PRICE_NODE)).otherwise(tx.search(text, fv.EF_PRICE)),
+        "revenue": tx.search(text, fv.EF_REVENUE),
+        "cash_flow": tx.search(text, fv.EF_PROFIT),
+        "multiple": tx.search(text, fv.EF_MULTIPLE),
         "industry": tx.strip(tx.search(text, fv.EF_INDUSTRY)),
-        "established_year": tx.search(text, fv.EF_YEAR).try_cast("int"),
+        "established_year": tx.search(text, fv.EF_YEAR),
         "description": F.coalesce(tx.not_blank(chosen), tx.strip(tx.search(text, fv.EF_DESCRIPTION)),
                                   F.lit(fv.SEE_LISTING)),
     }
 
 
-def _feinternational(at: Found) -> Rules:
+def _empireflippers_derived(got: Rules) -> Rules:
+    """The page states monthly figures."""
+    return {c: money.annualise(tx.present(got[c])) for c in ("revenue", "cash_flow")}
+
+
+def _feinternational(at: Found) -> dict[str, Column | tuple[Column, ...]]:
     text, metrics = at.text, at.picks["metrics"]
     return {
         "title": at.picks["title"],
-        "price": or_else(_base(tx.search(metrics, fv.FE_PRICE_METRIC)), _base(tx.first_regex(text, fv.FE_PRICE))),
-        "revenue": or_else(_base(tx.search(metrics, fv.FE_REVENUE_METRIC)), _base(tx.first_regex(text, fv.FE_REVENUE))),
-        "cash_flow": _base(tx.search(metrics, fv.FE_PROFIT_METRIC)),
-        "multiple": money.number_or_null(tx.search(metrics, fv.FE_MULTIPLE_METRIC)),
+        "price": (tx.search(metrics, fv.FE_PRICE_METRIC), tx.first_regex(text, fv.FE_PRICE)),
+        "revenue": (tx.search(metrics, fv.FE_REVENUE_METRIC), tx.first_regex(text, fv.FE_REVENUE)),
+        "cash_flow": tx.search(metrics, fv.FE_PROFIT_METRIC),
+        "multiple": tx.search(metrics, fv.FE_MULTIPLE_METRIC),
         "industry": F.coalesce(at.picks["industry"], classify.industry_from_url(at.url)),
         "location": at.picks["location"],
-        "established_year": tx.search(text, fv.FE_YEAR).try_cast("int"),
+        "established_year": tx.search(text, fv.FE_YEAR),
         "description": tx.truncate(at.picks["description"], 1000),
     }
 
 
-def _websiteclosers(at: Found) -> Rules:
+def _websiteclosers(at: Found) -> dict[str, Column]:
     return {
         "title": at.picks["title"],
         "description": tx.truncate(at.picks["description"], 2000),
-        "price": _base(at.labels["price"]),
-        "cash_flow": _base(at.labels["cash_flow"]),
-        "revenue": _base(at.labels["revenue"]),
-        "established_year": money.first_int(at.labels["year"], r"\d{4}"),
+        "price": at.labels["price"],
+        "cash_flow": at.labels["cash_flow"],
+        "revenue": at.labels["revenue"],
+        "established_year": money.first_digits(at.labels["year"], r"\d{4}"),
     }
 
 
@@ -386,7 +375,7 @@ EXTRACTORS: dict[str, Site] = {
         {"title": pick(E("h1"), E("h2", cls="business-title")), "price": pick(E("span", cls="price"), E("div", cls="price")),
          "meta": pick(E("meta", attrs={"name": "description"}), take="content"),
          "description": pick(E("div", cls="description"), E("section", cls="business-description"))},
-        derived=_bizquest_derived, spaced_text=True),
+        derived=_bizquest_derived, spaced_text=True, suffix_amounts=True),
     "WebsiteProperties": Site(
         _websiteproperties,
         {"title": pick(E("h2", cls="blog-single-title")), "price": pick(E("h5", cls="mt-4"), take="text"),
@@ -406,7 +395,8 @@ EXTRACTORS: dict[str, Site] = {
         {"title": pick(E("h1")), "price": pick(E("div", cls="info-price"), take="packed"),
          "description": pick(E("div", cls="listing-description"), E("div", cls="business-description"),
                              E("div", cls="description")),
-         "meta": pick(E("meta", attrs={"name": "description"}), take="content")}),
+         "meta": pick(E("meta", attrs={"name": "description"}), take="content")},
+        derived=_empireflippers_derived),
     "Acquire": Site(
         lambda at: nextdata_fields(at.picks["json"]), {"json": pick(NEXTDATA, take="raw")}, derived=with_multiple),
     "FEInternational": Site(
@@ -427,6 +417,10 @@ _FIELDS = [("_keep", T.BooleanType()), ("_margin", T.DoubleType())] + [
     (f.name, f.dataType) for f in schemas.EXTRACTED.fields]
 
 
+_AMOUNTS = ("price", "revenue", "cash_flow", "ebitda", "inventory_value")
+_NUMBERS = ("multiple", "_margin")
+
+
 def _gather(df: DataFrame, extractors: dict[str, Site], at: Column) -> DataFrame:
     """Outlines to plain columns: ``_text``, ``_pick_*``, ``_label_*`` and ``_asking``."""
     spaced = [n for n, x in extractors.items() if x.spaced_text]
@@ -479,21 +473,37 @@ def extract_outlines(outlines: DataFrame, extractors: dict[str, Site] | None = N
     at = F.col(site)
     keep = [c for c in outlines.columns if c not in OUTLINE_COLUMNS]
     gathered = _gather(outlines.filter(at.isin(*extractors)), extractors, at)
-    fields: dict[str, dict[str, Column]] = {}
+    chosen: dict[tuple[str, int], dict[str, Column]] = {}
     derived: dict[str, dict[str, Column]] = {}
     got = {n: F.col(f"_got_{n}") for n, _ in _FIELDS}
     for name, x in extractors.items():
         for f, value in x.fields(_found(x, gathered.columns, F.col(url))).items():
-            fields.setdefault(f, {})[name] = value
+            for k, one in enumerate(value if isinstance(value, tuple) else (value,)):
+                chosen.setdefault((f, k), {})[name] = one
         for f, value in (x.derived(got) if x.derived else {}).items():
             derived.setdefault(f, {})[name] = value
-    null = F.lit(None)
-    read = gathered.select(*keep, *[
-        (by_site(at, fields[n]) if n in fields else null).cast(t).alias(f"_got_{n}") for n, t in _FIELDS])
+    # the texts first, then the numbers in them: one reading per field, whatever the site
+    raw = gathered.select(*keep, *[by_site(at, by).alias(f"_raw_{f}_{k}") for (f, k), by in chosen.items()])
+    by_suffix = [n for n, x in extractors.items() if x.suffix_amounts]
+
+    def read(name: str, kind: T.DataType) -> Column:
+        texts = [F.col(f"_raw_{f}_{k}") for f, k in chosen if f == name]
+        if not texts:
+            return F.lit(None).cast(kind)
+        if name not in _AMOUNTS:
+            return (money.number_or_null(texts[0]) if name in _NUMBERS else texts[0].try_cast(kind))
+        amount = or_else(*[money.parse_price_base(t) for t in texts])
+        if not by_suffix:
+            return amount
+        return F.when(at.isin(*by_suffix), F.when(texts[0].isNotNull(), money.parse_price_suffix(texts[0]))).otherwise(amount)
+
+    typed = raw.select(*keep, *[read(n, t).alias(f"_got_{n}") for n, t in _FIELDS])
     out = {n: by_site(at, derived[n]).otherwise(got[n]) if n in derived else got[n] for n, _ in _FIELDS}
-    return (
-        read.select(*keep, *[out[n].alias(n) for n, _ in _FIELDS if n != "_margin"])
-        .filter(F.coalesce(F.col("_keep"), F.lit(True))).drop("_keep"))
+    record = F.struct(*[out[n].alias(n) for n, _ in _FIELDS if not n.startswith("_")])
+    # C12. One record or none, as a generator: a filter would be pushed down through every
+    # projection above and evaluate them all a second time
+    kept = F.when(F.coalesce(out["_keep"], F.lit(True)), F.array(record)).otherwise(F.filter(F.array(record), lambda r: F.lit(False)))
+    return typed.select(*keep, F.inline(kept))
 
 
 def extract_listings(pages: DataFrame, extractors: dict[str, Site] | None = None) -> DataFrame:

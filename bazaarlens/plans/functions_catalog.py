@@ -348,7 +348,8 @@ SELECT c_custkey, title, price, CASE WHEN city IS NOT NULL AND state IS NOT NULL
   ELSE coalesce(city, state) END AS location FROM f""")
 def c6(spark, sf_dir):
     f = extract.jsonld_fields(C("body"))
-    return i.bind(spark, sf_dir, i.JSONLD).select("c_custkey", *[f[n].alias(n) for n in ("title", "price", "location")])
+    return i.bind(spark, sf_dir, i.JSONLD).select(
+        "c_custkey", f["title"].alias("title"), money.number_or_null(f["price"]).alias("price"), f["location"].alias("location"))
 
 
 @query("c7_nextdata_fields", """SELECT c_custkey, c_name AS title, concat('About ', c_mktsegment) AS description,
@@ -358,8 +359,11 @@ def c6(spark, sf_dir):
 FROM customer WHERE c_custkey % 19 <> 0 AND c_custkey % 17 <> 0 AND c_custkey % 13 <> 0""")
 def c7(spark, sf_dir):
     f = extract.nextdata_fields(C("body"))
-    found = i.bind(spark, sf_dir, i.NEXTDATA).select("c_custkey", *[c.alias(n) for n, c in f.items()])
-    return found.filter("_keep").drop("_keep").withColumn("multiple", money.multiple(C("price"), C("cash_flow")))
+    found = i.bind(spark, sf_dir, i.NEXTDATA).select("c_custkey", *[c.alias(n) for n, c in f.items()]).filter("_keep")
+    return found.select(
+        "c_custkey", "title", "description", "industry", C("established_year").try_cast("int").alias("established_year"),
+        *[money.parse_price_base(C(n)).alias(n) for n in ("price", "revenue", "cash_flow")],
+    ).withColumn("multiple", money.multiple(C("price"), C("cash_flow")))
 
 
 @query("c8_location", f"""{LISTINGS}, a AS (SELECT seq, concat(coalesce(description, ''), CASE seq % 3 WHEN 0

@@ -9,8 +9,8 @@ S = "CAST(p_size AS STRING)"
 K = "CAST(p_partkey AS STRING)"
 
 
-def page(html: str, key: str = "p_partkey") -> str:
-    return f"SELECT {key}, concat('<!DOCTYPE html><html>', {html}, '</html>') AS html FROM {{part}}"
+def page(html: str) -> str:
+    return f"SELECT p_partkey, concat('<!DOCTYPE html><html>', {html}, '</html>') AS html FROM {{part}}"
 
 
 # --- listing pages ------------------------------------------------------------------
@@ -183,10 +183,12 @@ LISTING_PAGES = {
 
 def mixed_listing_pages() -> str:
     """Every part as one listing page, its site going by the key."""
-    branches = [
-        f"SELECT '{site}' AS source_site, p_partkey, html FROM ({html}) q{n} WHERE p_partkey % 9 = {n}"
-        for n, (site, (html, _, _)) in enumerate(LISTING_PAGES.items())]
-    return " UNION ALL ".join(branches)
+    def html_of(select: str) -> str:
+        return select[len("SELECT p_partkey, "):select.rindex(" AS html")]
+    names = " ".join(f"WHEN {n} THEN '{site}'" for n, site in enumerate(LISTING_PAGES))
+    pages = " ".join(f"WHEN {n} THEN {html_of(html)}" for n, (html, _, _) in enumerate(LISTING_PAGES.values()))
+    return (f"SELECT p_partkey, CASE p_partkey % 9 {names} END AS source_site, CASE p_partkey % 9 {pages} END AS html "
+            f"FROM ({BIZQUEST_PARTS}) t")
 
 
 LISTING_URL = "concat('https://x.example/business-for-sale/deal-', CAST(p_partkey AS STRING), '/saas/')"
