@@ -12,7 +12,7 @@ from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
 # send this module's code along with the job: executors need not have the package installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -166,6 +166,7 @@ def _outline_arrays(pages: list[str]) -> list[pa.Array]:
 
 def _flatten_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        batch = batch.filter(batch.column(batch.schema.names.index("html")).is_valid())
         for start in range(0, batch.num_rows, _ROWS_PER_BATCH):
             part = batch.slice(start, _ROWS_PER_BATCH)
             keep = [i for i, name in enumerate(part.schema.names) if name != "html"]
@@ -176,10 +177,11 @@ def _flatten_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def flatten_pages(pages: DataFrame) -> DataFrame:
-    """Replace ``html`` by the outline columns. Pages without HTML drop out.
+    """Replace ``html`` by the outline columns. Pages without HTML drop out (in the worker: a
+    filter here would be copied, with whatever computes the HTML, down to the scan).
 
     Select only the columns you need first: whatever else is on the row travels through
     the Python worker as well.
     """
     schema = T.StructType([f for f in pages.schema.fields if f.name != "html"] + OUTLINE)
-    return pages.filter(F.col("html").isNotNull()).mapInArrow(_flatten_batches, schema)
+    return pages.mapInArrow(_flatten_batches, schema)
