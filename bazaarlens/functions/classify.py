@@ -55,9 +55,9 @@ def enhance_listing(df: DataFrame) -> DataFrame:
     )
 
 
-def category(text: Column) -> Column:
-    """NULL when no keyword list hits."""
-    low = F.lower(text)
+def category(low: Column) -> Column:
+    """NULL when no keyword list hits. Takes lower-case text, best from an earlier
+    projection: up to fifty words are looked up in it."""
     out = None
     for name, words in fv.CATEGORIES:
         hit = contains_any(low, words)
@@ -91,9 +91,9 @@ def industry_from_url(url: Column) -> Column:
     return F.coalesce(*[F.when(low.contains(part), label) for part, label in fv.FE_URL_INDUSTRY])
 
 
-def seller_financing(text: Column) -> Column:
-    """D13"""
-    return F.lower(text).contains("seller financing")
+def seller_financing(low: Column) -> Column:
+    """D13, on lower-case text"""
+    return low.contains("seller financing")
 
 
 def flag_or_null(text: Column, pattern: str) -> Column:

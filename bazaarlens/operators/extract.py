@@ -174,6 +174,7 @@ class Found:
     """The plain text columns a site's fields are chosen from."""
 
     text: Column                        # page text
+    low: Column                         # the same in lower case
     url: Column
     picks: dict[str, Column]            # picked texts by slot
     labels: dict[str, Column]           # value of the last row of a label kind
@@ -193,6 +194,7 @@ class Site:
     extra_kinds: Kinds = ()             # a second, independent classification of the same rows
     derived: Callable[[Rules], Rules] | None = None
     spaced_text: bool = False           # page text joined by spaces
+    needs_low: bool = False             # the rules look words up in lower-case text
     suffix_amounts: bool = False        # amounts by the suffix parser
 
 
@@ -224,7 +226,7 @@ def _bizquest(at: Found) -> dict[str, Column]:
         "revenue_raw": tx.first_regex_whole(text, fv.BQ_REVENUE),
         "_margin": tx.search(text, fv.BQ_MARGIN),
         "location": tx.location(text, fv.BQ_LOCATION),
-        "category": classify.category(text),
+        "category": classify.category(at.low),
         "established_year": money.year_in_range(text, fv.BQ_YEAR),
         "description": F.coalesce(tx.strip(at.picks["meta"]), tx.truncate(at.picks["description"], 500),
                                   tx.collapse_ws(text, 500)),
@@ -262,7 +264,7 @@ def _quietlight(at: Found) -> dict[str, Column]:
         "multiple": at.labels["multiple"],
         "description": F.coalesce(at.picks["description"], F.lit(fv.DESCRIPTION_NOT_FOUND)),
         "industry": F.coalesce(at.picks["industry"], F.lit(fv.INDUSTRY_NOT_FOUND)),
-        "seller_financing": classify.seller_financing(at.text),
+        "seller_financing": classify.seller_financing(at.low),
     }
 
 
@@ -360,7 +362,7 @@ EXTRACTORS: dict[str, Site] = {
         {"title": pick(E("h3")), "price": pick(_QL_BOX >> E("h4"), take="text"), "description": pick(_QL_BOX >> E("p")),
          "industry": pick(E("div", cls="listing-card__category-name"))},
         HEADINGS, (("revenue", ("revenue",)), ("cash_flow", ("income",)), ("multiple", ("multiple",))),
-        derived=with_multiple),
+        derived=with_multiple, needs_low=True),
     "BizBuySell": Site(
         _bizbuysell,
         {"json": pick(JSONLD, take="raw"), "title": pick(E("h1", cls="font-h1-new"), E("h1")),
@@ -375,7 +377,7 @@ EXTRACTORS: dict[str, Site] = {
         {"title": pick(E("h1"), E("h2", cls="business-title")), "price": pick(E("span", cls="price"), E("div", cls="price")),
          "meta": pick(E("meta", attrs={"name": "description"}), take="content"),
          "description": pick(E("div", cls="description"), E("section", cls="business-description"))},
-        derived=_bizquest_derived, spaced_text=True, suffix_amounts=True),
+        derived=_bizquest_derived, spaced_text=True, suffix_amounts=True, needs_low=True),
     "WebsiteProperties": Site(
         _websiteproperties,
         {"title": pick(E("h2", cls="blog-single-title")), "price": pick(E("h5", cls="mt-4"), take="text"),
@@ -431,7 +433,8 @@ def _gather(df: DataFrame, extractors: dict[str, Site], at: Column) -> DataFrame
     df = df.withColumns({"_text": text_column} | {
         f"_node_{s}": by_site(at, {n: F.expr(x.picks[s].selector) for n, x in extractors.items() if s in x.picks})
         for s in slots})
-    df = df.withColumns({
+    lowered = [n for n, x in extractors.items() if x.needs_low]
+    df = df.withColumns({"_low": F.when(at.isin(*lowered), F.lower("_text"))} | {
         f"_pick_{s}": by_site(at, {n: F.expr(x.picks[s].value(f"_node_{s}")) for n, x in extractors.items() if s in x.picks})
         for s in slots}).drop(*[f"_node_{s}" for s in slots])
     layouts = {n: x.layout for n, x in extractors.items() if x.layout}
@@ -462,7 +465,7 @@ def _found(x: Site, columns: list[str], url: Column) -> Found:
     null = F.lit(None).cast("string")
     labels = {k: F.col(f"_label_{k}") for k, _ in x.kinds} | {k: F.col(f"_extra_{k}") for k, _ in x.extra_kinds}
     asking = F.col("_asking") if "_asking" in columns else F.array(null)
-    return Found(F.col("_text"), url, {s: F.col(f"_pick_{s}") for s in x.picks}, labels, asking)
+    return Found(F.col("_text"), F.col("_low"), url, {s: F.col(f"_pick_{s}") for s in x.picks}, labels, asking)
 
 
 def extract_outlines(outlines: DataFrame, extractors: dict[str, Site] | None = None,

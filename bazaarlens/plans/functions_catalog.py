@@ -173,7 +173,7 @@ SELECT seq, contains(lower(t), 'seller financing') AS seller_financing,
 def d13(spark, sf_dir):
     t = C("t")
     return _listings(spark, sf_dir).select("seq", F.expr(_PHRASES).alias("t")).select(
-        "seq", classify.seller_financing(t).alias("seller_financing"),
+        "seq", classify.seller_financing(F.lower(t)).alias("seller_financing"),
         classify.flag_or_null(t, fv.BQ_FINANCING).alias("financing_available"),
         classify.flag_or_null(t, fv.BQ_TRAINING).alias("training_provided"),
         classify.real_estate_included(t).alias("real_estate_included"))
@@ -188,10 +188,11 @@ def _sql_category(t):
 SELECT doc_id, COALESCE({_sql_category('text')}, 'General') AS category,
   COALESCE({_sql_category('left(text, 40)')}, 'Business') AS opening_type FROM documents""")
 def d14(spark, sf_dir):
-    opening = F.substring("text", 1, 40)
+    low = F.lower("text")
     return table(spark, sf_dir, "documents").select(
-        "doc_id", F.coalesce(classify.category(C("text")), F.lit(fv.DEFAULT_CATEGORY)).alias("category"),
-        F.coalesce(classify.category(opening), F.lit(fv.DEFAULT_BUSINESS_TYPE)).alias("opening_type"))
+        "doc_id", low.alias("low"), F.lower(F.substring("text", 1, 40)).alias("opening")).select(
+        "doc_id", F.coalesce(classify.category(C("low")), F.lit(fv.DEFAULT_CATEGORY)).alias("category"),
+        F.coalesce(classify.category(C("opening")), F.lit(fv.DEFAULT_BUSINESS_TYPE)).alias("opening_type"))
 
 
 _CARD_TEXT = ("concat(title, ' ', coalesce(description, ''), CASE seq % 7 WHEN 0 THEN ' SaaS' WHEN 1 THEN ' Software' "
