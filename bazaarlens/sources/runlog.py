@@ -48,6 +48,25 @@ def run_log_state(updates: DataFrame, key: str = "run_id", seq: str = "seq") ->
     return updates.groupBy(key).agg(*[latest(c) for c in columns])
 
 
+def current_run_log(log: DataFrame) -> DataFrame:
+    """The stored log as it stands: one row per run and site, later rows over earlier ones."""
+    keyed = log.withColumns({
+        "_key": F.struct("run_id", "site_name"),
+        "seq": F.struct(F.coalesce("end_time", "start_time"), F.col("status") != "running")})
+    state = run_log_state(keyed.drop("run_id", "site_name"), "_key")
+    return state.select("_key.*", *[c for c in log.columns if c not in ("run_id", "site_name")])
+
+
+def failed_run_rows(runs: DataFrame, end_time: Column, message: str) -> DataFrame:
+    """The closing row of a run that broke: its counts stay as last logged."""
+    known = {"end_time": end_time, "status": F.lit("failed"), "error_message": F.lit(message), "error_count": F.lit(1),
+             "duration_seconds": F.timestamp_diff("MICROSECOND", F.col("start_time"), end_time) / 1e6}
+    keys = {"run_id", "site_name", "start_time"}
+    return runs.select([
+        (F.col(f.name) if f.name in keys else known.get(f.name, F.lit(None))).cast(f.dataType).alias(f.name)
+        for f in schemas.RUN_LOG.fields])
+
+
 def run_accounting(outcomes: DataFrame, searches: Column, pages: int | None = None) -> DataFrame:
     """counters of each run from one row per URL it found.
 

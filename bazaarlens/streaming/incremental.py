@@ -14,11 +14,13 @@ from bazaarlens.sources.captures import CAPTURE_SCHEMA, prefer_rendered
 def new_listings(captures: DataFrame, stored: DataFrame, extractors: dict[str, Site] | None = None) -> DataFrame:
     """Captures to listings rows whose URL is not stored yet.
 
-    The anti-join comes before the parse, so known pages are neither parsed nor extracted.
+    The anti-join comes before the parse, so known pages are neither parsed nor extracted. What
+    is known is looked up by URL alone, without reading the pages a second time.
     """
-    best = prefer_rendered(captures, "source_site", "url").withColumnRenamed("url", "listing_url")
-    fresh = store.new_urls(best, stored)
-    records = extract_listings(fresh.select("source_site", "listing_url", "fetched_at", "html"), extractors)
+    named = captures.withColumnRenamed("url", "listing_url")
+    known = store.existing_urls(named, stored)
+    fresh = prefer_rendered(named, *store.URL_KEY).join(known, store.URL_KEY, "left_anti")
+    records = extract_listings(fresh.select(*store.URL_KEY, "fetched_at", "html"), extractors)
     return store.to_listings(store.canonical(records), F.col("fetched_at"))
 
 

@@ -2,10 +2,12 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from bazaarlens import fixed_values as fv, schemas
 from bazaarlens.operators import report
+from bazaarlens.plans.ingest import ingest_run
 from bazaarlens.operators.skew import first_per_group, join_group_facts
 from bazaarlens.session import shared_dir
 from bazaarlens.sources import captures, runlog, sites, store
@@ -117,3 +119,34 @@ def test_repeated_and_late_captures_are_stored_once(spark, tmp_path):
 
 def test_shared_folder_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+
+
+def test_a_run_is_logged_from_start_to_end(spark, tmp_path):
+    store.create_listings_table(spark, "t_run", str(tmp_path / "l"))
+    store.create_log_table(spark, "t_runlog", str(tmp_path / "g"))
+    page = [("u1", "<h1>a</h1>"), ("u2", "<h1>b</h1>"), ("u3", "<h1> </h1>"), ("other", "<h1>not found by the crawl</h1>")]
+    shots = spark.createDataFrame([(u, h, True, dt.datetime(2024, 5, 1), "WebsiteClosers") for u, h in page], captures.CAPTURE_SCHEMA)
+
+    def found(*urls):
+        return spark.createDataFrame([("WebsiteClosers", u) for u in urls], "source_site string, listing_url string")
+
+    ingest_run(spark, "r1", found("u1", "u1"), shots, "t_run", "t_runlog", F.lit(1))
+    ingest_run(spark, "r2", found("u1", "u2", "u3", "u4"), shots, "t_run", "t_runlog", F.lit(2), pages=1)
+    assert sorted(r.listing_url for r in spark.table("t_run").collect()) == ["u1", "u2"]
+    log = {r.run_id: r for r in runlog.current_run_log(spark.table("t_runlog")).collect()}
+    assert spark.table("t_runlog").count() == 4
+    row = log["r2"]
+    assert (row.status, row.total_listings_found, row.existing_listings, row.new_listings, row.successful_scrapes,
+            row.failed_scrapes, row.api_calls_made, row.api_credits_saved) == ("completed", 4, 1, 3, 1, 2, 5, 1)
+    assert row.end_time >= row.start_time and row.duration_seconds >= 0
+
+
+def test_a_broken_run_is_logged_as_failed(spark, tmp_path):
+    store.create_listings_table(spark, "t_broken", str(tmp_path / "l"))
+    store.create_log_table(spark, "t_brokenlog", str(tmp_path / "g"))
+    found = spark.createDataFrame([("Flippa", "u")], "source_site string, listing_url string")
+    broken = spark.createDataFrame([("u",)], "url string")
+    with pytest.raises(Exception):
+        ingest_run(spark, "r", found, broken, "t_broken", "t_brokenlog", F.lit(1))
+    row = runlog.current_run_log(spark.table("t_brokenlog")).first()
+    assert (row.status, row.error_count, row.total_listings_found) == ("failed", 1, 0) and row.error_message
