@@ -1,6 +1,8 @@
 """Links on results pages, and which of them a crawl would have reached."""
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarlens import fixed_values as fv
@@ -116,13 +118,28 @@ def explode_links(pages: DataFrame) -> DataFrame:
     return own.unionByName(spare.join(new_own.select(*_PAGE_KEY), _PAGE_KEY, "left_anti"))
 
 
+# digits kept for each part of a crawl position; a value too large fails, it never wraps
+_DIGITS = {"search_pos": 9, "page": 10, "pos": 19}
+
+
+def _first(links: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Per key, the smallest position. The parts are packed into one decimal because a minimum
+    of a struct would sort all links on the map side; a decimal is aggregated by hash."""
+    place = F.col(order[0]).cast("decimal(38,0)")
+    for c in order[1:]:
+        place = (place * F.lit(Decimal(10 ** _DIGITS[c])) + F.col(c)).cast("decimal(38,0)")
+    parts, rest = [], "place"
+    for c in reversed(order[1:]):
+        unit = f"{10 ** _DIGITS[c]}BD"
+        parts.append(F.expr(f"CAST({rest} % {unit} AS {dict(links.dtypes)[c]})").alias(c))
+        rest = f"({rest} div {unit})"
+    parts.append(F.expr(f"CAST({rest} AS {dict(links.dtypes)[order[0]]})").alias(order[0]))
+    return links.groupBy(*keys).agg(F.min(place).alias("place")).select(*keys, *reversed(parts))
+
+
 def first_occurrences(links: DataFrame) -> DataFrame:
     """Distinct URLs of a search URL, each at its first page and position."""
-    return (
-        links.groupBy("source_site", "search_url", "url")
-        .agg(F.min(F.struct("page", "pos")).alias("first"))
-        .select("source_site", "search_url", "url", "first.page", "first.pos")
-    )
+    return _first(links, ["source_site", "search_url", "url"], ["page", "pos"])
 
 
 def new_per_page(links: DataFrame) -> DataFrame:
@@ -131,11 +148,7 @@ def new_per_page(links: DataFrame) -> DataFrame:
 
 def dedup_ordered(links: DataFrame) -> DataFrame:
     """B8 across search URLs: a site's distinct URLs at their first (search, page, position)."""
-    return (
-        links.groupBy("source_site", "url")
-        .agg(F.min(F.struct("search_pos", "page", "pos")).alias("first"))
-        .select("source_site", "url", "first.search_pos", "first.page", "first.pos")
-    )
+    return _first(links, ["source_site", "url"], ["search_pos", "page", "pos"])
 
 
 def page_limits(links: DataFrame, pages: DataFrame) -> DataFrame:
