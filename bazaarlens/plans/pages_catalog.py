@@ -305,7 +305,7 @@ SELECT doc_id, CAST(k - 1 AS INTEGER) AS pos, substr(text, CAST(start0 + 1 AS BI
   replace(substr(text, CAST(greatest(start0 - 50, 0) + 1 AS BIGINT), CAST(start0 + 56 - greatest(start0 - 50, 0) AS BIGINT)), chr(10), ' ') AS context
 FROM placed WHERE k < total""")
 def i4(spark, sf_dir):
-    return quality.keyword_in_context(table(spark, sf_dir, "documents").select("doc_id", "text"), "of the")
+    return quality.keyword_in_context(spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text")), "of the")
 
 
 def _quality_pages(spark, sf_dir):
