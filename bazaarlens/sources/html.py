@@ -47,7 +47,9 @@ _SIBLINGS = {
     "tr": (("tr",), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
     "option": (("option",), ("select",)),
 }
+# an output batch ends at either bound, so large pages do not add up in a worker
 _ROWS_PER_BATCH = 256
+_CHARS_PER_BATCH = 8_000_000
 
 
 class _Outline(HTMLParser):
@@ -164,16 +166,29 @@ def _outline_arrays(pages: list[str]) -> list[pa.Array]:
     ]
 
 
+def _bounded(pages: list[str]) -> Iterator[tuple[int, int]]:
+    """Start and end of consecutive runs of pages within the bounds; a larger page stands alone."""
+    start, chars = 0, 0
+    for at, html in enumerate(pages):
+        if at > start and (at - start == _ROWS_PER_BATCH or chars + len(html) > _CHARS_PER_BATCH):
+            yield start, at
+            start, chars = at, 0
+        chars += len(html)
+    if pages:
+        yield start, len(pages)
+
+
 def _flatten_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        batch = batch.filter(batch.column(batch.schema.names.index("html")).is_valid())
-        for start in range(0, batch.num_rows, _ROWS_PER_BATCH):
-            part = batch.slice(start, _ROWS_PER_BATCH)
-            keep = [i for i, name in enumerate(part.schema.names) if name != "html"]
-            pages = part.column(part.schema.names.index("html")).to_pylist()
+        html_at = batch.schema.names.index("html")
+        batch = batch.filter(batch.column(html_at).is_valid())
+        pages = batch.column(html_at).to_pylist()
+        keep = [i for i in range(batch.num_columns) if i != html_at]
+        names = [batch.schema.names[i] for i in keep] + [f.name for f in OUTLINE]
+        for start, end in _bounded(pages):
+            part = batch.slice(start, end - start)
             yield pa.RecordBatch.from_arrays(
-                [part.column(i) for i in keep] + _outline_arrays(pages),
-                names=[part.schema.names[i] for i in keep] + [f.name for f in OUTLINE])
+                [part.column(i) for i in keep] + _outline_arrays(pages[start:end]), names=names)
 
 
 def flatten_pages(pages: DataFrame) -> DataFrame:

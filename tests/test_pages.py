@@ -4,7 +4,7 @@ from pyspark.sql import Row, functions as F
 from bazaarlens.operators import cards, extract, frontier, quality
 from bazaarlens.operators.selectors import E, all_of, spaced_text, stripped, text_of
 from bazaarlens.session import cut
-from bazaarlens.sources.html import flatten_pages
+from bazaarlens.sources.html import _bounded, flatten_pages
 
 
 def outline(spark, *pages, **extra):
@@ -25,6 +25,14 @@ def test_malformed_markup(spark):
     assert df.select(spaced_text(F.col("strings"))).first()[0] == "one two three a b tail & \xa0end"
 
 
+def test_output_batches_are_bounded_and_whole():
+    sizes = [3_000_000, 6_000_000, 20_000_000, 1, 1] + [1] * 600
+    runs = list(_bounded(["x" * n for n in sizes]))
+    assert [a for a, _ in runs][0] == 0 and all(b == c for (_, b), (c, _) in zip(runs, runs[1:])) and runs[-1][1] == len(sizes)
+    assert runs[:3] == [(0, 1), (1, 2), (2, 3)] and max(b - a for a, b in runs) == 256
+    assert list(_bounded([])) == []
+
+
 def test_scripts_and_comments_are_not_text(spark):
     df = outline(spark, "<title>t</title><script>var a='<p>no</p>';</script><style>p{}</style><!-- c -->x")
     assert df.select(spaced_text(F.col("strings"))).first()[0] == "t x"
