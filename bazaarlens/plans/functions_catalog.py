@@ -8,7 +8,6 @@ from bazaarlens.functions import classify, money, text as tx
 from bazaarlens.operators import extract
 from bazaarlens.plans import inputs as i
 from bazaarlens.plans.registry import query, table
-from bazaarlens.session import spread_scan
 
 C = F.col
 LISTINGS = f"WITH listings AS ({i.cte(i.RAW_LISTINGS)})"
@@ -187,13 +186,13 @@ def _sql_category(t):
 
 @query("d14_category", f"""
 SELECT doc_id, COALESCE({_sql_category('text')}, 'General') AS category,
-  COALESCE({_sql_category('left(text, 40)')}, 'Business') AS opening_type FROM documents""")
+  COALESCE({_sql_category('text')}, 'Business') AS business_type FROM documents""")
 def d14(spark, sf_dir):
     low = F.lower("text")
-    return spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
-        "doc_id", low.alias("low"), F.lower(F.substring("text", 1, 40)).alias("opening")).select(
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", low.alias("low")).select(
         "doc_id", F.coalesce(classify.category(C("low")), F.lit(fv.DEFAULT_CATEGORY)).alias("category"),
-        F.coalesce(classify.category(C("opening")), F.lit(fv.DEFAULT_BUSINESS_TYPE)).alias("opening_type"))
+        F.coalesce(classify.category(C("low")), F.lit(fv.DEFAULT_BUSINESS_TYPE)).alias("business_type"))
 
 
 _CARD_TEXT = ("concat(title, ' ', coalesce(description, ''), CASE seq % 7 WHEN 0 THEN ' SaaS' WHEN 1 THEN ' Software' "

@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaarlens.plans.registry import table
-from bazaarlens.session import spread_scan
 
 RAW_LISTINGS = """
 SELECT CASE k % 6 WHEN 0 THEN 'QuietLight' WHEN 1 THEN 'BizBuySell' WHEN 2 THEN 'BizQuest'
@@ -109,7 +108,12 @@ def bind(spark: SparkSession, sf_dir: str, sql: str, spread: bool = False) -> Da
     """The input as a DataFrame. ``spread`` is for inputs whose rows are parsed right after."""
     names = [t for t in ("part", "events", "orders", "customer", "supplier", "pages") if "{" + t + "}" in sql]
     frames = {t: table(spark, sf_dir, t) for t in names}
-    return spark.sql(sql, **{t: spread_scan(f) if spread else f for t, f in frames.items()})
+    return spark.sql(sql, **{t: _dealt(f) if spread else f for t, f in frames.items()})
+
+
+def _dealt(df: DataFrame) -> DataFrame:
+    """Narrow table rows dealt out by their key, before pages are rendered from them."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), df.columns[0])
 
 
 # --- checking SQL for the two amount parsers, stated case by case -----------------------

@@ -10,7 +10,7 @@ from bazaarlens.plans import inputs as i, page_inputs as p
 from bazaarlens.plans.functions_catalog import LISTINGS, _FACTS, _sql_category
 from bazaarlens.plans.registry import query, table
 from bazaarlens.plans.tables_catalog import PRICED, priced_listings
-from bazaarlens.session import cut, fresh_path, spread_scan
+from bazaarlens.session import cut, fresh_path
 from bazaarlens.sources import store
 from bazaarlens.sources.html import flatten_pages
 from bazaarlens.streaming.incremental import incremental_ingest
@@ -23,7 +23,7 @@ def _outlines(spark, sf_dir, sql):
 
 
 def _page_outlines(spark, sf_dir):
-    return flatten_pages(spread_scan(table(spark, sf_dir, "pages")))
+    return flatten_pages(table(spark, sf_dir, "pages"))
 
 
 # --- A2, B4 on the captured pages ---------------------------------------------------
@@ -305,7 +305,7 @@ SELECT doc_id, CAST(k - 1 AS INTEGER) AS pos, substr(text, CAST(start0 + 1 AS BI
   replace(substr(text, CAST(greatest(start0 - 50, 0) + 1 AS BIGINT), CAST(start0 + 56 - greatest(start0 - 50, 0) AS BIGINT)), chr(10), ' ') AS context
 FROM placed WHERE k < total""")
 def i4(spark, sf_dir):
-    return quality.keyword_in_context(spread_scan(table(spark, sf_dir, "documents").select("doc_id", "text")), "of the")
+    return quality.keyword_in_context(table(spark, sf_dir, "documents"), "of the")
 
 
 def _quality_pages(spark, sf_dir):
