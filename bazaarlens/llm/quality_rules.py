@@ -122,9 +122,8 @@ def fit_decision_list(labelled: DataFrame, label: str, key: str, features: tuple
     if not any(thresholds.values()):
         return []
     # Per feature: how many thresholds the value reaches. Counts by this number give every condition's counts.
-    reached = F.explode(F.array(*(F.struct(F.lit(i).alias("f"), F.size(F.filter(
-        F.lit(thresholds[f]).cast("array<double>") if thresholds[f] else F.array().cast("array<double>"),
-        lambda t, v=f: t <= F.col(v))).alias("b")) for i, f in enumerate(names)))).alias("x")
+    reached = F.explode(F.array(*(F.struct(F.lit(i).alias("f"), _reached(F.col(f), thresholds[f]).alias("b"))
+                                  for i, f in enumerate(names)))).alias("x")
 
     def histogram(part: DataFrame) -> dict[tuple[int, int], tuple[int, int]]:
         counts = (part.select("_bad", reached).groupBy("x.f", "x.b")
@@ -156,6 +155,10 @@ def fit_decision_list(labelled: DataFrame, label: str, key: str, features: tuple
     return rules
 
 
+def _reached(value: Column, thresholds: list[float]) -> Column:
+    return F.size(F.filter(F.array(*map(F.lit, thresholds)).cast("array<double>"), lambda t: t <= value))
+
+
 def _best_condition(counts: dict[tuple[int, int], tuple[int, int]], names: list[str], thresholds: dict[str, list[float]],
                     least_support: int) -> Condition | None:
     total = [sum(v[k] for (f, _), v in counts.items() if f == 0) for k in (0, 1)]
