@@ -4,8 +4,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bazaarlens.llm import quality_rules, url_rules
+from bazaarlens.llm import quality_rules, sharding, url_rules
 from bazaarlens.plans.registry import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +48,9 @@ ruled AS (SELECT *, CASE {_LONGEST} END AS rule FROM parts)
 SELECT page_id, host, path, rule, CASE rule {_VERDICTS} ELSE 'allow' END AS verdict FROM ruled""")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), url_rules.rules_table(spark, URL_RULES), "page_id", "url")
+
+
+@query("op9_histogram_shards")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents"), 24).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
