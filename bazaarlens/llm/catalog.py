@@ -6,7 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.llm import quality_rules, sharding, simhash, url_rules
+from bazaarlens.llm import language_id, quality_ranking, quality_rules, sharding, simhash, url_rules
+from bazaarlens.llm.rows import id_crc32
 from bazaarlens.plans.registry import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +23,16 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op2_quality_ranking")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = quality_rules.label_quality(table(spark, sf_dir, "labels"))
+    taught = docs.filter(id_crc32(F.col("doc_id"), 5) != 0).join(labels, F.col("doc_id") == F.col("_id"))
+    model = quality_ranking.fit_ranking(taught, "_label")
+    scored = quality_ranking.score_quality(docs, model)
+    return scored.select("doc_id", F.coalesce(id_crc32(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 @query("op4_quality_rules")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -50,6 +61,14 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), url_rules.rules_table(spark, URL_RULES), "page_id", "url")
 
 
+@query("op8_language_id")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit_languages(docs.filter(id_crc32(F.col("doc_id"), 3) != 1))
+    named = language_id.identify(docs.select("doc_id", "text"), model)
+    return named.select("doc_id", F.coalesce(id_crc32(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 @query("op9_histogram_shards")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), 24).select(
