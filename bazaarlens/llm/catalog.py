@@ -3,10 +3,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.llm import language_id, quality_ranking, quality_rules, sharding, simhash, url_rules
+from bazaarlens.llm import language_id, packing, quality_ranking, quality_rules, sharding, simhash, url_rules
 from bazaarlens.llm.rows import id_crc32
 from bazaarlens.plans.registry import table
 
@@ -38,6 +39,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op5_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 #: Rules of the contract (host, path, verdict).
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
              ("net", "/es/", "block"), ("net", "/fr/", "block")]
