@@ -7,9 +7,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.llm import language_id, packing, quality_ranking, quality_rules, sharding, simhash, url_rules
+from bazaarlens.llm import language_id, packing, quality_ranking, quality_rules, sharding, simhash, topk, url_rules
 from bazaarlens.llm.rows import id_crc32
 from bazaarlens.plans.registry import table
+from bazaarlens.session import cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,6 +35,18 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", F.coalesce(id_crc32(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+@query("op3_topk", """
+WITH v AS (SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM (SELECT * FROM v WHERE vec_id % 20 = 0) q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = cut(topk.quantized(table(spark, sf_dir, "embeddings"), "vec_id", "embedding"))
+    return topk.top_k(vectors, F.col("vec_id") % 20 == 0, 20)
+
+
 @query("op4_quality_rules")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
