@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.llm import language_id, packing, quality_ranking, quality_rules, sharding, simhash, topk, url_rules
+from bazaarlens.llm import language_id, packing, quality_ranking, quality_rules, sentence_pieces, sharding, simhash, topk, url_rules
 from bazaarlens.llm.rows import id_crc32
 from bazaarlens.plans.registry import table
 from bazaarlens.session import cut
@@ -98,3 +98,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op10_sentence_pieces")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    both = sentence_pieces.decode(sentence_pieces.encode(table(spark, sf_dir, "documents"), model), model)
+    crc = lambda c: F.crc32(F.coalesce(c, F.lit("")).cast("binary"))
+    return both.select("doc_id", "n_chunks", (F.octet_length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"),
+                       crc(F.col("text")).alias("text_crc32"), crc(F.col("decoded")).alias("decoded_crc32"))
