@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,3 +66,12 @@ def cut(df: DataFrame) -> DataFrame:
     path = own(fresh_path(df.sparkSession, "cut"))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of steps that no DataFrame refers to any more.
+
+    It goes by the garbage collection of both sides of the driver, which may be long in coming.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
