@@ -3,11 +3,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.llm import language_id, packing, quality_ranking, quality_rules, sentence_pieces, sharding, simhash, topk, url_rules
+from bazaarlens.llm import language_id, packing, quality_ranking, quality_rules, sentence_pieces, sharding, simhash, substrings, topk, url_rules
 from bazaarlens.llm.rows import id_crc32
 from bazaarlens.plans.registry import table
 from bazaarlens.session import cut
@@ -25,6 +26,21 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_substring_dedup", r"""
+WITH split AS (SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, unnest(list_transform(range(1, greatest(len(w) - 48, 1)), lambda i: md5(array_to_string(w[i:i + 49], ' ')))) AS h,
+  unnest(range(1, greatest(len(w) - 48, 1))) AS p FROM split),
+firsts AS (SELECT h, min(doc_id) AS first_id FROM windows GROUP BY h),
+removed AS (SELECT DISTINCT doc_id, p + o AS p FROM windows JOIN firsts USING (h) CROSS JOIN range(50) AS r(o) WHERE first_id < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM split),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept FROM words ANTI JOIN removed USING (doc_id, p) GROUP BY doc_id),
+lost AS (SELECT doc_id, count(*) AS n FROM removed GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, COALESCE(n, 0) AS n_removed, sha256(COALESCE(kept, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)""")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeat_digests(table(spark, sf_dir, "documents"))
+
+
 @query("op2_quality_ranking")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -107,3 +123,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     crc = lambda c: F.crc32(F.coalesce(c, F.lit("")).cast("binary"))
     return both.select("doc_id", "n_chunks", (F.octet_length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"),
                        crc(F.col("text")).alias("text_crc32"), crc(F.col("decoded")).alias("decoded_crc32"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

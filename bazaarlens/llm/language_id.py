@@ -128,3 +128,9 @@ def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text", l
 
     added = [T.StructField(n, t) for n, t in zip(names, (T.StringType(), T.DoubleType(), T.BooleanType()))]
     return docs.mapInArrow(predict, T.StructType([*docs.schema.fields, *added]))
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose language is told clearly, all columns unchanged."""
+    named = identify(docs, model, text_column)
+    return named.filter(~F.col(named.columns[-1])).select(*docs.columns)
