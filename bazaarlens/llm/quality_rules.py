@@ -201,4 +201,6 @@ def keep_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rules = fit_decision_list(stats.filter(~base_failed()), "_label", "doc_id")
     whole = free_name(docs, "_row")
     judged = text_statistics(docs.select(F.struct(*docs.columns).alias(whole), F.col("text").alias(free_name(docs, "_text"))), free_name(docs, "_text"))
-    return judged.filter(~base_failed() & verdict(rules)).select(f"{whole}.*")
+    # Statistics leave through a generator: a filter on them is not copied down into their computation.
+    once = judged.select(whole, F.explode(F.array(F.struct("n_words", "n_repeat_words", *(f for f in FEATURES if f != "n_words")))).alias("_s"))
+    return once.select(whole, "_s.*").filter(~base_failed() & verdict(rules)).select(f"{whole}.*")

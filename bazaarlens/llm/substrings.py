@@ -210,6 +210,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                              f"{tag}w": F.coalesce(F.crc32(text.cast("binary")) * 2 + F.col("doc_id").isNull().cast("long"), F.lit(0))})
     joined = wide.join(hits, (F.col(f"{k}w") == F.col(k)) & (F.col(f"{tag}w") == F.col(tag)), "left").select(*docs.columns, starts)
 
+    names = list(docs.columns)
+
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches, "text"):
             plain = pa.RecordBatch.from_arrays([batch.column("text"), batch.column(starts)], ["text", "starts"])
@@ -217,7 +219,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             for old, (n, removed, kept) in zip(batch.column("text"), _of_batch(plain, window)):
                 out.append(kept.decode("utf-8") if removed else old.as_py())
                 left.append(not removed or removed < n)
-            columns = [pa.array(out, pa.string()) if c == "text" else batch.column(c) for c in docs.columns]
-            yield pa.RecordBatch.from_arrays(columns, list(docs.columns)).filter(pa.array(left))
+            columns = [pa.array(out, pa.string()) if c == "text" else batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(left))
 
     return joined.mapInArrow(rewrite, T.StructType(docs.schema.fields))
