@@ -13,7 +13,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, con, name):
     assert compare(QUERIES[name](spark, SF), con, ORACLES[name]) is None
 
