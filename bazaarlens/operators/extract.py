@@ -22,7 +22,7 @@ from bazaarlens.sources.html import flatten_pages
 Rules = dict[str, Column]
 Kinds = tuple[tuple[str, tuple[str, ...]], ...]
 
-OUTLINE_COLUMNS = ("nodes", "strings", "string_nodes")
+OUTLINE_COLUMNS = ("nodes", "strings", "string_nodes", "parse_error")
 
 
 def by_site(site: Column, choices: dict[str, Column]) -> Column:
@@ -419,6 +419,8 @@ _FIELDS = [("_keep", T.BooleanType()), ("_margin", T.DoubleType())] + [
     (f.name, f.dataType) for f in schemas.EXTRACTED.fields]
 
 
+# of these kinds an unreadable row leaves the one before it in force; of amounts the last row counts as it is
+_READABLE = {"multiple": lambda v: money.number_or_null(v).isNotNull(), "year": lambda v: v.rlike(r"\d{4}")}
 _AMOUNTS = ("price", "revenue", "cash_flow", "ebitda", "inventory_value")
 _NUMBERS = ("multiple", "_margin")
 
@@ -455,8 +457,14 @@ def _gather(df: DataFrame, extractors: dict[str, Site], at: Column) -> DataFrame
     kinds = sorted({k for x in extractors.values() for k, _ in x.kinds})
     extras = sorted({k for x in extractors.values() for k, _ in x.extra_kinds})
     last = "try_element_at(filter(_rows, r -> r.{c} = '{k}'), -1).value"
+
+    def last_row(k: str) -> Column:
+        if k not in _READABLE:
+            return F.expr(last.format(c="kind", k=k))
+        return F.try_element_at(F.filter("_rows", lambda r: (r["kind"] == k) & _READABLE[k](r["value"])), F.lit(-1))["value"]
+
     return df.withColumns(
-        {f"_label_{k}": F.expr(last.format(c="kind", k=k)) for k in kinds}
+        {f"_label_{k}": last_row(k) for k in kinds}
         | {f"_extra_{k}": F.expr(last.format(c="extra", k=k)) for k in extras}
         | {"_asking": F.expr("transform(filter(_rows, r -> r.kind = 'price'), r -> r.value)")}).drop("_rows")
 
@@ -469,13 +477,23 @@ def _found(x: Site, columns: list[str], url: Column) -> Found:
 
 
 def extract_outlines(outlines: DataFrame, extractors: dict[str, Site] | None = None,
-                     site: str = "source_site", url: str = "listing_url") -> DataFrame:
-    """Records of outlined listing pages of any mix of sites. Rows of unknown sites drop out
-    (H2: pass a dict with more extractors)."""
+                     site: str = "source_site", url: str = "listing_url", with_rejects: bool = False) -> DataFrame:
+    """Records of outlined listing pages of any mix of sites (H2: pass a dict with more extractors).
+
+    Unreadable pages and pages of unknown sites give no record, or ``with_rejects`` one of NULLs with
+    the column ``reject_reason``.
+    """
     extractors = EXTRACTORS if extractors is None else extractors
     at = F.col(site)
     keep = [c for c in outlines.columns if c not in OUTLINE_COLUMNS]
-    gathered = _gather(outlines.filter(at.isin(*extractors)), extractors, at)
+    reason = (F.when(~F.coalesce(at.isin(*extractors), F.lit(False)), F.concat(F.lit("no extractor for site "), F.coalesce(at, F.lit("NULL"))))
+              .when(F.col("parse_error").isNotNull(), F.concat(F.lit("page cannot be read: "), "parse_error")))
+    outlines = outlines.withColumn("reject_reason", reason)
+    if with_rejects:
+        keep.append("reject_reason")
+    else:
+        outlines = outlines.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    gathered = _gather(outlines, extractors, at)
     chosen: dict[tuple[str, int], dict[str, Column]] = {}
     derived: dict[str, dict[str, Column]] = {}
     got = {n: F.col(f"_got_{n}") for n, _ in _FIELDS}
@@ -505,10 +523,13 @@ def extract_outlines(outlines: DataFrame, extractors: dict[str, Site] | None = N
     record = F.struct(*[out[n].alias(n) for n, _ in _FIELDS if not n.startswith("_")])
     # C12. One record or none, as a generator: a filter would be pushed down through every
     # projection above and evaluate them all a second time
-    kept = F.when(F.coalesce(out["_keep"], F.lit(True)), F.array(record)).otherwise(F.filter(F.array(record), lambda r: F.lit(False)))
+    keeps = F.coalesce(out["_keep"], F.lit(True))
+    if with_rejects:
+        keeps = keeps | F.col("reject_reason").isNotNull()
+    kept = F.when(keeps, F.array(record)).otherwise(F.filter(F.array(record), lambda r: F.lit(False)))
     return typed.select(*keep, F.inline(kept))
 
 
-def extract_listings(pages: DataFrame, extractors: dict[str, Site] | None = None) -> DataFrame:
+def extract_listings(pages: DataFrame, extractors: dict[str, Site] | None = None, with_rejects: bool = False) -> DataFrame:
     """Pages (``source_site``, ``listing_url``, ``html``, ...) to records: one parse per page."""
-    return extract_outlines(flatten_pages(pages), extractors)
+    return extract_outlines(flatten_pages(pages), extractors, with_rejects=with_rejects)

@@ -32,6 +32,7 @@ OUTLINE = [
     T.StructField("nodes", T.ArrayType(NODE)),
     T.StructField("strings", T.ArrayType(T.StringType())),
     T.StructField("string_nodes", T.ArrayType(T.IntegerType())),  # the node holding each piece
+    T.StructField("parse_error", T.StringType()),                 # why a page could not be read; its outline is empty
 ]
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -53,41 +54,54 @@ _CHARS_PER_BATCH = 8_000_000
 
 
 class _Outline(HTMLParser):
+    """One page. Open elements are also kept by tag name, so no end tag searches the whole stack."""
+
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.nodes: list[list] = []
         self.strings: list[str] = []
         self.holders: list[int] = []
         self._open: list[int] = []
+        self._depths: dict[str, list[int]] = {}  # of the open elements of each tag
+        self._blocks: list[int] = []             # depths of the open elements that are not inline
+        self._parts: list[str] = []              # of the last text piece or script, while it may go on
         self._joinable = False
 
+    def _push(self, idx: int, tag: str) -> None:
+        self._depths.setdefault(tag, []).append(len(self._open))
+        if tag not in _INLINE:
+            self._blocks.append(len(self._open))
+        self._open.append(idx)
+
     def _close_down_to(self, depth: int) -> None:
         for idx in self._open[depth:]:
             node = self.nodes[idx]
             node[1], node[7] = len(self.nodes) - 1, len(self.strings)
+            self._depths[node[3]].pop()
+            if node[3] not in _INLINE:
+                self._blocks.pop()
         del self._open[depth:]
 
+    def _nearest(self, tags: tuple[str, ...]) -> int:
+        return max((self._depths[t][-1] for t in tags if self._depths.get(t)), default=-1)
+
     def _implied_ends(self, tag: str) -> None:
         if tag in _SIBLINGS:
             ended, holders = _SIBLINGS[tag]
-            for depth in range(len(self._open) - 1, -1, -1):
-                name = self.nodes[self._open[depth]][3]
-                if name in ended:
-                    self._close_down_to(depth)
-                    break
-                if name in holders:
-                    break
-        if tag in _CLOSES_P:
-            for depth in range(len(self._open) - 1, -1, -1):
-                name = self.nodes[self._open[depth]][3]
-                if name == "p":
-                    self._close_down_to(depth)
-                    break
-                if name not in _INLINE:
-                    break
+            depth = self._nearest(ended)
+            if depth > self._nearest(holders):
+                self._close_down_to(depth)
+        if tag in _CLOSES_P and self._blocks and self.nodes[self._open[self._blocks[-1]]][3] == "p":
+            self._close_down_to(self._blocks[-1])
 
-    def handle_starttag(self, tag, attrs):
+    def _end_text(self) -> None:
+        """Join what was read of the last piece."""
+        if self._joinable:
+            self.strings[-1] = "".join(self._parts)
         self._joinable = False
+
+    def handle_starttag(self, tag, attrs):
+        self._end_text()
         self._implied_ends(tag)
         found: dict[str, str] = {}
         for key, value in attrs:
@@ -96,17 +110,15 @@ class _Outline(HTMLParser):
         parent = self._open[-1] if self._open else -1
         self.nodes.append([idx, idx, parent, tag, " ".join(found.get("class", "").split()), found, at, at, None])
         if tag not in _VOID:
-            self._open.append(idx)
+            self._push(idx, tag)
 
     def handle_endtag(self, tag):
-        self._joinable = False
-        for depth in range(len(self._open) - 1, -1, -1):
-            if self.nodes[self._open[depth]][3] == tag:
-                self._close_down_to(depth)
-                return
+        self._end_text()
+        if self._depths.get(tag):
+            self._close_down_to(self._depths[tag][-1])
 
     def handle_comment(self, data):
-        self._joinable = False
+        self._end_text()
 
     handle_decl = handle_pi = unknown_decl = handle_comment
 
@@ -115,17 +127,23 @@ class _Outline(HTMLParser):
         if holder >= 0 and self.nodes[holder][3] in _RAW:
             self.nodes[holder][8] = (self.nodes[holder][8] or "") + data
         elif self._joinable:
-            self.strings[-1] += data
+            self._parts.append(data)
         else:
-            self.strings.append(data)
+            self.strings.append("")
             self.holders.append(holder)
+            self._parts = [data]
             self._joinable = True
 
-    def outline(self, html: str) -> tuple[list[list], list[str], list[int]]:
-        self.feed(html)
-        self.close()
+    def outline(self, html: str) -> tuple[list[list], list[str], list[int], str | None]:
+        """Nodes, text pieces, their holders, and what made the page unreadable, if anything did."""
+        try:
+            self.feed(html)
+            self.close()
+        except (AssertionError, ValueError) as problem:  # markup that the tokenizer refuses
+            return [], [], [], f"{type(problem).__name__}: {problem}"
+        self._end_text()
         self._close_down_to(0)
-        return self.nodes, self.strings, self.holders
+        return self.nodes, self.strings, self.holders, None
 
 
 def _offsets(sizes: list[int]) -> pa.Array:
@@ -140,9 +158,10 @@ def _outline_arrays(pages: list[str]) -> list[pa.Array]:
     nodes: list[list] = []
     strings: list[str] = []
     holders: list[int] = []
-    node_counts, string_counts = [], []
+    node_counts, string_counts, errors = [], [], []
     for html in pages:
-        n, s, h = _Outline().outline(html)
+        n, s, h, error = _Outline().outline(html)
+        errors.append(error)
         nodes += n
         strings += s
         holders += h
@@ -163,6 +182,7 @@ def _outline_arrays(pages: list[str]) -> list[pa.Array]:
         pa.ListArray.from_arrays(_offsets(node_counts), node_structs),
         pa.ListArray.from_arrays(string_offsets, pa.array(strings, text)),
         pa.ListArray.from_arrays(string_offsets, pa.array(holders, i32)),
+        pa.array(errors, text),
     ]
 
 
