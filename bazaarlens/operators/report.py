@@ -69,12 +69,12 @@ def site_status(sites: DataFrame, results: DataFrame) -> DataFrame:
     """F8: per site, what worked. Sites without any result still show.
 
     ``results``: ``site, listings_found, listing_page, data_extracted, saved, error``, one row
-    per attempt. Errors are reported as a count and the first text; ``site_errors`` has them all.
+    per attempt. Errors are reported as a count and one text (the smallest); ``site_errors`` has them all.
     """
     per_site = results.groupBy("site").agg(
         F.bool_or(F.col("listings_found") > 0).alias("search_page"), F.sum("listings_found").alias("listings_found"),
         F.bool_or("listing_page").alias("listing_page"), F.bool_or("data_extracted").alias("data_extracted"),
-        F.bool_or("saved").alias("saved"), F.count("error").alias("n_errors"), F.min("error").alias("first_error"))
+        F.bool_or("saved").alias("saved"), F.count("error").alias("n_errors"), F.min("error").alias("an_error"))
     found = F.coalesce(F.col("listings_found"), F.lit(0))
     flags = ("search_page", "listing_page", "data_extracted", "saved")
     return (
@@ -82,9 +82,9 @@ def site_status(sites: DataFrame, results: DataFrame) -> DataFrame:
         .select(
             "site", *[F.coalesce(F.col(f), F.lit(False)).alias(f) for f in flags],
             found.cast("long").alias("listings_found"),
-            F.coalesce(F.col("n_errors"), F.lit(0)).cast("long").alias("n_errors"), "first_error",
-            F.when(found > 0, "OK").when(F.col("first_error").isNotNull(),
-                                         F.concat(F.lit("Error: "), F.col("first_error")))
+            F.coalesce(F.col("n_errors"), F.lit(0)).cast("long").alias("n_errors"), "an_error",
+            F.when(found > 0, "OK").when(F.col("an_error").isNotNull(),
+                                         F.concat(F.lit("Error: "), F.col("an_error")))
             .otherwise("No listings found").alias("status")))
 
 

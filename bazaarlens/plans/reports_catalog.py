@@ -139,7 +139,7 @@ g AS (SELECT site, sum(listings_found) AS found, bool_or(listing_page) AS lp, bo
   count(error) AS ne, min(error) AS fe FROM res GROUP BY site)
 SELECT site, coalesce(found > 0, false) AS search_page, coalesce(lp, false) AS listing_page, coalesce(de, false) AS data_extracted,
   coalesce(sv, false) AS saved, CAST(coalesce(found, 0) AS BIGINT) AS listings_found, coalesce(ne, 0)::BIGINT AS n_errors,
-  fe AS first_error, CASE WHEN found > 0 THEN 'OK' WHEN fe IS NOT NULL THEN 'Error: ' || fe ELSE 'No listings found' END AS status
+  fe AS an_error, CASE WHEN found > 0 THEN 'OK' WHEN fe IS NOT NULL THEN 'Error: ' || fe ELSE 'No listings found' END AS status
 FROM sites LEFT JOIN g USING (site)""")
 def f8(spark, sf_dir):
     return report.site_status(sites.site_config(spark), _results(spark, sf_dir))

@@ -78,7 +78,7 @@ def a7(spark, sf_dir):
 SELECT listing_url, title, price, cash_flow, strftime(scraped_at, '%Y-%m-%dT%H:%M:%S.%f') AS scraped_at FROM rows""")
 def a8(spark, sf_dir):
     path = fresh_path(spark, "json")
-    store.write_json(_stored_rows(spark, sf_dir), path)
+    path = store.write_json(_stored_rows(spark, sf_dir), path)
     return spark.read.schema("listing_url string, title string, price double, cash_flow double, scraped_at string").json(path)
 
 
@@ -239,12 +239,12 @@ def e2(spark, sf_dir):
 
 @query("e3_union_all_sites", f"""{PRICED} SELECT source_site, listing_url, seq, title,
   CASE WHEN source_site <> 'QuietLight' THEN price END AS price, CASE WHEN source_site <> 'BizBuySell' THEN cash_flow END AS cash_flow,
-  CASE WHEN source_site <> 'BizQuest' THEN industry END AS industry FROM priced
-WHERE source_site IN ('QuietLight', 'BizBuySell', 'BizQuest')""")
+  CASE WHEN source_site <> 'BizQuest' THEN industry END AS industry FROM priced""")
 def e3(spark, sf_dir):
     rows = priced_listings(spark, sf_dir).drop("description")
-    lacking = {"QuietLight": "price", "BizBuySell": "cash_flow", "BizQuest": "industry"}
-    return store.union_all_sites([store.by_site(rows, s).drop(c) for s, c in lacking.items()])
+    lacking = {"QuietLight": ["price"], "BizBuySell": ["cash_flow"], "BizQuest": ["industry"],
+               "WebsiteProperties": [], "EmpireFlippers": [], "WebsiteClosers": []}
+    return store.union_all_sites([store.by_site(rows, s).drop(*c) for s, c in lacking.items()])
 
 
 @query("e4_rejected_rows", f"""{_STORED} SELECT source_site, listing_url, 'scraped_at is missing' AS reject_reason FROM rows

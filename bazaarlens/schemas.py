@@ -27,11 +27,8 @@ RUN_LOG = _schema(
     error_message=_S, api_calls_made=_L, api_credits_saved=_L,
 )
 
-ORCHESTRATOR_RUN = _schema(
-    {"run_id"},
-    run_id=_S, source=_S, start_time=_TS, end_time=_TS, status=_S, trigger_type=_S, scraper_version=_S,
-    ingestion_date=T.DateType(), total_listings_found=_L, new_listings=_L, updated_listings=_L,
-)
+# what an ingestion could not store, and why
+REJECTS = _schema({"reject_reason", "run"}, source_site=_S, listing_url=_S, scraped_at=_TS, reject_reason=_S, run=_S)
 
 # what a listing page can yield, before ids, tags and timestamps
 EXTRACTED = _schema(

@@ -1,7 +1,9 @@
 """A1, A3: captured pages."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 CAPTURE_SCHEMA = T.StructType([
     T.StructField("url", T.StringType()),
@@ -22,14 +24,28 @@ def read_captures(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
     return usable(spark.read.schema(CAPTURE_SCHEMA).format(fmt).load(path))
 
 
-def prefer_rendered(captures: DataFrame, *key: str) -> DataFrame:
-    """A3: one capture per URL: rendered before plain, then the latest.
+def prefer_rendered(captures: DataFrame, *key: str, known: DataFrame | None = None) -> DataFrame:
+    """A3: one capture per URL: rendered before plain, then the latest; of these the largest digest.
 
-    A maximum of a struct combines on the map side, so a URL captured over and over does
-    not gather in one task; comparing the HTML last makes the choice repeatable.
+    ``known``: keys to leave out. The choice is made on narrow rows (key, order, digest of the page), keys
+    that are known already gone; only then are the chosen captures fetched, by a semi-join that builds on
+    the choice, so a page moves once at most and is never sorted. A maximum combines on the map side.
     """
     key = key or ("url",)
-    rest = [c for c in captures.columns if c not in (*key, "rendered", "fetched_at", "html")]
-    order = [c for c in ("rendered", "fetched_at", "html") if c in captures.columns]
-    best = F.max(F.struct(*order, *rest)).alias("best")
-    return usable(captures).groupBy(*key).agg(best).select(*key, "best.*")
+    order = [c for c in ("rendered", "fetched_at") if c in captures.columns]
+    pages = usable(captures).withColumn("_digest", F.md5("html"))
+    ranked = pages.select(*key, *order, "_digest")
+    if known is not None:
+        ranked = ranked.join(known, list(key), "left_anti")
+    # Captures equal in all of this are copies of one page; how many there are decides whether one is to be taken.
+    counted = ranked.groupBy(*key, *order, "_digest").agg(F.count("*").alias("_copies"))
+    best = counted.groupBy(*key).agg(F.max(F.struct(*order, "_digest", "_copies")).alias("_best")).select(*key, "_best.*")
+    chosen = [*key, *order, "_digest"]
+    names = {c: f"_best_{c}" for c in chosen}
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]
+
+    def fetch(which: Column) -> DataFrame:
+        wanted = best.filter(which).select(*(F.col(c).alias(n) for c, n in names.items()))
+        return pages.join(wanted.hint("shuffle_hash"), reduce(Column.__and__, same), "left_semi").drop("_digest")
+
+    return fetch(F.col("_copies") == 1).unionByName(fetch(F.col("_copies") > 1).dropDuplicates(list(key)))

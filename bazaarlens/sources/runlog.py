@@ -67,11 +67,12 @@ def failed_run_rows(runs: DataFrame, end_time: Column, message: str) -> DataFram
         for f in schemas.RUN_LOG.fields])
 
 
-def run_accounting(outcomes: DataFrame, searches: Column, pages: int | None = None) -> DataFrame:
+def run_accounting(outcomes: DataFrame, searches: Column, pages: int | None = None, runs: DataFrame | None = None) -> DataFrame:
     """counters of each run from one row per URL it found.
 
     ``outcomes``: ``run_id, site_name, ts`` and flags ``existing``, ``succeeded``, ``raised``.
-    ``searches`` counts the run's search URLs; calls are estimated with ``pages`` or ten each.
+    ``searches`` counts the run's search URLs; calls are estimated with ``pages`` or ten each. ``runs``
+    (``run_id, site_name, start_time``): all runs, those that found nothing get zeros.
     """
     existing, new = F.col("existing"), ~F.col("existing")
     counted = outcomes.groupBy("run_id", "site_name").agg(
@@ -80,6 +81,10 @@ def run_accounting(outcomes: DataFrame, searches: Column, pages: int | None = No
         F.count_if(new).alias("new_listings"), F.count_if(new & F.col("succeeded")).alias("successful_scrapes"),
         F.count_if(new & ~F.col("succeeded")).alias("failed_scrapes"),
         F.count_if(new & F.col("raised")).alias("error_count"))
+    if runs is not None:
+        zeros = {c: 0 for c in counted.columns if c not in ("run_id", "site_name", "start_time", "end_time")}
+        counted = (runs.withColumnRenamed("start_time", "_start").join(counted, ["run_id", "site_name"], "left").fillna(zeros)
+                   .withColumn("start_time", F.coalesce("start_time", "_start")).drop("_start"))
     return counted.withColumns({
         "duration_seconds": F.timestamp_diff("MICROSECOND", F.col("start_time"), F.col("end_time")) / 1e6,
         "status": F.lit("completed"),

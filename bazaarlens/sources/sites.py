@@ -65,9 +65,9 @@ def page_url(site: Column, search_url: Column, page: Column) -> Column:
 
 
 def page_urls(searches: DataFrame, site: str, search_url: str, pages: Column) -> DataFrame:
-    """One row per results page up to ``pages``; single-page sites give one."""
-    count = F.when(F.col(site).isin(*fv.SINGLE_PAGE_SITES), 1).otherwise(pages)
+    """One row per results page up to ``pages``; single-page sites give one, no pages none."""
+    count = F.when(pages < 1, pages).when(F.col(site).isin(*fv.SINGLE_PAGE_SITES), 1).otherwise(pages)
     return (
-        searches.withColumn("page", F.explode(F.sequence(F.lit(1), count)))
+        searches.filter(count >= 1).withColumn("page", F.explode(F.sequence(F.lit(1), count)))
         .withColumn("page_url", page_url(F.col(site), F.col(search_url), F.col("page")))
     )

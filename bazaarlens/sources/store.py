@@ -1,6 +1,7 @@
 """The listings store and set operations against it."""
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
@@ -8,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bazaarlens import schemas
 from bazaarlens.functions import classify, text as tx
+from bazaarlens.session import cut
 
 URL_KEY = ["source_site", "listing_url"]
 
@@ -22,20 +24,25 @@ def create_log_table(spark: SparkSession, name: str, location: str | None = None
     _create(spark, name, schemas.RUN_LOG, location, "")
 
 
+def create_rejects_table(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Where the rows go that a run could not store."""
+    _create(spark, name, schemas.REJECTS, location, "")
+
+
 def _create(spark, name, schema, location, partitioning):
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
     at = f"LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {partitioning} {at}")
 
 
-def to_listings(records: DataFrame, scraped_at: Column) -> DataFrame:
-    """Extracted records as stored rows: id, time, tags, and the fixed columns."""
+def to_listings(records: DataFrame, scraped_at: Column, *also: str) -> DataFrame:
+    """Extracted records as stored rows: id, time, tags, the fixed columns, and those of ``also``."""
     tagged = classify.enhance_listing(records)
     have = set(tagged.columns)
     fill = {"id": tx.listing_id(F.col("listing_url")), "scraped_at": scraped_at}
     return tagged.select([
         (fill[f.name] if f.name in fill else F.col(f.name) if f.name in have else F.lit(None))
-        .cast(f.dataType).alias(f.name) for f in schemas.LISTINGS.fields])
+        .cast(f.dataType).alias(f.name) for f in schemas.LISTINGS.fields] + list(also))
 
 
 def canonical(records: DataFrame) -> DataFrame:
@@ -49,17 +56,22 @@ def missing_required(required: Sequence[str] = ("id", "listing_url", "scraped_at
     return F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"{c} is missing")) for c in required])
 
 
+def _reason(rows: DataFrame) -> Column:
+    """What is wrong with a row: what extraction noted, else what is missing, else NULL."""
+    return F.coalesce(F.col("reject_reason"), missing_required()) if "reject_reason" in rows.columns else missing_required()
+
+
 def accepted(rows: DataFrame) -> DataFrame:
-    return rows.filter(missing_required().isNull())
+    return rows.filter(_reason(rows).isNull())
 
 
 def rejected(rows: DataFrame) -> DataFrame:
-    """Bad rows go to a rejects table with the reason; they never fail the job."""
-    return rows.withColumn("reject_reason", missing_required()).filter(F.col("reject_reason").isNotNull())
+    """Bad rows with the reason; they never fail the job."""
+    return rows.withColumn("reject_reason", _reason(rows)).filter(F.col("reject_reason").isNotNull())
 
 
 def append_listings(rows: DataFrame, table: str) -> None:
-    """Append, partitioned by site. Rows without a required column are left to ``rejected``.
+    """Append, partitioned by site. Rows with a fault are left to ``append_outcomes``.
 
     Rebalancing by site gives few files per site, and splits a site too large for one task.
     """
@@ -67,10 +79,29 @@ def append_listings(rows: DataFrame, table: str) -> None:
     ordered.hint("rebalance", "source_site").write.insertInto(table)
 
 
-def write_json(rows: DataFrame, path: str) -> None:
-    """JSON lines; timestamps as ISO text."""
+def append_outcomes(rows: DataFrame, table: str, rejects: str, run: str) -> None:
+    """Good rows to the listings table, all others to the rejects table, under the run's name.
+
+    The rows are computed once. A run repeated under its name adds no reject twice.
+    """
+    rows = cut(rows)
+    append_listings(rows, table)
+    bad = rejected(rows).withColumn("run", F.lit(run)).select([F.col(f.name).cast(f.dataType) for f in schemas.REJECTS.fields])
+    there = rows.sparkSession.table(rejects).filter(F.col("run") == run).select(
+        *(F.col(c).alias(f"_{c}") for c in (*URL_KEY, "reject_reason")))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*URL_KEY, "reject_reason")]
+    bad.join(there, reduce(Column.__and__, same), "left_anti").write.insertInto(rejects)
+
+
+def write_json(rows: DataFrame, folder: str, at: dt.datetime | None = None) -> str:
+    """JSON lines in a new folder below ``folder``, named by the time; timestamps as ISO text. Returns its path.
+
+    An earlier run's rows are never overwritten: a name that is taken fails.
+    """
     stamps = [f.name for f in rows.schema.fields if f.dataType.typeName().startswith("timestamp")]
-    rows.withColumns({c: tx.iso_timestamp(F.col(c)) for c in stamps}).write.mode("overwrite").json(path)
+    path = f"{folder.rstrip('/')}/results_{(at or dt.datetime.now(dt.timezone.utc)).strftime('%Y%m%d_%H%M%S_%f')}"
+    rows.withColumns({c: tx.iso_timestamp(F.col(c)) for c in stamps}).write.json(path)
+    return path
 
 
 def keys_of(rows: DataFrame) -> DataFrame:
@@ -89,7 +120,7 @@ def existing_urls(candidates: DataFrame, stored: DataFrame) -> DataFrame:
 
 def new_urls(candidates: DataFrame, stored: DataFrame) -> DataFrame:
     """Candidates not stored, with their order columns. Candidates are distinct per URL."""
-    return candidates.join(existing_urls(candidates, stored), URL_KEY, "left_anti")
+    return candidates.join(stored.select(*URL_KEY), URL_KEY, "left_anti")
 
 
 def union_all_sites(tables: Sequence[DataFrame]) -> DataFrame:

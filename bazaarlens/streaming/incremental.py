@@ -12,30 +12,32 @@ from bazaarlens.sources.captures import CAPTURE_SCHEMA, prefer_rendered
 
 
 def new_listings(captures: DataFrame, stored: DataFrame, extractors: dict[str, Site] | None = None) -> DataFrame:
-    """Captures to listings rows whose URL is not stored yet.
+    """Captures to listings rows whose URL is not stored yet, with ``reject_reason`` where one can't be stored.
 
-    The anti-join comes before the parse, so known pages are neither parsed nor extracted. What
-    is known is looked up by URL alone, without reading the pages a second time.
+    What is known is dropped by URL alone, before a page is moved, parsed or extracted.
     """
     named = captures.withColumnRenamed("url", "listing_url")
-    known = store.existing_urls(named, stored)
-    fresh = prefer_rendered(named, *store.URL_KEY).join(known, store.URL_KEY, "left_anti")
-    records = extract_listings(fresh.select(*store.URL_KEY, "fetched_at", "html"), extractors)
-    return store.to_listings(store.canonical(records), F.col("fetched_at"))
+    fresh = prefer_rendered(named, *store.URL_KEY, known=store.existing_urls(named, stored))
+    records = extract_listings(fresh.select(*store.URL_KEY, "fetched_at", "html"), extractors, with_rejects=True)
+    return store.to_listings(store.canonical(records), F.col("fetched_at"), "reject_reason")
 
 
-def ingest_batch(table: str, extractors: dict[str, Site] | None = None) -> Callable[[DataFrame, int], None]:
+def ingest_batch(table: str, extractors: dict[str, Site] | None = None, rejects: str | None = None) -> Callable[[DataFrame, int], None]:
     """A batch function. Repeating a batch appends nothing: what it wrote before is stored by then."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        stored = batch.sparkSession.table(table)
-        store.append_listings(new_listings(batch, stored, extractors), table)
+        spark = batch.sparkSession
+        bad = rejects or f"{table}_rejects"
+        store.create_rejects_table(spark, bad)
+        store.append_outcomes(new_listings(batch, spark.table(table), extractors), table, bad, f"batch {batch_id}")
     return run
 
 
 def incremental_ingest(spark: SparkSession, capture_dir: str, table: str, checkpoint: str,
-                       files_per_batch: int = 1000, extractors: dict[str, Site] | None = None) -> StreamingQuery:
-    """Work off all capture files not seen before, then stop."""
+                       files_per_batch: int = 1000, extractors: dict[str, Site] | None = None,
+                       rejects: str | None = None) -> StreamingQuery:
+    """Work off all capture files not seen before, then stop. What can't be stored goes to ``rejects``
+    (``<table>_rejects``) with its reason."""
     return (
         spark.readStream.schema(CAPTURE_SCHEMA).option("maxFilesPerTrigger", files_per_batch).parquet(capture_dir)
-        .writeStream.foreachBatch(ingest_batch(table, extractors))
+        .writeStream.foreachBatch(ingest_batch(table, extractors, rejects))
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
