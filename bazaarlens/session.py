@@ -2,7 +2,6 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +36,7 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 _OWNED: list[str] = []
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def own(path: str) -> str:
@@ -62,16 +62,13 @@ def remove_owned() -> None:
 
 def cut(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and go on from there: one computation, however many
-    readers, each reading only its columns, and nothing to recompute when an executor is lost."""
-    path = own(fresh_path(df.sparkSession, "cut"))
-    df.write.parquet(path)
+    readers, each reading only its columns, and nothing to recompute when an executor is lost.
+    What was shuffled on the way is removed as soon as the rows are written."""
+    spark, path = df.sparkSession, own(fresh_path(df.sparkSession, "cut"))
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner remove the shuffle files of steps that no DataFrame refers to any more.
-
-    It goes by the garbage collection of both sides of the driver, which may be long in coming.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
