@@ -151,7 +151,6 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     keyed = _keyed(docs)
     marks = session.cut(_marks(keyed, window))
-    session.release(docs.sparkSession)
     marked = keyed.join(marks, ["k", "tag"]).select("k", "tag", "text", "marks")
     least = _windows(marked, window, "earlier").groupBy("w", "x").agg(F.min("k").alias("least"))
     hits = _windows(marked, window, "later").join(least, ["w", "x"]).filter("least < k")
