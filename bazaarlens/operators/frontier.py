@@ -9,7 +9,8 @@ from bazaarlens import fixed_values as fv
 from bazaarlens.functions import text as tx
 from bazaarlens.operators.extract import JSONLD, NEXTDATA, OUTLINE_COLUMNS, by_site
 from bazaarlens.operators.selectors import E, all_of, first
-from bazaarlens.operators.skew import first_per_group, join_group_facts
+from bazaarlens.operators.skew import first_per_group
+from bazaarlens.session import cut
 
 _LINKS = {
     "BizBuySell": E("div", cls="search-result-card") >> E("a"),
@@ -107,15 +108,29 @@ def links_of(pages: DataFrame, column: str) -> DataFrame:
 
 
 def explode_links(pages: DataFrame) -> DataFrame:
-    """One row per link. A page's spare links are used when none of its own occurs first on
-    that page within its search URL (B5).
+    """One row per link. A page's spare links are used when it offers no own link that is new at that
+    point of its search URL, own links and used spare links of earlier pages being known (B5).
 
+    Whether a page needs its spare links depends on earlier pages only, and more used links can only
+    make more pages need theirs: starting from none, the set of such pages grows to the one that
+    reading in order would find. A round costs two grouped aggregates and sends one count to the driver.
     Reads its input more than once: pass a cut or stored result of ``discover_links``.
     """
     own = links_of(pages, "candidates")
-    spare = links_of(pages.filter(F.col("source_site").isin(*_FALLBACK_SITES)), "spare")
-    new_own = new_per_page(own.filter(F.col("source_site").isin(*_FALLBACK_SITES)))
-    return own.unionByName(spare.join(new_own.select(*_PAGE_KEY), _PAGE_KEY, "left_anti"))
+    at = F.col("source_site").isin(*_FALLBACK_SITES)
+    fallback, own_there = pages.filter(at), own.filter(at)
+    spare = links_of(fallback, "spare")
+
+    def without_new(used: DataFrame) -> DataFrame:
+        """Pages of which every own link occurs on an earlier page, own or used there."""
+        first = own_there.unionByName(used).groupBy("source_site", "search_url", "url").agg(F.min("page").alias("page"))
+        new = own_there.join(first, [*_PAGE_KEY, "url"], "left_semi").select(*_PAGE_KEY)
+        return cut(fallback.select(*_PAGE_KEY).distinct().join(new, _PAGE_KEY, "left_anti"))
+
+    needing, before = without_new(spare.limit(0)), 0
+    while (n := needing.count()) > before:
+        before, needing = n, without_new(spare.join(needing, _PAGE_KEY, "left_semi"))
+    return own.unionByName(spare.join(needing, _PAGE_KEY, "left_semi"))
 
 
 # digits kept for each part of a crawl position; a value too large fails, it never wraps
@@ -142,10 +157,6 @@ def first_occurrences(links: DataFrame) -> DataFrame:
     return _first(links, ["source_site", "search_url", "url"], ["page", "pos"])
 
 
-def new_per_page(links: DataFrame) -> DataFrame:
-    return first_occurrences(links).groupBy(*_PAGE_KEY).agg(F.count("*").alias("n_new"))
-
-
 def dedup_ordered(links: DataFrame) -> DataFrame:
     """B8 across search URLs: a site's distinct URLs at their first (search, page, position)."""
     return _first(links, ["source_site", "url"], ["search_pos", "page", "pos"])
@@ -195,7 +206,8 @@ def page_limits(links: DataFrame, pages: DataFrame) -> DataFrame:
 def truncate_frontier(links: DataFrame, pages: DataFrame, max_pages: int | None = None) -> DataFrame:
     """First occurrences on the pages a crawl keeps."""
     found = first_occurrences(links if max_pages is None else links.filter(F.col("page") <= max_pages))
-    kept = join_group_facts(found, page_limits(links, pages), ["source_site", "search_url"], F.col("url"))
+    # limits are a row per search; a hot search's links are split by adaptive skew handling
+    kept = found.join(page_limits(links, pages), ["source_site", "search_url"])
     return kept.filter(F.col("page") <= F.col("last_page")).drop("last_page")
 
 

@@ -1,33 +1,20 @@
-"""Joins and top-n that stay even when one key holds a large share of the rows."""
+"""Top-n that stays even when one key holds a large share of the rows."""
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SALTS = 32
-
-
-def join_group_facts(rows: DataFrame, facts: DataFrame, keys: Sequence[str], spread: Column,
-                     salts: int = SALTS) -> DataFrame:
-    """Attach one fact row per group to all rows of the group.
-
-    ``facts`` holds at most one row per group and few columns, so each is copied ``salts``
-    times and a hot group's rows are spread over as many tasks. Adaptive execution still
-    turns this into a broadcast when the measured size allows it.
-    """
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
-    copies = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*keys, "_salt"]).drop("_salt")
-
 
 def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, spread: Column,
-                    salts: int = SALTS) -> DataFrame:
+                    salts: int | None = None) -> DataFrame:
     """The first ``n`` rows of every group, exactly.
 
     Each salt slice of a group keeps its own first ``n``; only those survivors meet in the
-    group's final ranking, so no task sees more than ``salts * n`` rows of a group.
+    group's final ranking. A group has as many slices as a shuffle has partitions, so a hot one
+    uses all tasks that the size of the job asks for.
     """
+    salts = salts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     local = salted.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_salt").orderBy(*order)))
     kept = local.filter(F.col("_rn") <= n).drop("_salt", "_rn")

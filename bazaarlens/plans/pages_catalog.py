@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 from bazaarlens import fixed_values as fv
 from bazaarlens.operators import cards, extract, frontier, quality
 from bazaarlens.operators.selectors import E, all_of, attr_of, first, let, spaced_text, text, text_of
-from bazaarlens.plans import inputs as i, page_inputs as p
+from bazaarlens.plans import ingest, inputs as i, page_inputs as p
 from bazaarlens.plans.functions_catalog import LISTINGS, _FACTS, _sql_category
 from bazaarlens.plans.registry import query, table
 from bazaarlens.plans.tables_catalog import PRICED, priced_listings
 from bazaarlens.session import cut, fresh_path
-from bazaarlens.sources import store
+from bazaarlens.sources import runlog, store
 from bazaarlens.sources.html import flatten_pages
 from bazaarlens.streaming.incremental import incremental_ingest
 
@@ -63,9 +63,12 @@ def b4(spark, sf_dir):
 _RESULT_LINKS = "WITH " + i.cte(p.RESULT_LINKS)
 
 
-def _result_pages(spark, sf_dir):
-    outlines = _outlines(spark, sf_dir, p.RESULT_PAGES)
-    return frontier.discover_links(outlines).drop("p_partkey")
+def _result_pages(spark, sf_dir, site=None):
+    """Results pages with their links; of one site, chosen before anything is parsed."""
+    pages = i.bind(spark, sf_dir, p.RESULT_PAGES, spread=True)
+    if site:
+        pages = pages.filter(C("source_site") == site)
+    return frontier.discover_links(flatten_pages(pages)).drop("p_partkey")
 
 
 @query("b4_site_links", f"""{_RESULT_LINKS} SELECT source_site, search_url, page, spare, url, count(*) AS n
@@ -83,14 +86,43 @@ _USED = "NOT spare OR page % 4 = 3 OR page >= 30"
 @query("b5_jsonld_links", f"""{_RESULT_LINKS} SELECT search_url, page, url, count(*) AS n FROM offered
 WHERE source_site = 'BizBuySell' AND ({_USED}) GROUP BY ALL""")
 def b5(spark, sf_dir):
-    pages = _result_pages(spark, sf_dir).filter(C("source_site") == "BizBuySell")
+    pages = _result_pages(spark, sf_dir, "BizBuySell")
     return frontier.explode_links(cut(pages)).groupBy("search_url", "page", "url").agg(F.count("*").alias("n"))
 
 
+_SHOP = "https://www.bizbuysell.com/business/"
+
+
+@query("b5_overlapping_links", f"""WITH RECURSIVE pages AS (SELECT concat('s', p_partkey % 7) AS search_url, p_partkey // 7 + 1 AS page, p_partkey % 2 = 0 AS has_json,
+    ['{_SHOP}' || (p_partkey // 7 * 3 % 11) || '/', '{_SHOP}' || (p_partkey // 7 * 7 % 13) || '/'] AS ld,
+    ['{_SHOP}' || (p_partkey // 7 * 5 % 17) || '/', '{_SHOP}' || (p_partkey // 7 % 23) || '/'] AS css FROM part),
+own AS (SELECT search_url, page, CASE WHEN has_json THEN ld ELSE CAST([] AS VARCHAR[]) END AS own, css FROM pages),
+walk AS (SELECT search_url, page, own, css, len(own) = 0 AS spare, CASE WHEN len(own) = 0 THEN css ELSE own END AS seen
+    FROM own WHERE page = (SELECT min(page) FROM own o WHERE o.search_url = own.search_url)
+  UNION ALL SELECT o.search_url, o.page, o.own, o.css, len(list_filter(o.own, lambda u: NOT list_contains(w.seen, u))) = 0,
+    list_distinct(list_concat(w.seen, CASE WHEN len(list_filter(o.own, lambda u: NOT list_contains(w.seen, u))) = 0 THEN o.css ELSE o.own END))
+  FROM walk w JOIN own o ON o.search_url = w.search_url AND o.page = w.page + 1),
+used AS (SELECT search_url, page, unnest(own) AS url FROM walk UNION ALL SELECT search_url, page, unnest(css) FROM walk WHERE spare)
+SELECT search_url, CAST(page AS INTEGER) AS page, url, count(*) AS n FROM used GROUP BY ALL""")
+def b5_overlapping(spark, sf_dir):
+    """Own and spare links of one URL space: a spare link used earlier makes an own link old."""
+    item = "concat('/business/', CAST({} AS STRING), '/')"
+    step = "(p_partkey DIV 7)"
+    ld = [item.format(f"{step} * 3 % 11"), item.format(f"{step} * 7 % 13")]
+    css = [item.format(f"{step} * 5 % 17"), item.format(f"{step} % 23")]
+    about = ", ', ', ".join(f"""'{{"item":{{"url":"https://www.bizbuysell.com', {u}, '"}}}}'""" for u in ld)
+    cards = ", ".join(f"""'<div class="search-result-card"><a href="', {u}, '">x</a></div>'""" for u in css)
+    pages = i.bind(spark, sf_dir, f"""SELECT 'BizBuySell' AS source_site, concat('s', CAST(p_partkey % 7 AS STRING)) AS search_url,
+      CAST({step} + 1 AS INT) AS page, concat(CASE WHEN p_partkey % 2 = 0 THEN
+      concat('<script type="application/ld+json">{{{{"about":[', {about.replace('{', '{{').replace('}', '}}')}, ']}}}}</script>') ELSE '' END, {cards}) AS html FROM {{part}}""", spread=True)
+    links = frontier.explode_links(cut(frontier.discover_links(flatten_pages(pages))))
+    return links.groupBy("search_url", "page", "url").agg(F.count("*").alias("n"))
+
+
 @query("b6_nextdata_links", f"""{_RESULT_LINKS} SELECT search_url, page, url, count(*) AS n FROM offered
 WHERE source_site = 'Acquire' GROUP BY ALL""")
 def b6(spark, sf_dir):
-    pages = _result_pages(spark, sf_dir).filter(C("source_site") == "Acquire")
+    pages = _result_pages(spark, sf_dir, "Acquire")
     return frontier.links_of(pages, "candidates").groupBy("search_url", "page", "url").agg(F.count("*").alias("n"))
 
 
@@ -184,6 +216,62 @@ def h1(spark, sf_dir):
     return spark.table(name).select("source_site", "listing_url", "title", "price", "revenue", "cash_flow")
 
 
+_BAD = {"unknown": "p_partkey % 19 = 7", "broken": "p_partkey % 13 = 5", "untimed": "p_partkey % 17 = 3"}
+
+
+def _awkward_pages(spark, sf_dir):
+    """The mixed pages, some with a marked section no parser knows, some without a time, some of an unknown site."""
+    return _mixed_pages(spark, sf_dir).select(
+        C("listing_url").alias("url"), F.when(F.expr(_BAD["broken"]), F.concat("html", F.lit("<![foo[y]]>"))).otherwise(C("html")).alias("html"),
+        F.lit(False).alias("rendered"), F.when(~F.expr(_BAD["untimed"]), F.lit("2024-05-01 02:00:00").cast("timestamp")).alias("fetched_at"),
+        F.when(F.expr(_BAD["unknown"]), F.lit("Nowhere")).otherwise(C("source_site")).alias("source_site"))
+
+
+_SITE_SQL = "CASE p_partkey % 9 " + " ".join(f"WHEN {n} THEN '{site}'" for n, site in enumerate(p.LISTING_PAGES)) + " END"
+# a page without a record is neither stored nor rejected; unless it is of an unknown site or can't be read
+_AWKWARD = f"""WITH q AS ({_mixed_sql("p_partkey AS k, title")}), judged AS (SELECT {p.LISTING_URL.replace('STRING', 'VARCHAR')} AS listing_url, title,
+  CASE WHEN {_BAD['unknown']} THEN 'Nowhere' ELSE {_SITE_SQL} END AS source_site, q.k IS NOT NULL AS has_record, CASE
+  WHEN {_BAD['unknown']} THEN 'no extractor for site Nowhere'
+  WHEN {_BAD['broken']} THEN 'page cannot be read: AssertionError: unknown status keyword ''foo'' in marked section'
+  WHEN {_BAD['untimed']} AND q.k IS NOT NULL THEN 'scraped_at is missing' END AS reject_reason FROM part LEFT JOIN q ON part.p_partkey = q.k)"""
+
+
+@query("e4_malformed_pages", f"""{_AWKWARD}
+SELECT source_site, listing_url, CASE WHEN reject_reason IS NULL THEN title END AS title, reject_reason FROM judged
+WHERE has_record OR reject_reason IS NOT NULL""")
+def e4_malformed(spark, sf_dir):
+    """Good rows and rejects of a stream over awkward pages, dropped twice."""
+    folder = fresh_path(spark, "stream")
+    name = "bazaarlens_" + folder.rsplit("-", 1)[1]
+    store.create_listings_table(spark, name)
+    for _ in range(2):
+        _awkward_pages(spark, sf_dir).write.mode("append").parquet(f"{folder}/captures")
+        incremental_ingest(spark, f"{folder}/captures", name, f"{folder}/progress").awaitTermination()
+    good = spark.table(name).select("source_site", "listing_url", "title", F.lit(None).cast("string").alias("reject_reason"))
+    bad = spark.table(f"{name}_rejects").select("source_site", "listing_url", F.lit(None).cast("string").alias("title"), "reject_reason")
+    return good.unionByName(bad.distinct())  # each drop is a run of its own
+
+
+@query("f6_ingest_run_log", f"""{_AWKWARD}, asked AS (SELECT unnest(['Silent', 'Nowhere', {", ".join(f"'{s}'" for s in p.LISTING_PAGES)}]) AS site_name),
+seen AS (SELECT source_site AS site_name, count(*) AS n, count(reject_reason) AS bad,
+  count(*) FILTER (has_record AND reject_reason IS NULL) AS stored FROM judged GROUP BY 1)
+SELECT site_name, 'completed' AS status, COALESCE(n, 0) AS total_listings_found, CAST(0 AS BIGINT) AS existing_listings, COALESCE(n, 0) AS new_listings,
+  COALESCE(stored, 0) AS successful_scrapes, COALESCE(n - stored, 0) AS failed_scrapes, COALESCE(bad, 0) AS error_count, 10 + COALESCE(n, 0) AS api_calls_made
+FROM asked LEFT JOIN seen USING (site_name)""")
+def f6_ingest(spark, sf_dir):
+    """The log of a whole run over awkward pages, one site asked for having no URL."""
+    folder = fresh_path(spark, "run")
+    name = "bazaarlens_" + folder.rsplit("-", 1)[1]
+    store.create_listings_table(spark, name)
+    store.create_log_table(spark, f"{name}_log")
+    pages = cut(_awkward_pages(spark, sf_dir))  # captures are a stored table
+    found = pages.select("source_site", C("url").alias("listing_url"))
+    ingest.ingest_run(spark, "r", found, pages, name, f"{name}_log", F.lit(1), sites=["Silent", "Nowhere", *p.LISTING_PAGES])
+    return runlog.current_run_log(spark.table(f"{name}_log")).select(
+        "site_name", "status", "total_listings_found", "existing_listings", "new_listings", "successful_scrapes", "failed_scrapes",
+        "error_count", "api_calls_made")
+
+
 @query("c1_first_node_text", """SELECT p_partkey, CASE p_partkey % 4 WHEN 3 THEN NULL ELSE p_name END AS title FROM part""")
 def c1(spark, sf_dir):
     return _outlines(spark, sf_dir, p.FEINTERNATIONAL).select(

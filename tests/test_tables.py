@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from bazaarlens import fixed_values as fv, schemas
 from bazaarlens.operators import report
 from bazaarlens.plans.ingest import ingest_run
-from bazaarlens.operators.skew import first_per_group, join_group_facts
+from bazaarlens.operators.skew import first_per_group
 from bazaarlens.session import shared_dir
 from bazaarlens.sources import captures, runlog, sites, store
 from bazaarlens.streaming.incremental import incremental_ingest
@@ -92,11 +92,30 @@ def test_first_per_group_is_exact_on_a_hot_group(spark):
     assert [r.id for r in out.collect()] == [4994, 4996, 4997, 4999]
 
 
-def test_group_facts_reach_every_row(spark):
-    rows = spark.range(1000).select(F.lit("k").alias("k"), "id")
-    facts = spark.createDataFrame([("k", 7)], "k string, fact int")
-    out = join_group_facts(rows, facts, ["k"], F.col("id"))
-    assert (out.count(), out.agg(F.sum("fact")).first()[0]) == (1000, 7000)
+def test_first_per_group_beyond_a_thousand(spark):
+    df = spark.range(9000).select(F.when(F.col("id") % 5 > 0, "hot").otherwise("cold").alias("k"), "id")
+    out = first_per_group(df, ["k"], [F.desc("id")], 1500, F.col("id")).filter("k = 'hot'")
+    assert sorted(r.id for r in out.collect()) == sorted([i for i in range(8999, -1, -1) if i % 5 > 0][:1500])
+
+
+def test_pages_are_not_sorted_and_move_once_at_most(spark, tmp_path):
+    shots = spark.createDataFrame([("u", "<p>", True, dt.datetime(2024, 5, 1), "Flippa")], captures.CAPTURE_SCHEMA)
+    shots.write.parquet(str(tmp_path / "c"))
+    named = spark.read.parquet(str(tmp_path / "c")).withColumnRenamed("url", "listing_url")
+    known = spark.createDataFrame([("Flippa", "v")], "source_site string, listing_url string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        fresh = captures.prefer_rendered(named, *store.URL_KEY, known=known)
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    single = plan[:plan.index("dropDuplicates") if "dropDuplicates" in plan else plan.index("SortAggregate")]
+    assert "ShuffledHashJoin" in single and "SortMergeJoin" not in single.split("LeftSemi")[0]
+    ranking = [line for line in plan.splitlines() if "Aggregate" in line and "_digest" in line]
+    assert ranking and not any("html" in line.split("functions=")[-1] for line in ranking)
+    assert [r.listing_url for r in fresh.collect()] == ["u"]
 
 
 def test_stored_table_prunes_to_one_site(spark, tmp_path):
