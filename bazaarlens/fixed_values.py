@@ -88,7 +88,6 @@ BQ_ESTATE_NO = r"lease|rent|no real estate"
 BQ_REASON = r"(?:reason for selling|selling because)[:\s]*([^.]+)"
 BQ_FINANCING = r"financing available|seller financing|owner financing|sba"
 BQ_TRAINING = r"training provided|training included|will train"
-SLUG_AFTER = r"/business-for-sale/([^/]+)/"
 
 FL_PRICE_NODE = r"USD\s*\$?" + N  # case-sensitive
 FL_PRICE = r"(?:Asking Price|Buy It Now)[:\s]*\$?" + N
@@ -147,9 +146,6 @@ CARD_BBS_REVENUE = r"(?:gross revenue|revenue)[:\s]*\$?" + N
 
 # --- fixed values: page-quality checks ---------------------------------------------
 MONEY_VALUE = r"\$[\d,]+(?:\.\d{2})?"
-LINK_PARTS = ("/startups/", "/startup/", "/listing/", "/business/", "/company/")
-LINK_SKIP = ("#", "javascript:", "mailto:")
-PORTFOLIO_PARTS = ("/portfolio/", "/business/", "listing")
 META_WORDS = ("price", "title", "description")
 DEAD_TITLE = r"404|not found"
 

@@ -1,10 +1,14 @@
 """Outlines, extraction, cards and the crawl on small literal pages."""
+import time
+
 from pyspark.sql import Row, functions as F
 
+
+from bazaarlens import fixed_values as fv
 from bazaarlens.operators import cards, extract, frontier, quality
 from bazaarlens.operators.selectors import E, all_of, spaced_text, stripped, text_of
 from bazaarlens.session import cut
-from bazaarlens.sources.html import _bounded, flatten_pages
+from bazaarlens.sources.html import _Outline, _bounded, flatten_pages
 
 
 def outline(spark, *pages, **extra):
@@ -150,3 +154,42 @@ def test_keyword_in_context_with_a_value_after_it(spark):
     df = spark.createDataFrame([(1, "net profit: $1,200 a month")], "id int, text string")
     row = quality.keyword_in_context(df, "profit", r"[:\s]*\$?[\d,]+", chars=4).first()
     assert (row.found, row.context) == ("profit: $1,200", "net profit: $1,200 a m")
+
+
+def test_unreadable_pages_are_marked_and_the_others_come_out(spark):
+    df = outline(spark, "<p>a</p><![foo[y]]>", "<h1>good</h1>", "<b>x</b><![ x", source_site="WebsiteClosers", listing_url="u")
+    rows = {r.page_id: r.parse_error for r in df.select("page_id", "parse_error").collect()}
+    assert rows[1] is None and "AssertionError" in rows[0] and rows[2]
+    good = extract.extract_outlines(df).collect()
+    assert [(r.page_id, r.title) for r in good] == [(1, "good")]
+    both = {r.page_id: r.reject_reason for r in extract.extract_outlines(df, with_rejects=True).collect()}
+    assert both[1] is None and all(both[n].startswith("page cannot be read: ") for n in (0, 2))
+
+
+def test_stray_end_tags_take_linear_time(spark):
+    n = 20_000
+    for page in ("<div>" * n + "</p>" * n, "<ul>" + "<div>" * n + "<li></li>" * n, "<b>" * n + "<p></p>" * n + "a&amp;" * n):
+        start = time.process_time()
+        _Outline().outline(page)
+        assert time.process_time() - start < 3
+
+
+def test_an_unreadable_row_leaves_the_one_before_it(spark):
+    rows = "".join(f"<li><h6>{a}</h6><p>{b}</p></li>" for a, b in (("Multiple", "3.5"), ("Multiple", "n/a"), ("Revenue", "$5"), ("Revenue", "none")))
+    page = f'<h3>t</h3><div class="inform_revenue single_business">{rows}</div>'
+    lines = "".join(f'<div class="line"><div class="left">Year Established</div><div class="right">{y}</div></div>' for y in ("1999", "long ago"))
+    both = (outline(spark, page, source_site="QuietLight", listing_url="u")
+            .unionByName(outline(spark, f'<h1>t</h1><div class="sb-table">{lines}</div>', source_site="WebsiteClosers", listing_url="v")))
+    got = {r.listing_url: r for r in extract.extract_outlines(both).collect()}
+    assert got["u"].multiple == 3.5 and got["u"].revenue is None and got["v"].established_year == 1999
+
+
+def test_fixed_values_hold_the_words_they_should():
+    assert {"kindle", "audible", "amazon kdp", "amazon affiliate"} <= set(fv.AMAZON_RELATED)
+    assert fv.FBA_URL_TERMS == ("amazon", "fba") and (fv.FBA_URL_WEIGHT, fv.ECOMMERCE_WEIGHT, fv.FBA_THRESHOLD) == (2.0, 0.5, 1.0)
+    assert fv.ECOMMERCE_TERMS == ("ecommerce", "e-commerce", "online retail")
+    assert {"amazon fba", "asin", "private label"} <= set(fv.FBA_KEYWORDS)
+    assert fv.YEAR_WINDOW == (1900, 2025) and fv.ESTIMATED_SEARCH_PAGES == 10
+    assert fv.BQ_FINANCING == "financing available|seller financing|owner financing|sba"
+    assert fv.STOP_ON_NO_NEW == ("BizBuySell", "BizQuest", "Flippa", "WebsiteClosers")
+    assert len(fv.SITES) == 9 and fv.SITES[0][1].startswith("https://")
