@@ -45,8 +45,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = quality_rules.label_quality(table(spark, sf_dir, "labels"))
-    taught = docs.filter(id_crc32(F.col("doc_id"), 5) != 0).join(labels, F.col("doc_id") == F.col("_id"))
-    model = quality_ranking.fit_ranking(taught, "_label")
+    model = quality_ranking.fit_ranking(docs.filter(id_crc32(F.col("doc_id"), 5) != 0), labels)
     scored = quality_ranking.score_quality(docs, model)
     return scored.select("doc_id", F.coalesce(id_crc32(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import window as W
 
 from bazaarlens.llm.features import STYLE, gram_counts, style
 from bazaarlens.llm.rows import bounded, free_name, text_bytes
@@ -36,20 +37,23 @@ def _features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.stack(rows) if rows else np.empty((0, STYLE + (1 << BITS)), np.float32)
 
 
-def fit_ranking(labelled: DataFrame, label: str = "quality", per_label: int = 3000, pairs_each: int = 12, rounds: int = 300,
+def fit_ranking(docs: DataFrame, labels: DataFrame, per_label: int = 3000, pairs_each: int = 12, rounds: int = 300,
                 seed: int = 11) -> Ranking | None:
-    """Fit on a sample of about ``per_label`` rows (doc_id, text) of each label, chosen by a hash of the id.
+    """Fit on a sample of ``docs`` (doc_id, text): up to ``per_label`` ids of each label, the smallest by a hash.
 
-    The quantile uses the counts of both labels over all of ``labelled``. NULL labels and texts teach
-    nothing; None without rows of both labels.
+    ``labels`` has _id and _label, one row an id. The quantile uses the counts of both labels over all
+    documents. Texts are read for the sample alone, at most four times as many rows where ids repeat. NULL
+    labels, ids and texts teach nothing; None without rows of both labels.
     """
-    rows = labelled.filter(F.col(label).isin(0, 1) & F.col("text").isNotNull()).select(F.col(label).cast("int").alias("y"), "doc_id", "text")
-    counts = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
+    usable = docs.filter(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "text")
+    named = usable.select("doc_id").join(labels.filter(F.col("_label").isin(0, 1)), F.col("doc_id") == F.col("_id"))
+    ids = named.groupBy(F.col("_label").cast("int").alias("y"), "doc_id").agg(F.count("*").alias("n"))
+    ranked = F.row_number().over(W.Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    counts = {r["y"]: r["n"] for r in ids.groupBy("y").agg(F.sum("n").alias("n")).collect()}
     if len(counts) < 2:
         return None
-    # The share of the hash's range that holds about per_label rows of the label.
-    limit = F.when(F.col("y") == 1, min(1.0, per_label / counts[1])).otherwise(min(1.0, per_label / counts[0]))
-    chosen = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < limit * 1_000_003)
+    picked = ids.withColumn("place", ranked).filter(F.col("place") <= per_label).select("y", "doc_id")
+    chosen = usable.join(F.broadcast(picked), "doc_id").limit(8 * per_label)  # at most 2 * per_label ids are broadcast
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches, "text"):
