@@ -69,7 +69,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_packing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack_documents(table(spark, sf_dir, "documents"), corpus_pipeline.TOKENIZER, corpus_pipeline.CAPACITY, corpus_pipeline.RANKS)
 
 
 #: Rules of the contract (host, path, verdict).

@@ -7,6 +7,7 @@ best-fits the displaced pieces. Between epochs the best packings of an island mi
 """
 from __future__ import annotations
 
+import base64
 import os
 import re
 import zlib
@@ -21,95 +22,58 @@ from pyspark.sql import functions as F
 from bazaarlens import session
 from bazaarlens.llm.rows import bounded, text_bytes
 
-_UNIT = re.compile(rb"[ \t\n\x0b\f\r]*[^ \t\n\x0b\f\r]+|[ \t\n\x0b\f\r]+")
-#: Bytes after which white space may not begin a new unit: all but printable ASCII and U+00C0 to U+00FF.
-_ODD = re.compile(rb"[\x00-\x08\x0e-\x1f\x7f\xc2\xc4-\xff]")
-_TOKENIZERS: dict[str, object] = {}
+#: Bytes beyond printable ASCII, ASCII white space and U+00C0 to U+00FF, and the mark that the vocabulary has of its own.
+_OTHER = re.compile(rb"[\x00-\x08\x0e-\x1f\x7f\xc2\xc4-\xff]|<\|")
+_TOKENIZERS: dict[tuple[str, str | None], "Tokenizer"] = {}
 
 
-class UnitTokenizer:
-    """Ids of a byte-level BPE tokenizer, by units of white space and the word after it.
+class Tokenizer:
+    """Ids of a byte-level BPE tokenizer file.
 
-    Its pattern never joins a character and white space after it, so a text's ids are those of its units
-    one after the other. Ids of up to ``most`` distinct units are kept; then the memory starts anew.
+    ``ranks_path`` may name the same vocabulary as ranks with the pattern ``pattern``; a faster library then
+    takes the texts of plain Latin letters, digits, signs and white space, on which the two can't differ. All
+    other texts, and those with a mark such as the end of a text, are the tokenizer file's.
     """
 
-    def __init__(self, path: str, most: int = 250_000):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, ranks_path: str | None = None, pattern: str | None = None):
+        from tokenizers import Tokenizer as FromFile
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.post_processor = None  # adds nothing here; without it offsets are not trimmed
-        self.known: dict[bytes, bytes] = {}
-        self.most = most
-
-    def units(self, text: bytes) -> list[bytes]:
-        units = _UNIT.findall(text)
-        if not _ODD.search(text):
-            return units
-        merged: list[bytes] = []
-        safe = True
-        for unit in units:
-            if safe:
-                merged.append(unit)
-            else:
-                merged[-1] += unit
-            end = unit[-1]
-            safe = 0x21 <= end <= 0x7E or (0x80 <= end <= 0xBF and unit[-2:-1] == b"\xc3")
-        return merged
-
-    def learn(self, units: set[bytes]) -> None:
-        if len(self.known) + len(units) > self.most:
-            self.known.clear()
-        # Units that begin with white space may stand in one string; the others begin a string of their own.
-        strings: list[list[bytes]] = [[]]
-        size = 0
-        for unit in units:
-            if unit[0] not in b" \t\n\x0b\f\r" or size > 4000:
-                strings.append([])
-                size = 0
-            strings[-1].append(unit)
-            size += len(unit)
-        strings = [s for s in strings if s]
-        found = self.tokenizer.encode_batch([b"".join(s).decode("utf-8", "replace") for s in strings], add_special_tokens=False)
-        for string, encoded in zip(strings, found):
-            ids = np.array(encoded.ids, "<u4")
-            ends = np.cumsum([len(u.decode("utf-8", "replace")) for u in string])
-            stop = np.searchsorted(np.array([e for _, e in encoded.offsets], np.int64), ends, "right")
-            raw = ids.tobytes()
-            for unit, a, b in zip(string, [0, *stop[:-1].tolist()], stop.tolist()):
-                self.known[unit] = raw[4 * a:4 * b]
-
-    def ids(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
-        cut = [self.units(t) for t in texts]
-        new = {u for units in cut for u in units if u not in self.known}
-        if new:
-            if len(self.known) + len(new) > self.most:
-                new = {u for units in cut for u in units}
-            self.learn(new)
-        get = self.known.__getitem__
-        return [b"".join(map(get, units)) for units in cut]
-
-
-def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int = 0, with_ids: bool = False,
-                 text_column: str = "text", id_column: str = "doc_id") -> DataFrame:
+        self.exact = FromFile.from_file(path)
+        self.fast = None
+        if ranks_path:
+            import tiktoken
+            with open(ranks_path, "rb") as lines:
+                ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+            self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+
+    def ids(self, text: bytes) -> bytes:
+        """The ids as little-endian unsigned 32-bit numbers."""
+        whole = text.decode("utf-8", "replace")
+        if self.fast is not None and not _OTHER.search(text):
+            return np.array(self.fast.encode_ordinary(whole), "<u4").tobytes()
+        return np.array(self.exact.encode(whole, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, ranks: tuple[str, str] | None = None, end_id: int = 0,
+                 with_ids: bool = False, text_column: str = "text", id_column: str = "doc_id") -> DataFrame:
     """``row`` (a number per row of ``docs``), doc_id, piece, start, length, ids_crc32, and ids if asked for.
 
     A document is its ids and ``end_id``; only one longer than ``capacity`` is cut, its first piece being
-    the shorter one. A NULL text is an empty one; ids may be NULL or repeat.
+    the shorter one. A NULL text is an empty one; ids may be NULL or repeat. ``ranks``: path and pattern of
+    the same vocabulary, see ``Tokenizer``.
     """
     names = ["row", "doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
     end = np.array([end_id], "<u4").tobytes()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _TOKENIZERS.get(tokenizer_path) or _TOKENIZERS.setdefault(tokenizer_path, UnitTokenizer(tokenizer_path))
+        key = (tokenizer_path, ranks[0] if ranks else None)
+        tokenizer = _TOKENIZERS.get(key) or _TOKENIZERS.setdefault(key, Tokenizer(tokenizer_path, *(ranks or ())))
         for batch in bounded(batches, "text"):
             data, offsets = text_bytes(batch.column("text"))
             raw = data.tobytes()
             out: list[tuple] = []
-            texts = [raw[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-            for row, doc_id, ids in zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), tokenizer.ids(texts)):
-                ids += end
+            for row, doc_id, x, y in zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist()):
+                ids = tokenizer.ids(raw[x:y]) + end
                 n = len(ids) // 4
                 cuts = [0, *range(n % capacity or capacity, n + 1, capacity)]
                 for piece, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
@@ -262,15 +226,15 @@ def pack(pieces: DataFrame, capacity: int, lot_rows: int = 4096, islands: int =
     return dealt.groupBy("lot").cogroup(winner.groupBy("lot")).applyInPandas(place, schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, ranks: tuple[str, str] | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id and offset of every piece of ``docs`` (doc_id, text)."""
-    pieces = session.cut(token_pieces(docs, tokenizer_path, capacity))
+    pieces = session.cut(token_pieces(docs, tokenizer_path, capacity, ranks))
     return pack(pieces, capacity).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-def sequences(docs: DataFrame, tokenizer_path: str, capacity: int = 2048) -> DataFrame:
+def sequences(docs: DataFrame, tokenizer_path: str, capacity: int = 2048, ranks: tuple[str, str] | None = None) -> DataFrame:
     """sequence_id and its ids (at most ``capacity``): the packed token sequences themselves."""
-    pieces = session.cut(token_pieces(docs, tokenizer_path, capacity, with_ids=True))
+    pieces = session.cut(token_pieces(docs, tokenizer_path, capacity, ranks, with_ids=True))
     placed = pack(pieces.drop("ids"), capacity).select("row", "piece", "sequence_id", "offset")
     return (placed.join(pieces.select("row", "piece", "ids"), ["row", "piece"]).groupBy("sequence_id")
             .agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("offset", "ids"))), lambda x: x["ids"])).alias("ids")))
