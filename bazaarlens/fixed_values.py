@@ -146,6 +146,14 @@ CARD_BBS_REVENUE = r"(?:gross revenue|revenue)[:\s]*\$?" + N
 
 # --- fixed values: page-quality checks ---------------------------------------------
 MONEY_VALUE = r"\$[\d,]+(?:\.\d{2})?"
+COVERAGE_PATTERNS = {  # any character includes line ends
+    "Asking Price": r"Asking Price[:\s]*\$?([\d,]+)",
+    "Cash Flow": r"Cash Flow.*?\$?([\d,]+)",
+    "Gross Revenue": r"Gross Revenue[:\s]*\$?([\d,]+)",
+    "EBITDA": r"EBITDA[:\s]*([^\n]+)",
+    "Established Year": r"Established[:\s]*(\d{4})",
+    "SDE": r"SDE.*?\$?([\d,]+)",
+}
 META_WORDS = ("price", "title", "description")
 DEAD_TITLE = r"404|not found"
 

@@ -35,11 +35,12 @@ def selector_coverage(outlines: DataFrame, selectors: Mapping[str, E], sample_ch
 
 def pattern_coverage(texts: DataFrame, patterns: Mapping[str, str], text: str = "text",
                      source: str = "source_site") -> DataFrame:
-    """Per source and named pattern, rows with a match and the smallest matched value.
+    """Per source and named pattern, rows with a match and the smallest matched value. A dot also
+    matches a line end.
 
     Each row is read once and aggregated wide; only the few result rows are turned long.
     """
-    found = {n: tx.search_whole(F.col(text), p) for n, p in patterns.items()}
+    found = {n: tx.search_whole(F.col(text), "(?s)" + p) for n, p in patterns.items()}
     staged = texts.select(source, *[c.alias(f"v{i}") for i, c in enumerate(found.values())])
     wide = staged.groupBy(source).agg(
         *[F.struct(F.lit(n).alias("pattern"), F.count(f"v{i}").alias("n"), F.min(f"v{i}").alias("sample")).alias(f"r{i}")

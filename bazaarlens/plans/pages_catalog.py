@@ -368,16 +368,16 @@ def i1(spark, sf_dir):
     return quality.selector_coverage(_page_outlines(spark, sf_dir), _SELECTORS)
 
 
-_PATTERNS = {"Asking Price": r"Asking Price[:\s]*\$?([\d,]+)", "EBITDA": r"EBITDA[:\s]*([^\n]+)", "SDE": r"SDE.*?\$?([\d,]+)",
-             "Sales": r"(?:Sales|Annual Sales)[:\s]*\$?([\d,]+)", "For sale": r"for sale[:\s]*\$?([\d,]+)"}
+_SPREAD_FACTS = (f"concat({_FACTS}, CASE seq % 3 WHEN 0 THEN concat(chr(10), 'Cash Flow', chr(10), 'of $', CAST(seq AS STRING), ',500') "
+                 "WHEN 1 THEN concat(chr(10), 'SDE', chr(10), 'is $', CAST(seq AS STRING), '; Established: 1999') ELSE '; Gross Revenue: $7,000' END)")
 
 
-@query("i2_pattern_coverage", f"{LISTINGS}, a AS (SELECT source_site, {_FACTS} AS t FROM listings) " + " UNION ALL ".join(
-    f"""SELECT source_site, '{name}' AS pattern, count(nullif(regexp_extract(t, '(?i){rx}', 0), '')) AS n,
-    min(nullif(regexp_extract(t, '(?i){rx}', 0), '')) AS sample FROM a GROUP BY source_site""" for name, rx in _PATTERNS.items()))
+@query("i2_pattern_coverage", f"{LISTINGS}, a AS (SELECT source_site, {_SPREAD_FACTS} AS t FROM listings) " + " UNION ALL ".join(
+    f"""SELECT source_site, '{name}' AS pattern, count(nullif(regexp_extract(t, '(?is){rx}', 0), '')) AS n,
+    min(nullif(regexp_extract(t, '(?is){rx}', 0), '')) AS sample FROM a GROUP BY source_site""" for name, rx in fv.COVERAGE_PATTERNS.items()))
 def i2(spark, sf_dir):
-    texts = i.bind(spark, sf_dir, i.RAW_LISTINGS).select("source_site", F.expr(_FACTS).alias("text"))
-    return quality.pattern_coverage(texts, _PATTERNS)
+    texts = i.bind(spark, sf_dir, i.RAW_LISTINGS).select("source_site", F.expr(_SPREAD_FACTS).alias("text"))
+    return quality.pattern_coverage(texts, fv.COVERAGE_PATTERNS)
 
 
 @query("i3_all_money_values", f"""{LISTINGS}, a AS (SELECT seq, regexp_extract_all({_FACTS}, '{fv.MONEY_VALUE}') AS l FROM listings)
