@@ -1 +1,7 @@
 """Operators of a training-data pipeline; nothing else in the library imports them."""
+import sys
+
+from pyspark import cloudpickle
+
+# send this subpackage's code along with the job: executors need not have the package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
