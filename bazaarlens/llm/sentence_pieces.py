@@ -285,9 +285,11 @@ def decode(encoded: DataFrame, model_path: str, ids_column: str = "ids") -> Data
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _pieces(model_path).model
-        for batch in batches:
-            texts = [model.decode(np.frombuffer(x or b"", "<u4").tolist()) for x in batch.column(ids_column).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names)
+        for whole in batches:
+            for start in range(0, whole.num_rows, 256):  # no worker holds the texts of a whole batch
+                batch = whole.slice(start, 256)
+                texts = [model.decode(np.frombuffer(x or b"", "<u4").tolist()) for x in batch.column(ids_column).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
     return encoded.mapInArrow(read, f"{schema}, decoded string")
