@@ -205,9 +205,14 @@ def drop_near_copies(docs: DataFrame, budget: int = 4, shingle: int = 4) -> Data
 
     Of a component in which every doc_id is NULL, one row stays.
     """
-    key = [free_name(docs, "_id"), free_name(docs, "_md5")]
     marked = session.cut(fingerprints(docs.select(*row_key(F.col("doc_id"), F.col("text")), "text"), shingle=shingle))
-    best = _components(marked, budget).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return first_rows(docs, _components(marked, budget))
+
+
+def first_rows(docs: DataFrame, grouped: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that name the components of ``grouped`` (doc_id, text_md5, fp, component_id)."""
+    key = [free_name(docs, "_id"), free_name(docs, "_md5")]
+    best = grouped.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = best.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("f")).agg(
         F.min("text_md5").alias(key[1])).select(F.col("component_id").alias(key[0]), key[1])
     doc = row_key(F.col("doc_id"), F.col("text"))

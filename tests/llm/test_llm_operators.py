@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from bazaarlens.llm import (components, language_id, packing, quality_ranking, quality_rules, sentence_pieces, sharding, simhash, substrings,
+from bazaarlens.llm import (components, language_id, near_copies, packing, quality_ranking, quality_rules, sentence_pieces, sharding, simhash, substrings,
                             topk, url_rules)
 
 SF = "/root/testdata/sf0.001"
@@ -106,6 +106,64 @@ def test_simhash(docs, none, rows):
     assert simhash.simhash_components(none).count() == 0
 
 
+def _shingles(text):
+    w = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def _jaccard(a, b):
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def _similar_ids(rows):
+    sets = [_shingles(r[1]) for r in rows]
+    label = list(range(len(rows)))
+    near = [[j for j in range(len(rows)) if _jaccard(sets[i], sets[j]) >= 0.8] for i in range(len(rows))]
+    while (new := [min(label[j] for j in n) for n in near]) != label:
+        label = new
+    return {c: min((rows[j][0] for j in range(len(rows)) if label[j] == c and rows[j][0] is not None), default=None) for c in label}
+
+
+def test_near_copies_of_the_pipeline(docs, none, rows, spark):
+    import corpus_pipeline as pipeline
+    stage = dict(pipeline.STAGES)["SimHash near-dedup"]
+    draw = random.Random(8)
+    planted, text = [], lambda w: " ".join(w)
+    for _ in range(70):  # pairs from 0.72 to 0.97, one word changed at a time
+        base = [f"w{draw.randrange(5000)}" for _ in range(draw.randint(60, 400))]
+        copy, want = list(base), draw.uniform(0.72, 0.97)
+        while _jaccard(_shingles(text(base)), _shingles(text(copy))) > want:
+            copy[draw.randrange(len(copy))] = f"x{draw.randrange(5000)}"
+        planted += [(len(planted), text(base)), (len(planted) + 1, text(copy))]
+    base = [f"v{i}" for i in range(300)]
+    for i in range(25):  # a chain: each differs from the one before by one more word
+        base[12 * i] = f"y{i}"
+        planted.append((len(planted), text(base)))
+    got = stage(spark, spark.createDataFrame(planted, "doc_id long, text string").repartition(4), "")
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(set(_similar_ids(planted).values()))
+    left = stage(spark, docs, "")
+    assert left.columns == docs.columns
+    assert sorted(r["doc_id"] for r in left.collect()) == sorted(set(_similar_ids(rows).values()))
+    assert stage(spark, none, "").count() == 0
+
+
+def test_near_copies_in_crowded_buckets():
+    draw = np.random.default_rng(2)
+    n = 40
+    fp = draw.integers(0, 1 << 62, (1, 4)) ^ (1 << draw.integers(0, 62, (n, 4)))  # eight bits apart at most
+    node = np.arange(n)
+    whole = np.column_stack([np.zeros((n, 4), np.int64), node, node, fp])
+    side = np.arange(n) % 2
+    crossed = np.column_stack([np.zeros(n, np.int64), np.zeros(n, np.int64), np.ones(n, np.int64), side, node, node, fp])
+    crossed = crossed[np.lexsort((node, side))]
+    other = np.concatenate([whole[:3], crossed + [1, 0, 0, 0, 100, 100, 0, 0, 0, 0]])
+    for table, want in ((whole, n * (n - 1) // 2), (crossed, n * n // 4), (other, 3 + n * n // 4)):
+        u, v = near_copies._apart(np.ascontiguousarray(table), 68)
+        assert len(u) == want == len(set(zip(u.tolist(), v.tolist())))
+        u, v = near_copies._some(np.ascontiguousarray(table), 68)
+        assert set(u.tolist()) | set(v.tolist()) == set(table[:, 4].tolist()) and len(u) <= 3 * len(table)
+
+
 def test_simhash_crowded_buckets(spark):
     draw = np.random.default_rng(3)
     centre = draw.integers(0, 1 << 63, 40, dtype=np.uint64)
