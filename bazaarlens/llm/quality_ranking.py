@@ -2,7 +2,7 @@
 
 A document of label 1 is preferred to one of label 0. The score of a document is linear in its features
 and is fitted by the logistic loss of the score differences of pairs. The threshold is the quantile of
-the training scores that leaves the share of label 0 below it.
+the scores of all labelled training rows that leaves the share of label 0 below it.
 """
 from __future__ import annotations
 
@@ -37,23 +37,30 @@ def _features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.stack(rows) if rows else np.empty((0, STYLE + (1 << BITS)), np.float32)
 
 
+def _raw(data: np.ndarray, offsets: np.ndarray, mean: np.ndarray, scale: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Scores before the threshold; each row's sum is its own, so that a text scores the same in any batch."""
+    return (((_features(data, offsets) - mean) / scale) * weights).sum(axis=1, dtype=np.float64)
+
+
 def fit_ranking(docs: DataFrame, labels: DataFrame, per_label: int = 3000, pairs_each: int = 12, rounds: int = 300,
                 seed: int = 11) -> Ranking | None:
     """Fit on a sample of ``docs`` (doc_id, text): up to ``per_label`` ids of each label, the smallest by a hash.
 
-    ``labels`` has _id and _label, one row an id. The quantile uses the counts of both labels over all
-    documents. Texts are read for the sample alone, at most four times as many rows where ids repeat. NULL
-    labels, ids and texts teach nothing; None without rows of both labels.
+    ``labels`` has _id and _label, one row an id. Of a sampled id that repeats, the text with the smallest MD5
+    is learned from. The quantile is taken over the scores of all labelled rows; texts are scored where they lie and
+    only ids and scores meet the labels. NULL labels, ids and texts teach nothing; None without rows of both labels.
     """
     usable = docs.filter(F.col("text").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "text")
-    named = usable.select("doc_id").join(labels.filter(F.col("_label").isin(0, 1)), F.col("doc_id") == F.col("_id"))
+    told = labels.filter(F.col("_label").isin(0, 1))
+    named = usable.select("doc_id").join(told, F.col("doc_id") == F.col("_id"))
     ids = named.groupBy(F.col("_label").cast("int").alias("y"), "doc_id").agg(F.count("*").alias("n"))
     ranked = F.row_number().over(W.Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id"))
     counts = {r["y"]: r["n"] for r in ids.groupBy("y").agg(F.sum("n").alias("n")).collect()}
     if len(counts) < 2:
         return None
     picked = ids.withColumn("place", ranked).filter(F.col("place") <= per_label).select("y", "doc_id")
-    chosen = usable.join(F.broadcast(picked), "doc_id").limit(8 * per_label)  # at most 2 * per_label ids are broadcast
+    chosen = (usable.join(F.broadcast(picked), "doc_id")  # at most 2 * per_label ids are broadcast
+              .groupBy("y", "doc_id").agg(F.min_by("text", F.md5(F.col("text").cast("binary"))).alias("text")))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches, "text"):
@@ -80,10 +87,14 @@ def fit_ranking(docs: DataFrame, labels: DataFrame, per_label: int = 3000, pairs
         seen = 0.9 * seen + (z.T @ each.astype(np.float32)) + 1e-3 * w
         w = w - speed * seen
     s = z @ w
-    weight = np.where(y == 1, counts[1] / len(good), counts[0] / len(bad))
-    order = np.argsort(s, kind="stable")
-    below = np.cumsum(weight[order]) / weight.sum()
-    threshold = float(s[order][min(np.searchsorted(below, counts[0] / (counts[0] + counts[1]), "right"), len(s) - 1)])
+
+    def rated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in bounded(batches, "text", 1 << 20):
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(_raw(*text_bytes(batch.column("text")), mean, scale, w))], ["doc_id", "s"])
+
+    scores = usable.mapInArrow(rated, T.StructType([usable.schema["doc_id"], T.StructField("s", T.DoubleType())]))
+    at = (counts[0] + 0.5) / (counts[0] + counts[1])  # the first score with all of label 0's number below it
+    threshold = (scores.join(told, F.col("doc_id") == F.col("_id")).agg(F.percentile_approx("s", at, 100_000)).first())[0]
     return Ranking(mean, scale, w, threshold, float(max(np.std(s) / 3, 1e-6)))
 
 
@@ -101,7 +112,7 @@ def score_quality(docs: DataFrame, model: Ranking | None, cut: float = 0.3, text
             if model is None:
                 score = np.full(batch.num_rows, cut)
             else:
-                raw = ((_features(*text_bytes(batch.column(text_column))) - model.mean) / model.scale) @ model.weights
+                raw = _raw(*text_bytes(batch.column(text_column)), model.mean, model.scale, model.weights)
                 score = 1 / (1 + np.exp(-np.clip((raw - model.threshold) / model.spread + at_cut, -30, 30)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score.astype(np.float64)), pa.array((score >= cut).astype(np.int32))],
                                              [*batch.schema.names, *names])

@@ -282,6 +282,26 @@ def test_ranking_odd_rows(docs, none):
     assert {r["predicted"] for r in quality_ranking.score_quality(docs, None).collect()} == {1}
 
 
+def test_ranking_threshold_covers_all_labelled_rows(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").filter("text IS NOT NULL").dropDuplicates(["doc_id"]).select("doc_id", "text")
+    labels = quality_rules.label_quality(spark.read.parquet(f"{sf}/labels.parquet"))
+    model = quality_ranking.fit_ranking(docs, labels, per_label=25)
+    told = docs.join(labels, F.col("doc_id") == F.col("_id")).filter("_label IN (0, 1)")
+    bad = told.filter("_label = 0").count()
+    below = quality_ranking.score_quality(told.select("doc_id", "text"), model, cut=0.5).filter("score < 0.5").collect()
+    assert abs(len(below) - bad) <= 2  # before, off by the error of 50 sampled scores
+
+
+def test_ranking_repeated_ids(spark):
+    bad = [(i, f"### {i} $$$ !!!") for i in range(100, 104)]
+    rows = [(1, f"The garden has a bench, number {i}.") for i in range(300)] + bad
+    labels = spark.createDataFrame([(1, 1), *((i, 0) for i, _ in bad)], "_id long, _label int")
+    one, other = (quality_ranking.fit_ranking(spark.createDataFrame(r, "doc_id long, text string").coalesce(1), labels, per_label=2)
+                  for r in (rows, rows[::-1]))
+    assert one is not None and (one.weights == other.weights).all() and one.threshold == other.threshold
+
+
 def test_topk_odd_rows(spark, tmp_path):
     draw = random.Random(4)
     vectors = [(i, [draw.uniform(-1, 1) for _ in range(6)]) for i in range(60)]
