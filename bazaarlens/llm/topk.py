@@ -146,7 +146,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, nodes: int = 2, block_ro
         out = []
         if len(asked) and len(held):
             a, b, okey, qkey = _matrix(asked["part"]), _matrix(held["part"]), held["okey"].to_numpy(), asked["qkey"].to_numpy()
-            share = -(-asked["cutoff"].to_numpy() // nodes)
+            share = -(-asked["cutoff"].to_numpy() // np.minimum(asked["dim"].to_numpy(), nodes))  # nodes with a slice of the vector
             for i in range(0, len(a), _STEP):
                 x, y = np.nonzero(_product(a[i:i + _STEP], b) >= share[i:i + _STEP, None])
                 out.append(pd.DataFrame({"qkey": qkey[i + x], "okey": okey[y]}))

@@ -325,6 +325,13 @@ def test_topk_odd_rows(spark, tmp_path):
     assert topk.top_k(stored.filter("vec_id < 0"), F.col("vec_id") % 20 == 0, 5).count() == 0
 
 
+def test_topk_fewer_components_than_nodes(spark, tmp_path):
+    rows = [(0, 0, [64])] + [(i, i, [-70 - 3 * i]) for i in range(1, 40)]
+    spark.createDataFrame(rows, "row long, vec_id long, v array<long>").write.parquet(str(tmp_path / "q"))
+    got = topk.top_k(spark.read.parquet(str(tmp_path / "q")), F.col("vec_id") == 0, 5, nodes=2)
+    assert _sorted(got) == [(0, i, i, 64 * (-70 - 3 * i)) for i in range(1, 6)]
+
+
 def _tokens(t):
     from tokenizers import Tokenizer
     return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(t or "", add_special_tokens=False).ids + [0]
