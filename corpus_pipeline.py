@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaarlens.llm import language_id, near_copies, packing, quality_rules, substrings
+from bazaarlens.llm import language_id, packing, quality_rules, simhash, substrings
 from bazaarlens.plans.registry import table
 from bazaarlens.session import cut
 
@@ -31,8 +31,8 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves the document with the smallest id of each group linked by a Jaccard similarity of 0.8 over shingles of five words."""
-    return near_copies.drop_similar(docs)
+    """Leaves the document with the smallest id of each group linked by SimHash fingerprints of four-word shingles at most four bits apart."""
+    return simhash.drop_near_copies(docs, budget=4, shingle=4)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
