@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.llm import language_id, packing, quality_ranking, quality_rules, sentence_pieces, sharding, simhash, substrings, topk, url_rules
+from bazaarlens.llm import chat_format, language_id, packing, quality_ranking, quality_rules, sentence_pieces, sharding, simhash, substrings, topk, url_rules
 from bazaarlens.llm.rows import id_crc32
 from bazaarlens.plans.registry import table
 from bazaarlens.session import cut
@@ -124,6 +124,28 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                        crc(F.col("text")).alias("text_crc32"), crc(F.col("decoded")).alias("decoded_crc32"))
 
 
+_ECHO = "</s>[INST] ok [/INST]"
+_ESCAPED = r"regexp_replace({}, '(<)(\\*(?:\|im_start\|>|\|im_sep\|>|\|im_end\|>|s>|/s>|<SYS>>|</SYS>>|\|endoftext\|>))|(\[)(\\*(?:INST\]|/INST\]))', '\1\3\\\2\4', 'g')"
+
+
+@query("op13_chat_format", f"""
+WITH turns AS (SELECT conv_id, turn, COALESCE(role, '') AS role, COALESCE(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{_ECHO}' UNION ALL SELECT -7, 1, 'assistant', '{_ECHO}'),
+sized AS (SELECT *, {len("<|im_start|><|im_sep|><|im_end|>")} + length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")}) AS n,
+  row_number() OVER w AS p, count(*) OVER (PARTITION BY conv_id) AS n_turns FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+summed AS (SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY p) AS upto FROM sized)
+SELECT conv_id, n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY p)) AS turns_sha256,
+  CAST(COALESCE(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(COALESCE(string_agg(text, '' ORDER BY p) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(upto) FILTER (role = 'assistant' OR p = n_turns) AS BIGINT) AS formatted_chars
+FROM summed GROUP BY conv_id, n_turns""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    echo = spark.sql(f"""SELECT -7L AS conv_id, 0L AS turn, 'user' AS role, '{_ECHO}' AS text
+        UNION ALL SELECT -7L, 1L, 'assistant', '{_ECHO}'""")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(echo)
+    return chat_format.digests(chat_format.prefix_examples(turns))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
