@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.llm import chat_format, language_id, packing, quality_ranking, quality_rules, sentence_pieces, sharding, simhash, substrings, topk, url_rules
+from bazaarlens.llm import chat_format, language_id, packing, prefix_trie, quality_ranking, quality_rules, sentence_pieces, sharding, simhash, source_audit, substrings, topk, url_rules
 from bazaarlens.llm.rows import id_crc32
 from bazaarlens.plans.registry import table
 from bazaarlens.session import cut
@@ -124,6 +124,60 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                        crc(F.col("text")).alias("text_crc32"), crc(F.col("decoded")).alias("decoded_crc32"))
 
 
+_CRC_TABLE = "[list_reduce([x, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) FOR x IN range(256)]"
+
+
+@query("op11_prefix_trie", rf"""
+WITH crcs AS MATERIALIZED (SELECT {_CRC_TABLE} AS crc),
+raw AS (SELECT conv_id, turn, md5(CAST(length(COALESCE(role, '')) AS VARCHAR) || ':' || COALESCE(role, '') || COALESCE(text, '')) AS t,
+  len(regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+')) AS words FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, t) AS pos FROM raw),
+sized AS (SELECT conv_id, count(*) AS own, conv_id - conv_id % 20 AS donor, CAST(conv_id AS VARCHAR) AS s FROM own GROUP BY conv_id),
+headed AS (SELECT conv_id, own, donor, xor(list_reduce(list_concat([4294967295], [CAST(ascii(c) AS BIGINT) FOR c IN string_split(s, '')]),
+  lambda a, b: xor(a >> 8, crc[(xor(a, b) & 255) + 1])), 4294967295) % 4 AS h FROM sized, crcs),
+convs AS (SELECT c.conv_id, c.donor, c.h, least(c.h, COALESCE(d.own, 0)) AS k FROM headed c LEFT JOIN headed d ON d.conv_id = c.donor),
+turns AS (SELECT c.conv_id, o.pos, t, words FROM convs c JOIN own o ON o.conv_id = donor AND o.pos <= h
+  UNION ALL SELECT conv_id, o.pos - h + k, t, words FROM convs c JOIN own o USING (conv_id) WHERE o.pos > h),
+paths AS (SELECT *, string_agg(t, '') OVER (PARTITION BY conv_id ORDER BY pos) AS path FROM turns),
+rows AS (SELECT conv_id, pos AS depth, md5(path) AS node, md5(path[:32 * (pos - 1)]) AS parent, words FROM paths
+  UNION ALL SELECT conv_id, 0, md5(''), NULL, 0 FROM convs),
+nodes AS (SELECT node, depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n, any_value(words) AS words FROM rows GROUP BY node, depth),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY parent),
+below AS (SELECT r.node, sum((v.n - 1) * v.words) AS saved, count(*) FILTER (k.node IS NULL) AS leaves
+  FROM nodes v JOIN rows r ON r.conv_id = v.conv_id AND r.depth <= v.depth LEFT JOIN kids k ON k.node = v.node GROUP BY r.node),
+ended AS (SELECT node, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends FROM
+  (SELECT * FROM rows QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY depth DESC) = 1) GROUP BY node)
+SELECT v.conv_id, v.depth, u.conv_id AS parent_conv_id, v.n AS n_convs, COALESCE(n_children, 0) AS n_children, leaves AS n_leaves,
+  CAST(saved AS BIGINT) AS saved_tokens, COALESCE(ends, sha256('')) AS ends_sha256
+FROM nodes v LEFT JOIN nodes u ON u.node = v.parent LEFT JOIN kids k ON k.node = v.node JOIN below b ON b.node = v.node LEFT JOIN ended e ON e.node = v.node""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = cut(prefix_trie.ordered_turns(table(spark, sf_dir, "conversations")))
+    convs, rebuilt = prefix_trie.with_shared_heads(turns, F.col("conv_id") - F.col("conv_id") % 20, id_crc32(F.col("conv_id"), 4), most=3)
+    return prefix_trie.prefix_trie(convs, rebuilt)
+
+
+@query("op12_source_audit", r"""
+WITH docs AS (SELECT row_number() OVER () AS r, COALESCE(lang, '') AS lang, COALESCE(source, '') AS source,
+  translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+terms AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS n_lang FROM terms GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+sizes AS (SELECT lang, count(*) AS v, sum(n_lang) AS total FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n FROM terms SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+cells AS (SELECT g.lang, g.source, k.term, COALESCE(c.n, 0) AS n, n_lang FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+shares AS (SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * v) AS p,
+  1 + (1000000000::HUGEINT * (n_lang + 2)) // (total + 2 * v) AS q FROM cells JOIN sizes USING (lang)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term GROUP BY a.lang, a.source, b.source),
+found AS (SELECT lang, source, 'pair' AS part, item, COALESCE(value, 0) AS value FROM pairs
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR rank <= 10""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit_sources(table(spark, sf_dir, "documents"))
+
+
 _ECHO = "</s>[INST] ok [/INST]"
 _ESCAPED = r"regexp_replace({}, '(<)(\\*(?:\|im_start\|>|\|im_sep\|>|\|im_end\|>|s>|/s>|<SYS>>|</SYS>>|\|endoftext\|>))|(\[)(\\*(?:INST\]|/INST\]))', '\1\3\\\2\4', 'g')"
 
