@@ -3,12 +3,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarlens import fixed_values as fv, schemas
 from bazaarlens.functions import classify, money, text as tx
 from bazaarlens.operators.extract import OUTLINE_COLUMNS, by_site
-from bazaarlens.operators.selectors import E, all_of, below, first as first_node, let, packed, spaced
+from bazaarlens.operators.selectors import E, all_of, first as first_node, let, packed, spaced
 
 
 @dataclass(frozen=True)
@@ -55,11 +56,14 @@ CARD_RULES: dict[str, CardRule] = {
 }
 
 
+_PREPARED: dict[tuple, tuple[Column, dict[str, Column]]] = {}
+
+
 def card_pieces(rule: CardRule, first: int | None) -> Column:
     """Text, link and title text of the first cards of a page, without the outline."""
     cards = all_of(*rule.cards) if first is None else f"slice({all_of(*rule.cards)}, 1, {first})"
-    link = first_node(rule.link, scope=below("c"))
-    title = link if rule.title_from_link else first_node(*rule.title, scope=below("c"))
+    link = first_node(rule.link, within="c")
+    title = link if rule.title_from_link else first_node(*rule.title, within="c")
     return F.expr(f"transform({cards}, c -> struct({spaced('c')} AS text, {link}.attrs['href'] AS href, "
                   f"{let(title, 't', packed('t'))} AS title))")
 
@@ -106,7 +110,14 @@ def extract_cards(outlines: DataFrame, source: str = "source", scraped_at: Colum
     A BizQuest card without a link is skipped; elsewhere the link may be missing.
     """
     at = F.col(source)
-    pieces = by_site(at, {n: card_pieces(r, r.first if first == -1 else first) for n, r in CARD_RULES.items()})
+    key = (id(SparkContext._gateway), source, first, *((n, id(r)) for n, r in CARD_RULES.items()))
+    if key not in _PREPARED:  # built once: the expressions name their inputs only
+        read = {n: read_card(n, r, F.col("_text"), F.col("_href"), F.col("_title")) for n, r in CARD_RULES.items()}
+        names = [f.name for f in schemas.CARDS.fields if f.name not in ("source", "scraped_at")]
+        _PREPARED[key] = (
+            by_site(at, {n: card_pieces(r, r.first if first == -1 else first) for n, r in CARD_RULES.items()}),
+            {c: by_site(at, {n: fields[c] for n, fields in read.items()}) for c in names})
+    pieces, fields = _PREPARED[key]
     keep = [c for c in outlines.columns if c not in (*OUTLINE_COLUMNS, "scraped_at")]
     stamp = F.current_timestamp() if scraped_at is None else scraped_at
     cards = (
@@ -115,7 +126,4 @@ def extract_cards(outlines: DataFrame, source: str = "source", scraped_at: Colum
         .select(*keep, "scraped_at", "card_pos", *[F.col(f"_card.{c}").alias(f"_{c}") for c in ("text", "href", "title")])
         .filter((at != "BizQuest") | F.col("_href").isNotNull())
     )
-    read = {n: read_card(n, r, F.col("_text"), F.col("_href"), F.col("_title")) for n, r in CARD_RULES.items()}
-    names = [f.name for f in schemas.CARDS.fields if f.name not in (source, "source", "scraped_at")]
-    return cards.select(*keep, "scraped_at", "card_pos", *[
-        by_site(at, {n: fields[c] for n, fields in read.items()}).alias(c) for c in names])
+    return cards.select(*keep, "scraped_at", "card_pos", *[c.alias(n) for n, c in fields.items() if n != source])

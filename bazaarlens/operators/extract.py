@@ -11,18 +11,19 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from bazaarlens import fixed_values as fv, schemas
 from bazaarlens.functions import classify, money, text as tx
 from bazaarlens.operators.selectors import (
-    E, all_of, below, first, first_of, packed, page_text, spaced_text, stripped, text)
-from bazaarlens.sources.html import flatten_pages
+    E, all_of, first, first_of, packed, page_text, spaced_text, stripped, text)
+from bazaarlens.sources.html import OUTLINE, flatten_pages
 
 Rules = dict[str, Column]
 Kinds = tuple[tuple[str, tuple[str, ...]], ...]
 
-OUTLINE_COLUMNS = ("nodes", "strings", "string_nodes", "parse_error")
+OUTLINE_COLUMNS = tuple(f.name for f in OUTLINE)
 
 
 def by_site(site: Column, choices: dict[str, Column]) -> Column:
@@ -74,7 +75,7 @@ class Layout:
     def nodes(self) -> str:
         """Label and value node of every row, over the box column ``_box``."""
         pair = f"if({self.only_if}, struct({self.label} AS label, {self.value} AS value), NULL)"
-        return f"transform(filter({below('_box')}, n -> {self.row.test('n')}), r -> {pair})"
+        return f"transform({all_of(self.row, within='_box')}, r -> {pair})"
 
     def texts(self, pairs: str) -> str:
         label = stripped("p.label") if self.strip_label else text("p.label")
@@ -88,25 +89,31 @@ class Layout:
 
 
 PARAGRAPHS = Layout(  # p with span.title inside div.financials: what is left of the paragraph is the value
-    E("div", cls="financials"), E("p"), first(E("span", cls="title"), scope=below("r")), "r", value_without_label=True)
+    E("div", cls="financials"), E("p"), first(E("span", cls="title"), within="r"), "r", value_without_label=True)
 HEADINGS = Layout(  # li with h6 and p
-    E("div", cls="inform_revenue single_business"), E("li"), first(E("h6"), scope=below("r")),
-    first(E("p"), scope=below("r")), strip_label=False, strip_value=False)
-_CELLS = all_of(E(("th", "td")), scope=below("r"))
+    E("div", cls="inform_revenue single_business"), E("li"), first(E("h6"), within="r"),
+    first(E("p"), within="r"), strip_label=False, strip_value=False)
+_CELLS = all_of(E(("th", "td")), within="r")
 CELLS = Layout(  # tr with exactly two cells
     E("table", cls="listing-data-table"), E("tr"), f"get({_CELLS}, 0)", f"get({_CELLS}, 1)",
     only_if=f"size({_CELLS}) = 2")
 LINES = Layout(  # div.line with div.left and div.right
-    E("div", cls="sb-table"), E("div", cls="line"), first(E("div", cls="left"), scope=below("r")),
-    first(E("div", cls="right"), scope=below("r")))
+    E("div", cls="sb-table"), E("div", cls="line"), first(E("div", cls="left"), within="r"),
+    first(E("div", cls="right"), within="r"))
+
+
+def _label_stages(layouts: dict[str, Layout], site: Column) -> list[Rules]:
+    """Box, then nodes, then texts of the label rows by the layout of each row's site."""
+    return [{"_box": by_site(site, {n: F.expr(first(x.box)) for n, x in layouts.items()})},
+            {"_pairs": by_site(site, {n: F.expr(x.nodes()) for n, x in layouts.items()})},
+            {"_rows": by_site(site, {n: F.expr(x.texts("_pairs")) for n, x in layouts.items()})}]
 
 
 def label_rows(outlines: DataFrame, layouts: dict[str, Layout], site: Column) -> DataFrame:
-    """Add ``_rows`` (label, value) by the layout of each row's site: box, then nodes, then texts."""
-    boxed = outlines.withColumn("_box", by_site(site, {n: F.expr(first(x.box)) for n, x in layouts.items()}))
-    paired = boxed.withColumn("_pairs", by_site(site, {n: F.expr(x.nodes()) for n, x in layouts.items()}))
-    return paired.withColumn(
-        "_rows", by_site(site, {n: F.expr(x.texts("_pairs")) for n, x in layouts.items()})).drop("_box", "_pairs")
+    """Add ``_rows`` (label, value)."""
+    for columns in _label_stages(layouts, site):
+        outlines = outlines.withColumns(columns)
+    return outlines.drop("_box", "_pairs")
 
 
 def label_kind(label: Column, kinds: Kinds) -> Column:
@@ -196,6 +203,10 @@ class Site:
     spaced_text: bool = False           # page text joined by spaces
     needs_low: bool = False             # the rules look words up in lower-case text
     suffix_amounts: bool = False        # amounts by the suffix parser
+    besides: tuple[str, ...] = ("listing_url",)  # of the record's fields, those that are not read from the page
+    always: tuple[str, ...] = ()        # fields a record has even when nothing was found
+    marks: dict[str, str] = field(default_factory=dict)  # fields a record has when there is a row of a label kind, readable or not
+    ours: tuple[str, ...] = ()          # fields under a common name that the site's own record lacks
 
 
 def _bizbuysell(at: Found) -> dict[str, Column | tuple[Column, ...]]:
@@ -377,7 +388,7 @@ EXTRACTORS: dict[str, Site] = {
         {"title": pick(E("h1"), E("h2", cls="business-title")), "price": pick(E("span", cls="price"), E("div", cls="price")),
          "meta": pick(E("meta", attrs={"name": "description"}), take="content"),
          "description": pick(E("div", cls="description"), E("section", cls="business-description"))},
-        derived=_bizquest_derived, spaced_text=True, suffix_amounts=True, needs_low=True),
+        derived=_bizquest_derived, spaced_text=True, suffix_amounts=True, needs_low=True, ours=("price", "industry")),
     "WebsiteProperties": Site(
         _websiteproperties,
         {"title": pick(E("h2", cls="blog-single-title")), "price": pick(E("h5", cls="mt-4"), take="text"),
@@ -385,7 +396,7 @@ EXTRACTORS: dict[str, Site] = {
         CELLS, (("revenue", ("gross revenue",)), ("cash_flow", ("cash flow",))),
         extra_kinds=(("year", ("year established",)), ("employees", ("employees",)), ("industry", ("industry",)),
                      ("location", ("location",))),
-        derived=with_multiple),
+        derived=with_multiple, marks={"established_year": "year", "employees": "employees"}),
     "Flippa": Site(
         _flippa,
         {"title": pick(E("h1")), "meta": pick(E("meta", attrs={"property": "og:title"}), take="content"),
@@ -400,7 +411,8 @@ EXTRACTORS: dict[str, Site] = {
          "meta": pick(E("meta", attrs={"name": "description"}), take="content")},
         derived=_empireflippers_derived),
     "Acquire": Site(
-        lambda at: nextdata_fields(at.picks["json"]), {"json": pick(NEXTDATA, take="raw")}, derived=with_multiple),
+        lambda at: nextdata_fields(at.picks["json"]), {"json": pick(NEXTDATA, take="raw")}, derived=with_multiple,
+        always=("title", "description", "price", "revenue", "cash_flow", "established_year", "industry")),
     "FEInternational": Site(
         _feinternational,
         {"title": pick(E("h1", cls="listing-title"), E("h1"), E("h2", cls="title")),
@@ -408,7 +420,7 @@ EXTRACTORS: dict[str, Site] = {
          "industry": pick(E("div", cls="business-type"), E("span", cls="category")),
          "location": pick(E("span", cls="location"), E("div", cls="business-location")),
          "description": pick(E("div", cls="listing-description"), E("section", cls="description"), E("div", cls="overview"))},
-        derived=titled),
+        derived=titled, besides=("listing_url", "source_site")),
     "WebsiteClosers": Site(
         _websiteclosers, {"title": pick(E("h1")), "description": pick(E("div", cls="wysiwyg cfx"))},
         LINES, (("price", ("asking price",)), ("cash_flow", ("cash flow",)), ("revenue", ("gross income",)),
@@ -425,24 +437,26 @@ _AMOUNTS = ("price", "revenue", "cash_flow", "ebitda", "inventory_value")
 _NUMBERS = ("multiple", "_margin")
 
 
-def _gather(df: DataFrame, extractors: dict[str, Site], at: Column) -> DataFrame:
-    """Outlines to plain columns: ``_text``, ``_pick_*``, ``_label_*`` and ``_asking``."""
+def _gather(extractors: dict[str, Site], at: Column) -> list[tuple[Rules, tuple[str, ...]]]:
+    """Outlines to plain columns ``_text``, ``_pick_*``, ``_label_*`` and ``_asking``: columns to add, and columns
+    no longer needed after them, step by step."""
     spaced = [n for n, x in extractors.items() if x.spaced_text]
     slots = sorted({s for x in extractors.values() for s in x.picks})
     plain = page_text(F.col("strings"))
     text_column = F.when(at.isin(*spaced), spaced_text(F.col("strings"))).otherwise(plain) if spaced else plain
     # the element first, then its text: two projections, so no element is searched for twice
-    df = df.withColumns({"_text": text_column} | {
+    nodes = {"_text": text_column} | {
         f"_node_{s}": by_site(at, {n: F.expr(x.picks[s].selector) for n, x in extractors.items() if s in x.picks})
-        for s in slots})
+        for s in slots}
     lowered = [n for n, x in extractors.items() if x.needs_low]
-    df = df.withColumns({"_low": F.when(at.isin(*lowered), F.lower("_text"))} | {
+    picks = {"_low": F.when(at.isin(*lowered), F.lower("_text"))} | {
         f"_pick_{s}": by_site(at, {n: F.expr(x.picks[s].value(f"_node_{s}")) for n, x in extractors.items() if s in x.picks})
-        for s in slots}).drop(*[f"_node_{s}" for s in slots])
+        for s in slots}
+    stages: list[tuple[Rules, tuple[str, ...]]] = [(nodes, ()), (picks, tuple(f"_node_{s}" for s in slots))]
     layouts = {n: x.layout for n, x in extractors.items() if x.layout}
     if not layouts:
-        return df.drop(*OUTLINE_COLUMNS)
-    df = label_rows(df, layouts, at).drop(*OUTLINE_COLUMNS)
+        return stages
+    stages += [(columns, ()) for columns in _label_stages(layouts, at)]
 
     def tagged(x: Site):
         def tag(r: Column) -> Column:
@@ -453,7 +467,8 @@ def _gather(df: DataFrame, extractors: dict[str, Site], at: Column) -> DataFrame
             return F.struct(kind.alias("kind"), extra.alias("extra"), r["value"].alias("value"))
         return tag
 
-    df = df.withColumn("_rows", by_site(at, {n: F.transform("_rows", tagged(extractors[n])) for n in layouts}))
+    stages.append(({"_rows": by_site(at, {n: F.transform("_rows", tagged(extractors[n])) for n in layouts})},
+                   ("_box", "_pairs", *OUTLINE_COLUMNS)))
     kinds = sorted({k for x in extractors.values() for k, _ in x.kinds})
     extras = sorted({k for x in extractors.values() for k, _ in x.extra_kinds})
     last = "try_element_at(filter(_rows, r -> r.{c} = '{k}'), -1).value"
@@ -463,48 +478,65 @@ def _gather(df: DataFrame, extractors: dict[str, Site], at: Column) -> DataFrame
             return F.expr(last.format(c="kind", k=k))
         return F.try_element_at(F.filter("_rows", lambda r: (r["kind"] == k) & _READABLE[k](r["value"])), F.lit(-1))["value"]
 
-    return df.withColumns(
+    stages.append((
         {f"_label_{k}": last_row(k) for k in kinds}
         | {f"_extra_{k}": F.expr(last.format(c="extra", k=k)) for k in extras}
-        | {"_asking": F.expr("transform(filter(_rows, r -> r.kind = 'price'), r -> r.value)")}).drop("_rows")
+        | {"_asking": F.expr("transform(filter(_rows, r -> r.kind = 'price'), r -> r.value)")}, ("_rows",)))
+    return stages
 
 
-def _found(x: Site, columns: list[str], url: Column) -> Found:
+def _found(x: Site, labelled: bool, url: Column) -> Found:
     null = F.lit(None).cast("string")
     labels = {k: F.col(f"_label_{k}") for k, _ in x.kinds} | {k: F.col(f"_extra_{k}") for k, _ in x.extra_kinds}
-    asking = F.col("_asking") if "_asking" in columns else F.array(null)
+    asking = F.col("_asking") if labelled else F.array(null)
     return Found(F.col("_text"), F.col("_low"), url, {s: F.col(f"_pick_{s}") for s in x.picks}, labels, asking)
 
 
-def extract_outlines(outlines: DataFrame, extractors: dict[str, Site] | None = None,
-                     site: str = "source_site", url: str = "listing_url", with_rejects: bool = False) -> DataFrame:
-    """Records of outlined listing pages of any mix of sites (H2: pass a dict with more extractors).
+@dataclass(frozen=True)
+class _Prepared:
+    """The columns of an extraction, by step. They name their inputs only, so any outlines can go through them."""
 
-    Unreadable pages and pages of unknown sites give no record, or ``with_rejects`` one of NULLs with
-    the column ``reject_reason``.
-    """
-    extractors = EXTRACTORS if extractors is None else extractors
-    at = F.col(site)
-    keep = [c for c in outlines.columns if c not in OUTLINE_COLUMNS]
+    extractors: dict[str, Site]
+    reason: Column                                    # why a page gives no record
+    gather: list[tuple[Rules, tuple[str, ...]]]
+    raw: dict[str, Column]
+    typed: Rules
+    record: tuple[Column, Column, Column]             # the record, whether it is kept, names of the fields it has
+
+
+_PREPARED: dict[tuple, _Prepared] = {}
+
+
+def _prepared(extractors: dict[str, Site], site: str, url: str) -> _Prepared:
+    """Building some thousand expressions takes seconds, reading a page microseconds: each set of extractors
+    is built once and serves every batch of a stream."""
+    key = (id(SparkContext._gateway), site, url, *((n, id(x)) for n, x in extractors.items()))
+    if key not in _PREPARED:
+        _PREPARED[key] = _prepare(dict(extractors), F.col(site), F.col(url))
+    return _PREPARED[key]
+
+
+def _prepare(extractors: dict[str, Site], at: Column, url: Column) -> _Prepared:
     reason = (F.when(~F.coalesce(at.isin(*extractors), F.lit(False)), F.concat(F.lit("no extractor for site "), F.coalesce(at, F.lit("NULL"))))
               .when(F.col("parse_error").isNotNull(), F.concat(F.lit("page cannot be read: "), "parse_error")))
-    outlines = outlines.withColumn("reject_reason", reason)
-    if with_rejects:
-        keep.append("reject_reason")
-    else:
-        outlines = outlines.filter(F.col("reject_reason").isNull()).drop("reject_reason")
-    gathered = _gather(outlines, extractors, at)
+    labelled = any(x.layout for x in extractors.values())
     chosen: dict[tuple[str, int], dict[str, Column]] = {}
     derived: dict[str, dict[str, Column]] = {}
     got = {n: F.col(f"_got_{n}") for n, _ in _FIELDS}
     for name, x in extractors.items():
-        for f, value in x.fields(_found(x, gathered.columns, F.col(url))).items():
+        for f, value in x.fields(_found(x, labelled, url)).items():
             for k, one in enumerate(value if isinstance(value, tuple) else (value,)):
                 chosen.setdefault((f, k), {})[name] = one
         for f, value in (x.derived(got) if x.derived else {}).items():
             derived.setdefault(f, {})[name] = value
     # the texts first, then the numbers in them: one reading per field, whatever the site
-    raw = gathered.select(*keep, *[by_site(at, by).alias(f"_raw_{f}_{k}") for (f, k), by in chosen.items()])
+    raw = {f"_raw_{f}_{k}": by_site(at, by) for (f, k), by in chosen.items()}
+    marked: dict[str, dict[str, Column]] = {}
+    for name, x in extractors.items():
+        labels = _found(x, labelled, url).labels
+        for f, kind in x.marks.items():
+            marked.setdefault(f, {})[name] = labels[kind].isNotNull()
+    marks = {f"_mark_{f}": by_site(at, by) for f, by in marked.items()}
     by_suffix = [n for n, x in extractors.items() if x.suffix_amounts]
 
     def read(name: str, kind: T.DataType) -> Column:
@@ -518,18 +550,71 @@ def extract_outlines(outlines: DataFrame, extractors: dict[str, Site] | None = N
             return amount
         return F.when(at.isin(*by_suffix), F.when(texts[0].isNotNull(), money.parse_price_suffix(texts[0]))).otherwise(amount)
 
-    typed = raw.select(*keep, *[read(n, t).alias(f"_got_{n}") for n, t in _FIELDS])
+    # a field is in a record when a text was found for it, readable or not, or a value was worked out; a
+    # multiple has to be readable
+    def has(name: str) -> Column:
+        found = F.coalesce(F.col(f"_mark_{name}"), F.lit(False)) if name in marked else F.lit(False)
+        for f, k in chosen:
+            if f == name and name not in _NUMBERS:
+                found = found | F.col(f"_raw_{f}_{k}").isNotNull()
+        return found
+
+    fields = [n for n, _ in _FIELDS if not n.startswith("_")]
+    typed = {f"_got_{n}": read(n, t) for n, t in _FIELDS} | {f"_has_{n}": has(n) for n in fields}
     out = {n: by_site(at, derived[n]).otherwise(got[n]) if n in derived else got[n] for n, _ in _FIELDS}
-    record = F.struct(*[out[n].alias(n) for n, _ in _FIELDS if not n.startswith("_")])
+
+    def emitted(name: str) -> Column:
+        there = F.col(f"_has_{name}") | F.col(f"_out_{name}").isNotNull()
+        worked_out = list(derived.get(name, ()))
+        if worked_out:
+            there = F.when(at.isin(*worked_out), F.col(f"_out_{name}").isNotNull()).otherwise(there)
+        always = [n for n, x in extractors.items() if name in x.always]
+        ours = [n for n, x in extractors.items() if name in x.ours]
+        there = there | at.isin(*always) if always else there
+        there = there & ~at.isin(*ours) if ours else there
+        return F.when(there, name)
+
+    own = [F.when(at == n, F.array(*map(F.lit, x.besides))) for n, x in extractors.items()]
+    names = F.concat(F.coalesce(*own), F.array_compact(F.array(*map(emitted, fields))))
+    return _Prepared(extractors, reason, _gather(extractors, at), raw | marks, typed,
+                     (F.struct(*[out[n].alias(n) for n in fields]), F.coalesce(out["_keep"], F.lit(True)), names))
+
+
+def extract_outlines(outlines: DataFrame, extractors: dict[str, Site] | None = None, site: str = "source_site",
+                     url: str = "listing_url", with_rejects: bool = False, with_emitted: bool = False) -> DataFrame:
+    """Records of outlined listing pages of any mix of sites (H2: pass a dict with more extractors).
+
+    Unreadable pages and pages of unknown sites give no record, or ``with_rejects`` one of NULLs with
+    the column ``reject_reason``. ``with_emitted`` adds ``emitted``, the names of the fields that the site's
+    own record of the page has (F4); records are ragged, their columns are not.
+    """
+    ready = _prepared(EXTRACTORS if extractors is None else extractors, site, url)
+    keep = [c for c in outlines.columns if c not in OUTLINE_COLUMNS]
+    outlines = outlines.withColumn("reject_reason", ready.reason)
+    if with_rejects:
+        keep.append("reject_reason")
+    else:
+        outlines = outlines.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    for columns, done in ready.gather:
+        outlines = outlines.withColumns(columns).drop(*done)
+    raw = outlines.select(*keep, *[c.alias(n) for n, c in ready.raw.items()])
+    wanted = [n for n in ready.typed if with_emitted or not n.startswith("_has_")]
+    typed = raw.select(*keep, *[ready.typed[n].alias(n) for n in wanted])
     # C12. One record or none, as a generator: a filter would be pushed down through every
     # projection above and evaluate them all a second time
-    keeps = F.coalesce(out["_keep"], F.lit(True))
+    record, keeps, names = ready.record
     if with_rejects:
         keeps = keeps | F.col("reject_reason").isNotNull()
+    marks = [n for n in wanted if n.startswith("_has_")]
     kept = F.when(keeps, F.array(record)).otherwise(F.filter(F.array(record), lambda r: F.lit(False)))
-    return typed.select(*keep, F.inline(kept))
+    rows = typed.select(*keep, *marks, F.inline(kept))
+    if not with_emitted:
+        return rows
+    fields = [n.removeprefix("_has_") for n in marks]
+    return rows.withColumns({f"_out_{n}": F.col(n) for n in fields}).select(*keep, *fields, names.alias("emitted"))
 
 
-def extract_listings(pages: DataFrame, extractors: dict[str, Site] | None = None, with_rejects: bool = False) -> DataFrame:
+def extract_listings(pages: DataFrame, extractors: dict[str, Site] | None = None, with_rejects: bool = False,
+                     with_emitted: bool = False) -> DataFrame:
     """Pages (``source_site``, ``listing_url``, ``html``, ...) to records: one parse per page."""
-    return extract_outlines(flatten_pages(pages), extractors, with_rejects=with_rejects)
+    return extract_outlines(flatten_pages(pages), extractors, with_rejects=with_rejects, with_emitted=with_emitted)

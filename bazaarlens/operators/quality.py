@@ -3,34 +3,41 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarlens import fixed_values as fv
 from bazaarlens.functions import text as tx
 from bazaarlens.operators.extract import OUTLINE_COLUMNS
-from bazaarlens.operators.selectors import E, all_of, below, let, packed, spaced, stripped, stripped_sql, text_of
+from bazaarlens.operators.selectors import (
+    E, all_of, found_of, last_where, let, matches, nearest_above, packed, selector_array, spaced, stripped, stripped_sql, text_of)
 
-CONTAINERS = E(("div", "article", "section"))
+CONTAINERS = "n.tag IN ('div', 'article', 'section')"
 
 
 def _kept(df: DataFrame, *drop: str) -> list[str]:
     return [c for c in df.columns if c not in (*OUTLINE_COLUMNS, *drop)]
 
 
-def selector_coverage(outlines: DataFrame, selectors: Mapping[str, E], sample_chars: int = 100) -> DataFrame:
-    """Per selector, pages it matches on, matches, and one sample text.
+def selector_matches(outlines: DataFrame, selectors: DataFrame) -> DataFrame:
+    """Page by page, what each selector of a table (columns: ``selectors.STEP``) finds: nodes by idx, in ``found``.
 
-    The counts of a page become one short row per matching selector before the shuffle.
+    Rows only for selectors that match; the outline stays on them.
     """
-    def one(name: str, selector: E) -> str:
-        sample = let("get(found, 0)", "x", f"substring({stripped('x')}, 1, {sample_chars})")
-        return let(all_of(selector), "found", f"if(size(found) > 0, struct('{name}' AS selector, size(found) AS n, "
-                   f"{sample} AS sample), NULL)")
+    every = outlines.select("*", F.explode(selector_array(selectors)).alias("_s"))
+    return every.select(*outlines.columns, F.col("_s.selector").alias("selector"), F.expr(matches("_s")).alias("found")).filter(F.size("found") > 0)
 
-    hits = F.expr(f"array_compact(array({', '.join(one(n, s) for n, s in selectors.items())}))")
-    return (
-        outlines.select(F.explode(hits).alias("h")).groupBy(F.col("h.selector").alias("selector"))
-        .agg(F.count("*").alias("pages"), F.sum("h.n").alias("matches"), F.min("h.sample").alias("sample")))
+
+def selector_coverage(outlines: DataFrame, selectors: DataFrame, sample_chars: int = 100) -> DataFrame:
+    """Per selector of a table, pages it matches on, matches, and one sample text.
+
+    The counts of a page become one short row per matching selector before the shuffle.
+    """
+    found = let(matches("s"), "found", "if(size(found) > 0, " + let("get(nodes, get(found, 0))", "x", (
+        f"struct(s.selector AS selector, size(found) AS n, substring({stripped('x')}, 1, {sample_chars}) AS sample)")) + ", NULL)")
+    hits = outlines.withColumn("_selectors", selector_array(selectors)).select(
+        F.explode(F.expr(f"array_compact(transform(_selectors, s -> {found}))")).alias("h"))
+    return hits.groupBy(F.col("h.selector").alias("selector")).agg(
+        F.count("*").alias("pages"), F.sum("h.n").alias("matches"), F.min("h.sample").alias("sample"))
 
 
 def pattern_coverage(texts: DataFrame, patterns: Mapping[str, str], text: str = "text",
@@ -73,10 +80,15 @@ def keyword_in_context(texts: DataFrame, keyword: str, rest: str = "", chars: in
 
 
 def definition_pairs(outlines: DataFrame, words: Sequence[str] = ()) -> DataFrame:
-    """Each ``dt`` with its next sibling ``dd``; ``words`` keeps labels holding one of them."""
-    dd = "get(filter(nodes, n -> n.tag = 'dd' AND n.parent = dt.parent AND n.idx > dt.idx), 0)"
-    pair = let(dd, "d", f"if(d IS NOT NULL, struct({stripped('dt')} AS label, {stripped('d')} AS value), NULL)")
-    pairs = F.expr(f"array_compact(transform({all_of(E('dt'))}, dt -> {pair}))")
+    """Each ``dt`` with its next sibling ``dd``; ``words`` keeps labels holding one of them.
+
+    The ``dd``s of a page are sorted by parent and place, so a sibling is found by halving steps.
+    """
+    dds = f"array_sort(transform({found_of(E('dd'))}, i -> struct(get(nodes, i).parent AS parent, i AS idx)))"
+    after = f"get(dds, {last_where('dds', '{x} <= struct(dt.parent AS parent, dt.idx AS idx)')} + 1)"
+    sibling = let(after, "d", f"if(d.parent = dt.parent, struct({stripped('dt')} AS label, "
+                  f"{let('get(nodes, d.idx)', 'v', stripped('v'))} AS value), NULL)")
+    pairs = F.expr(let(dds, "dds", f"array_compact(transform({all_of(E('dt'))}, dt -> {sibling}))"))
     out = outlines.select(*_kept(outlines), F.posexplode(pairs).alias("pos", "p")).select(
         *_kept(outlines), "pos", "p.*")
     return out.filter(tx.contains_any(F.lower("label"), words)) if words else out
@@ -84,9 +96,9 @@ def definition_pairs(outlines: DataFrame, words: Sequence[str] = ()) -> DataFram
 
 def table_rows(outlines: DataFrame, first: int | None = None) -> DataFrame:
     """Cells of every table row; ``first`` limits the rows shown per table."""
-    rows = all_of(E("tr"), scope=below("t"))
+    rows = all_of(E("tr"), within="t")
     rows = rows if first is None else f"slice({rows}, 1, {first})"
-    cells = f"transform({all_of(E(('td', 'th')), scope=below('r'))}, c -> {stripped('c')})"
+    cells = f"transform({all_of(E(('td', 'th')), within='r')}, c -> {stripped('c')})"
     tables = F.expr(f"transform({all_of(E('table'))}, t -> transform({rows}, r -> {cells}))")
     return (
         outlines.select(*_kept(outlines), F.posexplode(tables).alias("table_no", "rows"))
@@ -128,28 +140,67 @@ def dead_page_filter(outlines: DataFrame) -> DataFrame:
     return outlines.filter(~title.rlike(fv.DEAD_TITLE))
 
 
+def locate_text(outlines: DataFrame, hit: Column) -> DataFrame:
+    """Every text piece for which ``hit`` (over ``piece``) holds, with the element around it and that one's parent.
+
+    ``n_found`` counts them by page; ``text`` is stripped.
+    """
+    pieces = F.filter(F.arrays_zip("strings", "string_nodes"), lambda z: F.coalesce(hit(z["strings"]), F.lit(False)))
+    at = F.get("nodes", F.when(F.col("p.string_nodes") >= 0, F.col("p.string_nodes")))
+    placed = (outlines.withColumn("_pieces", pieces).select("*", F.size("_pieces").alias("n_found"), F.posexplode("_pieces").alias("pos", "p"))
+              .withColumn("_at", at))
+    parent = F.get("nodes", F.when(F.col("_at.parent") >= 0, F.col("_at.parent")))
+    return placed.withColumn("_parent", parent).select(
+        *_kept(outlines), "pos", "n_found", F.col("_at.tag").alias("tag"), tx.strip(F.col("p.strings")).alias("text"),
+        F.col("_parent.tag").alias("parent_tag"), F.col("_parent.cls").alias("parent_class"))
+
+
 def locate_value(outlines: DataFrame, value: str) -> DataFrame:
-    """Every text piece holding the value of a column, with the element around it and that one's parent class."""
-    places = F.expr(
-        f"""array_compact(transform(arrays_zip(strings, string_nodes), z -> if(contains(z.strings, {value}),
-        struct(get(nodes, if(z.string_nodes >= 0, z.string_nodes, NULL)) AS at, {stripped_sql('z.strings')} AS text), NULL)))""")
-    return (
-        outlines.select("*", F.posexplode(places).alias("pos", "p"))
-        .select(*_kept(outlines), "pos", F.col("p.at.tag").alias("tag"), F.col("p.text").alias("text"),
-                F.when(F.col("p.at.parent") >= 0, F.get("nodes", F.col("p.at.parent"))["cls"]).alias("parent_class")))
+    """Text pieces holding the value of a column, as they stand."""
+    return locate_text(outlines, lambda piece: F.contains(piece, F.col(value)))
+
+
+def locate_keywords(outlines: DataFrame, words: Sequence[str]) -> DataFrame:
+    """Text pieces holding one of the words in any case."""
+    return locate_text(outlines, lambda piece: tx.contains_any(F.lower(piece), [w.lower() for w in words]))
+
+
+def locate_pattern(outlines: DataFrame, pattern: str) -> DataFrame:
+    """Text pieces in which the pattern is found."""
+    return locate_text(outlines, lambda piece: piece.rlike(pattern))
 
 
 def container_text(outlines: DataFrame, link: E, patterns: Mapping[str, str]) -> DataFrame:
     """Text of the nearest ``div``/``article``/``section`` above each link, and what the patterns find in it."""
-    box = f"try_element_at(filter(nodes, n -> {CONTAINERS.test('n')} AND n.idx < a.idx AND n.last >= a.idx), -1)"
+    box = "get(nodes, nullif(get(boxes, nullif(a.parent, -1)), -1))"
     around = let(box, "b", f"struct(a.attrs['href'] AS href, b.tag AS container, {spaced('b')} AS text)")
-    found = outlines.select(*_kept(outlines), F.posexplode(
-        F.expr(f"transform({all_of(link)}, a -> {around})")).alias("pos", "c"))
+    found = outlines.select(*_kept(outlines), F.posexplode(F.expr(let(
+        nearest_above(CONTAINERS), "boxes", f"transform({all_of(link)}, a -> {around})"))).alias("pos", "c"))
     return found.select(
         *_kept(outlines), "pos", "c.*",
         *[tx.search_whole(F.col("c.text"), p).alias(n) for n, p in patterns.items()])
 
 
+def price_link_containers(outlines: DataFrame, price: str = r"\$[\d,]+", link: E = E("a", has_attr="href"), with_text: bool = False) -> DataFrame:
+    """The containers that hold both a price and a link, each once a page, with their first link.
+
+    From every text piece with a price the way goes up to the nearest element with a link below it; a way that meets
+    ``body`` or ``html`` first counts for nothing. Text of scripts and styles is no piece. Whether a link lies below
+    an element is one search in the sorted list of links. ``with_text`` adds each container's whole text, which
+    nested containers share.
+    """
+    linked = f"coalesce(get(links, {last_where('links', '{x} <= n.idx')} + 1) <= n.last, false)"
+    stop = nearest_above(f"n.tag IN ('body', 'html') OR {linked}")
+    priced = f"filter(arrays_zip(strings, string_nodes), z -> z.string_nodes >= 0 AND z.strings RLIKE r'{price}')"
+    ways = (f"array_sort(filter(transform({priced}, z -> get(stops, z.string_nodes)), "
+            "i -> i >= 0 AND get(nodes, i).tag NOT IN ('body', 'html')))")
+    box = let("get(nodes, i)", "b", (
+        f"struct(b.tag AS container, b.cls AS container_class, {last_where('ways', '{x} <= i')} - {last_where('ways', '{x} < i')} AS n_prices, "
+        f"get(nodes, get(links, {last_where('links', '{x} <= i')} + 1)).attrs['href'] AS href{f', {spaced('b')} AS text' if with_text else ''})"))
+    boxes = let(found_of(link), "links", let(stop, "stops", let(ways, "ways", f"transform(array_distinct(ways), i -> {box})")))
+    return outlines.select(*_kept(outlines), F.posexplode(F.expr(boxes)).alias("pos", "c")).select(*_kept(outlines), "pos", "c.*")
+
+
 def script_inventory(outlines: DataFrame) -> DataFrame:
     """Every script by id, else source, else the start of its code."""
     names = F.expr(f"""transform({all_of(E('script'))}, n -> CASE

@@ -65,6 +65,23 @@ def completeness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns({"filled_fields": filled, "total_fields": F.lit(len(columns))})
 
 
+def record_completeness(records: DataFrame, emitted: str = "emitted") -> DataFrame:
+    """F4 over ragged records: filled fields out of those that each row's ``emitted`` names.
+
+    Of the names, ``listing_url`` and ``source_site`` may be columns outside the record; a name without a column counts as empty.
+    """
+    fields = [c for c in records.columns if c != emitted]
+    filled = sum(((truthy(records, c) & F.array_contains(emitted, c)).cast("int") for c in fields), F.lit(0))
+    return records.withColumns({"filled_fields": filled, "total_fields": F.size(emitted)})
+
+
+def completeness_by_source(records: DataFrame, source: str = "source_site", emitted: str = "emitted") -> DataFrame:
+    """F4 per site: records, fields filled and emitted, and the fullest and emptiest record's filled fields."""
+    return record_completeness(records, emitted).groupBy(source).agg(
+        F.count("*").alias("records"), F.sum("filled_fields").alias("filled_fields"), F.sum("total_fields").alias("total_fields"),
+        F.min("filled_fields").alias("least_filled"), F.max("filled_fields").alias("most_filled"))
+
+
 def site_status(sites: DataFrame, results: DataFrame) -> DataFrame:
     """F8: per site, what worked. Sites without any result still show.
 

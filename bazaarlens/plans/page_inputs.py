@@ -5,6 +5,8 @@ so the checking SQL never parses HTML.
 """
 from __future__ import annotations
 
+import re
+
 S = "CAST(p_size AS STRING)"
 K = "CAST(p_partkey AS STRING)"
 
@@ -321,3 +323,33 @@ QUALITY = page(f"""'<head><title>', CASE p_partkey % 7 WHEN 0 THEN 'Error 404' W
   '<table><tr><th>Year</th><th>Sales</th></tr><tr><td>2020</td><td> $', {S}, '</td></tr><tr></tr></table>',
   '<section class="box"><span class="v">about $', {S}, ',354 now</span></section><article><p>Price $', {S}, ',900 <i>revenue</i> $', {S}, '00k profit: $', {S},
   ',111 <a href="/business-for-sale/', {K}, '/">go</a></article></body>'""")
+
+#: Prices and links in containers within containers.
+CONTAINERS = page(f"""'<body><div class="grid"><div class="card a"><h3><a href="/l/', {K}, '">t</a></h3><p>Price: <b>$', {S}, ',000</b></p></div>',
+  '<div class="card b"><span>$', {S}, '</span></div>', CASE WHEN p_partkey % 2 = 0 THEN concat('<section><p>$1 and <i>$2</i></p><a>no</a><em><a href="/m/', {K},
+  '">m</a></em></section>') ELSE '<section><p>$1</p></section>' END, '</div><p>$9 alone</p><script>var a = "$5";</script></body>'""")
+
+#: Fields that a BizQuest record has, beside its URL, and how many of them are filled.
+_BQ_COUNT = """8 + CASE WHEN p_partkey % 4 < 3 THEN 6 ELSE 0 END + CASE WHEN p_partkey % 5 < 3 OR (p_partkey % 5 = 3 AND p_partkey % 4 < 3) THEN 3 ELSE 0 END
+  + CASE WHEN p_partkey % 3 < 2 THEN 4 ELSE 0 END + CASE WHEN p_partkey % 4 < 2 THEN 1 ELSE 0 END + CASE WHEN p_partkey % 2 = 0 THEN 2 ELSE 0 END
+  + CASE p_partkey % 3 WHEN 0 THEN 3 WHEN 1 THEN {estate} + 1 ELSE 0 END - 1"""
+
+
+def record_sizes() -> str:
+    """Per mixed listing page, the fields its site's record has and how many are filled, from the page's columns."""
+    branches = []
+    # amounts or numbers that are there but unreadable are fields without a value
+    unread = {"QuietLight": "CASE WHEN p_partkey % 4 = 0 THEN 1 ELSE 0 END", "WebsiteClosers": "CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END",
+              "WebsiteProperties": "CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END", "FEInternational": "1",
+              "Acquire": "CASE WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END"}
+    for n, (site, (_, fields, where)) in enumerate(LISTING_PAGES.items()):
+        keep = f"{where} AND" if where else "WHERE"
+        names = re.findall(r" AS ([a-z_]+)(?:,|$)", fields)
+        filled = "1 + " + " + ".join(f"CASE WHEN CAST({c} AS STRING) NOT IN ('', '0', '0.0', 'false') THEN 1 ELSE 0 END" for c in names)
+        total = "1 + " + " + ".join(f"CASE WHEN {c} IS NOT NULL THEN 1 ELSE 0 END" for c in names) + f" + {unread.get(site, '0')}"
+        filled += " + 1" if site == "FEInternational" else ""  # its record names the site
+        if site == "BizQuest":
+            total, filled = "1 + " + _BQ_COUNT.format(estate=1), "1 + " + _BQ_COUNT.format(estate=0)
+        branches.append(f"SELECT '{site}' AS source_site, p_partkey, {filled} AS filled_fields, {total} AS total_fields "
+                        f"FROM (SELECT p_partkey{'' if site == 'BizQuest' else ', ' + fields} FROM part {keep} p_partkey % 9 = {n}) q{n}")
+    return " UNION ALL ".join(branches)

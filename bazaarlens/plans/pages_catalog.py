@@ -4,8 +4,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bazaarlens import fixed_values as fv
-from bazaarlens.operators import cards, extract, frontier, quality
-from bazaarlens.operators.selectors import E, all_of, attr_of, first, let, spaced_text, text, text_of
+from bazaarlens.operators import cards, extract, frontier, quality, report
+from bazaarlens.operators.selectors import STEP, E, all_of, attr_of, first, let, spaced_text, text, text_of
 from bazaarlens.plans import ingest, inputs as i, page_inputs as p
 from bazaarlens.plans.functions_catalog import LISTINGS, _FACTS, _sql_category
 from bazaarlens.plans.registry import query, table
@@ -348,10 +348,15 @@ for _source in p.CARD_PAGES:
     _register_cards(_source)
 
 # --- I: page quality ----------------------------------------------------------------
-_SELECTORS = {
-    "title": E("title"), "h1": E("h1"), "div.ad": E("div", cls="ad"), "nav a": E("nav") >> E("a"), "footer": E("footer"),
-    "[class*=a]": E(class_part="a"), "table": E("table"),
-}
+def _selectors(spark, *rows):
+    """A selectors table from (selector, step, {test: value})."""
+    names = [part.split()[0] for part in STEP.split(", ")]
+    return spark.createDataFrame([[({"selector": name, "step": step} | tests).get(c) for c in names] for name, step, tests in rows], STEP)
+
+
+_SELECTORS = (
+    ("title", 0, {"tag": "title"}), ("h1", 0, {"tag": "h1"}), ("div.ad", 0, {"tag": "div", "classes": "ad"}), ("nav a", 0, {"tag": "nav"}),
+    ("nav a", 1, {"tag": "a"}), ("footer", 0, {"tag": "footer"}), ("[class*=a]", 0, {"class_regex": "a"}), ("table", 0, {"tag": "table"}))
 _FIRST_TEXT = {
     "title": ("<title>", _between("<title>", "</title>")), "h1": ("<h1>", _between("<h1>", "</h1>")),
     "div.ad": ('<div class="ad">', _between('<div class="ad">', "</div>")),
@@ -365,7 +370,49 @@ _FIRST_TEXT = {
     for name, (mark, text) in _FIRST_TEXT.items())
     + ") SELECT selector, count(*) AS pages, CAST(sum(n) AS BIGINT) AS matches, min(sample) AS sample FROM s WHERE n > 0 GROUP BY selector")
 def i1(spark, sf_dir):
-    return quality.selector_coverage(_page_outlines(spark, sf_dir), _SELECTORS)
+    return quality.selector_coverage(_page_outlines(spark, sf_dir), _selectors(spark, *_SELECTORS))
+
+
+_SITE_SELECTORS = (
+    ("a class with price", 0, {"class_regex": "(?i)PRICE"}), ("meta[content]", 0, {"tag": "meta", "attr": "content"}),
+    ("li p", 0, {"tag": "li"}), ("li p", 1, {"tag": "p"}), ("div.financials span.title", 1, {"tag": "span", "classes": "title"}),
+    ("div.financials span.title", 0, {"tag": "div", "classes": "financials"}), ("script[type$=json]", 0, {"tag": "script", "attr": "type", "op": "$=", "value": "json"}),
+    ("meta[property^=og:]", 0, {"attr": "property", "op": "^=", "value": "og:"}), ("[data-listing-id]", 0, {"attr": "data-listing-id"}),
+    ("html body h1", 0, {"tag": "html"}), ("html body h1", 1, {"tag": "body"}), ("html body h1", 2, {"tag": "h1"}))
+_SITE_COUNTS = {
+    "a class with price": """CASE m WHEN 0 THEN 1 WHEN 1 THEN CAST(p % 5 = 2 AS INT) WHEN 2 THEN CAST(p % 3 = 0 AS INT) WHEN 4 THEN CAST(p % 3 < 2 AS INT)
+      WHEN 5 THEN CAST(p % 3 <> 0 AS INT) ELSE 0 END""",
+    "meta[content]": "CASE m WHEN 2 THEN CAST(p % 4 = 0 AS INT) WHEN 4 THEN 2 WHEN 5 THEN CAST(p % 4 = 1 AS INT) ELSE 0 END",
+    "li p": "CASE m WHEN 0 THEN 3 ELSE 0 END",
+    "div.financials span.title": "CASE WHEN m = 1 AND p % 5 <> 2 THEN 5 ELSE 0 END",
+    "script[type$=json]": "CASE m WHEN 1 THEN CAST(p % 5 < 2 AS INT) WHEN 6 THEN 1 ELSE 0 END",
+    "meta[property^=og:]": "CASE m WHEN 4 THEN 2 - CAST(p % 2 = 0 AS INT) ELSE 0 END",
+    "html body h1": """CASE m WHEN 1 THEN 2 WHEN 2 THEN CAST(p % 3 = 0 AS INT) WHEN 4 THEN CAST(p % 4 <> 0 AS INT) WHEN 5 THEN 1 WHEN 6 THEN 1
+      WHEN 7 THEN CASE p % 4 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END WHEN 8 THEN CAST(p % 5 > 0 AS INT) ELSE 0 END""",
+}
+
+
+@query("i1_selector_table", "WITH k AS (SELECT p_partkey AS p, p_partkey % 9 AS m FROM part), s AS (" + " UNION ALL ".join(
+    f"SELECT '{name}' AS selector, {n} AS n FROM k" for name, n in _SITE_COUNTS.items())
+    + ") SELECT selector, count(*) AS pages, CAST(sum(n) AS BIGINT) AS matches FROM s WHERE n > 0 GROUP BY selector")
+def i1_table(spark, sf_dir):
+    """Selectors of all kinds, as rows, over listing pages of nine sites."""
+    outlines = flatten_pages(_mixed_pages(spark, sf_dir).select("html"))
+    return quality.selector_coverage(outlines, _selectors(spark, *_SITE_SELECTORS)).drop("sample")
+
+
+@query("f4_site_completeness", p.record_sizes())
+def f4_sites(spark, sf_dir):
+    """Records of nine sites, each measured by the fields of its own."""
+    records = extract.extract_listings(_mixed_pages(spark, sf_dir), with_emitted=True)
+    return report.record_completeness(records).select("source_site", "p_partkey", "filled_fields", "total_fields")
+
+
+@query("f4_completeness_by_source", f"""SELECT source_site, count(*) AS records, CAST(sum(filled_fields) AS BIGINT) AS filled_fields,
+  CAST(sum(total_fields) AS BIGINT) AS total_fields, min(filled_fields) AS least_filled, max(filled_fields) AS most_filled
+  FROM ({p.record_sizes()}) r GROUP BY source_site""")
+def f4_by_source(spark, sf_dir):
+    return report.completeness_by_source(extract.extract_listings(_mixed_pages(spark, sf_dir), with_emitted=True))
 
 
 _SPREAD_FACTS = (f"concat({_FACTS}, CASE seq % 3 WHEN 0 THEN concat(chr(10), 'Cash Flow', chr(10), 'of $', CAST(seq AS STRING), ',500') "
@@ -452,7 +499,27 @@ def i10(spark, sf_dir):
 def i11(spark, sf_dir):
     pages = flatten_pages(i.bind(spark, sf_dir, f"SELECT q.*, concat('$', CAST(p_size AS STRING), ',354') AS wanted FROM ({p.QUALITY}) q "
                                  "JOIN (SELECT p_partkey AS k, p_size FROM {part}) s ON q.p_partkey = s.k", spread=True))
-    return quality.locate_value(pages, "wanted").drop("wanted")
+    return quality.locate_value(pages, "wanted").drop("wanted", "n_found", "parent_tag")
+
+
+@query("i11_locate_keywords", """WITH f AS (SELECT p_partkey, unnest([
+    {'pos': 0, 'tag': 'dt', 'text': 'Asking Price', 'parent_tag': 'dl', 'parent_class': ''},
+    {'pos': 1, 'tag': 'p', 'text': concat('Price $', p_size, ',900'), 'parent_tag': 'article', 'parent_class': ''},
+    {'pos': 2, 'tag': 'i', 'text': 'revenue', 'parent_tag': 'p', 'parent_class': ''}], recursive := true) FROM part)
+  SELECT p_partkey, pos, 3 AS n_found, tag, text, parent_tag, parent_class FROM f""")
+def i11_words(spark, sf_dir):
+    return quality.locate_keywords(_quality_pages(spark, sf_dir), ("PRICE", "Revenue"))
+
+
+@query("i11_locate_pattern", r"""WITH f AS (SELECT p_partkey, unnest([
+    {'pos': 0, 'tag': 'dd', 'text': concat('$', p_size, ',500'), 'parent_tag': 'dl', 'parent_class': ''},
+    {'pos': 1, 'tag': 'dd', 'text': concat('$', p_size, ',000'), 'parent_tag': 'dl', 'parent_class': ''},
+    {'pos': 2, 'tag': 'span', 'text': concat('about $', p_size, ',354 now'), 'parent_tag': 'section', 'parent_class': 'box'},
+    {'pos': 3, 'tag': 'p', 'text': concat('Price $', p_size, ',900'), 'parent_tag': 'article', 'parent_class': ''},
+    {'pos': 4, 'tag': 'p', 'text': concat('$', p_size, '00k profit: $', p_size, ',111'), 'parent_tag': 'article', 'parent_class': ''}], recursive := true) FROM part)
+  SELECT p_partkey, pos, 5 AS n_found, tag, text, parent_tag, parent_class FROM f""")
+def i11_pattern(spark, sf_dir):
+    return quality.locate_pattern(_quality_pages(spark, sf_dir), r"\$\d+,\d{3}")
 
 
 _MENTIONS = {"price": r"\$[\d,]+(?:\.\d+)?[KkMm]?", "revenue": r"(?:revenue|sales)[:\s]*\$?[\d,]+[KkMm]?",
@@ -467,6 +534,14 @@ def i12(spark, sf_dir):
     return quality.container_text(_quality_pages(spark, sf_dir), link, _MENTIONS)
 
 
+@query("i12_price_link_containers", """SELECT p_partkey, 0 AS pos, 'div' AS container, 'grid' AS container_class,
+    CASE WHEN p_partkey % 2 = 0 THEN 1 ELSE 2 END AS n_prices, concat('/l/', p_partkey) AS href FROM part
+  UNION ALL SELECT p_partkey, 1, 'div', 'card a', 1, concat('/l/', p_partkey) FROM part
+  UNION ALL SELECT p_partkey, 2, 'section', '', 2, concat('/m/', p_partkey) FROM part WHERE p_partkey % 2 = 0""")
+def i12_containers(spark, sf_dir):
+    return quality.price_link_containers(_outlines(spark, sf_dir, p.CONTAINERS))
+
+
 @query("i13_script_inventory", """SELECT p_partkey, 0 AS pos, 'src' AS kind, '/a.js' AS name FROM part
   UNION ALL SELECT p_partkey, 1, 'id', 'state' FROM part UNION ALL SELECT p_partkey, 2, 'inline', concat('var k=', p_partkey, ';') FROM part""")
 def i13(spark, sf_dir):

@@ -2,11 +2,13 @@
 
 An outline is linear in the page: every piece of text is stored once, and a node is an
 interval over those pieces and over its descendants, so all later work (selectors, node
-text, page text) is array expressions on the JVM side.
+text, page text) is array expressions on the JVM side. Next to it stands an inverted index: for
+each tag, class name and attribute name of the page the nodes that have it, in document order.
 """
 from __future__ import annotations
 
 import sys
+from collections import defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -28,11 +30,15 @@ NODE = T.StructType([
     T.StructField("s1", T.IntegerType()),
     T.StructField("raw", T.StringType()),       # script/style source, NULL elsewhere
 ])
+_POSTINGS = T.MapType(T.StringType(), T.ArrayType(T.IntegerType()))
 OUTLINE = [
     T.StructField("nodes", T.ArrayType(NODE)),
     T.StructField("strings", T.ArrayType(T.StringType())),
     T.StructField("string_nodes", T.ArrayType(T.IntegerType())),  # the node holding each piece
     T.StructField("parse_error", T.StringType()),                 # why a page could not be read; its outline is empty
+    T.StructField("tag_index", _POSTINGS),
+    T.StructField("class_index", _POSTINGS),
+    T.StructField("attr_index", _POSTINGS),
 ]
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -154,14 +160,33 @@ def _offsets(sizes: list[int]) -> pa.Array:
     return pa.array(out, pa.int32())
 
 
+def _postings(indexes: list[dict[str, list[int]]]) -> pa.Array:
+    """One map a page: a name, and the nodes that have it."""
+    lists = [places for index in indexes for places in index.values()]
+    return pa.MapArray.from_arrays(
+        _offsets([len(index) for index in indexes]), pa.array([name for index in indexes for name in index], pa.string()),
+        pa.ListArray.from_arrays(_offsets([len(x) for x in lists]), pa.array([i for x in lists for i in x], pa.int32())))
+
+
 def _outline_arrays(pages: list[str]) -> list[pa.Array]:
     nodes: list[list] = []
     strings: list[str] = []
     holders: list[int] = []
     node_counts, string_counts, errors = [], [], []
+    tags, classes, attributes = [], [], []
     for html in pages:
         n, s, h, error = _Outline().outline(html)
         errors.append(error)
+        by_tag, by_class, by_attr = defaultdict(list), defaultdict(list), defaultdict(list)
+        for node in n:
+            by_tag[node[3]].append(node[0])
+            for name in dict.fromkeys(node[4].split()):
+                by_class[name].append(node[0])
+            for name in node[5]:
+                by_attr[name].append(node[0])
+        tags.append(by_tag)
+        classes.append(by_class)
+        attributes.append(by_attr)
         nodes += n
         strings += s
         holders += h
@@ -183,6 +208,7 @@ def _outline_arrays(pages: list[str]) -> list[pa.Array]:
         pa.ListArray.from_arrays(string_offsets, pa.array(strings, text)),
         pa.ListArray.from_arrays(string_offsets, pa.array(holders, i32)),
         pa.array(errors, text),
+        _postings(tags), _postings(classes), _postings(attributes),
     ]
 
 
