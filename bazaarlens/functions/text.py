@@ -43,6 +43,12 @@ def first_regex_whole(text: Column, patterns: Sequence[str], ignore_case: bool =
     return F.coalesce(*[search_whole(text, p, ignore_case) for p in patterns])
 
 
+def capture_of(whole: Column, patterns: Sequence[str], ignore_case: bool = True) -> Column:
+    """What ``first_regex`` captures, from what ``first_regex_whole`` found. The patterns look at nothing outside their
+    match, so a short text is searched instead of the page again."""
+    return first_regex(whole, patterns, ignore_case)
+
+
 def has_pattern(text: Column, pattern: str) -> Column:
     return text.rlike(rx(pattern))
 

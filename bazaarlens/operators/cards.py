@@ -56,7 +56,7 @@ CARD_RULES: dict[str, CardRule] = {
 }
 
 
-_PREPARED: dict[tuple, tuple[Column, dict[str, Column]]] = {}
+_PREPARED: dict[tuple, tuple[Column, list[dict[str, Column]], dict[str, Column]]] = {}
 
 
 def card_pieces(rule: CardRule, first: int | None) -> Column:
@@ -68,33 +68,38 @@ def card_pieces(rule: CardRule, first: int | None) -> Column:
                   f"{let(title, 't', packed('t'))} AS title))")
 
 
-def _amount(text: Column, patterns: tuple[str, ...] | str | None, monthly: bool = False) -> tuple[Column, Column]:
-    """(value, raw text) of an amount; both NULL when no pattern matches."""
-    if patterns is None:
+_AMOUNTS = ("price", "cash_flow", "profit", "revenue")
+
+
+def _patterns(rule: CardRule, amount: str) -> tuple[str, ...]:
+    given = getattr(rule, amount)
+    return () if given is None else (given,) if isinstance(given, str) else given
+
+
+def _amount(rule: CardRule, amount: str, monthly: bool = False) -> tuple[Column, Column]:
+    """(value, raw text) of an amount, from the columns ``_whole_*`` and ``_number_*``; both NULL when no pattern matches."""
+    if not _patterns(rule, amount):
         return F.lit(None).cast("double"), F.lit(None).cast("string")
-    patterns = (patterns,) if isinstance(patterns, str) else patterns
-    raw = tx.first_regex_whole(text, patterns)
-    value = F.when(raw.isNotNull(), money.parse_price_suffix(tx.first_regex(text, patterns)))
-    return (money.annualise(value), money.per_month_label(value)) if monthly else (value, raw)
+    value = F.col(f"_number_{amount}")
+    return (money.annualise(value), money.per_month_label(value)) if monthly else (value, F.col(f"_whole_{amount}"))
 
 
 def read_card(source: str, rule: CardRule, text: Column, href: Column, title: Column) -> dict[str, Column]:
     url = tx.absolutise(href, F.lit(rule.base_url))
-    price, price_raw = _amount(text, rule.price)
-    cash, cash_raw = _amount(text, rule.cash_flow)
-    profit, profit_raw = _amount(text, rule.profit, rule.profit_monthly)
+    price, price_raw = _amount(rule, "price")
+    cash, cash_raw = _amount(rule, "cash_flow")
+    profit, profit_raw = _amount(rule, "profit", rule.profit_monthly)
     if rule.profit is None:  # cash flow stands in for profit
         profit, profit_raw = cash, cash_raw if source == "BizQuest" else F.lit(None).cast("string")
     if rule.profit_is_cash_flow:
         cash = profit
-    revenue, revenue_raw = _amount(text, rule.revenue, rule.revenue_monthly)
-    place = (tx.not_blank(F.regexp_extract(text, tx.rx(fv.CARD_PLACE, ignore_case=False), 1)) if rule.place
-             else F.lit(None).cast("string"))
+    revenue, revenue_raw = _amount(rule, "revenue", rule.revenue_monthly)
     business_type, category = classify.card_type(source, text)
     if rule.title_from_link:
         title = tx.card_title(title, url)
     elif rule.default_title:
         title = F.coalesce(title, F.lit(rule.default_title))
+    place = F.col("_place")
     return {
         "listing_url": url, "title": title, "asking_price": price, "asking_price_raw": price_raw,
         "cash_flow": cash, "cash_flow_raw": cash_raw, "profit": profit, "profit_raw": profit_raw,
@@ -103,6 +108,17 @@ def read_card(source: str, rule: CardRule, text: Column, href: Column, title: Co
     }
 
 
+def _stages(at: Column) -> list[dict[str, Column]]:
+    """A card's text is searched once for each amount; numbers are read from what was found, each in a step of its own."""
+    text = F.col("_text")
+    found = {a: {n: p for n, r in CARD_RULES.items() if (p := _patterns(r, a))} for a in _AMOUNTS}
+    place = tx.not_blank(F.regexp_extract(text, tx.rx(fv.CARD_PLACE, ignore_case=False), 1))
+    whole = {f"_whole_{a}": by_site(at, {n: tx.first_regex_whole(text, p) for n, p in by.items()}) for a, by in found.items()}
+    short = {f"_short_{a}": by_site(at, {n: tx.capture_of(F.col(f"_whole_{a}"), p) for n, p in by.items()}) for a, by in found.items()}
+    number = {f"_number_{a}": F.when(F.col(f"_whole_{a}").isNotNull(), money.parse_price_suffix(F.col(f"_short_{a}"))) for a in _AMOUNTS}
+    return [whole | {"_place": by_site(at, {n: place for n, r in CARD_RULES.items() if r.place})}, short, number]
+
+
 def extract_cards(outlines: DataFrame, source: str = "source", scraped_at: Column | None = None,
                   first: int | None = -1) -> DataFrame:
     """Card rows of outlined results pages. ``first=None`` reads every card, the default each site's own number.
@@ -116,8 +132,8 @@ def extract_cards(outlines: DataFrame, source: str = "source", scraped_at: Colum
         names = [f.name for f in schemas.CARDS.fields if f.name not in ("source", "scraped_at")]
         _PREPARED[key] = (
             by_site(at, {n: card_pieces(r, r.first if first == -1 else first) for n, r in CARD_RULES.items()}),
-            {c: by_site(at, {n: fields[c] for n, fields in read.items()}) for c in names})
-    pieces, fields = _PREPARED[key]
+            _stages(at), {c: by_site(at, {n: fields[c] for n, fields in read.items()}) for c in names})
+    pieces, stages, fields = _PREPARED[key]
     keep = [c for c in outlines.columns if c not in (*OUTLINE_COLUMNS, "scraped_at")]
     stamp = F.current_timestamp() if scraped_at is None else scraped_at
     cards = (
@@ -126,4 +142,6 @@ def extract_cards(outlines: DataFrame, source: str = "source", scraped_at: Colum
         .select(*keep, "scraped_at", "card_pos", *[F.col(f"_card.{c}").alias(f"_{c}") for c in ("text", "href", "title")])
         .filter((at != "BizQuest") | F.col("_href").isNotNull())
     )
+    for columns in stages:
+        cards = cards.withColumns(columns)
     return cards.select(*keep, "scraped_at", "card_pos", *[c.alias(n) for n, c in fields.items() if n != source])

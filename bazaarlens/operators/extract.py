@@ -186,6 +186,7 @@ class Found:
     picks: dict[str, Column]            # picked texts by slot
     labels: dict[str, Column]           # value of the last row of a label kind
     asking: Column                      # all values of the ``price`` kind, in order
+    wholes: dict[str, Column]           # first match of a pattern list in the page text, by slot
 
 
 @dataclass(frozen=True)
@@ -195,6 +196,7 @@ class Site:
 
     fields: Callable[[Found], dict[str, Column | tuple[Column, ...]]]
     picks: dict[str, Pick] = field(default_factory=dict)
+    wholes: dict[str, tuple[str, ...]] = field(default_factory=dict)  # pattern lists of which match and capture are wanted
     layout: Layout | None = None
     kinds: Kinds = ()
     guarded: bool = False               # undisclosed label values are skipped (C4)
@@ -229,12 +231,12 @@ def _bizquest(at: Found) -> dict[str, Column]:
     text, node = at.text, at.picks["price"]
     return {
         "title": F.coalesce(at.picks["title"], tx.title_from_slug(at.url)),
-        "asking_price_raw": F.coalesce(node, tx.first_regex_whole(text, fv.BQ_PRICE)),
-        "price": F.coalesce(node, tx.first_regex(text, fv.BQ_PRICE)),
-        "cash_flow": tx.first_regex(text, fv.BQ_CASH_FLOW),
-        "cash_flow_raw": tx.first_regex_whole(text, fv.BQ_CASH_FLOW),
-        "revenue": tx.first_regex(text, fv.BQ_REVENUE),
-        "revenue_raw": tx.first_regex_whole(text, fv.BQ_REVENUE),
+        "asking_price_raw": F.coalesce(node, at.wholes["price"]),
+        "price": F.coalesce(node, tx.capture_of(at.wholes["price"], fv.BQ_PRICE)),
+        "cash_flow": tx.capture_of(at.wholes["cash_flow"], fv.BQ_CASH_FLOW),
+        "cash_flow_raw": at.wholes["cash_flow"],
+        "revenue": tx.capture_of(at.wholes["revenue"], fv.BQ_REVENUE),
+        "revenue_raw": at.wholes["revenue"],
         "_margin": tx.search(text, fv.BQ_MARGIN),
         "location": tx.location(text, fv.BQ_LOCATION),
         "category": classify.category(at.low),
@@ -372,7 +374,7 @@ EXTRACTORS: dict[str, Site] = {
         _quietlight,
         {"title": pick(E("h3")), "price": pick(_QL_BOX >> E("h4"), take="text"), "description": pick(_QL_BOX >> E("p")),
          "industry": pick(E("div", cls="listing-card__category-name"))},
-        HEADINGS, (("revenue", ("revenue",)), ("cash_flow", ("income",)), ("multiple", ("multiple",))),
+        layout=HEADINGS, kinds=(("revenue", ("revenue",)), ("cash_flow", ("income",)), ("multiple", ("multiple",))),
         derived=with_multiple, needs_low=True),
     "BizBuySell": Site(
         _bizbuysell,
@@ -381,19 +383,19 @@ EXTRACTORS: dict[str, Site] = {
          "price": pick(E("span", cls="price asking"), E("div", cls="asking-price"), take="text"),
          "industry": pick(E("div", cls="category"), E("span", cls="category"), E("div", cls="business-type"), together=True),
          "box": pick(PARAGRAPHS.box, take="text")},
-        PARAGRAPHS, (("price", ("asking price",)), ("cash_flow", ("cash flow",)), ("cash_flow", ("sde",)),
+        layout=PARAGRAPHS, kinds=(("price", ("asking price",)), ("cash_flow", ("cash flow",)), ("cash_flow", ("sde",)),
                      ("revenue", ("gross", "revenue")), ("ebitda", ("ebitda",))), guarded=True),
     "BizQuest": Site(
         _bizquest,
         {"title": pick(E("h1"), E("h2", cls="business-title")), "price": pick(E("span", cls="price"), E("div", cls="price")),
          "meta": pick(E("meta", attrs={"name": "description"}), take="content"),
          "description": pick(E("div", cls="description"), E("section", cls="business-description"))},
-        derived=_bizquest_derived, spaced_text=True, suffix_amounts=True, needs_low=True, ours=("price", "industry")),
+        {"price": fv.BQ_PRICE, "cash_flow": fv.BQ_CASH_FLOW, "revenue": fv.BQ_REVENUE}, derived=_bizquest_derived, spaced_text=True, suffix_amounts=True, needs_low=True, ours=("price", "industry")),
     "WebsiteProperties": Site(
         _websiteproperties,
         {"title": pick(E("h2", cls="blog-single-title")), "price": pick(E("h5", cls="mt-4"), take="text"),
          "description": pick(E("div", cls="listing-single-content") >> E("p"))},
-        CELLS, (("revenue", ("gross revenue",)), ("cash_flow", ("cash flow",))),
+        layout=CELLS, kinds=(("revenue", ("gross revenue",)), ("cash_flow", ("cash flow",))),
         extra_kinds=(("year", ("year established",)), ("employees", ("employees",)), ("industry", ("industry",)),
                      ("location", ("location",))),
         derived=with_multiple, marks={"established_year": "year", "employees": "employees"}),
@@ -423,7 +425,7 @@ EXTRACTORS: dict[str, Site] = {
         derived=titled, besides=("listing_url", "source_site")),
     "WebsiteClosers": Site(
         _websiteclosers, {"title": pick(E("h1")), "description": pick(E("div", cls="wysiwyg cfx"))},
-        LINES, (("price", ("asking price",)), ("cash_flow", ("cash flow",)), ("revenue", ("gross income",)),
+        layout=LINES, kinds=(("price", ("asking price",)), ("cash_flow", ("cash flow",)), ("revenue", ("gross income",)),
                 ("year", ("year established",))),
         derived=titled),
 }
@@ -449,7 +451,10 @@ def _gather(extractors: dict[str, Site], at: Column) -> list[tuple[Rules, tuple[
         f"_node_{s}": by_site(at, {n: F.expr(x.picks[s].selector) for n, x in extractors.items() if s in x.picks})
         for s in slots}
     lowered = [n for n, x in extractors.items() if x.needs_low]
-    picks = {"_low": F.when(at.isin(*lowered), F.lower("_text"))} | {
+    searched = {n: p for x in extractors.values() for n, p in x.wholes.items()}
+    wholes = {f"_whole_{s}": by_site(at, {n: tx.first_regex_whole(F.col("_text"), x.wholes[s]) for n, x in extractors.items() if s in x.wholes})
+              for s in searched}
+    picks = {"_low": F.when(at.isin(*lowered), F.lower("_text"))} | wholes | {
         f"_pick_{s}": by_site(at, {n: F.expr(x.picks[s].value(f"_node_{s}")) for n, x in extractors.items() if s in x.picks})
         for s in slots}
     stages: list[tuple[Rules, tuple[str, ...]]] = [(nodes, ()), (picks, tuple(f"_node_{s}" for s in slots))]
@@ -489,7 +494,7 @@ def _found(x: Site, labelled: bool, url: Column) -> Found:
     null = F.lit(None).cast("string")
     labels = {k: F.col(f"_label_{k}") for k, _ in x.kinds} | {k: F.col(f"_extra_{k}") for k, _ in x.extra_kinds}
     asking = F.col("_asking") if labelled else F.array(null)
-    return Found(F.col("_text"), F.col("_low"), url, {s: F.col(f"_pick_{s}") for s in x.picks}, labels, asking)
+    return Found(F.col("_text"), F.col("_low"), url, {s: F.col(f"_pick_{s}") for s in x.picks}, labels, asking, {s: F.col(f"_whole_{s}") for s in x.wholes})
 
 
 @dataclass(frozen=True)
