@@ -46,30 +46,34 @@ def _features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.stack([gram_counts(data[a:b], BITS, SIZES) for a, b in zip(offsets[:-1], offsets[1:])]) * 10
 
 
-def fit_languages(docs: DataFrame, lang_column: str = "lang", per_language: int = 300, most_languages: int = 200,
+def fit_languages(docs: DataFrame, lang_column: str = "lang", per_language: int = 300, most_documents: int = 12_000,
                   rounds: int = 150) -> LanguageModel:
-    """Fit on up to ``per_language`` documents (doc_id, text, lang) of each language, the smallest by a hash of the id.
+    """Fit on up to ``per_language`` documents (doc_id, text, lang) of every language, the smallest by a hash of the id.
 
-    NULL languages, NULL texts and ids teach nothing. Of more than ``most_languages`` languages, the most
-    frequent are learned. The sample is the only part of the corpus that the driver sees.
+    NULL languages, NULL texts and ids teach nothing; of rows with one id and language one text counts. The sample is the only
+    part of the corpus that the driver sees, ``most_documents`` in all: with many languages each has fewer. A corpus
+    with more languages than that is refused, as no language is left out in silence.
     """
     usable = docs.filter(F.col(lang_column).isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     usable = usable.filter(F.rlike("text", F.lit(r"\p{L}")))
-    named = usable.select(F.col(lang_column).alias("_lang"), F.col("doc_id").alias("_id")).withColumn("_h", F.xxhash64("_id"))
-    frequent = [r["_lang"] for r in named.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(most_languages).collect()]
-    if not frequent:
+    named = usable.groupBy(F.col(lang_column).alias("_lang"), F.col("doc_id").alias("_id")).agg(F.xxhash64("doc_id").alias("_h"))
+    n_languages = usable.select(lang_column).distinct().count()
+    if not n_languages:
         return LanguageModel((), np.empty((0, 0)), np.empty((1 << BITS, 0)), np.empty(0))
+    if n_languages > most_documents:
+        raise ValueError(f"{n_languages} languages: more than a sample of {most_documents} documents can teach")
+    most = min(per_language, most_documents // n_languages)
     rank = F.row_number().over(W.Window.partitionBy("_lang").orderBy("_h", "_id"))
-    chosen = named.filter(F.col("_lang").isin(frequent)).withColumn("_rank", rank).filter(F.col("_rank") <= per_language)
+    chosen = named.withColumn("_rank", rank).filter(F.col("_rank") <= most)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bounded(batches, "text"):
             x = _features(*text_bytes(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("_lang"), pa.array([r.astype(np.float32).tobytes() for r in x], pa.binary())], ["lang", "x"])
 
-    # At most per_language * most_languages ids.
-    picked = F.broadcast(chosen.select("_lang", "_id"))
-    sample = (usable.select(F.col("doc_id").alias("_id"), F.col(lang_column).alias("_lang"), "text").join(picked, ["_lang", "_id"], "left_semi")
+    picked = F.broadcast(chosen.select("_lang", "_id"))  # most_documents ids at most
+    texts = usable.select(F.col("doc_id").alias("_id"), F.col(lang_column).alias("_lang"), "text").join(picked, ["_lang", "_id"], "left_semi")
+    sample = (texts.groupBy("_lang", "_id").agg(F.min_by("text", F.md5(F.col("text").cast("binary"))).alias("text"))
               .select("_lang", "text").mapInArrow(read, "lang string, x binary").collect())
     languages = tuple(sorted({r["lang"] for r in sample}))
     code = codewords(len(languages))
@@ -131,6 +135,9 @@ def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text", l
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose language is told clearly, all columns unchanged."""
+    """The rows of ``docs`` whose language is told clearly, all columns unchanged. Where nothing was learned no language
+    can be told, and all rows with a letter stay."""
+    if not model.languages:
+        return docs.filter(F.coalesce(F.rlike(text_column, F.lit(r"\p{L}")), F.lit(False)))
     named = identify(docs, model, text_column)
     return named.filter(~F.col(named.columns[-1])).select(*docs.columns)

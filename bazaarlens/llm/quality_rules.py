@@ -104,12 +104,13 @@ def verdict(rules: list[Rule]) -> Column:
 
 
 def fit_decision_list(labelled: DataFrame, label: str, key: str, features: tuple[str, ...] = FEATURES, steps: int = 40,
-                      most_rules: int = 6, most_conditions: int = 3, least_precision: float = 0.8, least_support: int = 5) -> list[Rule]:
+                      least_precision: float = 0.8, least_support: int = 5) -> list[Rule]:
     """Rules that tell rows with ``label`` 0 from rows with 1, by sequential covering over all of ``labelled``.
 
     Thresholds are ``steps`` quantiles of each feature among the 0 rows. A conjunction grows by the best
     FOIL gain and is pruned to its most precise prefix on the third of rows kept aside by a hash of ``key``.
-    Learning ends at a rule below ``least_precision`` or ``least_support`` there. Rows with a NULL label are
+    Conditions are added while they gain, rules until one falls below ``least_precision`` or ``least_support`` there; a
+    rule takes as many bad rows away at least, so learning ends. Rows with a NULL label are
     ignored; without 0 rows there are no rules.
     """
     names = list(features)
@@ -132,10 +133,10 @@ def fit_decision_list(labelled: DataFrame, label: str, key: str, features: tuple
 
     rules: list[Rule] = []
     left = rows
-    while len(rules) < most_rules:
+    while True:
         grown: list[Condition] = []
         part = left.filter(~F.col("_prune"))
-        while len(grown) < most_conditions:
+        while True:
             best = _best_condition(histogram(part), names, thresholds, least_support)
             if best is None:
                 break

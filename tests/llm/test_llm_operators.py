@@ -195,6 +195,43 @@ def test_language_odd_rows(docs, none, spark):
     assert {r["lang_pred"] for r in language_id.identify(docs, nothing).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(250 * k + i, " ".join([letters[i % 26] + letters[i // 26] + letters[(7 * i) % 26]] * 30 + ["the", "of"] * k), f"l{i:03d}")
+            for i in range(250) for k in range(4)]
+    model = language_id.fit_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rounds=20)
+    assert len(model.languages) == 250
+    with pytest.raises(ValueError):
+        language_id.fit_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most_documents=200)
+
+
+def test_one_text_per_sampled_id(spark, monkeypatch):
+    rows = [(7, f"word number {i}", "en") for i in range(3000)] + [(i, "noch ein wort", "de") for i in range(500)]
+    seen = []
+    monkeypatch.setattr(language_id, "codewords", lambda n, real=language_id.codewords: real(n))
+    monkeypatch.setattr(np, "stack", lambda x, *a, real=np.stack, **k: (seen.append(len(x)), real(x, *a, **k))[1])
+    language_id.fit_languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=300, rounds=1)
+    assert max(seen) == 301
+
+
+def test_corpus_without_languages_is_kept(spark):
+    docs = spark.createDataFrame([(1, "some text", None), (2, None, None), (3, "12 34", None), (4, "more", None)], "doc_id long, text string, lang string")
+    left = language_id.keep_identified(docs, language_id.fit_languages(docs))
+    assert sorted(r["doc_id"] for r in left.collect()) == [1, 4] and left.columns == docs.columns
+
+
+def test_many_kinds_of_bad_documents(spark):
+    draw = random.Random(5)
+    rows, names = [], [f"f{k}" for k in range(9)]
+    for i in range(2700):
+        kind = i % 18
+        rows.append((i, *(draw.uniform(0.6, 1) if k == kind else draw.uniform(0, 0.5) for k in range(9)), int(kind > 8)))
+    table = spark.createDataFrame(rows, ", ".join(["id long", *(f"{n} double" for n in names), "y int"]))
+    rules = quality_rules.fit_decision_list(table, "y", "id", tuple(names))
+    judged = table.withColumn("ok", quality_rules.verdict(rules)).collect()
+    assert len(rules) == 9 and sum(r["ok"] for r in judged if not r["y"]) < 200 and all(r["ok"] for r in judged if r["y"])
+
+
 def test_codewords():
     for n in (1, 2, 4, 6, 11):
         code = language_id.codewords(n)
