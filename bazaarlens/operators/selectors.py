@@ -31,7 +31,7 @@ class E:
 
     tag: str | tuple[str, ...] | None = None
     cls: str = ""
-    class_part: str = ""                                                  # substring of a class name
+    class_part: str = ""                                                  # substring of the class attribute
     class_regex: str = ""                                                 # pattern found in a class name
     attrs: dict[str, str] = field(default_factory=dict, hash=False)       # exact values
     attr_parts: dict[str, str] = field(default_factory=dict, hash=False)  # substrings
@@ -45,8 +45,8 @@ class E:
     def postings(self) -> str:
         """Nodes that have all names, by idx."""
         lists = [f"class_index['{name}']" for name in self.cls.split()]
-        if self.class_part:
-            lists.append(_named(f"contains(k, '{self.class_part}')"))
+        if self.class_part:  # a part with a space goes over the end of a name
+            lists.append("attr_index['class']" if " " in self.class_part else _named(f"contains(k, '{self.class_part}')"))
         if self.class_regex:
             lists.append(_named(f"k RLIKE r'{self.class_regex}'"))
         named = dict.fromkeys([*self.attrs, *self.attr_parts, *self.attr_ends, *([self.has_attr] if self.has_attr else [])])
@@ -65,7 +65,8 @@ class E:
     def found(self, within: str | None = None) -> str:
         """Matching nodes by idx; ``within`` names a node they have to be below."""
         out, node = self.postings(), "get(nodes, i)"
-        tests = [f"{node}.attrs['{k}'] = '{v}'" for k, v in self.attrs.items()]
+        tests = [f"contains({node}.cls, '{self.class_part}')"] if " " in self.class_part else []
+        tests += [f"{node}.attrs['{k}'] = '{v}'" for k, v in self.attrs.items()]
         tests += [f"contains({node}.attrs['{k}'], '{v}')" for k, v in self.attr_parts.items()]
         tests += [f"endswith({node}.attrs['{k}'], '{v}')" for k, v in self.attr_ends.items()]
         if within:

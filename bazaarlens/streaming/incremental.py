@@ -23,12 +23,16 @@ def new_listings(captures: DataFrame, stored: DataFrame, extractors: dict[str, S
 
 
 def ingest_batch(table: str, extractors: dict[str, Site] | None = None, rejects: str | None = None) -> Callable[[DataFrame, int], None]:
-    """A batch function. Repeating a batch appends nothing: what it wrote before is stored by then."""
+    """A batch function. Repeating a batch appends nothing: what it wrote before is stored by then.
+
+    Rejects are filed under the stream and the batch: the id that a stream keeps in its checkpoint, over restarts.
+    """
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batches"
         bad = rejects or f"{table}_rejects"
         store.create_rejects_table(spark, bad)
-        store.append_outcomes(new_listings(batch, spark.table(table), extractors), table, bad, f"batch {batch_id}")
+        store.append_outcomes(new_listings(batch, spark.table(table), extractors), table, bad, f"{stream} batch {batch_id}")
     return run
 
 

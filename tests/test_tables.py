@@ -171,3 +171,14 @@ def test_a_broken_run_is_logged_as_failed(spark, tmp_path):
         ingest_run(spark, "r", found, broken, "t_broken", "t_brokenlog", F.lit(1))
     row = runlog.current_run_log(spark.table("t_brokenlog")).first()
     assert (row.status, row.error_count, row.total_listings_found) == ("failed", 1, 0) and row.error_message
+
+
+def test_two_streams_each_keep_their_rejects(spark, tmp_path):
+    rows = [("https://a.example/1", "<h1>t</h1>", False, dt.datetime(2024, 5, 1), "Nowhere")]
+    captures = spark.createDataFrame(rows, "url string, html string, rendered boolean, fetched_at timestamp, source_site string")
+    captures.write.parquet(str(tmp_path / "in"))
+    store.create_listings_table(spark, "t_two_streams", str(tmp_path / "t"))
+    for name in ("first", "second", "first"):  # the last one goes on from its checkpoint and finds nothing new
+        incremental_ingest(spark, str(tmp_path / "in"), "t_two_streams", str(tmp_path / name)).awaitTermination()
+    runs = [r["run"] for r in spark.table("t_two_streams_rejects").collect()]
+    assert len(runs) == 2 == len(set(runs)) and all(r.endswith(" batch 0") and not r.startswith("batches") for r in runs)
