@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from bazaarlens import fixed_values as fv, schemas
 from bazaarlens.functions import classify, money, text as tx
 from bazaarlens.operators.selectors import (
-    E, all_of, first, first_of, packed, page_text, spaced_text, stripped, text)
+    E, all_of, first, first_of, packed, page_text, quoted, spaced_text, stripped, text)
 from bazaarlens.sources.html import OUTLINE, flatten_pages
 
 Rules = dict[str, Column]
@@ -46,7 +46,7 @@ class Pick:
         if self.take == "raw":
             return f"{node}.raw"
         reader = {"stripped": stripped, "text": text, "packed": packed}.get(self.take)
-        return reader(node) if reader else f"{node}.attrs['{self.take}']"
+        return reader(node) if reader else f"{node}.attrs['{quoted(self.take)}']"
 
 
 def pick(*options: E, take: str = "stripped", together: bool = False) -> Pick:

@@ -20,6 +20,11 @@ from bazaarlens.functions.text import strip
 _NONE = "CAST(array() AS array<int>)"
 
 
+def quoted(value: str) -> str:
+    """A text as it stands between the quotes of a SQL literal."""
+    return value.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def _named(test: str) -> str:
     """Nodes with a class name that passes the test."""
     return f"array_sort(array_distinct(flatten(map_values(map_filter(class_index, (k, v) -> {test})))))"
@@ -35,6 +40,7 @@ class E:
     class_regex: str = ""                                                 # pattern found in a class name
     attrs: dict[str, str] = field(default_factory=dict, hash=False)       # exact values
     attr_parts: dict[str, str] = field(default_factory=dict, hash=False)  # substrings
+    attr_starts: dict[str, str] = field(default_factory=dict, hash=False)  # prefixes
     attr_ends: dict[str, str] = field(default_factory=dict, hash=False)   # suffixes
     has_attr: str = ""
     inside: E | None = None
@@ -44,15 +50,15 @@ class E:
 
     def postings(self) -> str:
         """Nodes that have all names, by idx."""
-        lists = [f"class_index['{name}']" for name in self.cls.split()]
+        lists = [f"class_index['{quoted(name)}']" for name in self.cls.split()]
         if self.class_part:  # a part with a space goes over the end of a name
             lists.append("attr_index['class']" if " " in self.class_part else _named(f"contains(k, '{self.class_part}')"))
         if self.class_regex:
-            lists.append(_named(f"k RLIKE r'{self.class_regex}'"))
-        named = dict.fromkeys([*self.attrs, *self.attr_parts, *self.attr_ends, *([self.has_attr] if self.has_attr else [])])
-        lists += [f"attr_index['{k}']" for k in named]
+            lists.append(_named(f"k RLIKE '{quoted(self.class_regex)}'"))
+        named = dict.fromkeys([*self.attrs, *self.attr_parts, *self.attr_starts, *self.attr_ends, *([self.has_attr] if self.has_attr else [])])
+        lists += [f"attr_index['{quoted(k)}']" for k in named]
         if isinstance(self.tag, str):
-            lists.append(f"tag_index['{self.tag}']")
+            lists.append(f"tag_index['{quoted(self.tag)}']")
         elif self.tag is not None:
             lists.append(f"array_sort(concat({', '.join(f"coalesce(tag_index['{t}'], {_NONE})" for t in self.tag)}))")
         if not lists:
@@ -66,9 +72,9 @@ class E:
         """Matching nodes by idx; ``within`` names a node they have to be below."""
         out, node = self.postings(), "get(nodes, i)"
         tests = [f"contains({node}.cls, '{self.class_part}')"] if " " in self.class_part else []
-        tests += [f"{node}.attrs['{k}'] = '{v}'" for k, v in self.attrs.items()]
-        tests += [f"contains({node}.attrs['{k}'], '{v}')" for k, v in self.attr_parts.items()]
-        tests += [f"endswith({node}.attrs['{k}'], '{v}')" for k, v in self.attr_ends.items()]
+        tests += [f"{node}.attrs['{quoted(k)}'] = '{quoted(v)}'" for k, v in self.attrs.items()]
+        for test, wanted in (("contains", self.attr_parts), ("startswith", self.attr_starts), ("endswith", self.attr_ends)):
+            tests += [f"{test}({node}.attrs['{quoted(k)}'], '{quoted(v)}')" for k, v in wanted.items()]
         if within:
             tests.insert(0, f"i > {within}.idx AND i <= {within}.last")
         if tests:
@@ -140,13 +146,8 @@ _OPS = ("=", "*=", "^=", "$=")
 MOST_STEPS = 10_000
 
 
-def selector_array(rows: DataFrame) -> Column:
-    """The selectors of a table with the columns of STEP, as one constant array.
-
-    ``classes`` are names that must all be there, ``class_regex`` is searched for in single class names, ``attr`` alone
-    asks for presence, with ``op`` (=, *=, ^=, $=) for its ``value``. A step without any test matches every element.
-    Selectors are a setting of the job: more than MOST_STEPS rows are refused, as is an unknown ``op``.
-    """
+def _paths(rows: DataFrame) -> dict[str, list]:
+    """The steps of each selector of a table, the outermost first."""
     names = [part.split()[0] for part in STEP.split(", ")]
     steps = rows.select(*names).limit(MOST_STEPS + 1).collect()
     if len(steps) > MOST_STEPS:
@@ -156,7 +157,31 @@ def selector_array(rows: DataFrame) -> Column:
         if r["op"] is not None and (r["op"] not in _OPS or r["attr"] is None or r["value"] is None):
             raise ValueError(f"selector {r['selector']}: an attribute, one of {_OPS} and a value belong together")
         paths[r["selector"]].append({"tag": r["tag"], "classes": (r["classes"] or "").split(), **{k: r[k] for k in ("class_regex", "attr", "op", "value")}})
-    return F.from_json(F.lit(json.dumps([{"selector": k, "path": v} for k, v in paths.items()])), _STEPS)
+    return paths
+
+
+def selector_array(rows: DataFrame) -> Column:
+    """The selectors of a table with the columns of STEP, as one constant array.
+
+    ``classes`` are names that must all be there, ``class_regex`` is searched for in single class names, ``attr`` alone
+    asks for presence, with ``op`` (=, *=, ^=, $=) for its ``value``. A step without any test matches every element.
+    Selectors are a setting of the job: more than MOST_STEPS rows are refused, as is an unknown ``op``.
+    """
+    return F.from_json(F.lit(json.dumps([{"selector": k, "path": v} for k, v in _paths(rows).items()])), _STEPS)
+
+
+def elements(rows: DataFrame) -> dict[str, E]:
+    """The selectors of such a table by name, each as an element test of its own."""
+    tests = {"=": "attrs", "*=": "attr_parts", "^=": "attr_starts", "$=": "attr_ends"}
+    out: dict[str, E] = {}
+    for name, path in _paths(rows).items():
+        chain = None
+        for c in path:
+            attr = {} if c["attr"] is None else {"has_attr": c["attr"]} if c["op"] is None else {tests[c["op"]]: {c["attr"]: c["value"]}}
+            one = E(c["tag"], " ".join(c["classes"]), class_regex=c["class_regex"] or "", **attr)
+            chain = one if chain is None else chain >> one
+        out[name] = chain
+    return out
 
 
 def _step(c: str) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bazaarlens import fixed_values as fv
-from bazaarlens.operators import cards, extract, frontier, quality, report
+from bazaarlens.operators import cards, extract, frontier, quality, report, site_rules
 from bazaarlens.operators.selectors import STEP, E, all_of, attr_of, first, let, spaced_text, text, text_of
 from bazaarlens.plans import ingest, inputs as i, page_inputs as p
 from bazaarlens.plans.functions_catalog import LISTINGS, _FACTS, _sql_category
@@ -200,6 +200,57 @@ def all_sites(spark, sf_dir):
     return extract.extract_listings(_mixed_pages(spark, sf_dir)).select("source_site", *_MIXED.split(", "))
 
 
+def _named_rows(spark, schema, *rows):
+    """A table of the schema from dicts; what a row leaves out is NULL."""
+    names = [part.split()[0] for part in schema.split(", ")]
+    return spark.createDataFrame([[r.get(c) for c in names] for r in rows], schema)
+
+
+def _rule(site, field, source, selector=None, option=0, **more):
+    return {"site": site, "field": field, "source": source, "selector": selector, "option": option} | more
+
+
+# two sites that the library has no code for; their pages are laid out like those of two that it has
+_RULES = (
+    _rule("Harbour", "title", "element", "h1", required=True), _rule("Harbour", "description", "element", "text box", most=2000),
+    _rule("Harbour", "box", "row", "table"), _rule("Harbour", "row", "row", "line"), _rule("Harbour", "label", "row", "left"),
+    _rule("Harbour", "value", "row", "right"), _rule("Harbour", "price", "label", words=["asking price"]),
+    _rule("Harbour", "cash_flow", "label", words=["cash", "flow"]), _rule("Harbour", "revenue", "label", words=["gross income"]),
+    _rule("Harbour", "established_year", "label", words=["year established"], pattern=r"(\d{4})"),
+    _rule("Lagoon", "title", "element", "h1"), _rule("Lagoon", "title", "element", "og title", 1, take="content"),
+    _rule("Lagoon", "description", "element", "meta description", take="content"),
+    _rule("Lagoon", "description", "element", "og description", 1, take="content"),
+    _rule("Lagoon", "price", "element", "price box", take="text", pattern=r"\$([\d,]+)"),
+    _rule("Lagoon", "price", "page", option=1, pattern=r"buy it now:\s*\$([\d,]+)", unless="price box"),
+    _rule("Lagoon", "revenue", "page", pattern=r"net revenue:\s*\$([\d.,]+k?)"),
+    _rule("Lagoon", "cash_flow", "page", pattern=r"(?:cash flow|net profit)\s+\$([\d,]+)"),
+    _rule("Lagoon", "industry", "page", pattern=r"niche:\s*([^,]+)"))
+_RULE_SELECTORS = (
+    ("h1", 0, {"tag": "h1"}), ("text box", 0, {"tag": "div", "classes": "wysiwyg cfx"}), ("table", 0, {"tag": "div", "classes": "sb-table"}),
+    ("line", 0, {"tag": "div", "classes": "line"}), ("left", 0, {"tag": "div", "classes": "left"}), ("right", 0, {"tag": "div", "classes": "right"}),
+    ("og title", 0, {"tag": "meta", "attr": "property", "op": "=", "value": "og:title"}),
+    ("meta description", 0, {"tag": "meta", "attr": "name", "op": "=", "value": "description"}),
+    ("og description", 0, {"tag": "meta", "attr": "property", "op": "^=", "value": "og:desc"}),
+    ("price box", 0, {"tag": "div", "class_regex": "price"}))
+_RULED = "p_partkey, title, description, price, revenue, cash_flow, industry, established_year"
+
+
+@query("h2_sites_from_rules", f"""
+  SELECT 'Harbour' AS source_site, {_RULED} FROM (SELECT p_partkey, CAST(NULL AS VARCHAR) AS industry, {p.WEBSITECLOSERS_FIELDS} FROM part {p.WEBSITECLOSERS_WHERE}) h
+  UNION ALL SELECT 'Lagoon', {_RULED} FROM (SELECT p_partkey, CAST(NULL AS INTEGER) AS established_year, {p.FLIPPA_FIELDS} FROM part) l
+  UNION ALL SELECT 'QuietLight', {_RULED} FROM (SELECT p_partkey, CAST(NULL AS INTEGER) AS established_year, {p.QUIETLIGHT_FIELDS} FROM part) q""")
+def h2_rules(spark, sf_dir):
+    """Two sites whose rules are rows of a stored table, next to one that has code."""
+    folder = fresh_path(spark, "rules")
+    _named_rows(spark, site_rules.RULE, *_RULES).write.parquet(f"{folder}/rules")
+    _selectors(spark, *_RULE_SELECTORS).write.parquet(f"{folder}/selectors")
+    pages = [_listing_pages(spark, sf_dir, like).withColumn("source_site", F.lit(site))
+             for site, like in (("Harbour", "WebsiteClosers"), ("Lagoon", "Flippa"), ("QuietLight", "QuietLight"))]
+    rules, selectors = (spark.read.parquet(f"{folder}/{t}") for t in ("rules", "selectors"))
+    built = {"QuietLight": extract.EXTRACTORS["QuietLight"]}
+    return site_rules.extract_by_rules(store.union_all_sites(pages), rules, selectors, extractors=built).select("source_site", *_RULED.split(", "))
+
+
 @query("h1_incremental_ingest", f"""SELECT source_site, listing_url, title, price, revenue, cash_flow FROM (
   {_mixed_sql('listing_url, title, price, revenue, cash_flow')}) q""")
 def h1(spark, sf_dir):
@@ -350,8 +401,7 @@ for _source in p.CARD_PAGES:
 # --- I: page quality ----------------------------------------------------------------
 def _selectors(spark, *rows):
     """A selectors table from (selector, step, {test: value})."""
-    names = [part.split()[0] for part in STEP.split(", ")]
-    return spark.createDataFrame([[({"selector": name, "step": step} | tests).get(c) for c in names] for name, step, tests in rows], STEP)
+    return _named_rows(spark, STEP, *({"selector": name, "step": step} | tests for name, step, tests in rows))
 
 
 _SELECTORS = (
