@@ -4,8 +4,9 @@ The given model is a BPE model: a segmentation is the model's own exactly where
 as they are when encoded alone. So a path over the pieces of a text weighs 0 if all neighbours agree and
 minus infinity otherwise, and one path has weight 0. A chunk's boundary states are the pieces that may hold
 the last character before the boundary; its transfer matrix (0 or minus infinity, kept as the pairs of
-weight 0) says which states at its start lead to which at its end. Matrices combine associatively, the
-combined ones fix the state at every boundary, and each chunk is then traced back on its own.
+weight 0) says which states at its start lead to which at its end. Matrices combine associatively: a tree
+of products of FAN neighbours is built level by level, then the states at the boundaries are fixed from the
+top of the tree down, and each chunk is traced back on its own.
 """
 from __future__ import annotations
 
@@ -25,6 +26,7 @@ _SPACE = "▁"
 _UNIT = re.compile(rb"\n| *[^ \n]+| +")
 _MODELS: dict[str, "Pieces"] = {}
 START = ""  # the state before a document
+FAN = 8     # matrices in one product
 
 
 class Pieces:
@@ -176,18 +178,26 @@ def combine(left: set[tuple[str, str]], right: set[tuple[str, str]]) -> set[tupl
     return {(i, k) for i, j in left for k in by.get(j, ())}
 
 
-def _boundaries(matrices: list[set[tuple[str, str]]]) -> list[str] | None:
-    """The state at every boundary of a document: reached from the start and leading to the end; None unless single."""
-    forward = [{START}]
+def product(matrices: list[set[tuple[str, str]]]) -> set[tuple[str, str]]:
+    """The product of neighbouring matrices, by halves."""
+    while len(matrices) > 1:
+        matrices = [combine(*matrices[i:i + 2]) if i + 1 < len(matrices) else matrices[i] for i in range(0, len(matrices), 2)]
+    return matrices[0]
+
+
+def _boundaries(matrices: list[set[tuple[str, str]]], entry: str = START, leave: str | None = None) -> list[str] | None:
+    """The states before, between and behind matrices: reached from ``entry`` and leading to ``leave`` (a document's end
+    where it is None); None unless each is single."""
+    forward = [{entry}]
     for m in matrices:
         forward.append({j for i, j in m if i in forward[-1]})
-    state, out = forward[-1], []
+    state, out = forward[-1] if leave is None else forward[-1] & {leave}, []
     for m, before in zip(reversed(matrices), reversed(forward[:-1])):
         if len(state) != 1:
             return None
         out.append(next(iter(state)))
         state = {i for i, j in m if j in state and i in before}
-    return [START, *reversed(out)] if state == {START} else None
+    return [entry, *reversed(out)] if state == {entry} else None
 
 
 def _pieces(path: str) -> Pieces:
@@ -218,6 +228,47 @@ def encode(docs: DataFrame, model_path: str, id_column: str = "doc_id", text_col
     return small.unionByName(_scanned(large, model_path, chunk))
 
 
+_MATRIX = "row long, n int, enter array<string>, leave array<string>"
+
+
+def _sets(of: pd.DataFrame) -> list[set[tuple[str, str]]]:
+    return [set(zip(i, j)) for i, j in zip(of["enter"], of["leave"])]
+
+
+def _fixed(matrices: DataFrame) -> DataFrame:
+    """row, n, entry and exit of every chunk from the stored matrices; the states are NULL where one is not single.
+
+    Up the tree, FAN neighbours give one product, until a document has FAN matrices at most. Down the tree,
+    the states around a product fix those between its factors. No task holds more than FAN matrices of a document.
+    """
+    def up(of: pd.DataFrame) -> pd.DataFrame:
+        of = of.sort_values("n")
+        pairs = sorted(product(_sets(of)))
+        return pd.DataFrame({"row": [of["row"].iloc[0]], "n": [of["n"].iloc[0] // FAN], "enter": [[i for i, _ in pairs]], "leave": [[j for _, j in pairs]]})
+
+    def down(of: pd.DataFrame) -> pd.DataFrame:
+        of = of.sort_values("n")
+        entry, leave, top = of["entry"].iloc[0], of["exit"].iloc[0], bool(of["top"].iloc[0])
+        found = _boundaries(_sets(of), entry, leave) if top or leave is not None else None
+        at = found or [None] * (len(of) + 1)
+        return pd.DataFrame({"row": of["row"], "n": of["n"], "entry": at[:-1], "exit": at[1:]})
+
+    block = F.floor(F.col("n") / FAN).cast("int")
+    levels, most = [matrices], matrices.agg(F.max("n")).first()[0] or 0
+    while most >= FAN:
+        levels.append(session.cut(levels[-1].withColumn("block", block).groupBy("row", "block").applyInPandas(up, _MATRIX)))
+        most //= FAN
+    fixed = None
+    for level in reversed(levels):
+        if fixed is None:
+            asked = level.withColumns({"block": F.lit(0), "entry": F.lit(START), "exit": F.lit(None).cast("string"), "top": F.lit(True)})
+        else:
+            above = fixed.select("row", F.col("n").alias("block"), "entry", "exit")
+            asked = level.withColumn("block", block).join(above, ["row", "block"]).withColumn("top", F.lit(False))
+        fixed = asked.groupBy("row", "block").applyInPandas(down, "row long, n int, entry string, exit string")
+    return fixed
+
+
 def _scanned(large: DataFrame, model_path: str, chunk: int) -> DataFrame:
     """The same columns for the stored rows ``large`` (row, doc_id, text), by the scan."""
     around = 32  # more than any piece on either side of a chunk
@@ -244,16 +295,8 @@ def _scanned(large: DataFrame, model_path: str, chunk: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("n"), pa.array([[i for i, _ in m] for m in out], pa.list_(pa.string())),
                                               pa.array([[j for _, j in m] for m in out], pa.list_(pa.string()))], ["row", "n", "enter", "leave"])
 
-    matrices = chunks.mapInArrow(matrix, "row long, n int, enter array<string>, leave array<string>")
-
-    def fix(of: pd.DataFrame) -> pd.DataFrame:
-        """A document's matrices are a few hundred bytes a chunk; a row of Spark holds at most 2 GB of text."""
-        of = of.sort_values("n")
-        found = _boundaries([set(zip(i, j)) for i, j in zip(of["enter"], of["leave"])])
-        at = found or [None] * (len(of) + 1)
-        return pd.DataFrame({"row": of["row"], "n": of["n"], "entry": at[:-1], "exit": at[1:]})
-
-    fixed = matrices.groupBy("row").applyInPandas(fix, "row long, n int, entry string, exit string")
+    matrices = session.cut(chunks.mapInArrow(matrix, _MATRIX))
+    fixed = _fixed(matrices)
 
     def trace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(model_path)
@@ -261,7 +304,8 @@ def _scanned(large: DataFrame, model_path: str, chunk: int) -> DataFrame:
             ids = [None if r["exit"] is None else Pieces._raw(traced(pieces, r["part"], r["a"], r["b"], r["entry"], r["exit"])) for r in batch.to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("n"), pa.array(ids, pa.binary())], ["row", "n", "ids"])
 
-    located = chunks.join(fixed, ["row", "n"]).select("row", "n", "part", "a", "b", "entry", "exit")
+    # the stated number of partitions keeps small chunks, which are much work each, from being packed into a few tasks
+    located = chunks.join(fixed, ["row", "n"]).select("row", "n", "part", "a", "b", "entry", "exit").repartition(parts, "row", "n")
     done = (located.mapInArrow(trace, "row long, n int, ids binary").groupBy("row")
             .agg(F.sort_array(F.collect_list(F.struct("n", "ids"))).alias("all"))
             .select("row", F.size("all").alias("n_chunks"), F.exists("all", lambda x: x["ids"].isNull()).alias("open"),
