@@ -108,11 +108,12 @@ def _anchors(keyed: DataFrame, window: int) -> DataFrame:
 
 
 def _marks(keyed: DataFrame, window: int) -> DataFrame:
-    """k, tag, marks: the places of a document whose anchor an earlier or a later document has as well."""
+    """k, tag, marks: the places of a document whose anchor an earlier or a later document has as well. Repeated rows
+    have the same places, which combine before the shuffle."""
     shared = _anchors(keyed, window).groupBy("h").agg(F.min("k").alias("least"), F.max("k").alias("greatest")).filter("least < greatest")
     return (_anchors(keyed, window).join(shared, "h")
-            .groupBy("k", "tag").agg(F.collect_list(F.struct("n", (F.col("k") > F.col("least")).alias("later"),
-                                                             (F.col("k") < F.col("greatest")).alias("earlier"))).alias("marks")))
+            .groupBy("k", "tag").agg(F.collect_set(F.struct("n", (F.col("k") > F.col("least")).alias("later"),
+                                                            (F.col("k") < F.col("greatest")).alias("earlier"))).alias("marks")))
 
 
 def _windows(marked: DataFrame, window: int, kind: str) -> DataFrame:
@@ -154,7 +155,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     marked = keyed.join(marks, ["k", "tag"]).select("k", "tag", "text", "marks")
     least = _windows(marked, window, "earlier").groupBy("w", "x").agg(F.min("k").alias("least"))
     hits = _windows(marked, window, "later").join(least, ["w", "x"]).filter("least < k")
-    return hits.groupBy("k", "tag").agg(F.collect_list("n").alias("starts"))
+    return hits.groupBy("k", "tag").agg(F.collect_set("n").alias("starts"))
 
 
 def _kept(text: bytes, starts: np.ndarray, window: int) -> tuple[int, int, bytes]:

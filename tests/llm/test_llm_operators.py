@@ -399,6 +399,36 @@ def test_sharding(docs, none, rows, spark):
     assert [s for _, s in firsts] == sorted(s for _, s in firsts)  # key order
 
 
+def test_repeated_rows_give_the_marks_of_one(spark):
+    text = " ".join(f"w{i}" for i in range(90))
+    one = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
+    many = spark.createDataFrame([(1, text)] * 60 + [(2, text)] * 3, "doc_id long, text string")
+    marks = [{r["k"]: len(r["marks"]) for r in substrings._marks(substrings._keyed(d), 50).collect()} for d in (one, many)]
+    starts = [{r["k"]: sorted(r["starts"]) for r in substrings.repeated_windows(d).collect()} for d in (one, many)]
+    assert marks[0] == marks[1] and set(marks[0]) == {1, 2} and starts[0] == starts[1] == {2: list(range(41))}
+
+
+def test_boundaries_by_a_tree_of_products(spark):
+    names = [[sentence_pieces.START]] + [[f"0:{c}" for c in "abc"]] * 100
+    draw, rows, want = random.Random(3), [], {}
+    for row, n in enumerate((1, 7, 8, 9, 64, 65, 100)):
+        path = [sentence_pieces.START] + [draw.choice(x) for x in names[1:n + 1]]
+        every = []
+        for k in range(n):  # the one path, and dead ends off it
+            dead = {(path[k], x) for x in names[k + 1] if x != path[k + 1]} if k + 1 < n and draw.random() < .5 else set()
+            every.append({(path[k], path[k + 1])} | dead)
+        want[row] = sentence_pieces._boundaries(every)
+        assert want[row] == path
+        rows += [(row, k, [i for i, _ in m], [j for _, j in m]) for k, m in enumerate(every)]
+    rows += [(99, k, [sentence_pieces.START] if not k else ["0:a", "0:b"], ["0:a", "0:b"] if k else ["0:a"]) for k in range(20)]
+    rows[-1] = (99, 19, ["0:b"], ["0:b"])  # no way through
+    got = {}
+    for r in sentence_pieces._fixed(spark.createDataFrame(rows, sentence_pieces._MATRIX)).collect():
+        got.setdefault(r["row"], {})[r["n"]] = (r["entry"], r["exit"])
+    assert all(got[row] == dict(enumerate(zip(at, at[1:]))) for row, at in want.items())
+    assert len(got[99]) == 20 and set(got[99].values()) == {(None, None)}
+
+
 def test_sentence_pieces(docs, none, rows):
     import sentencepiece
     path = public_tokenizers.path("piece_bpe_32k.model")
