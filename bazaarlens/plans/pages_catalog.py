@@ -10,7 +10,7 @@ from bazaarlens.plans import ingest, inputs as i, page_inputs as p
 from bazaarlens.plans.functions_catalog import LISTINGS, _FACTS, _sql_category
 from bazaarlens.plans.registry import query, table
 from bazaarlens.plans.tables_catalog import PRICED, priced_listings
-from bazaarlens.session import cut, fresh_path
+from bazaarlens.session import cut, fresh_path, own
 from bazaarlens.sources import runlog, store
 from bazaarlens.sources.html import flatten_pages
 from bazaarlens.streaming.incremental import incremental_ingest
@@ -241,7 +241,7 @@ _RULED = "p_partkey, title, description, price, revenue, cash_flow, industry, es
   UNION ALL SELECT 'QuietLight', {_RULED} FROM (SELECT p_partkey, CAST(NULL AS INTEGER) AS established_year, {p.QUIETLIGHT_FIELDS} FROM part) q""")
 def h2_rules(spark, sf_dir):
     """Two sites whose rules are rows of a stored table, next to one that has code."""
-    folder = fresh_path(spark, "rules")
+    folder = own(fresh_path(spark, "rules"))
     _named_rows(spark, site_rules.RULE, *_RULES).write.parquet(f"{folder}/rules")
     _selectors(spark, *_RULE_SELECTORS).write.parquet(f"{folder}/selectors")
     pages = [_listing_pages(spark, sf_dir, like).withColumn("source_site", F.lit(site))

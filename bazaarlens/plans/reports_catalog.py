@@ -7,9 +7,11 @@ from bazaarlens import fixed_values as fv
 from bazaarlens.functions import text as tx
 from bazaarlens.operators import report
 from bazaarlens.plans import inputs as i
-from bazaarlens.plans.registry import query
+from bazaarlens.plans.registry import ORACLES, query
 from bazaarlens.plans.tables_catalog import PRICED, priced_listings
+from bazaarlens.session import fresh_path, own
 from bazaarlens.sources import runlog, sites
+from bazaarlens.streaming import log_state
 
 C = F.col
 UPDATES = f"WITH u AS ({i.cte(i.RUNS)})"
@@ -93,6 +95,16 @@ def f5(spark, sf_dir):
     return runlog.run_log_state(_updates(spark, sf_dir))
 
 
+@query("f5_log_state_kept", ORACLES["f5_run_log_state"])
+def f5_kept(spark, sf_dir):
+    """The same state, kept up over three appends of which each brings updates older than some already taken."""
+    folder, updates = own(fresh_path(spark, "log")), _updates(spark, sf_dir)
+    for n in range(3):
+        updates.filter(F.pmod(F.xxhash64("seq"), F.lit(3)) == n).write.mode("append").parquet(f"{folder}/updates")
+        log_state.keep_log_state(spark, f"{folder}/updates", updates.schema, f"{folder}/progress").awaitTermination()
+    return log_state.log_state(spark, f"{folder}/progress", updates.schema)
+
+
 _OUTCOMES = f"""{UPDATES}, o AS (SELECT run_id, site_name, ts, event_type = 'view' AS existing, event_type <> 'error' AS succeeded,
   event_type = 'error' AND event_id % 2 = 0 AS raised FROM u),
 a AS (SELECT run_id, site_name, count(*) AS total_listings_found, count(*) FILTER (existing) AS existing_listings,

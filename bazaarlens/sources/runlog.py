@@ -1,6 +1,9 @@
 """The run log as append-only events, and what it says now."""
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarlens import fixed_values as fv, schemas
@@ -38,14 +41,37 @@ def run_log_state(updates: DataFrame, key: str = "run_id", seq: str = "seq") ->
     A partial update leaves a column NULL; to assign NULL on purpose it names the column in
     ``_set_null``. Only the latest value of each column is shuffled, not the updates.
     """
-    columns = [c for c in updates.columns if c not in (key, seq, "_set_null")]
+    columns, place = _assignments(updates, key, seq)
+    return updates.groupBy(key).agg(*[F.max_by(F.col(c), place(c)).alias(c) for c in columns])
+
+
+def _assignments(updates: DataFrame, key: str, seq: str) -> tuple[list[str], Callable[[str], Column]]:
+    """The columns that updates assign, and the place of a row's assignment to one; NULL where it assigns nothing."""
     cleared = F.col("_set_null") if "_set_null" in updates.columns else F.array().cast("array<string>")
 
-    def latest(c: str) -> Column:
+    def place(c: str) -> Column:
         assigned = F.col(c).isNotNull() | F.coalesce(F.array_contains(cleared, c), F.lit(False))
-        return F.max_by(F.col(c), F.when(assigned, F.col(seq))).alias(c)
+        return F.when(assigned, F.col(seq))
+    return [c for c in updates.columns if c not in (key, seq, "_set_null")], place
+
+
+def log_parts(updates: DataFrame, key: str = "run_id", seq: str = "seq") -> DataFrame:
+    """Per run and column the latest assignment as (place, value), NULL where there is none. Parts of disjoint sets
+    of updates merge into the parts of all (``merged_parts``)."""
+    columns, place = _assignments(updates, key, seq)
+    return updates.groupBy(key).agg(*[
+        F.max_by(F.struct(F.col(seq).alias("place"), F.col(c).alias("value")), place(c)).alias(c) for c in columns])
+
+
+def merged_parts(*parts: DataFrame, key: str = "run_id") -> DataFrame:
+    """A column that some parts lack was not assigned there."""
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return every.groupBy(key).agg(*[F.max_by(F.col(c), F.col(c)["place"]).alias(c) for c in every.columns if c != key])
+
 
-    return updates.groupBy(key).agg(*[latest(c) for c in columns])
+def state_of_parts(parts: DataFrame, key: str = "run_id") -> DataFrame:
+    """What ``run_log_state`` gives for the updates behind the parts."""
+    return parts.select(key, *[F.col(c)["value"].alias(c) for c in parts.columns if c != key])
 
 
 def current_run_log(log: DataFrame) -> DataFrame:
