@@ -304,8 +304,9 @@ def _scanned(large: DataFrame, model_path: str, chunk: int) -> DataFrame:
             ids = [None if r["exit"] is None else Pieces._raw(traced(pieces, r["part"], r["a"], r["b"], r["entry"], r["exit"])) for r in batch.to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("n"), pa.array(ids, pa.binary())], ["row", "n", "ids"])
 
-    # the stated number of partitions keeps small chunks, which are much work each, from being packed into a few tasks
-    located = chunks.join(fixed, ["row", "n"]).select("row", "n", "part", "a", "b", "entry", "exit").repartition(parts, "row", "n")
+    # small chunks are much work each: the stated number of partitions keeps them from being packed into a few tasks.
+    # It goes by another key than the join's, as an exchange by the same one is planned away
+    located = chunks.join(fixed, ["row", "n"]).select("row", "n", "part", "a", "b", "entry", "exit").repartition(parts, F.xxhash64("row", "n"))
     done = (located.mapInArrow(trace, "row long, n int, ids binary").groupBy("row")
             .agg(F.sort_array(F.collect_list(F.struct("n", "ids"))).alias("all"))
             .select("row", F.size("all").alias("n_chunks"), F.exists("all", lambda x: x["ids"].isNull()).alias("open"),
