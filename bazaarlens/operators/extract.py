@@ -40,11 +40,11 @@ class Pick:
     """First element of an ordered selector list, and what to take from it."""
 
     selector: str
-    take: str = "stripped"  # stripped, text, packed, raw, or an attribute name
+    take: str = "stripped"  # stripped, text, packed, raw, json (raw, parsed), or an attribute name
 
     def value(self, node: str) -> str:
-        if self.take == "raw":
-            return f"{node}.raw"
+        if self.take in ("raw", "json"):
+            return f"{node}.raw" if self.take == "raw" else f"try_parse_json({node}.raw)"
         reader = {"stripped": stripped, "text": text, "packed": packed}.get(self.take)
         return reader(node) if reader else f"{node}.attrs['{quoted(self.take)}']"
 
@@ -152,27 +152,36 @@ def numeric_aliases(df: DataFrame) -> DataFrame:
 
 
 # --- embedded JSON (C6, C7): fields as text ----------------------------------------
-def jsonld_fields(body: Column) -> Rules:
-    """C6. Malformed JSON gives NULL fields; an offer without a price costs 0."""
+def parsed(body: Column) -> Column:
+    """A JSON body as VARIANT, to be kept in a column: it is parsed once, whatever number of paths is read. NULL where
+    malformed; what follows a complete value is not read. Of a repeated key the last counts, as ``build_session`` sets it; Spark's default takes it as malformed."""
+    return F.try_parse_json(body)
+
+
+def json_text(json: Column, path: str) -> Column:
+    """What lies at a path of parsed JSON, as text; objects and arrays as JSON. NULL where there is nothing or a null."""
+    return F.try_variant_get(json, path, "string")
+
+
+def jsonld_fields(json: Column) -> Rules:
+    """C6, from a ``parsed`` body. Malformed JSON gives NULL fields; an offer without a price costs 0."""
     address = "$.offers.availableAtOrFrom.address"
     return {
-        "title": F.get_json_object(body, "$.name"),
-        "description": F.get_json_object(body, "$.description"),
-        "price": F.when(F.get_json_object(body, "$.offers").isNotNull(),
-                        F.coalesce(F.get_json_object(body, "$.offers.price"), F.lit("0"))),
-        "location": tx.join_city_state(F.get_json_object(body, f"{address}.addressLocality"),
-                                       F.get_json_object(body, f"{address}.addressRegion")),
+        "title": json_text(json, "$.name"),
+        "description": json_text(json, "$.description"),
+        "price": F.when(json_text(json, "$.offers").isNotNull(), F.coalesce(json_text(json, "$.offers.price"), F.lit("0"))),
+        "location": tx.join_city_state(json_text(json, f"{address}.addressLocality"), json_text(json, f"{address}.addressRegion")),
     }
 
 
-def nextdata_fields(body: Column) -> Rules:
-    """C7. ``_keep`` is false when the page carries no listing object."""
+def nextdata_fields(json: Column) -> Rules:
+    """C7, from a ``parsed`` body. ``_keep`` is false when the page carries no listing object."""
     at = "$.props.pageProps.listing"
-    listing = F.get_json_object(body, at)
+    listing = json_text(json, at)
     paths = {"title": "headline", "description": "about", "price": "askingPrice", "revenue": "financialSummary.revenue",
              "cash_flow": "financialSummary.profit", "established_year": "foundedIn", "industry": "category"}
     return {"_keep": F.coalesce(listing.startswith("{") & (listing != "{}"), F.lit(False))} | {
-        name: F.get_json_object(body, f"{at}.{path}") for name, path in paths.items()}
+        name: json_text(json, f"{at}.{path}") for name, path in paths.items()}
 
 
 # --- one extractor per site -------------------------------------------------------
@@ -183,7 +192,7 @@ class Found:
     text: Column                        # page text
     low: Column                         # the same in lower case
     url: Column
-    picks: dict[str, Column]            # picked texts by slot
+    picks: dict[str, Column]            # picked texts, or parsed JSON, by slot
     labels: dict[str, Column]           # value of the last row of a label kind
     asking: Column                      # all values of the ``price`` kind, in order
     wholes: dict[str, Column]           # first match of a pattern list in the page text, by slot
@@ -212,7 +221,7 @@ class Site:
 
 
 def _bizbuysell(at: Found) -> dict[str, Column | tuple[Column, ...]]:
-    ld = jsonld_fields(at.picks["json"])
+    ld = jsonld_fields(at.picks["parsed"])
     return {
         "title": F.coalesce(tx.not_blank(ld["title"]), at.picks["title"], F.lit(fv.TITLE_NOT_FOUND)),
         "description": F.coalesce(tx.not_blank(ld["description"]), at.picks["description"],
@@ -378,7 +387,7 @@ EXTRACTORS: dict[str, Site] = {
         derived=with_multiple, needs_low=True),
     "BizBuySell": Site(
         _bizbuysell,
-        {"json": pick(JSONLD, take="raw"), "title": pick(E("h1", cls="font-h1-new"), E("h1")),
+        {"parsed": pick(JSONLD, take="json"), "title": pick(E("h1", cls="font-h1-new"), E("h1")),
          "description": pick(E("div", cls="business-description"), E("div", cls="description")),
          "price": pick(E("span", cls="price asking"), E("div", cls="asking-price"), take="text"),
          "industry": pick(E("div", cls="category"), E("span", cls="category"), E("div", cls="business-type"), together=True),
@@ -413,7 +422,7 @@ EXTRACTORS: dict[str, Site] = {
          "meta": pick(E("meta", attrs={"name": "description"}), take="content")},
         derived=_empireflippers_derived),
     "Acquire": Site(
-        lambda at: nextdata_fields(at.picks["json"]), {"json": pick(NEXTDATA, take="raw")}, derived=with_multiple,
+        lambda at: nextdata_fields(at.picks["parsed"]), {"parsed": pick(NEXTDATA, take="json")}, derived=with_multiple,
         always=("title", "description", "price", "revenue", "cash_flow", "established_year", "industry")),
     "FEInternational": Site(
         _feinternational,

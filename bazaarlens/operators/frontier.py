@@ -45,13 +45,13 @@ def all_links() -> Column:
 
 def jsonld_links() -> Column:
     """``about[].item.url`` of the first JSON-LD block; empty when absent or malformed."""
-    about = f"from_json(get_json_object({first(JSONLD)}.raw, '$.about'), 'array<struct<item:struct<url:string>>>')"
+    about = f"try_variant_get(try_parse_json({first(JSONLD)}.raw), '$.about', 'array<struct<item:struct<url:string>>>')"
     return F.expr(f"coalesce(filter({about}.item.url, u -> u IS NOT NULL), {_NO_LINKS})")
 
 
 def nextdata_slugs() -> Column:
     """``props.pageProps.listings[].slug``"""
-    listings = f"from_json(get_json_object({first(NEXTDATA)}.raw, '$.props.pageProps.listings'), 'array<struct<slug:string>>')"
+    listings = f"try_variant_get(try_parse_json({first(NEXTDATA)}.raw), '$.props.pageProps.listings', 'array<struct<slug:string>>')"
     return F.expr(f"coalesce(filter({listings}.slug, s -> s IS NOT NULL), {_NO_LINKS})")
 
 

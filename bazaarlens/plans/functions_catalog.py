@@ -348,8 +348,8 @@ f AS (SELECT c_custkey, json_extract_string(body, '$.name') AS title, CAST(json_
 SELECT c_custkey, title, price, CASE WHEN city IS NOT NULL AND state IS NOT NULL THEN concat(city, ', ', state)
   ELSE coalesce(city, state) END AS location FROM f""")
 def c6(spark, sf_dir):
-    f = extract.jsonld_fields(C("body"))
-    return i.bind(spark, sf_dir, i.JSONLD).select(
+    f = extract.jsonld_fields(C("json"))
+    return i.bind(spark, sf_dir, i.JSONLD).withColumn("json", extract.parsed(C("body"))).select(
         "c_custkey", f["title"].alias("title"), money.number_or_null(f["price"]).alias("price"), f["location"].alias("location"))
 
 
@@ -359,8 +359,8 @@ def c6(spark, sf_dir):
   c_mktsegment AS industry, CASE WHEN c_custkey % 5 <> 0 THEN 3.0::DOUBLE END AS multiple
 FROM customer WHERE c_custkey % 19 <> 0 AND c_custkey % 17 <> 0 AND c_custkey % 13 <> 0""")
 def c7(spark, sf_dir):
-    f = extract.nextdata_fields(C("body"))
-    found = i.bind(spark, sf_dir, i.NEXTDATA).select("c_custkey", *[c.alias(n) for n, c in f.items()]).filter("_keep")
+    f = extract.nextdata_fields(C("json"))
+    found = i.bind(spark, sf_dir, i.NEXTDATA).withColumn("json", extract.parsed(C("body"))).select("c_custkey", *[c.alias(n) for n, c in f.items()]).filter("_keep")
     return found.select(
         "c_custkey", "title", "description", "industry", C("established_year").try_cast("int").alias("established_year"),
         *[money.parse_price_base(C(n)).alias(n) for n in ("price", "revenue", "cash_flow")],

@@ -17,6 +17,7 @@ def build_session(master: str | None = None, **conf: str) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.ansi.enabled": "true",  # a number that doesn't fit fails instead of becoming NULL
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.variant.allowDuplicateKeys": "true",  # pages do repeat keys; the last one counts
         "spark.sql.files.maxPartitionBytes": "32m",  # compressed pages: one split is parsed by one task
         "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",  # pages are large rows
     } | conf

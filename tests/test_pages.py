@@ -156,6 +156,48 @@ def test_keyword_in_context_with_a_value_after_it(spark):
     assert (row.found, row.context) == ("profit: $1,200", "net profit: $1,200 a m")
 
 
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_embedded_json_is_parsed_once(spark):
+    bodies = {
+        "whole": '{"name":" A ","description":null,"offers":{"price":1250000.50,"availableAtOrFrom":{"address":{"addressLocality":"X","addressRegion":"Y"}}}}',
+        "text": '{"name":"B","offers":{"price":"$2,000"}}', "free": '{"name":"C","offers":{}}', "null": '{"name":"D","offers":null}',
+        "array": '[{"name":"E"}]', "list": '{"name":"F","offers":[{"price":5}]}', "cut": '{"name":"G"', "tail": '{"name":"H"} x', "empty": "", "none": None,
+        "twice": '{"name":"I","name":"J"}', "scalar": '"K"', "long": '{"name":"' + "L" * 300_000 + '","offers":{"price":7}}'}
+    df = spark.createDataFrame(list(bodies.items()), "k string, body string").withColumn("json", extract.parsed(F.col("body")))
+    f = extract.jsonld_fields(F.col("json"))
+    out = df.select("k", *[c.alias(n) for n, c in f.items()])
+    assert _plan(out).count("try_parse_json") + _plan(out).count("parseJson") == 1
+    got = {r["k"]: tuple(r)[1:] for r in out.collect()}
+    assert got["whole"] == (" A ", None, "1250000.5", "X, Y") and got["text"] == ("B", None, "$2,000", None)
+    assert got["free"][2] == "0" and got["null"] == ("D", None, None, None) and got["list"][2] == "0" and got["twice"][0] == "J"
+    assert got["long"][0] == "L" * 300_000 and got["long"][2] == "7"
+    assert all(got[k] == (None,) * 4 for k in ("array", "cut", "empty", "none", "scalar"))
+    assert got["tail"][0] == "H"
+
+
+def test_embedded_listing_is_told_from_other_values(spark):
+    at = '{"props":{"pageProps":{"listing":%s}}}'
+    rows = [(k, at % v) for k, v in (("some", '{"headline":"T","financialSummary":{"revenue":5e6,"profit":[1]},"foundedIn":2010}'), ("empty", "{}"),
+                                     ("null", "null"), ("text", '"t"'), ("list", "[]"))]
+    f = extract.nextdata_fields(F.col("json"))
+    out = spark.createDataFrame(rows, "k string, body string").withColumn("json", extract.parsed(F.col("body"))).select("k", *[c.alias(n) for n, c in f.items()])
+    got = {r["k"]: r for r in out.collect()}
+    assert [k for k in got if got[k]["_keep"]] == ["some"]
+    assert (got["some"]["title"], got["some"]["established_year"], got["some"]["cash_flow"]) == ("T", "2010", "[1]")
+    assert float(got["some"]["revenue"]) == 5e6
+
+
+def test_links_from_embedded_json_with_odd_entries(spark):
+    pages = [("a", '{"about":[{"item":{"url":"u1"}},{"item":{}},{},null,{"item":{"url":null}},{"item":{"url":"u2","x":1}}]}'), ("b", '{"about":{}}'), ("c", "{bad"),
+             ("d", '{"about":[]}'), ("e", '{"other":1}')]
+    rows = [(k, f'<script type="application/ld+json">{body}</script>') for k, body in pages]
+    got = flatten_pages(spark.createDataFrame(rows, "k string, html string")).select("k", frontier.jsonld_links().alias("links")).collect()
+    assert {r["k"]: r["links"] for r in got} == {"a": ["u1", "u2"], "b": [], "c": [], "d": [], "e": []}
+
+
 def test_unreadable_pages_are_marked_and_the_others_come_out(spark):
     df = outline(spark, "<p>a</p><![foo[y]]>", "<h1>good</h1>", "<b>x</b><![ x", source_site="WebsiteClosers", listing_url="u")
     rows = {r.page_id: r.parse_error for r in df.select("page_id", "parse_error").collect()}
