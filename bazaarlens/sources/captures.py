@@ -27,25 +27,26 @@ def read_captures(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
 def prefer_rendered(captures: DataFrame, *key: str, known: DataFrame | None = None) -> DataFrame:
     """A3: one capture per URL: rendered before plain, then the latest; of these the largest digest.
 
-    ``known``: keys to leave out. The choice is made on narrow rows (key, order, digest of the page), keys
-    that are known already gone; only then are the chosen captures fetched, by a semi-join that builds on
-    the choice, so a page moves once at most and is never sorted. A maximum combines on the map side.
+    ``known``: keys to leave out. The choice is made on narrow rows (key and order), keys that are known
+    already gone; only then are the chosen captures fetched, by a semi-join that builds on the choice.
+    Only captures of one URL that are equal in their order are digested and meet in a maximum, which
+    combines on the map side; any other page is not hashed and moves once at most.
     """
     key = key or ("url",)
     order = [c for c in ("rendered", "fetched_at") if c in captures.columns]
-    pages = usable(captures).withColumn("_digest", F.md5("html"))
-    ranked = pages.select(*key, *order, "_digest")
+    pages = usable(captures)
+    ranked = pages.select(*key, *order)
     if known is not None:
         ranked = ranked.join(known, list(key), "left_anti")
-    # Captures equal in all of this are copies of one page; how many there are decides whether one is to be taken.
-    counted = ranked.groupBy(*key, *order, "_digest").agg(F.count("*").alias("_copies"))
-    best = counted.groupBy(*key).agg(F.max(F.struct(*order, "_digest", "_copies")).alias("_best")).select(*key, "_best.*")
-    chosen = [*key, *order, "_digest"]
-    names = {c: f"_best_{c}" for c in chosen}
+    counted = ranked.groupBy(*key, *order).agg(F.count("*").alias("_equals"))
+    best = counted.groupBy(*key).agg(F.max(F.struct(*order, "_equals")).alias("_best")).select(*key, "_best.*")
+    names = {c: f"_best_{c}" for c in (*key, *order)}
     same = [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]
 
     def fetch(which: Column) -> DataFrame:
         wanted = best.filter(which).select(*(F.col(c).alias(n) for c, n in names.items()))
-        return pages.join(wanted.hint("shuffle_hash"), reduce(Column.__and__, same), "left_semi").drop("_digest")
+        return pages.join(wanted.hint("shuffle_hash"), reduce(Column.__and__, same), "left_semi")
 
-    return fetch(F.col("_copies") == 1).unionByName(fetch(F.col("_copies") > 1).dropDuplicates(list(key)))
+    tied = fetch(F.col("_equals") > 1).groupBy(*(F.col(c).alias(n) for c, n in names.items() if c in key)).agg(
+        F.max_by(F.struct(*pages.columns), F.md5("html")).alias("_row")).select("_row.*")
+    return fetch(F.col("_equals") == 1).unionByName(tied)

@@ -1,5 +1,6 @@
 """Store, run log, frontier helpers, skew helpers and the stream."""
 import datetime as dt
+import hashlib
 import json
 
 import pytest
@@ -113,11 +114,24 @@ def test_pages_are_not_sorted_and_move_once_at_most(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     single = plan[:plan.index("dropDuplicates") if "dropDuplicates" in plan else plan.index("SortAggregate")]
     assert "ShuffledHashJoin" in single and "SortMergeJoin" not in single.split("LeftSemi")[0]
-    ranking = [line for line in plan.splitlines() if "Aggregate" in line and "_digest" in line]
+    ranking = [line for line in plan.splitlines() if "Aggregate" in line and "_equals" in line]
+    assert plan.count("md5(") and "md5(" not in single
     assert ranking and not any("html" in line.split("functions=")[-1] for line in ranking)
     assert [r.listing_url for r in fresh.collect()] == ["u"]
 
 
+def test_captures_equal_in_order_are_decided_by_their_pages(spark):
+    t, late = dt.datetime(2024, 5, 1), dt.datetime(2024, 5, 2)
+    rows = ([("hot", f"<p>{k % 7}", True, t, "S") for k in range(300)] + [("hot", None, True, late, "S"), ("hot", "<p>later", False, late, "S")]
+            + [("one", "<p>x", None, None, "S"), ("two", "<p>a", False, None, "S"), ("two", "<p>b", False, None, "S"), ("two", "<p>z", None, late, "S"),
+               (None, "<p>n", True, t, "S"), (None, "<p>n", True, t, None), ("gone", None, True, t, "S"), ("void", "", True, t, "S")])
+    got = captures.prefer_rendered(spark.createDataFrame(rows, captures.CAPTURE_SCHEMA)).collect()
+    largest = lambda *pages: max(pages, key=lambda p: hashlib.md5(p.encode()).hexdigest())
+    assert {r.url: r.html for r in got} == {"hot": largest(*(f"<p>{k}" for k in range(7))), "one": "<p>x", "two": largest("<p>a", "<p>b"), None: "<p>n", "void": ""}
+    assert len(got) == 5 and got[0].__fields__ == captures.CAPTURE_SCHEMA.names
+    assert captures.prefer_rendered(spark.createDataFrame([], captures.CAPTURE_SCHEMA)).count() == 0
+
+
 def test_stored_table_prunes_to_one_site(spark, tmp_path):
     store.create_listings_table(spark, "t_prune", str(tmp_path / "p"))
     plan = store.by_site(spark.table("t_prune"), "Flippa")._jdf.queryExecution().executedPlan().toString()
