@@ -38,7 +38,8 @@ def a1(spark, sf_dir):
 r AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY rendered DESC, html DESC) AS rn FROM c WHERE html IS NOT NULL)
 SELECT page_id, url, rendered, md5(html) AS html_md5 FROM r WHERE rn = 1""")
 def a3(spark, sf_dir):
-    return captures.prefer_rendered(i.bind(spark, sf_dir, i.CAPTURES)).select(
+    # of captures equal in order the SQL takes the last by HTML; of the same HTML, which it leaves open, the first page
+    return captures.prefer_rendered(i.bind(spark, sf_dir, i.CAPTURES), ties=F.struct("html", (-C("page_id")).alias("page"))).select(
         "page_id", "url", "rendered", F.md5(C("html").cast("binary")).alias("html_md5"))
 
 

@@ -24,8 +24,8 @@ def read_captures(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
     return usable(spark.read.schema(CAPTURE_SCHEMA).format(fmt).load(path))
 
 
-def prefer_rendered(captures: DataFrame, *key: str, known: DataFrame | None = None) -> DataFrame:
-    """A3: one capture per URL: rendered before plain, then the latest; of these the largest digest.
+def prefer_rendered(captures: DataFrame, *key: str, known: DataFrame | None = None, ties: Column | None = None) -> DataFrame:
+    """A3: one capture per URL: rendered before plain, then the latest; of these the largest digest, or the largest ``ties``.
 
     ``known``: keys to leave out. The choice is made on narrow rows (key and order), keys that are known
     already gone; only then are the chosen captures fetched, by a semi-join that builds on the choice.
@@ -48,5 +48,5 @@ def prefer_rendered(captures: DataFrame, *key: str, known: DataFrame | None = No
         return pages.join(wanted.hint("shuffle_hash"), reduce(Column.__and__, same), "left_semi")
 
     tied = fetch(F.col("_equals") > 1).groupBy(*(F.col(c).alias(n) for c, n in names.items() if c in key)).agg(
-        F.max_by(F.struct(*pages.columns), F.md5("html")).alias("_row")).select("_row.*")
+        F.max_by(F.struct(*pages.columns), F.md5("html") if ties is None else ties).alias("_row")).select("_row.*")
     return fetch(F.col("_equals") == 1).unionByName(tied)

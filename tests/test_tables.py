@@ -3,11 +3,13 @@ import datetime as dt
 import hashlib
 import json
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from bazaarlens import fixed_values as fv, schemas
 from bazaarlens.operators import report
+from bazaarlens.plans import catalog
 from bazaarlens.plans.ingest import ingest_run
 from bazaarlens.operators.skew import first_per_group
 from bazaarlens.session import shared_dir
@@ -132,6 +134,15 @@ def test_captures_equal_in_order_are_decided_by_their_pages(spark):
     assert captures.prefer_rendered(spark.createDataFrame([], captures.CAPTURE_SCHEMA)).count() == 0
 
 
+def test_pages_of_one_url_equal_their_sql(spark, tmp_path):
+    rows = [(n, f"https://e.org/{n % 6}", f"<p>{n * 7 % 24:02d} page") for n in range(24)] + [(24, "https://e.org/0", "<p>00 page")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    got = catalog.QUERIES["a3_prefer_rendered"](spark, str(tmp_path)).drop("page_id").collect()
+    assert sorted(map(tuple, got)) == sorted(con.execute(f"SELECT url, rendered, html_md5 FROM ({catalog.ORACLES['a3_prefer_rendered']})").fetchall())
+
+
 def test_stored_table_prunes_to_one_site(spark, tmp_path):
     store.create_listings_table(spark, "t_prune", str(tmp_path / "p"))
     plan = store.by_site(spark.table("t_prune"), "Flippa")._jdf.queryExecution().executedPlan().toString()
