@@ -360,7 +360,8 @@ def c3(spark, sf_dir):
         for layout, site in _LAYOUTS.items()])
     layouts = {layout: extract.EXTRACTORS[site].layout for layout, site in _LAYOUTS.items()}
     rows = extract.label_rows(flatten_pages(pages), layouts, C("layout"))
-    return rows.select("layout", "p_partkey", F.posexplode("_rows").alias("pos", "r")).select(
+    # not a plain column: of one, Spark would infer a filter and evaluate the rows once more for it, below the projections
+    return rows.select("layout", "p_partkey", F.posexplode(F.coalesce("_rows", F.array())).alias("pos", "r")).select(
         "layout", "p_partkey", "pos", "r.label", "r.value")
 
 

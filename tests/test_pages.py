@@ -1,13 +1,18 @@
 """Outlines, extraction, cards and the crawl on small literal pages."""
+import random
 import time
+from html.parser import HTMLParser
 
+import pyarrow as pa
 from pyspark.sql import Row, functions as F
 
 
 from bazaarlens import fixed_values as fv
 from bazaarlens.operators import cards, extract, frontier, quality
 from bazaarlens.operators.selectors import E, all_of, spaced_text, stripped, text_of
+from bazaarlens.plans import catalog
 from bazaarlens.session import cut
+from bazaarlens.sources import html
 from bazaarlens.sources.html import _Outline, _bounded, flatten_pages
 
 
@@ -235,3 +240,50 @@ def test_fixed_values_hold_the_words_they_should():
     assert fv.BQ_FINANCING == "financing available|seller financing|owner financing|sba"
     assert fv.STOP_ON_NO_NEW == ("BizBuySell", "BizQuest", "Flippa", "WebsiteClosers")
     assert len(fv.SITES) == 9 and fv.SITES[0][1].startswith("https://")
+
+
+def _line(n):
+    return f'<div class="line"><div class="left">Asking Price</div><div class="right"> ${n},500 </div></div>'
+
+
+def test_plain_pages_are_outlined_quicker_than_the_library_reads_tags():
+    pages = ["<!DOCTYPE html><html><body><h1> a </h1>" + "".join(_line(n + k) for k in range(8)) + "</body></html>" for n in range(400)]
+
+    def seconds(read):
+        start = time.process_time()
+        for page in pages:
+            read(page)
+        return time.process_time() - start
+
+    def library(page):
+        parser = HTMLParser()
+        parser.feed(page)
+        parser.close()
+
+    assert min(seconds(_Outline().outline) for _ in range(3)) < min(seconds(library) for _ in range(3))
+
+
+def test_plain_pages_are_read_as_the_library_reads_them(monkeypatch):
+    bits = ("<p>", "</p >", '<div class="a  b a">', "</div>", "<LI>", "<ul>", "</ul>", "<br/>", "<div/>", "<a HREF='x&amp;y' b c=\"\">", "</a>", "<!-- x -->",
+            "<!---->", "<!DOCTYPE html>", "<script>a < b && '</p>'</script>", "<script></script>", "<style>p{}</style>", "<title>t &amp; u</title>",
+            "<template>", "</template>", "a & b &copy; &#65;", "x > y", "\xa0", "<td>", "<tr>", "<table>", "</table>", "<dt>", "<dd>", "<option>",
+            "<a href=x>", "<a b='>'>", "<!-- a > b -->", "<!-->", "<a < b>", "</ x>", "<", "<script><!-- </script>", "<textarea><b></textarea>", "<title><b>")
+    pick = random.Random(5)
+    pages = ["".join(pick.choice(bits) for _ in range(pick.randint(0, 20))) for _ in range(3000)] + list(bits)
+    quick = [_Outline().outline(page) for page in pages]
+    assert 100 < sum(html._plain_events(page) is not None for page in pages) < len(pages)
+    monkeypatch.setattr(html, "_plain_events", lambda page: None)
+    assert quick == [_Outline().outline(page) for page in pages]
+
+
+def test_label_rows_are_evaluated_once(spark):
+    rows = catalog.QUERIES["c3_label_value_rows"](spark, "/root/testdata/sf0.001")
+    assert "Filter" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_only_some_pages_are_python_texts_at_a_time(monkeypatch):
+    pages = pa.RecordBatch.from_arrays([pa.array(["<p>a</p>", None] * 1000), pa.array(range(2000))], names=["html", "k"])
+    most = []
+    monkeypatch.setattr(html, "_bounded", lambda texts: most.append(len(texts)) or [(0, len(texts))])
+    out = [k for batch in html._flatten_batches(iter([pages])) for k in batch.column(0).to_pylist()]
+    assert out == list(range(0, 2000, 2)) and max(most) <= 256
