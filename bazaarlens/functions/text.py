@@ -11,8 +11,12 @@ def rx(pattern: str, ignore_case: bool = True) -> str:
     return ("(?idU)" if ignore_case else "(?dU)") + pattern
 
 
+#: White space of Unicode, as ``\\s`` under ``(?U)`` has it; a trim by characters takes a fraction of the pattern's time on long texts.
+WHITE_SPACE = "\t\n\v\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def not_blank(c: Column) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from bazaarlens import fixed_values as fv, schemas
 from bazaarlens.functions import classify, money, text as tx
 from bazaarlens.operators.selectors import (
-    E, all_of, first, first_of, packed, page_text, quoted, spaced_text, stripped, text)
+    E, all_of, first, first_of, packed, page_text, quoted, spaced_text, stripped, stripped_sql, text)
 from bazaarlens.sources.html import OUTLINE, flatten_pages
 
 Rules = dict[str, Column]
@@ -83,7 +83,7 @@ class Layout:
         if self.value_without_label:
             value = f"replace({value}, {text('p.label')}, '')"
         if self.strip_value:
-            value = rf"regexp_replace({value}, r'(?U)^\s+|\s+$', '')"
+            value = stripped_sql(value)
         return (f"transform(filter({pairs}, p -> p.label IS NOT NULL AND p.value IS NOT NULL), "
                 f"p -> struct(lower({label}) AS label, {value} AS value))")
 
@@ -515,7 +515,7 @@ class _Prepared:
     gather: list[tuple[Rules, tuple[str, ...]]]
     raw: dict[str, Column]
     typed: Rules
-    record: tuple[Column, Column, Column]             # the record, whether it is kept, names of the fields it has
+    record: tuple[Rules, Column, Column]              # the record's fields, whether it is kept, names of the fields it has
 
 
 _PREPARED: dict[tuple, _Prepared] = {}
@@ -591,7 +591,7 @@ def _prepare(extractors: dict[str, Site], at: Column, url: Column) -> _Prepared:
     own = [F.when(at == n, F.array(*map(F.lit, x.besides))) for n, x in extractors.items()]
     names = F.concat(F.coalesce(*own), F.array_compact(F.array(*map(emitted, fields))))
     return _Prepared(extractors, reason, _gather(extractors, at), raw | marks, typed,
-                     (F.struct(*[out[n].alias(n) for n in fields]), F.coalesce(out["_keep"], F.lit(True)), names))
+                     ({n: out[n] for n in fields}, F.coalesce(out["_keep"], F.lit(True)), names))
 
 
 def extract_outlines(outlines: DataFrame, extractors: dict[str, Site] | None = None, site: str = "source_site",
@@ -615,13 +615,14 @@ def extract_outlines(outlines: DataFrame, extractors: dict[str, Site] | None = N
     wanted = [n for n in ready.typed if with_emitted or not n.startswith("_has_")]
     typed = raw.select(*keep, *[ready.typed[n].alias(n) for n in wanted])
     # C12. One record or none, as a generator: a filter would be pushed down through every
-    # projection above and evaluate them all a second time
+    # projection above and evaluate them all a second time. It makes no more than the row, so
+    # fields that nobody reads are not worked out
     record, keeps, names = ready.record
     if with_rejects:
         keeps = keeps | F.col("reject_reason").isNotNull()
     marks = [n for n in wanted if n.startswith("_has_")]
-    kept = F.when(keeps, F.array(record)).otherwise(F.filter(F.array(record), lambda r: F.lit(False)))
-    rows = typed.select(*keep, *marks, F.inline(kept))
+    once = typed.select("*", F.explode(F.when(keeps, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))).alias("_once"))
+    rows = once.select(*keep, *marks, *[c.alias(n) for n, c in record.items()])
     if not with_emitted:
         return rows
     fields = [n.removeprefix("_has_") for n in marks]

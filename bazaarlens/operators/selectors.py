@@ -15,7 +15,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from bazaarlens.functions.text import strip
+from bazaarlens.functions.text import WHITE_SPACE, strip
 
 _NONE = "CAST(array() AS array<int>)"
 
@@ -214,7 +214,7 @@ def let(value: str, name: str, body: str) -> str:
 
 
 def stripped_sql(text: str) -> str:
-    return rf"regexp_replace({text}, r'(?U)^\s+|\s+$', '')"
+    return f"btrim({text}, '{WHITE_SPACE}')"
 
 
 def _pieces(node: str) -> str:

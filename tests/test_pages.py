@@ -1,5 +1,6 @@
 """Outlines, extraction, cards and the crawl on small literal pages."""
 import random
+import re
 import time
 from html.parser import HTMLParser
 
@@ -8,8 +9,9 @@ from pyspark.sql import Row, functions as F
 
 
 from bazaarlens import fixed_values as fv
+from bazaarlens.functions.text import strip
 from bazaarlens.operators import cards, extract, frontier, quality
-from bazaarlens.operators.selectors import E, all_of, spaced_text, stripped, text_of
+from bazaarlens.operators.selectors import E, all_of, spaced_text, stripped, stripped_sql, text_of
 from bazaarlens.plans import catalog
 from bazaarlens.session import cut
 from bazaarlens.sources import html
@@ -287,3 +289,17 @@ def test_only_some_pages_are_python_texts_at_a_time(monkeypatch):
     monkeypatch.setattr(html, "_bounded", lambda texts: most.append(len(texts)) or [(0, len(texts))])
     out = [k for batch in html._flatten_batches(iter([pages])) for k in batch.column(0).to_pylist()]
     assert out == list(range(0, 2000, 2)) and max(most) <= 256
+
+
+def test_fields_that_nobody_reads_are_not_worked_out(spark):
+    plan = catalog.QUERIES["c12_require_title"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_got_title" in plan and "_got_price" not in plan and "_raw_price" not in plan
+
+
+def test_strip_trims_all_white_space_of_unicode(spark):
+    white = [c for c in range(0x3100) if re.fullmatch(r"\s", chr(c)) and not 0x1C <= c <= 0x1F]
+    texts = [chr(c) + "a" + chr(d) for c in (*white, 0x1C, 0x180E, 0x200B, 0xFEFF) for d in (0x20, 0x2028, 0x200B)] + ["", " \n", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    by_pattern = F.regexp_replace("t", r"(?U)^\s+|\s+$", "")
+    assert df.filter(~strip(F.col("t")).eqNullSafe(by_pattern) | ~F.expr(stripped_sql("t")).eqNullSafe(by_pattern)).count() == 0
+    assert "regexp" not in str(df.select(strip(F.col("t")))._jdf.queryExecution().analyzed())
