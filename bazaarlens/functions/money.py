@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 from bazaarlens import fixed_values as fv
-from bazaarlens.functions.text import present, search, strip
+from bazaarlens.functions.text import matched, present, search, strip
 
 _NUMBER = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
 _SUFFIXED = rf"(?i)^({_NUMBER})(?U:\s*)(thousand|million|billion|mil|mm|k|m|b)?$"
@@ -15,8 +15,9 @@ _SCALE = {"k": 1e3, "thousand": 1e3, "m": 1e6, "mil": 1e6, "million": 1e6, "mm":
 
 
 def number_or_null(c: Column) -> Column:
-    """Plain decimal notation only; ``1.0d``, ``nan``, ``.`` and the like give NULL."""
-    return F.regexp_extract(c, rf"^(?U:\s*)({_NUMBER})(?U:\s*)$", 1).try_cast("double")
+    """Plain decimal notation only; ``1.0d``, ``nan``, ``.`` and the like give NULL. Nothing that isn't a number is
+    cast: an exception behind each NULL costs more than the rest."""
+    return matched(c, rf"^(?U:\s*)({_NUMBER})(?U:\s*)$", 1).try_cast("double")
 
 
 def _bare(c: Column) -> Column:
@@ -38,7 +39,7 @@ def parse_price_suffix(c: Column) -> Column:
     scale = F.lit(1.0)
     for factor in (1e3, 1e6, 1e9):
         scale = F.when(scale_word.isin([w for w, f in _SCALE.items() if f == factor]), factor).otherwise(scale)
-    return F.coalesce(F.regexp_extract(s, _SUFFIXED, 1).try_cast("double") * scale, F.lit(0.0))
+    return F.coalesce(matched(s, _SUFFIXED, 1).try_cast("double") * scale, F.lit(0.0))
 
 
 def annualise(monthly: Column) -> Column:
@@ -91,13 +92,13 @@ def labelled_price(c: Column, *labels: str) -> Column:
 def year_in_range(text: Column, patterns: Sequence[str], low: int = fv.YEAR_WINDOW[0],
                   high: int = fv.YEAR_WINDOW[1]) -> Column:
     """First pattern whose match lies in the window."""
-    years = [search(text, p).try_cast("int") for p in patterns]
-    return F.coalesce(*[F.when(y.between(low, high), y) for y in years])
+    years = [F.array(search(text, p).try_cast("int")) for p in patterns]
+    return F.coalesce(*[F.get(F.filter(y, lambda one: one.between(low, high)), F.lit(0)) for y in years])
 
 
 def first_digits(c: Column, pattern: str = r"\d+") -> Column:
     """First run of digits (or first four) in a value."""
-    return F.regexp_substr(c, F.lit(pattern))
+    return matched(c, pattern)
 
 
 def first_int(c: Column, pattern: str = r"\d+") -> Column:

@@ -29,13 +29,21 @@ def present(c: Column) -> Column:
     return F.nullif(c, F.lit(0.0))
 
 
+def matched(text: Column, pattern: str, group: int = 0) -> Column:
+    """What the pattern (or a group of it) matches first; NULL for nothing or an empty match.
+
+    An element of an array and no ``nullif``: below a CASE, that looks for the pattern once to compare and once more for its value.
+    """
+    return F.get(F.array_remove(F.array(F.regexp_extract(text, pattern, group)), ""), F.lit(0))
+
+
 def search(text: Column, pattern: str, ignore_case: bool = True) -> Column:
     """First capture of the pattern, NULL when it does not match."""
-    return not_blank(F.regexp_extract(text, rx(pattern, ignore_case), 1))
+    return matched(text, rx(pattern, ignore_case), 1)
 
 
 def search_whole(text: Column, pattern: str, ignore_case: bool = True) -> Column:
-    return F.regexp_substr(text, F.lit(rx(pattern, ignore_case)))
+    return matched(text, rx(pattern, ignore_case))
 
 
 def first_regex(text: Column, patterns: Sequence[str], ignore_case: bool = True) -> Column:
@@ -72,7 +80,7 @@ def title_case(c: Column) -> Column:
 
 def title_from_slug(url: Column) -> Column:
     """The slug after /business-for-sale/ as a title; NULL when there is none."""
-    slug = not_blank(F.regexp_extract(url, r"/business-for-sale/([^/]+)/", 1))
+    slug = matched(url, r"/business-for-sale/([^/]+)/", 1)
     return title_case(F.replace(slug, F.lit("-"), F.lit(" ")))
 
 

@@ -112,7 +112,7 @@ def _stages(at: Column) -> list[dict[str, Column]]:
     """A card's text is searched once for each amount; numbers are read from what was found, each in a step of its own."""
     text = F.col("_text")
     found = {a: {n: p for n, r in CARD_RULES.items() if (p := _patterns(r, a))} for a in _AMOUNTS}
-    place = tx.not_blank(F.regexp_extract(text, tx.rx(fv.CARD_PLACE, ignore_case=False), 1))
+    place = tx.search(text, fv.CARD_PLACE, ignore_case=False)
     whole = {f"_whole_{a}": by_site(at, {n: tx.first_regex_whole(text, p) for n, p in by.items()}) for a, by in found.items()}
     short = {f"_short_{a}": by_site(at, {n: tx.capture_of(F.col(f"_whole_{a}"), p) for n, p in by.items()}) for a, by in found.items()}
     number = {f"_number_{a}": F.when(F.col(f"_whole_{a}").isNotNull(), money.parse_price_suffix(F.col(f"_short_{a}"))) for a in _AMOUNTS}

@@ -110,3 +110,13 @@ def test_places(spark):
     assert values(spark, texts, "string", places) == ["Cedar Park, TX", "Salt Lake City,  UT", None]
     assert values(spark, texts, "string", tx.city_of(places)) == ["Cedar Park", "Salt Lake City", None]
     assert values(spark, texts, "string", tx.state_of(places)) == ["TX", "UT", None]
+
+
+def test_a_pattern_below_a_case_is_searched_once(spark):
+    """With ``nullif`` the plan had the search twice, and a text that is no number went through a failing cast."""
+    df = spark.createDataFrame([("a 7",), ("b",), ("",), (None,)], "t string")
+    found = df.select(F.when(F.col("t") != "x", tx.search(F.col("t"), r"(\d)")).alias("one"),
+                      F.when(F.col("t") != "x", tx.search_whole(F.col("t"), r"a \d")).alias("whole"),
+                      F.when(F.col("t") != "x", money.number_or_null(F.col("t"))).alias("number"))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract(") == 3
+    assert [tuple(r) for r in found.collect()] == [("7", "a 7", None), (None, None, None), (None, None, None), (None, None, None)]
