@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from bazaarlens import fixed_values as fv, schemas
 from bazaarlens.functions import classify, money, text as tx
 from bazaarlens.operators.selectors import (
-    E, all_of, first, first_of, packed, page_text, quoted, spaced_text, stripped, stripped_sql, text)
+    E, all_of, first, first_of, let, packed, page_text, quoted, spaced_text, stripped, stripped_sql, text)
 from bazaarlens.sources.html import OUTLINE, flatten_pages
 
 Rules = dict[str, Column]
@@ -59,29 +59,45 @@ NEXTDATA = E("script", attrs={"id": "__NEXT_DATA__"})
 
 
 # --- label/value layouts (C3) -----------------------------------------------------
+def _in_row(places: str) -> str:
+    return f"filter({places}, i -> i > r.idx AND i <= r.last)"
+
+
 @dataclass(frozen=True)
 class Layout:
-    """Rows of a box; ``label`` and ``value`` are nodes of a row ``r``, either may be missing."""
+    """Rows of a box; ``label`` and ``value`` are elements of a row ``r``, either may be missing. Without ``value`` it is
+    the row itself, or with ``two_cells`` the second of exactly two ``label`` elements."""
 
     box: E
     row: E
-    label: str
-    value: str
+    label: E
+    value: E | None = None
     strip_label: bool = True
     strip_value: bool = True
     value_without_label: bool = False
-    only_if: str = "true"
+    two_cells: bool = False
 
     def nodes(self) -> str:
-        """Label and value node of every row, over the box column ``_box``."""
-        pair = f"if({self.only_if}, struct({self.label} AS label, {self.value} AS value), NULL)"
-        return f"transform({all_of(self.row, within='_box')}, r -> {pair})"
+        """Label and value node of every row by idx, over the box column ``_box``. What may be one is looked up once a box, not for every row."""
+        found = {"labels": self.label} | ({"values": self.value} if self.value else {})
+        once = {n: e for n, e in found.items() if e.inside is None}  # elements around it have to be in the row as well
+        here = {n: _in_row(n) if n in once else e.found(within="r") for n, e in found.items()}
+        if self.two_cells:
+            pair = let(here["labels"], "two", "if(size(two) = 2, struct(get(two, 0) AS label, get(two, 1) AS value), NULL)")
+        else:
+            value = f"get({here['values']}, 0)" if self.value else "r.idx"
+            pair = f"struct(get({here['labels']}, 0) AS label, {value} AS value)"
+        out = f"transform({all_of(self.row, within='_box')}, r -> {pair})"
+        for n, e in once.items():
+            out = let(e.found(within="_box"), n, out)
+        return out
 
     def texts(self, pairs: str) -> str:
-        label = stripped("p.label") if self.strip_label else text("p.label")
-        value = text("p.value")
+        label_node, value_node = "get(nodes, p.label)", "get(nodes, p.value)"
+        label = stripped(label_node) if self.strip_label else text(label_node)
+        value = text(value_node)
         if self.value_without_label:
-            value = f"replace({value}, {text('p.label')}, '')"
+            value = f"replace({value}, {text(label_node)}, '')"
         if self.strip_value:
             value = stripped_sql(value)
         return (f"transform(filter({pairs}, p -> p.label IS NOT NULL AND p.value IS NOT NULL), "
@@ -89,17 +105,12 @@ class Layout:
 
 
 PARAGRAPHS = Layout(  # p with span.title inside div.financials: what is left of the paragraph is the value
-    E("div", cls="financials"), E("p"), first(E("span", cls="title"), within="r"), "r", value_without_label=True)
+    E("div", cls="financials"), E("p"), E("span", cls="title"), value_without_label=True)
 HEADINGS = Layout(  # li with h6 and p
-    E("div", cls="inform_revenue single_business"), E("li"), first(E("h6"), within="r"),
-    first(E("p"), within="r"), strip_label=False, strip_value=False)
-_CELLS = all_of(E(("th", "td")), within="r")
-CELLS = Layout(  # tr with exactly two cells
-    E("table", cls="listing-data-table"), E("tr"), f"get({_CELLS}, 0)", f"get({_CELLS}, 1)",
-    only_if=f"size({_CELLS}) = 2")
+    E("div", cls="inform_revenue single_business"), E("li"), E("h6"), E("p"), strip_label=False, strip_value=False)
+CELLS = Layout(E("table", cls="listing-data-table"), E("tr"), E(("th", "td")), two_cells=True)
 LINES = Layout(  # div.line with div.left and div.right
-    E("div", cls="sb-table"), E("div", cls="line"), first(E("div", cls="left"), within="r"),
-    first(E("div", cls="right"), within="r"))
+    E("div", cls="sb-table"), E("div", cls="line"), E("div", cls="left"), E("div", cls="right"))
 
 
 def _label_stages(layouts: dict[str, Layout], site: Column) -> list[Rules]:
@@ -466,11 +477,15 @@ def _gather(extractors: dict[str, Site], at: Column) -> list[tuple[Rules, tuple[
     picks = {"_low": F.when(at.isin(*lowered), F.lower("_text"))} | wholes | {
         f"_pick_{s}": by_site(at, {n: F.expr(x.picks[s].value(f"_node_{s}")) for n, x in extractors.items() if s in x.picks})
         for s in slots}
-    stages: list[tuple[Rules, tuple[str, ...]]] = [(nodes, ()), (picks, tuple(f"_node_{s}" for s in slots))]
     layouts = {n: x.layout for n, x in extractors.items() if x.layout}
+    done = tuple(f"_node_{s}" for s in slots)
     if not layouts:
-        return stages
-    stages += [(columns, ()) for columns in _label_stages(layouts, at)]
+        return [(nodes, ()), (picks, (*done, *OUTLINE_COLUMNS))]
+    # each step copies what it keeps: as few steps as can be have the outline, and its index goes as soon as nothing is looked up
+    box, pairs, rows = _label_stages(layouts, at)
+    stages: list[tuple[Rules, tuple[str, ...]]] = [
+        (nodes | box, ("string_nodes", "parse_error")), (picks | pairs, (*done, "_box", "tag_index", "class_index", "attr_index")),
+        (rows, ("_pairs", "nodes", "strings"))]
 
     def tagged(x: Site):
         def tag(r: Column) -> Column:
@@ -481,8 +496,7 @@ def _gather(extractors: dict[str, Site], at: Column) -> list[tuple[Rules, tuple[
             return F.struct(kind.alias("kind"), extra.alias("extra"), r["value"].alias("value"))
         return tag
 
-    stages.append(({"_rows": by_site(at, {n: F.transform("_rows", tagged(extractors[n])) for n in layouts})},
-                   ("_box", "_pairs", *OUTLINE_COLUMNS)))
+    stages.append(({"_rows": by_site(at, {n: F.transform("_rows", tagged(extractors[n])) for n in layouts})}, ()))
     kinds = sorted({k for x in extractors.values() for k, _ in x.kinds})
     extras = sorted({k for x in extractors.values() for k, _ in x.extra_kinds})
     last = "try_element_at(filter(_rows, r -> r.{c} = '{k}'), -1).value"

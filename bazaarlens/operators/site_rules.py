@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Row, functions as F
 from bazaarlens import schemas
 from bazaarlens.functions import text as tx
 from bazaarlens.operators.extract import EXTRACTORS, _AMOUNTS, Found, Layout, Pick, Rules, Site, extract_listings, pick
-from bazaarlens.operators.selectors import E, elements, first
+from bazaarlens.operators.selectors import E, elements
 
 #: One rule. ``selector`` and ``unless`` name selectors of a table with the columns of ``selectors.STEP``.
 RULE = ("site string, field string, option int, source string, selector string, take string, words array<string>, path string, "
@@ -97,7 +97,7 @@ def _compiled(rules: list[Row], known: Mapping[str, E]) -> Site:
         return {"_keep": keep}
 
     picks: dict[str, Pick] = {slot: pick(known[name], take=take) for (name, take), slot in slots.items()}
-    layout = Layout(row["box"], row["row"], first(row["label"], within="r"), first(row["value"], within="r")) if kinds else None
+    layout = Layout(row["box"], row["row"], row["label"], row["value"]) if kinds else None
     return Site(fields, picks, layout=layout, kinds=tuple((k, w) for w, k in kinds.items()), derived=complete if required else None,
                 spaced_text="text" in settings, suffix_amounts=suffix)
 

@@ -303,3 +303,13 @@ def test_strip_trims_all_white_space_of_unicode(spark):
     by_pattern = F.regexp_replace("t", r"(?U)^\s+|\s+$", "")
     assert df.filter(~strip(F.col("t")).eqNullSafe(by_pattern) | ~F.expr(stripped_sql("t")).eqNullSafe(by_pattern)).count() == 0
     assert "regexp" not in str(df.select(strip(F.col("t")))._jdf.queryExecution().analyzed())
+
+
+def test_cells_are_looked_up_once_a_table_not_once_a_row(spark):
+    """Every row of a table looked its cells up, and sorted all of the page's, three times."""
+    assert extract.CELLS.nodes().count("tag_index['td']") == 1
+    rows = "".join(f"<tr><th> L{n} </th><td>v{n}</td></tr><tr><td>lone</td></tr><tr><td>a</td><td>b</td><td>c</td></tr>" for n in range(40))
+    html = f"<table><tr><td>other</td><td>table</td></tr></table><table class='listing-data-table'>{rows}</table><td>out</td><td>side</td>"
+    pages = flatten_pages(spark.createDataFrame([("x", html)], "site string, html string"))
+    got = extract.label_rows(pages, {"x": extract.CELLS}, F.col("site")).select("_rows").first()[0]
+    assert [(r.label, r.value) for r in got] == [(f"l{n}", f"v{n}") for n in range(40)]
