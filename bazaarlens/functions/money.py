@@ -21,7 +21,7 @@ def number_or_null(c: Column) -> Column:
 
 
 def _bare(c: Column) -> Column:
-    return F.regexp_replace(c, r"[$,]", "")
+    return F.translate(c, "$,", "")
 
 
 def parse_price_base(c: Column) -> Column:

@@ -19,22 +19,28 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITE_SPACE))
 
 
+def unless(c: Column, nothing: str | float) -> Column:
+    """The value, or NULL when it is ``nothing``.
+
+    An element of an array and no ``nullif``: below a CASE, that works the value out once to compare and once more to return it. By a lambda:
+    Spark compiles a projection that has one in pieces, one without into a single method, and Java only interprets a method of over 8,000 bytes.
+    """
+    return F.get(F.filter(F.array(c), lambda one: one != nothing), F.lit(0))
+
+
 def not_blank(c: Column) -> Column:
     """NULL for the empty string."""
-    return F.nullif(c, F.lit(""))
+    return unless(c, "")
 
 
 def present(c: Column) -> Column:
     """The number, or NULL when it is zero: a zero amount counts as not found."""
-    return F.nullif(c, F.lit(0.0))
+    return unless(c, 0.0)
 
 
 def matched(text: Column, pattern: str, group: int = 0) -> Column:
-    """What the pattern (or a group of it) matches first; NULL for nothing or an empty match.
-
-    An element of an array and no ``nullif``: below a CASE, that looks for the pattern once to compare and once more for its value.
-    """
-    return F.get(F.array_remove(F.array(F.regexp_extract(text, pattern, group)), ""), F.lit(0))
+    """What the pattern (or a group of it) matches first; NULL for nothing or an empty match."""
+    return not_blank(F.regexp_extract(text, pattern, group))
 
 
 def search(text: Column, pattern: str, ignore_case: bool = True) -> Column:

@@ -573,7 +573,7 @@ def _prepare(extractors: dict[str, Site], at: Column, url: Column) -> _Prepared:
             return F.lit(None).cast(kind)
         if name not in _AMOUNTS:
             return (money.number_or_null(texts[0]) if name in _NUMBERS else texts[0].try_cast(kind))
-        amount = or_else(*[money.parse_price_base(t) for t in texts])
+        amount = or_else(*[F.when(t.isNotNull(), money.parse_price_base(t)) for t in texts])
         if not by_suffix:
             return amount
         return F.when(at.isin(*by_suffix), F.when(texts[0].isNotNull(), money.parse_price_suffix(texts[0]))).otherwise(amount)

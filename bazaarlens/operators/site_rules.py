@@ -79,7 +79,8 @@ def _compiled(rules: list[Row], known: Mapping[str, E]) -> Site:
             value = F.get_json_object(value, r["path"])
         if r["pattern"] is not None:
             value = tx.search(value, r["pattern"])
-        value = tx.strip(value)
+        if source != "element" or r["take"] not in (None, "stripped") or r["path"] is not None or r["pattern"] is not None:
+            value = tx.strip(value)
         if r["most"] is not None:
             value = tx.truncate(value, r["most"])
         if r["unless"] is not None:

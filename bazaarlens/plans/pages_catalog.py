@@ -177,8 +177,9 @@ for _site in p.LISTING_PAGES:
 
 
 def _mixed_pages(spark, sf_dir):
-    return i.bind(spark, sf_dir, p.mixed_listing_pages(), spread=True).selectExpr(
-        "source_site", f"{p.LISTING_URL} AS listing_url", "p_partkey", "html")
+    pages = i.bind(spark, sf_dir, p.mixed_listing_pages(), spread=True)
+    # through a lambda: nine templates in one plain CASE are a method too long for Java to compile
+    return pages.selectExpr("source_site", f"{p.LISTING_URL} AS listing_url", "p_partkey", let("html", "page", "page") + " AS html")
 
 
 def _mixed_sql(columns):

@@ -313,3 +313,14 @@ def test_cells_are_looked_up_once_a_table_not_once_a_row(spark):
     pages = flatten_pages(spark.createDataFrame([("x", html)], "site string, html string"))
     got = extract.label_rows(pages, {"x": extract.CELLS}, F.col("site")).select("_rows").first()[0]
     assert [(r.label, r.value) for r in got] == [(f"l{n}", f"v{n}") for n in range(40)]
+
+
+def test_no_generated_method_is_too_long_to_be_compiled(spark):
+    """Java only interprets a method of over 8,000 bytes, row for row."""
+    debug = getattr(getattr(spark._jvm, "org.apache.spark.sql.execution.debug.package$"), "MODULE$")
+    for name in ("h2_sites_from_rules", "f4_site_completeness", "f4_completeness_by_source", "c13_cards_bizquest", "c_listing_quietlight"):
+        df = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")
+        assert df.collect()
+        stages = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+        sizes = [stages.apply(n)._3().maxMethodCodeSize() for n in range(stages.size())]
+        assert sizes and 0 < min(sizes) and max(sizes) <= 8000, (name, sizes)
