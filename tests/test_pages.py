@@ -315,6 +315,29 @@ def test_cells_are_looked_up_once_a_table_not_once_a_row(spark):
     assert [(r.label, r.value) for r in got] == [(f"l{n}", f"v{n}") for n in range(40)]
 
 
+def test_a_page_laid_out_like_an_earlier_one_is_not_outlined_again(monkeypatch):
+    pages = [f'<p class="a">{n}<a href="/{n}">x &amp; {n}</a><script>s&amp;{n}</script><br>' for n in range(300)]
+    odd = ["", "plain", "<p", "<div>a<![foo[y]]>", "<script>a<b</script>", "<template>t<b>u</b></template>", "<p>&#1;</p>", "<title>x", "<p class='a  b'>y"]
+    every = [page for pair in zip(pages, odd * 40) for page in pair]
+
+    def columns(text):
+        one = html._Shapes().arrays([text])
+        return [c.to_pylist()[0] for c in one]
+
+    made = []
+    add = _Outline.add_events
+    monkeypatch.setattr(_Outline, "add_events", lambda self, *a: made.append(1) or add(self, *a))
+    shapes, got = html._Shapes(), []
+    for at in range(0, len(every), 64):
+        got += zip(*[c.to_pylist() for c in shapes.arrays(every[at:at + 64])])
+    assert len(made) < len(every) / 2  # 300 pages were one outline
+    for text, row in zip(every, got):
+        nodes, strings, holders, error = _Outline().outline(text)
+        assert [list(n.values()) for n in row[0]] == [[*n[:5], list(n[5].items()), *n[6:]] for n in nodes]
+        assert (list(row[1]), list(row[2]), row[3]) == (strings, holders, error)
+        assert list(row) == columns(text)
+
+
 def test_no_generated_method_is_too_long_to_be_compiled(spark):
     """Java only interprets a method of over 8,000 bytes, row for row."""
     debug = getattr(getattr(spark._jvm, "org.apache.spark.sql.execution.debug.package$"), "MODULE$")
