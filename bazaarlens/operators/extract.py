@@ -24,6 +24,9 @@ Rules = dict[str, Column]
 Kinds = tuple[tuple[str, tuple[str, ...]], ...]
 
 OUTLINE_COLUMNS = tuple(f.name for f in OUTLINE)
+#: What selectors and texts of elements read of an outline.
+INDEXED = ("nodes", "strings", "tag_index", "class_index", "attr_index")
+ELEMENTS = ("idx", "last", "cls", "attrs", "s0", "s1")
 
 
 def by_site(site: Column, choices: dict[str, Column]) -> Column:
@@ -113,16 +116,16 @@ LINES = Layout(  # div.line with div.left and div.right
     E("div", cls="sb-table"), E("div", cls="line"), E("div", cls="left"), E("div", cls="right"))
 
 
-def _label_stages(layouts: dict[str, Layout], site: Column) -> list[Rules]:
+def _label_stages(layouts: dict[str, Layout], choose: Callable[[dict[str, Column]], Column]) -> list[Rules]:
     """Box, then nodes, then texts of the label rows by the layout of each row's site."""
-    return [{"_box": by_site(site, {n: F.expr(first(x.box)) for n, x in layouts.items()})},
-            {"_pairs": by_site(site, {n: F.expr(x.nodes()) for n, x in layouts.items()})},
-            {"_rows": by_site(site, {n: F.expr(x.texts("_pairs")) for n, x in layouts.items()})}]
+    return [{"_box": choose({n: F.expr(first(x.box)) for n, x in layouts.items()})},
+            {"_pairs": choose({n: F.expr(x.nodes()) for n, x in layouts.items()})},
+            {"_rows": choose({n: F.expr(x.texts("_pairs")) for n, x in layouts.items()})}]
 
 
 def label_rows(outlines: DataFrame, layouts: dict[str, Layout], site: Column) -> DataFrame:
     """Add ``_rows`` (label, value)."""
-    for columns in _label_stages(layouts, site):
+    for columns in _label_stages(layouts, lambda choices: by_site(site, choices)):
         outlines = outlines.withColumns(columns)
     return outlines.drop("_box", "_pairs")
 
@@ -459,7 +462,22 @@ _AMOUNTS = ("price", "revenue", "cash_flow", "ebitda", "inventory_value")
 _NUMBERS = ("multiple", "_margin")
 
 
-def _gather(extractors: dict[str, Site], at: Column) -> list[tuple[Rules, tuple[str, ...]]]:
+class _Sites:
+    """Sites by number: a row asks for its site in each of some hundred columns, and numbers are compared at once."""
+
+    def __init__(self, extractors: dict[str, Site], at: Column) -> None:
+        self.numbers = {n: k for k, n in enumerate(extractors, 1)}
+        self.number = F.coalesce(by_site(at, {n: F.lit(k) for n, k in self.numbers.items()}), F.lit(0)) if extractors else F.lit(0)
+
+    def isin(self, *names: str) -> Column:
+        return F.col("_site").isin(*[self.numbers[n] for n in names])
+
+    def choose(self, choices: dict[str, Column]) -> Column:
+        """The branch of the row's site."""
+        return by_site(F.col("_site"), {self.numbers[n]: value for n, value in choices.items()})
+
+
+def _gather(extractors: dict[str, Site], at: _Sites) -> list[tuple[Rules, tuple[str, ...]]]:
     """Outlines to plain columns ``_text``, ``_pick_*``, ``_label_*`` and ``_asking``: columns to add, and columns
     no longer needed after them, step by step."""
     spaced = [n for n, x in extractors.items() if x.spaced_text]
@@ -468,21 +486,21 @@ def _gather(extractors: dict[str, Site], at: Column) -> list[tuple[Rules, tuple[
     text_column = F.when(at.isin(*spaced), spaced_text(F.col("strings"))).otherwise(plain) if spaced else plain
     # the element first, then its text: two projections, so no element is searched for twice
     nodes = {"_text": text_column} | {
-        f"_node_{s}": by_site(at, {n: F.expr(x.picks[s].selector) for n, x in extractors.items() if s in x.picks})
+        f"_node_{s}": at.choose({n: F.expr(x.picks[s].selector) for n, x in extractors.items() if s in x.picks})
         for s in slots}
     lowered = [n for n, x in extractors.items() if x.needs_low]
     searched = {n: p for x in extractors.values() for n, p in x.wholes.items()}
-    wholes = {f"_whole_{s}": by_site(at, {n: tx.first_regex_whole(F.col("_text"), x.wholes[s]) for n, x in extractors.items() if s in x.wholes})
+    wholes = {f"_whole_{s}": at.choose({n: tx.first_regex_whole(F.col("_text"), x.wholes[s]) for n, x in extractors.items() if s in x.wholes})
               for s in searched}
     picks = {"_low": F.when(at.isin(*lowered), F.lower("_text"))} | wholes | {
-        f"_pick_{s}": by_site(at, {n: F.expr(x.picks[s].value(f"_node_{s}")) for n, x in extractors.items() if s in x.picks})
+        f"_pick_{s}": at.choose({n: F.expr(x.picks[s].value(f"_node_{s}")) for n, x in extractors.items() if s in x.picks})
         for s in slots}
     layouts = {n: x.layout for n, x in extractors.items() if x.layout}
     done = tuple(f"_node_{s}" for s in slots)
     if not layouts:
         return [(nodes, ()), (picks, (*done, *OUTLINE_COLUMNS))]
     # each step copies what it keeps: as few steps as can be have the outline, and its index goes as soon as nothing is looked up
-    box, pairs, rows = _label_stages(layouts, at)
+    box, pairs, rows = _label_stages(layouts, at.choose)
     stages: list[tuple[Rules, tuple[str, ...]]] = [
         (nodes | box, ("string_nodes", "parse_error")), (picks | pairs, (*done, "_box", "tag_index", "class_index", "attr_index")),
         (rows, ("_pairs", "nodes", "strings"))]
@@ -496,7 +514,7 @@ def _gather(extractors: dict[str, Site], at: Column) -> list[tuple[Rules, tuple[
             return F.struct(kind.alias("kind"), extra.alias("extra"), r["value"].alias("value"))
         return tag
 
-    stages.append(({"_rows": by_site(at, {n: F.transform("_rows", tagged(extractors[n])) for n in layouts})}, ()))
+    stages.append(({"_rows": at.choose({n: F.transform("_rows", tagged(extractors[n])) for n in layouts})}, ()))
     kinds = sorted({k for x in extractors.values() for k, _ in x.kinds})
     extras = sorted({k for x in extractors.values() for k, _ in x.extra_kinds})
     last = "try_element_at(filter(_rows, r -> r.{c} = '{k}'), -1).value"
@@ -526,6 +544,7 @@ class _Prepared:
 
     extractors: dict[str, Site]
     reason: Column                                    # why a page gives no record
+    number: Column                                    # of the site; kept as ``_site``
     gather: list[tuple[Rules, tuple[str, ...]]]
     raw: dict[str, Column]
     typed: Rules
@@ -547,6 +566,7 @@ def _prepared(extractors: dict[str, Site], site: str, url: str) -> _Prepared:
 def _prepare(extractors: dict[str, Site], at: Column, url: Column) -> _Prepared:
     reason = (F.when(~F.coalesce(at.isin(*extractors), F.lit(False)), F.concat(F.lit("no extractor for site "), F.coalesce(at, F.lit("NULL"))))
               .when(F.col("parse_error").isNotNull(), F.concat(F.lit("page cannot be read: "), "parse_error")))
+    sites = _Sites(extractors, at)
     labelled = any(x.layout for x in extractors.values())
     chosen: dict[tuple[str, int], dict[str, Column]] = {}
     derived: dict[str, dict[str, Column]] = {}
@@ -558,13 +578,13 @@ def _prepare(extractors: dict[str, Site], at: Column, url: Column) -> _Prepared:
         for f, value in (x.derived(got) if x.derived else {}).items():
             derived.setdefault(f, {})[name] = value
     # the texts first, then the numbers in them: one reading per field, whatever the site
-    raw = {f"_raw_{f}_{k}": by_site(at, by) for (f, k), by in chosen.items()}
+    raw = {f"_raw_{f}_{k}": sites.choose(by) for (f, k), by in chosen.items()}
     marked: dict[str, dict[str, Column]] = {}
     for name, x in extractors.items():
         labels = _found(x, labelled, url).labels
         for f, kind in x.marks.items():
             marked.setdefault(f, {})[name] = labels[kind].isNotNull()
-    marks = {f"_mark_{f}": by_site(at, by) for f, by in marked.items()}
+    marks = {f"_mark_{f}": sites.choose(by) for f, by in marked.items()}
     by_suffix = [n for n, x in extractors.items() if x.suffix_amounts]
 
     def read(name: str, kind: T.DataType) -> Column:
@@ -576,7 +596,7 @@ def _prepare(extractors: dict[str, Site], at: Column, url: Column) -> _Prepared:
         amount = or_else(*[F.when(t.isNotNull(), money.parse_price_base(t)) for t in texts])
         if not by_suffix:
             return amount
-        return F.when(at.isin(*by_suffix), F.when(texts[0].isNotNull(), money.parse_price_suffix(texts[0]))).otherwise(amount)
+        return F.when(sites.isin(*by_suffix), F.when(texts[0].isNotNull(), money.parse_price_suffix(texts[0]))).otherwise(amount)
 
     # a field is in a record when a text was found for it, readable or not, or a value was worked out; a
     # multiple has to be readable
@@ -589,22 +609,22 @@ def _prepare(extractors: dict[str, Site], at: Column, url: Column) -> _Prepared:
 
     fields = [n for n, _ in _FIELDS if not n.startswith("_")]
     typed = {f"_got_{n}": read(n, t) for n, t in _FIELDS} | {f"_has_{n}": has(n) for n in fields}
-    out = {n: by_site(at, derived[n]).otherwise(got[n]) if n in derived else got[n] for n, _ in _FIELDS}
+    out = {n: sites.choose(derived[n]).otherwise(got[n]) if n in derived else got[n] for n, _ in _FIELDS}
 
     def emitted(name: str) -> Column:
         there = F.col(f"_has_{name}") | F.col(f"_out_{name}").isNotNull()
         worked_out = list(derived.get(name, ()))
         if worked_out:
-            there = F.when(at.isin(*worked_out), F.col(f"_out_{name}").isNotNull()).otherwise(there)
+            there = F.when(sites.isin(*worked_out), F.col(f"_out_{name}").isNotNull()).otherwise(there)
         always = [n for n, x in extractors.items() if name in x.always]
         ours = [n for n, x in extractors.items() if name in x.ours]
-        there = there | at.isin(*always) if always else there
-        there = there & ~at.isin(*ours) if ours else there
+        there = there | sites.isin(*always) if always else there
+        there = there & ~sites.isin(*ours) if ours else there
         return F.when(there, name)
 
-    own = [F.when(at == n, F.array(*map(F.lit, x.besides))) for n, x in extractors.items()]
+    own = [F.when(sites.isin(n), F.array(*map(F.lit, x.besides))) for n, x in extractors.items()]
     names = F.concat(F.coalesce(*own), F.array_compact(F.array(*map(emitted, fields))))
-    return _Prepared(extractors, reason, _gather(extractors, at), raw | marks, typed,
+    return _Prepared(extractors, reason, sites.number, _gather(extractors, sites), raw | marks, typed,
                      ({n: out[n] for n in fields}, F.coalesce(out["_keep"], F.lit(True)), names))
 
 
@@ -618,16 +638,16 @@ def extract_outlines(outlines: DataFrame, extractors: dict[str, Site] | None = N
     """
     ready = _prepared(EXTRACTORS if extractors is None else extractors, site, url)
     keep = [c for c in outlines.columns if c not in OUTLINE_COLUMNS]
-    outlines = outlines.withColumn("reject_reason", ready.reason)
+    outlines = outlines.withColumns({"reject_reason": ready.reason, "_site": ready.number})
     if with_rejects:
         keep.append("reject_reason")
     else:
         outlines = outlines.filter(F.col("reject_reason").isNull()).drop("reject_reason")
     for columns, done in ready.gather:
         outlines = outlines.withColumns(columns).drop(*done)
-    raw = outlines.select(*keep, *[c.alias(n) for n, c in ready.raw.items()])
+    raw = outlines.select(*keep, "_site", *[c.alias(n) for n, c in ready.raw.items()])
     wanted = [n for n in ready.typed if with_emitted or not n.startswith("_has_")]
-    typed = raw.select(*keep, *[ready.typed[n].alias(n) for n in wanted])
+    typed = raw.select(*keep, "_site", *[ready.typed[n].alias(n) for n in wanted])
     # C12. One record or none, as a generator: a filter would be pushed down through every
     # projection above and evaluate them all a second time. It makes no more than the row, so
     # fields that nobody reads are not worked out
@@ -636,9 +656,9 @@ def extract_outlines(outlines: DataFrame, extractors: dict[str, Site] | None = N
         keeps = keeps | F.col("reject_reason").isNotNull()
     marks = [n for n in wanted if n.startswith("_has_")]
     once = typed.select("*", F.explode(F.when(keeps, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))).alias("_once"))
-    rows = once.select(*keep, *marks, *[c.alias(n) for n, c in record.items()])
     if not with_emitted:
-        return rows
+        return once.select(*keep, *[c.alias(n) for n, c in record.items()])
+    rows = once.select(*keep, "_site", *marks, *[c.alias(n) for n, c in record.items()])
     fields = [n.removeprefix("_has_") for n in marks]
     return rows.withColumns({f"_out_{n}": F.col(n) for n in fields}).select(*keep, *fields, names.alias("emitted"))
 
@@ -646,4 +666,4 @@ def extract_outlines(outlines: DataFrame, extractors: dict[str, Site] | None = N
 def extract_listings(pages: DataFrame, extractors: dict[str, Site] | None = None, with_rejects: bool = False,
                      with_emitted: bool = False) -> DataFrame:
     """Pages (``source_site``, ``listing_url``, ``html``, ...) to records: one parse per page."""
-    return extract_outlines(flatten_pages(pages), extractors, with_rejects=with_rejects, with_emitted=with_emitted)
+    return extract_outlines(flatten_pages(pages, (*INDEXED, "parse_error"), (*ELEMENTS, "raw")), extractors, with_rejects=with_rejects, with_emitted=with_emitted)

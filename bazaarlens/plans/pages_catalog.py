@@ -18,8 +18,8 @@ from bazaarlens.streaming.incremental import incremental_ingest
 C = F.col
 
 
-def _outlines(spark, sf_dir, sql):
-    return flatten_pages(i.bind(spark, sf_dir, sql, spread=True))
+def _outlines(spark, sf_dir, sql, *wanted):
+    return flatten_pages(i.bind(spark, sf_dir, sql, spread=True), *wanted)
 
 
 def _page_outlines(spark, sf_dir):
@@ -393,7 +393,7 @@ def _register_cards(source):
     @query(f"c13_cards_{source.lower()}", f"""WITH c AS (SELECT *, CAST(n AS INTEGER) AS j FROM part, range(0, {first}) r(n))
     SELECT p_partkey, j AS card_pos, {fields} FROM c {where}""")
     def run(spark, sf_dir):
-        outlines = _outlines(spark, sf_dir, p.CARD_PAGES[source]).withColumn("source", F.lit(source))
+        outlines = _outlines(spark, sf_dir, p.CARD_PAGES[source], extract.INDEXED, extract.ELEMENTS).withColumn("source", F.lit(source))
         return cards.extract_cards(outlines).select("p_partkey", "card_pos", *_CARD_COLUMNS)
 
 
@@ -495,8 +495,8 @@ def i4(spark, sf_dir):
     return quality.keyword_in_context(table(spark, sf_dir, "documents").select("doc_id", "text"), "of the")
 
 
-def _quality_pages(spark, sf_dir):
-    return _outlines(spark, sf_dir, p.QUALITY)
+def _quality_pages(spark, sf_dir, *wanted):
+    return _outlines(spark, sf_dir, p.QUALITY, *wanted)
 
 
 @query("i5_definition_pairs", """SELECT p_partkey, 0 AS pos, 'Asking Price' AS label, concat('$', p_size, ',500') AS value FROM part
@@ -583,7 +583,8 @@ _MENTIONS = {"price": r"\$[\d,]+(?:\.\d+)?[KkMm]?", "revenue": r"(?:revenue|sale
   concat('revenue $', p_size, '00k') AS revenue, concat('profit: $', p_size, ',111') AS cash_flow FROM part""")
 def i12(spark, sf_dir):
     link = E("a", attr_parts={"href": "/business-for-sale/"})
-    return quality.container_text(_quality_pages(spark, sf_dir), link, _MENTIONS)
+    pages = _quality_pages(spark, sf_dir, ("nodes", "strings", "tag_index", "attr_index"), ("idx", "parent", "tag", "attrs", "s0", "s1"))
+    return quality.container_text(pages, link, _MENTIONS)
 
 
 @query("i12_price_link_containers", """SELECT p_partkey, 0 AS pos, 'div' AS container, 'grid' AS container_class,

@@ -347,3 +347,25 @@ def test_no_generated_method_is_too_long_to_be_compiled(spark):
         stages = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
         sizes = [stages.apply(n)._3().maxMethodCodeSize() for n in range(stages.size())]
         assert sizes and 0 < min(sizes) and max(sizes) <= 8000, (name, sizes)
+
+
+def test_a_worker_returns_only_what_a_query_reads_of_an_outline(spark):
+    """Spark copies every column that a worker returns into rows, and asks value by value for NULLs that can't be there."""
+    for name, unread in (("i12_container_text", ("class_index", "string_nodes", "parse_error")), ("c13_cards_bizquest", ("string_nodes", "parse_error")),
+                         ("c_listing_websiteclosers", ("string_nodes",)), ("c_listing_quietlight", ("string_nodes",))):
+        plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        returned = re.search(r"MapInArrow .*", plan)[0]
+        assert "nodes#" in returned and not any(f"{c}#" in returned for c in unread), (name, returned)
+    nodes = flatten_pages(spark.createDataFrame([("<p>a",)], "html string"), ("nodes",), ("idx", "tag")).schema["nodes"]
+    assert nodes.dataType.elementType.fieldNames() == ["idx", "tag"] and not nodes.nullable and not nodes.dataType.containsNull
+
+
+def test_wanted_columns_are_those_of_the_whole_outline(spark):
+    pages = ['<p class="a b">x<a href="/1">1 &amp; 2</a><script>s > 1 && "<"</script>', "plain > text", "<p", "", "a > b < c", "<div>a<![foo[y]]>", "<p>q"]
+    df = spark.createDataFrame(list(enumerate(pages * 3)), "k int, html string")
+    some, fields = ("nodes", "strings", "attr_index"), ("idx", "parent", "attrs", "raw")
+    got = {r.k: r for r in flatten_pages(df, some, fields).collect()}
+    for whole in flatten_pages(df).collect():
+        part = got[whole.k]
+        assert part.asDict().keys() == {"k", *some} and part.strings == whole.strings and part.attr_index == whole.attr_index
+        assert [tuple(n) for n in part.nodes] == [tuple(n[f] for f in fields) for n in whole.nodes]
