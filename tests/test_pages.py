@@ -10,7 +10,7 @@ from pyspark.sql import Row, functions as F
 
 from bazaarlens import fixed_values as fv
 from bazaarlens.functions.text import strip
-from bazaarlens.operators import cards, extract, frontier, quality
+from bazaarlens.operators import cards, extract, frontier, quality, report
 from bazaarlens.operators.selectors import E, all_of, spaced_text, stripped, stripped_sql, text_of
 from bazaarlens.plans import catalog
 from bazaarlens.session import cut
@@ -369,3 +369,13 @@ def test_wanted_columns_are_those_of_the_whole_outline(spark):
         part = got[whole.k]
         assert part.asDict().keys() == {"k", *some} and part.strings == whole.strings and part.attr_index == whole.attr_index
         assert [tuple(n) for n in part.nodes] == [tuple(n[f] for f in fields) for n in whole.nodes]
+
+
+def test_names_of_fields_are_not_compared_one_by_one(spark):
+    """Completeness looked every field up in the list of names, and asked for the site by its name in every column."""
+    plan = catalog.QUERIES["f4_completeness_by_source"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_contains" not in plan and plan.count("= FEInternational)") == 1
+    rows = spark.createDataFrame([("x", 0.0, None, ["title", "price", "city", "gone"]), ("", 2.0, "y", ["title", "city"]), ("x", 1.0, "y", []), (None, None, None, None)],
+                                 "title string, price double, city string, emitted array<string>")
+    got = report.record_completeness(rows).select("filled_fields", "total_fields").collect()
+    assert [tuple(r) for r in got] == [(1, 4), (1, 2), (0, 0), (None, None)]
